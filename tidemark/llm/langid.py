@@ -17,9 +17,9 @@ TRAINING_CHARS = (200, 8_000)
 DICTIONARY_BYTES = 110_000
 #: Texts are encoded in blocks, so that the dictionary and not the text's own past decides.
 BLOCK_BYTES = 2_048
-LEVEL = 3
+LEVEL = 9
 #: A text is rejected if the runner-up's encoding is not longer by this share of its size.
-MIN_MARGIN = 0.004
+MIN_MARGIN = 0.002
 UNDETERMINED = "und"
 
 _NO_LETTERS = re.compile(r"[\W\d_]+")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import os
+import unicodedata
 import zlib
 from collections import deque
 
@@ -11,6 +13,7 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from tidemark.llm.common import map_texts
 
@@ -18,40 +21,96 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_OF_DOCUMENT = 2
 WINDOW = 4096
 #: What a cut costs, in padding tokens: at a sentence's end within a document, or anywhere else within one.
-SENTENCE_CUT, HARD_CUT = 8, 64
+SENTENCE_CUT, HARD_CUT = 4, 32
 #: Without a sentence's end for so many tokens, cuts are offered at this distance.
 HARD_GRID = 64
 #: Tokens over which one run of the dynamic programme chooses cuts; the last window moves on to the next run.
 BLOCK_TOKENS = 1 << 19
-#: Blank-separated chunks whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Blank-separated chunks, and runs of letters, whose ids a worker remembers.
+REMEMBERED, REMEMBERED_LETTERS = 400_000, 600_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class Encoder:
     """Token ids of whole texts as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its blank-separated
-    chunks; chunks recur, and their ids are remembered.
+    chunks. Chunks recur, and their ids are remembered. A new chunk that is a run of Latin letters, or one with a stop
+    or comma, goes straight to the merges, all such runs in one call; any other takes the tokenizer's whole way.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, chunks: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        self.known.update(zip(chunks, (np.array(e.ids, "<u4").tobytes() for e in found)))
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = WhitespaceSplit()
+        self.bytes = _byte_letters()
+        self.ends = word_ends(self.tokenizer)
+        self.chunks: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.marks = {m: self.whole([m])[0] for m in ".,!?"}
+        self.end = np.array([END_OF_DOCUMENT], "<u4").tobytes()
+
+    def whole(self, chunks: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def learn_letters(self, runs: set[str]) -> None:
+        order = list(runs)
+        shown = " ".join(r if r.isascii() else "".join(map(self.bytes.__getitem__, r.encode())) for r in order)
+        ids = np.array(self.merges.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
+        tops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(tops) != len(order):
+            raise ValueError("the vocabulary does not mark the ends of words")
+        data, lo = ids.tobytes(), 0
+        for run, hi in zip(order, tops):
+            self.letters[run] = data[4 * lo : 4 * hi]
+            lo = hi
+
+    def learn(self, chunks: set[bytes]) -> None:
+        plain: list[tuple[bytes, str, str]] = []
+        other: list[bytes] = []
+        for chunk in chunks:
+            text = chunk.decode()
+            run, mark = (text[:-1], text[-1]) if text[-1] in self.marks else (text, "")
+            if run.isalpha() and max(run) < "\u0250" and "\u0130" not in run and unicodedata.is_normalized("NFC", run):
+                plain.append((chunk, run.lower(), mark))
+            else:
+                other.append(chunk)
+        if len(self.letters) > REMEMBERED_LETTERS:
+            self.letters.clear()
+        if new := {run for _, run, _ in plain}.difference(self.letters):
+            self.learn_letters(new)
+        self.chunks.update((c, self.letters[run] + self.marks[mark] if mark else self.letters[run]) for c, run, mark in plain)
+        self.chunks.update(zip(other, self.whole([c.decode() for c in other])))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").encode().split() for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = set().union(*split).difference(self.known)
-        if new:
-            self.learn(list(new))
-        end, get = np.array([END_OF_DOCUMENT], "<u4").tobytes(), self.known.__getitem__
-        return [b"".join(map(get, chunks)) + end for chunks in split]
+        if len(self.chunks) > REMEMBERED:
+            self.chunks.clear()
+        if new := set().union(*split).difference(self.chunks):
+            self.learn(new)
+        get = self.chunks.__getitem__
+        return [b"".join(map(get, chunks)) + self.end for chunks in split]
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """A worker's encoder; what it remembers serves its later tasks too."""
+    return Encoder(path)
+
+
+def word_ends(tokenizer: Tokenizer) -> np.ndarray:
+    """For each id, whether a word ends with it."""
+    ends = np.zeros(tokenizer.get_vocab_size(), bool)
+    for piece, i in tokenizer.get_vocab().items():
+        ends[i] = piece.endswith("</w>")
+    return ends
 
 
 def sentence_ends(tokenizer: Tokenizer) -> np.ndarray:
@@ -164,7 +223,7 @@ def pack(docs: DataFrame, tokenizer_path: str = TOKENIZER, window: int = WINDOW)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def make():
-        encode = Encoder(tokenizer_path)
+        encode = encoder(tokenizer_path)
         packer = Packer(sentence_ends(encode.tokenizer), TaskContext.get().partitionId(), window)
 
         def step(ids, texts):
