@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
-import unicodedata
+import re
 import zlib
 from collections import deque
 
@@ -13,7 +13,6 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from tidemark.llm.common import map_texts
 
@@ -26,8 +25,13 @@ SENTENCE_CUT, HARD_CUT = 4, 32
 HARD_GRID = 64
 #: Tokens over which one run of the dynamic programme chooses cuts; the last window moves on to the next run.
 BLOCK_TOKENS = 1 << 19
-#: Blank-separated chunks, and runs of letters, whose ids a worker remembers.
-REMEMBERED, REMEMBERED_LETTERS = 400_000, 600_000
+#: Chunks of text whose ids a worker remembers.
+REMEMBERED = 800_000
+
+#: Texts that take the tokenizer's whole way: beyond Latin letters, or with what may be a special token.
+_WHOLE_WAY = re.compile("[^\x00-\u024f]|\u0130|<\\|")
+#: A stop or comma between a letter and white space is a piece of its own either way.
+_MARK = re.compile(r"(?<=[^\W\d_])([.,])(?=\s)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -37,66 +41,49 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class _Known(dict):
+    """Ids by lower-cased chunk; a new run of letters goes straight to the merges, any other chunk the whole way."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer, self.merges, self.bytes = tokenizer, tokenizer.model, _byte_letters()
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        run = chunk.decode()
+        if run.isalpha():
+            ids = [t.id for t in self.merges.tokenize(run if run.isascii() else "".join(map(self.bytes.__getitem__, chunk)))]
+        else:
+            ids = self.tokenizer.encode(run, add_special_tokens=False).ids
+        out = self[chunk] = packed(ids)
+        return out
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
 class Encoder:
     """Token ids of whole texts as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are those of its blank-separated
-    chunks. Chunks recur, and their ids are remembered. A new chunk that is a run of Latin letters, or one with a stop
-    or comma, goes straight to the merges, all such runs in one call; any other takes the tokenizer's whole way.
+    The tokenizer lower-cases, drops white space and never merges across it, so a text's ids are those of its
+    blank-separated chunks. Chunks recur, and their ids are remembered.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.merges = Tokenizer(self.tokenizer.model)
-        self.merges.pre_tokenizer = WhitespaceSplit()
-        self.bytes = _byte_letters()
-        self.ends = word_ends(self.tokenizer)
-        self.chunks: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
-        self.marks = {m: self.whole([m])[0] for m in ".,!?"}
-        self.end = np.array([END_OF_DOCUMENT], "<u4").tobytes()
-
-    def whole(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def learn_letters(self, runs: set[str]) -> None:
-        order = list(runs)
-        shown = " ".join(r if r.isascii() else "".join(map(self.bytes.__getitem__, r.encode())) for r in order)
-        ids = np.array(self.merges.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
-        tops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-        if len(tops) != len(order):
-            raise ValueError("the vocabulary does not mark the ends of words")
-        data, lo = ids.tobytes(), 0
-        for run, hi in zip(order, tops):
-            self.letters[run] = data[4 * lo : 4 * hi]
-            lo = hi
-
-    def learn(self, chunks: set[bytes]) -> None:
-        plain: list[tuple[bytes, str, str]] = []
-        other: list[bytes] = []
-        for chunk in chunks:
-            text = chunk.decode()
-            run, mark = (text[:-1], text[-1]) if text[-1] in self.marks else (text, "")
-            if run.isalpha() and max(run) < "\u0250" and "\u0130" not in run and unicodedata.is_normalized("NFC", run):
-                plain.append((chunk, run.lower(), mark))
-            else:
-                other.append(chunk)
-        if len(self.letters) > REMEMBERED_LETTERS:
-            self.letters.clear()
-        if new := {run for _, run, _ in plain}.difference(self.letters):
-            self.learn_letters(new)
-        self.chunks.update((c, self.letters[run] + self.marks[mark] if mark else self.letters[run]) for c, run, mark in plain)
-        self.chunks.update(zip(other, self.whole([c.decode() for c in other])))
+        self.known = _Known(self.tokenizer)
+        self.end = packed([END_OF_DOCUMENT])
+
+    def one(self, text: str) -> bytes:
+        if _WHOLE_WAY.search(text):
+            return packed(self.tokenizer.encode(text, add_special_tokens=False).ids) + self.end
+        chunks = _MARK.sub(r" \1", text.lower()).encode().split()
+        return b"".join(map(self.known.__getitem__, chunks)) + self.end
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode().split() for t in texts]
-        if len(self.chunks) > REMEMBERED:
-            self.chunks.clear()
-        if new := set().union(*split).difference(self.chunks):
-            self.learn(new)
-        get = self.chunks.__getitem__
-        return [b"".join(map(get, chunks)) + self.end for chunks in split]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        return [self.one(t or "") for t in texts]
 
 
 @functools.lru_cache(maxsize=2)
@@ -105,14 +92,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def word_ends(tokenizer: Tokenizer) -> np.ndarray:
-    """For each id, whether a word ends with it."""
-    ends = np.zeros(tokenizer.get_vocab_size(), bool)
-    for piece, i in tokenizer.get_vocab().items():
-        ends[i] = piece.endswith("</w>")
-    return ends
-
-
 def sentence_ends(tokenizer: Tokenizer) -> np.ndarray:
     """For each id, whether a sentence may end with it."""
     ends = np.zeros(tokenizer.get_vocab_size(), bool)
