@@ -62,3 +62,23 @@ def map_texts(df: DataFrame, columns: Sequence[str], schema: str, make: Callable
                 yield built(out)
 
     return df.select(*columns).mapInArrow(run, struct)
+
+
+def ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
+def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """The rows, with all their columns whatever their names, for whose texts make()'s function says true."""
+    at = docs.columns.index("text")
+
+    def built():
+        wanted = make()
+
+        def step(*values):
+            rows = [k for k, w in enumerate(wanted(values[at])) if w]
+            return [[v[k] for k in rows] for v in values]
+
+        return step
+
+    return map_texts(docs, docs.columns, ddl(docs), built)

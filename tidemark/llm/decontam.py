@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts
+from tidemark.llm.common import filter_texts, map_texts
 
 #: Tokens of the shortest match that is marked; also the length of the seeds.
 MIN_MATCH = 5
@@ -103,6 +103,15 @@ class Index:
         return [(self.items[k][0], tile(self.items[k][1], doc, s, self.min_match), len(self.items[k][1])) for k, s in sorted(starts.items())]
 
 
+def by_length(items: list[tuple[object, str]], min_match: int) -> list[Index]:
+    """Indexes of the items; those of fewer than min_match tokens have shorter seeds."""
+    own: dict[int, list] = defaultdict(list)
+    for item_id, text in items:
+        if words := tokens(text):
+            own[min(min_match, len(words))].append((item_id, words))
+    return [Index(part, n) for n, part in sorted(own.items())]
+
+
 def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
     """The test items in blocks of about block_bytes, each small enough to be sent to all tasks."""
     items = benchmark.select("item_id", "text").where("text is not null")
@@ -128,11 +137,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def make():
-            tokenised = [(i, w) for i, t in sent.value if (w := tokens(t))]
-            by_length: dict[int, list] = defaultdict(list)
-            for i, w in tokenised:
-                by_length[min(min_match, len(w))].append((i, w))
-            indexes = [Index(own, n) for n, own in sorted(by_length.items())]
+            indexes = by_length(sent.value, min_match)
 
             def step(ids, texts):
                 out: list[list] = [[], [], [], [], []]
@@ -159,28 +164,17 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that tile no test item, with all their columns. A row is judged by its own text, in one pass a
     block and without a join: the documents stream through the tasks and the contaminated do not come out."""
     kept = docs
-    columns = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    at = columns.index("text")
     for items in blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def make(sent=sent):
-            by_length: dict[int, list] = defaultdict(list)
-            for i, t in sent.value:
-                if w := tokens(t):
-                    by_length[min(MIN_MATCH, len(w))].append((i, w))
-            indexes = [Index(own, n) for n, own in sorted(by_length.items())]
-
-            def step(*values):
-                clean = []
-                for k, text in enumerate(values[at]):
-                    words = tokens(text)
-                    if not any(tiled >= MIN_COVERAGE * n for index in indexes for _, tiled, n in index.compare(words)):
-                        clean.append(k)
-                return [[v[k] for k in clean] for v in values]
+            indexes = by_length(sent.value, MIN_MATCH)
 
-            return step
+            def clean(text: str | None) -> bool:
+                words = tokens(text)
+                return not any(tiled >= MIN_COVERAGE * n for index in indexes for _, tiled, n in index.compare(words))
+
+            return lambda texts: list(map(clean, texts))
 
-        kept = map_texts(kept, columns, schema, make)
+        kept = filter_texts(kept, make)
     return kept

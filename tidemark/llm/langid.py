@@ -8,7 +8,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_remainder, map_texts
+from tidemark.llm.common import filter_texts, id_remainder, map_texts
 
 #: Labelled texts that a language's dictionary is made of: the bound on the sample it is fitted on.
 TEXTS_PER_LANGUAGE = 96
@@ -69,34 +69,36 @@ def sizes(data: bytes, coders: list[tuple[str, zstandard.ZstdCompressor]]) -> li
     return [sum(len(c.compress(b)) for b in blocks) for _, c in coders]
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], carry: tuple[str, ...] = ("doc_id",), min_margin: float = MIN_MARGIN) -> DataFrame:
+def predictor(dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN):
+    """A function from a text to its language, score and whether it is rejected."""
+    coders = encoders(dictionaries)
+
+    def predict(text: str | None) -> tuple[str, float, bool]:
+        data = letters_only(text) if text else b""
+        if not data or not coders or not any(map(str.isalpha, text)):
+            return UNDETERMINED, 0.0, True
+        found = sorted(zip(sizes(data, coders), range(len(coders))))
+        margin = (found[1][0] - found[0][0]) / found[1][0] if len(found) > 1 else 1.0
+        return coders[found[0][1]][0], margin, margin < min_margin
+
+    return predict
+
+
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
     """Predict the language of each whole text.
 
-    Returns the carried columns, lang_pred, score (the runner-up's surplus as a share of its size, 0 to 1) and rejected
-    (no letter, null, or a margin under min_margin). Null, empty and letterless texts: `und`, 0, rejected. Ties go to
-    the first language by name. Repeated rows are all kept; other columns of docs are not looked at. Without
-    dictionaries (no labelled text) every text is `und`. Texts of any length are encoded whole, block by block.
+    Returns doc_id, lang_pred, score (the runner-up's surplus as a share of its size, 0 to 1) and rejected (no letter,
+    null, or a margin under min_margin). Null, empty and letterless texts: `und`, 0, rejected. Ties go to the first
+    language by name. Repeated rows are all kept; other columns of docs are not looked at. Without dictionaries (no
+    labelled text) every text is `und`. Texts of any length are encoded whole, block by block.
     """
-    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in carry)
 
     def make():
-        coders = encoders(dictionaries)
-
-        def step(texts, *kept):
-            langs, scores, rejected = [], [], []
-            for text in texts:
-                data = letters_only(text) if text else b""
-                if not data or not coders or not any(map(str.isalpha, text)):
-                    langs.append(UNDETERMINED), scores.append(0.0), rejected.append(True)
-                    continue
-                found = sorted(zip(sizes(data, coders), range(len(coders))))
-                margin = (found[1][0] - found[0][0]) / found[1][0] if len(found) > 1 else 1.0
-                langs.append(coders[found[0][1]][0]), scores.append(margin), rejected.append(margin < min_margin)
-            return [*kept, langs, scores, rejected]
+        predict = predictor(dictionaries, min_margin)
+        return lambda ids, texts: [ids, *zip(*map(predict, texts))] if ids else None
 
-        return step
-
-    return map_texts(docs, ["text", *carry], f"{kinds}, lang_pred string, score double, rejected boolean", make)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_texts(docs, ["doc_id", "text"], f"doc_id {kind}, lang_pred string, score double, rejected boolean", make)
 
 
 def identify_held_out(docs: DataFrame) -> DataFrame:
@@ -109,5 +111,9 @@ def identify_held_out(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is told, with all their columns; the rejected go. Learns as identify_held_out does."""
     dictionaries = fit(docs.where(id_remainder(F.col("doc_id"), 5) != 0))
-    out = identify(docs, dictionaries, tuple(docs.columns))
-    return out.where(~F.col("rejected")).select(*docs.columns)
+
+    def make():
+        predict = predictor(dictionaries)
+        return lambda texts: [not predict(t)[2] for t in texts]
+
+    return filter_texts(docs, make)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import map_texts
+from tidemark.llm.common import ddl, map_texts
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
@@ -448,4 +448,4 @@ def mask(docs: DataFrame) -> DataFrame:
 
         return step
 
-    return map_texts(docs, columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), make)
+    return map_texts(docs, columns, ddl(docs), make)
