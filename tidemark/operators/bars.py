@@ -50,12 +50,13 @@ def native_bars(trades: DataFrame, window: Window, seconds: int = 1, quantity: s
     rows = time_limited.select(bucket(F.col("datetime"), seconds).alias("bucket"), F.col(id_column).alias("id"), F.col("price").cast("double").alias("p"), F.col(quantity).cast("double").alias("q"), maker.cast("double").alias("m"))
     value = F.col("p") * F.col("q")
     exact = lambda c: F.sum(c.cast("decimal(38,12)")).cast("double")
+    tenths = lambda c: F.round(F.sum(c.cast("decimal(38,9)")), 1).cast("double")  # noqa: E731  rounded while exact
     grouped = rows.groupBy(F.col("bucket").alias("datetime")).agg(
         F.min_by("p", "id").alias("open"), F.max("p").alias("high"), F.min("p").alias("low"), F.max_by("p", "id").alias("close"),
         F.round(F.avg("p"), 5).alias("mean"), F.round(F.stddev_pop("p"), 6).alias("std"), F.array_sort(F.collect_list("p")).alias("sorted__"),
         F.round(exact(F.col("q")), 9).alias("volume"), F.avg("m").alias("maker_ratio"), F.count(F.lit(1)).alias("no_of_trades"),
         F.min_by(value, "id").alias("open_liquidity"), F.max(value).alias("high_liquidity"), F.min(value).alias("low_liquidity"), F.max_by(value, "id").alias("close_liquidity"),
-        F.round(exact(value), 1).alias("liquidity_sum"), exact(F.col("m") * F.col("q")).alias("maker_volume"), F.round(exact(F.col("m") * value), 1).alias("maker_liquidity"),
+        tenths(value).alias("liquidity_sum"), exact(F.col("m") * F.col("q")).alias("maker_volume"), tenths(F.col("m") * value).alias("maker_liquidity"),
     )
     s = F.col("sorted__")
     bars = grouped.withColumns({"median": element_quantile(s, 0.5), "iqr": element_quantile(s, 0.75) - element_quantile(s, 0.25)}).select(*BAR_COLUMNS)
