@@ -163,6 +163,11 @@ MIN_POSTERIOR = 0.9
 TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]")
 
 
+#: Labels that may not follow: an inside label after anything but its own kind's labels. A window may start inside a span.
+_NEVER = -1e4
+_FOLLOWS = np.array([[_NEVER if b and b % 2 == 0 and a not in (b, b - 1) else 0.0 for b in range(LABELS)] for a in range(LABELS)])
+
+
 def encode(text: str) -> np.ndarray:
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
     out = _TABLE[np.minimum(codes, 0x10FFFF)].astype(np.int64)
@@ -211,19 +216,23 @@ class Tagger:
         h = np.concatenate([hf, hb], axis=2)
         return h @ self.p["o"] + self.p["ob"], h, kf, kb
 
+    @property
+    def steps(self) -> np.ndarray:
+        return self.p["t"] + _FOLLOWS
+
     def _forward(self, e: np.ndarray) -> np.ndarray:
-        a = np.zeros_like(e)
+        a, steps = np.zeros_like(e), self.steps
         a[0] = e[0] + self.p["s"]
         for t in range(1, len(e)):
-            m = a[t - 1][:, :, None] + self.p["t"]
+            m = a[t - 1][:, :, None] + steps
             top = m.max(axis=1)
             a[t] = e[t] + top + np.log(np.exp(m - top[:, None, :]).sum(axis=1))
         return a
 
     def _backward(self, e: np.ndarray) -> np.ndarray:
-        b = np.zeros_like(e)
+        b, steps = np.zeros_like(e), self.steps
         for t in range(len(e) - 2, -1, -1):
-            m = self.p["t"] + (e[t + 1] + b[t + 1])[:, None, :]
+            m = steps + (e[t + 1] + b[t + 1])[:, None, :]
             top = m.max(axis=2)
             b[t] = top + np.log(np.exp(m - top[:, :, None]).sum(axis=2))
         return b
@@ -237,12 +246,12 @@ class Tagger:
         z = top + np.log(np.exp(a[-1] - top).sum(axis=1, keepdims=True))
         marginal = np.exp(a + b - z)
         rows = np.arange(size)
-        gold = e[np.arange(n)[:, None], rows[None, :], y].sum(0) + self.p["s"][y[0]] + self.p["t"][y[:-1], y[1:]].sum(0)
+        gold = e[np.arange(n)[:, None], rows[None, :], y].sum(0) + self.p["s"][y[0]] + self.steps[y[:-1], y[1:]].sum(0)
         loss = float((z[:, 0] - gold).mean())
         de = marginal.copy()
         de[np.arange(n)[:, None], rows[None, :], y] -= 1
         de /= size
-        pair = np.exp(a[:-1][:, :, :, None] + self.p["t"] + (e[1:] + b[1:])[:, :, None, :] - z[None, :, :, None]).sum(axis=(0, 1))
+        pair = np.exp(a[:-1][:, :, :, None] + self.steps + (e[1:] + b[1:])[:, :, None, :] - z[None, :, :, None]).sum(axis=(0, 1))
         np.subtract.at(pair, (y[:-1].ravel(), y[1:].ravel()), 1)
         out = {"t": pair / size, "s": de[0].sum(0), "o": np.einsum("tbh,tbl->hl", h, de), "ob": de.sum(axis=(0, 1))}
         dh = de @ self.p["o"].T
@@ -293,9 +302,9 @@ class Tagger:
         a, b = self._forward(e), self._backward(e)
         top = a[-1].max(axis=1, keepdims=True)
         z = top + np.log(np.exp(a[-1] - top).sum(axis=1, keepdims=True))
-        best, back = e[0] + self.p["s"], np.zeros(e.shape, np.int64)
+        best, back, steps = e[0] + self.p["s"], np.zeros(e.shape, np.int64), self.steps
         for t in range(1, len(e)):
-            m = best[:, :, None] + self.p["t"]
+            m = best[:, :, None] + steps
             back[t] = m.argmax(axis=1)
             best = e[t] + m.max(axis=1)
         rows, y = np.arange(e.shape[1]), np.zeros(e.shape[:2], np.int64)
