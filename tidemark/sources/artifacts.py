@@ -10,6 +10,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tidemark.cluster import ship
 from tidemark.functions.text import identifiers
 
 RECORD = "artifact_id string, parser string, record_index long, fields map<string,string>"
@@ -89,4 +90,5 @@ def parse(artifacts: DataFrame) -> DataFrame:
                 out += [(artifact_id, form, k, {n: str(v) for n, v in r.items()}) for k, r in enumerate(PARSERS[form](content or ""))] if content else []
             yield pd.DataFrame(out, columns=["artifact_id", "parser", "record_index", "fields"])
 
+    ship(artifacts.sparkSession)
     return artifacts.select("artifact_id", "format", "content").mapInPandas(rows, RECORD)

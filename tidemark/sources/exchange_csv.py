@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.cluster import ship
 from tidemark.functions.text import half_up_millis
 
 #: The files' columns.
@@ -56,6 +57,7 @@ def csv_lines(spark: SparkSession, path: str, columns: tuple[str, ...], header:
                     out.append([*cells, *[None] * (len(names) - len(cells)), path_, n])
                 yield pd.DataFrame(out, columns=[*names, "file", "row_no"])
 
+    ship(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(rows, schema)
 
 
