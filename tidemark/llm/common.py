@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tidemark.cluster import ship
+
 #: Rows that a Python step turns into Python objects at a time; bounds a worker's memory, not the result.
 ROWS_AT_ONCE = 256
 
@@ -44,6 +46,7 @@ def map_texts(df: DataFrame, columns: Sequence[str], schema: str, make: Callable
     Each input row is seen once; a function may hold state between slices of a task and may return any number of rows.
     If it has an attribute `end`, that is called when the task's rows are over.
     """
+    ship(df.sparkSession)
     struct = StructType.fromDDL(schema)
 
     def run(batches):

@@ -8,6 +8,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.cluster import ship
 from tidemark.llm.common import checkpointed
 
 SHARDS = 8
@@ -45,6 +46,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id") -> DataFr
     gaps: every partition counts its own rows, and the partitions' counts, summed by a window over (shard, partition),
     say where each begins, so no shard is ever gathered into a task. Repeated rows get slots of their own.
     """
+    ship(docs.sparkSession)
     whole = docs.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
     k = F.coalesce(F.col(key).cast("long") if whole else F.xxhash64(key), F.lit(0).cast("long"))
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.cluster import ship
 from tidemark.llm.common import checkpointed, map_texts
 
 SHINGLE_WORDS = 3
@@ -113,6 +113,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_most: int = BUCK
     shared = checkpointed(keyed.join(counted, ["mask", "bits"]))
 
     references = pivots()
+    ship(distinct.sparkSession)
 
     def forest(groups):
         for frame in groups:
