@@ -6,7 +6,9 @@ import functools
 import os
 import re
 import zlib
+from bisect import bisect_left
 from collections import deque
+from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
@@ -100,9 +102,15 @@ def sentence_ends(tokenizer: Tokenizer) -> np.ndarray:
     return ends
 
 
-def cut_windows(positions: np.ndarray, penalties: np.ndarray, window: int = WINDOW) -> list[int]:
+def rest_cost(length: int, window: int = WINDOW) -> int:
+    """Of the last window of a split: its padding, or hard cuts into powers of two, which need none."""
+    return min(window - length, (length.bit_count() - 1) * HARD_CUT)
+
+
+def cut_windows(positions: np.ndarray, penalties: np.ndarray, window: int = WINDOW, rest: Callable[[int], int] | None = None) -> list[int]:
     """Cuts (indices of positions, the first and last included) of least cost: padding of all windows plus the penalties
-    of the cuts. positions rise from 0 by at most window a step; linear time by a monotone queue."""
+    of the cuts; rest, if given, is the cost of the last window by its length. positions rise from 0 by at most window a
+    step; linear time by a monotone queue."""
     at, cost = positions.tolist(), penalties.tolist()
     best, back = [0] * len(at), [0] * len(at)
     queue: deque[int] = deque([0])  # starts that can still be best, by best + position
@@ -116,6 +124,9 @@ def cut_windows(positions: np.ndarray, penalties: np.ndarray, window: int = WIND
         while queue and best[queue[-1]] + at[queue[-1]] >= rank:
             queue.pop()
         queue.append(j)
+    if rest is not None:
+        inside = range(bisect_left(at, at[-1] - window), len(at) - 1)
+        back[-1] = min(inside, key=lambda i: best[i] + rest(at[-1] - at[i]))
     cuts = [len(at) - 1]
     while cuts[-1]:
         cuts.append(back[cuts[-1]])
@@ -151,9 +162,10 @@ class Packer:
         for k in np.flatnonzero(np.diff(offered) > HARD_GRID):
             cost[np.arange(offered[k] + HARD_GRID, offered[k + 1], HARD_GRID)] = HARD_CUT
         positions = np.flatnonzero(cost >= 0)
-        cuts = positions[cut_windows(positions, cost[positions], self.window)].tolist()
+        end = functools.partial(rest_cost, window=self.window) if last else lambda length: 0  # what moves on costs nothing yet
+        cuts = positions[cut_windows(positions, cost[positions], self.window, end)].tolist()
         done = cuts if last else cuts[:-1]
-        if last and (rest := cuts[-1] - cuts[-2]).bit_count() > 1 and (rest.bit_count() - 1) * HARD_CUT < self.window - rest:
+        if last and (rest := cuts[-1] - cuts[-2]).bit_count() > 1 and rest_cost(rest, self.window) < self.window - rest:
             for bit in reversed(range(rest.bit_length())):  # sequences as long as a power of two need no padding
                 if rest >> bit & 1 and done[-2] + (1 << bit) < done[-1]:
                     done.insert(-1, done[-2] + (1 << bit))
