@@ -30,10 +30,8 @@ BLOCK_TOKENS = 1 << 19
 #: Chunks of text whose ids a worker remembers.
 REMEMBERED = 800_000
 
-#: Texts that take the tokenizer's whole way: beyond Latin letters, or with what may be a special token.
-_WHOLE_WAY = re.compile("[^\x00-\u024f]|\u0130|<\\|")
-#: A stop or comma between a letter and white space is a piece of its own either way.
-_MARK = re.compile(r"(?<=[^\W\d_])([.,])(?=\s)")
+#: Texts with such a character, or with what may be a special token, take the tokenizer's whole way.
+_NOT_LATIN = re.compile("[^\x00-\u024f]|\u0130")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -44,13 +42,18 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Known(dict):
-    """Ids by lower-cased chunk; a new run of letters goes straight to the merges, any other chunk the whole way."""
+    """Ids by lower-cased chunk. A new run of letters goes straight to the merges; with a mark behind it, it is put
+    together of the two, as the mark is a piece of its own; any other chunk goes the whole way."""
 
     def __init__(self, tokenizer: Tokenizer):
         self.tokenizer, self.merges, self.bytes = tokenizer, tokenizer.model, _byte_letters()
+        self.marks = {m[0]: packed(tokenizer.encode(m.decode(), add_special_tokens=False).ids) for m in (b".", b",", b"!", b"?")}
 
     def __missing__(self, chunk: bytes) -> bytes:
         run = chunk.decode()
+        if chunk[-1] in self.marks and run[:-1].isalpha():
+            out = self[chunk] = self[chunk[:-1]] + self.marks[chunk[-1]]
+            return out
         if run.isalpha():
             ids = [t.id for t in self.merges.tokenize(run if run.isascii() else "".join(map(self.bytes.__getitem__, chunk)))]
         else:
@@ -77,10 +80,9 @@ class Encoder:
         self.end = packed([END_OF_DOCUMENT])
 
     def one(self, text: str) -> bytes:
-        if _WHOLE_WAY.search(text):
+        if "<|" in text or not text.isascii() and _NOT_LATIN.search(text):
             return packed(self.tokenizer.encode(text, add_special_tokens=False).ids) + self.end
-        chunks = _MARK.sub(r" \1", text.lower()).encode().split()
-        return b"".join(map(self.known.__getitem__, chunks)) + self.end
+        return b"".join(map(self.known.__getitem__, text.lower().encode().split())) + self.end
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
