@@ -123,7 +123,7 @@ def trade(spark, rows, columns):
 def test_exchange_suites(spark):
     binance = "trade_id long, price double, quantity double, timestamp long, is_buyer_maker boolean"
     def check(rows, exchange="binance", columns=binance):  # noqa: E306
-        return integrity.require(integrity.report(*integrity.exchange_checks(trade(spark, rows, columns), exchange)))
+        return integrity.require(integrity.report(*integrity.exchange_checks(trade(spark, rows, columns), exchange, ())))
     assert check([(100, 5e4, 0.1, 1, True), (101, 5e4, 0.2, 2, False)])["rows"] == 2
     assert check([(0, 5e4, 0.1, 1, True), (1, 5e4, 0.2, 2, False)])["rows"] == 2
     for bad in ([(100, 5e4, 0.1, 1, True), (102, 5e4, 0.2, 2, False)], [(1, -1.0, 0.1, 1, True)]):

@@ -1,4 +1,4 @@
-"""The library's own code on the executors."""
+"""The library's own code on the executors, and the folder that they share."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _sent: set[str] = set()
 
@@ -23,3 +23,17 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(home.parent))
     context.addPyFile(str(target))
     _sent.add(context.applicationId)
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder named by spark.checkpoint.dir; a temporary one where that is unset, as in tests."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder."""
+    checkpoint_folder(df.sparkSession)
+    return df.checkpoint(eager=True)

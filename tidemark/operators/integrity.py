@@ -33,12 +33,13 @@ def require(summary: DataFrame) -> dict:
 
 
 def neighbours(df: DataFrame, order: str, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """previous_<column> of the row before by order, within the keys (one partition of a stream at a time)."""
+    """previous_<column> of the row before by order, within the keys: one partition of a stream at a time. Without keys all
+    rows meet in one task, so that is for a single partition's rows only."""
     w = W.partitionBy(*keys).orderBy(order) if keys else W.partitionBy(F.lit(0)).orderBy(order)
     return df.withColumns({f"previous_{c}": F.lag(c).over(w) for c in columns})
 
 
-def exchange_checks(df: DataFrame, exchange: str, keys: Sequence[str] = (), row_order: str = "row_no") -> tuple[DataFrame, dict[str, Column]]:
+def exchange_checks(df: DataFrame, exchange: str, keys: Sequence[str] = ("partition_id",), row_order: str = "row_no") -> tuple[DataFrame, dict[str, Column]]:
     """Trades with their neighbours in source order, and an exchange's checks.
 
     Binance ids follow each other; OKX ids rise, exact duplicates allowed; Bybit ids rise and sizes may be zero.

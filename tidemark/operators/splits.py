@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.cluster import checkpointed
+
 
 def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "n__") -> DataFrame:
     """Rows numbered from 0 in a total order without one task for all: a range shuffle, local numbers, and each
     partition's offset from the partitions' counts."""
     parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("i__", F.monotonically_increasing_id())
-    held = parts.withColumns({"p__": F.shiftright("i__", 33), "k__": F.col("i__").bitwiseAND((1 << 33) - 1)}).drop("i__").persist()
+    held = parts.withColumns({"p__": F.shiftright("i__", 33), "k__": F.col("i__").bitwiseAND((1 << 33) - 1)}).drop("i__")
+    held = checkpointed(held)  # later passes must see the same numbers, also after a lost executor
     counts = held.groupBy("p__").agg(F.count(F.lit(1)).alias("c__"))
     begins = counts.select("p__", F.coalesce(F.sum("c__").over(W.partitionBy(F.lit(0)).orderBy("p__").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("b__"))
     return held.join(begins, "p__").withColumn(name, F.col("b__") + F.col("k__")).drop("p__", "k__", "b__")

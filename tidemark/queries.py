@@ -478,9 +478,10 @@ def _(spark, d):
 # --- quality ----------------------------------------------------------------------------------------------------------
 
 
-@query("dq_01_exchange_report", "with n as (select *, lag(event_id) over (order by event_id) as p from events where event_id % 11 <> 3) select count(*) as rows, count(*) filter (p is not null and event_id <> p + 1) as id_sequence, 0::bigint as id_not_negative, count(*) filter (value <= 0) as price_positive, count(*) filter (cast(json_extract_string(props, '$.k') as double) <= 0) as size_positive, 0::bigint as timestamp_positive, 0::bigint as maker_flag from n")
+@query("dq_01_exchange_report", "with n as (select *, lag(event_id) over (partition by cast(ts as date) order by event_id) as p from events where event_id % 11 <> 3) select count(*) as rows, count(*) filter (p is not null and event_id <> p + 1) as id_sequence, 0::bigint as id_not_negative, count(*) filter (value <= 0) as price_positive, count(*) filter (cast(json_extract_string(props, '$.k') as double) <= 0) as size_positive, 0::bigint as timestamp_positive, 0::bigint as maker_flag from n")
 def _(spark, d):
-    df, checks = integrity.exchange_checks(trades(spark, d).where("trade_id % 11 <> 3"), "binance", row_order="trade_id")
+    daily_trades = trades(spark, d).where("trade_id % 11 <> 3").withColumn("partition_id", F.to_date("datetime"))
+    df, checks = integrity.exchange_checks(daily_trades, "binance", row_order="trade_id")
     return integrity.report(df, checks)
 
 
