@@ -211,3 +211,36 @@ def test_service(tables, tmp_path):
     gate = Admission(1, 0)
     with gate.admitted(), pytest.raises(Busy), gate.admitted():
         pass
+
+
+def test_http(tables, tmp_path):
+    from tidemark.http import HISTORICAL, Application
+
+    app = Application(tables, str(tmp_path))
+    assert len(HISTORICAL) == 15
+
+    def call(method, path, payload=None, raw=None):
+        body, got = raw if raw is not None else json.dumps(payload or {}).encode(), {}
+        out = app({"REQUEST_METHOD": method, "PATH_INFO": path, "CONTENT_LENGTH": str(len(body)), "wsgi.input": io.BytesIO(body)}, lambda status, headers: got.update(status=int(status[:3])))
+        return got["status"], json.loads(b"".join(out))
+
+    assert call("GET", "/health") == (200, {"status": "ok"})
+    code, out = call("POST", "/v1/historical/binance/spot/trades", {"n_latest_rows": 2})
+    assert code == 200 and out["row_count"] == 2 and out["warnings"] and out["rows"][0]["datetime"].endswith("Z")
+    assert call("POST", "/v1/historical/etf/daily_metrics", {"fields": ["metric_name"]})[1]["rows"] == [{"metric_name": "btc_units"}]
+    assert call("POST", "/v1/raw/query", {"sources": ["binance_spot_trades"], "n_rows": 1})[0] == 200
+    for path, payload, want in (
+        ("/v1/historical/binance/spot/trades", {"kline_size": 2}, 422), ("/v1/historical/binance/spot/trades", {"n_latest_rows": 1, "strict": True}, 409),
+        ("/v1/historical/binance/spot/trades", {"start_date": "2030-01-01", "end_date": "2030-01-02"}, 404), ("/v1/raw/query", {"sources": ["nope"]}, 409), ("/v1/other", {}, 404),
+    ):
+        assert call("POST", path, payload)[0] == want, (path, payload)
+    assert call("POST", "/v1/raw/query", raw=b"[1]")[0] == 422
+    code, job = call("POST", "/v1/raw/export", {"sources": ["binance_spot_trades"], "n_rows": 2, "format": "csv"})
+    app.jobs[job["export_id"]]["thread"].join(60)
+    code, status = call("GET", f"/v1/raw/export/{job['export_id']}")
+    assert (code, status["status"], status["artifact"]["row_count"]) == (200, "succeeded", 2)
+    assert call("GET", "/v1/raw/export/none")[0] == 404
+    assert call("POST", "/v1/historical/binance/spot/trades", {"n_latest_rows": 2})[0] == 200
+    denied = Application(tables, str(tmp_path), {"sources": [{"source": "x", "datasets": ["binance_spot_trades"], "rights_state": "Ingest Only"}]})
+    app = denied
+    assert call("POST", "/v1/raw/query", {"sources": ["binance_spot_trades"]})[0] == 403
