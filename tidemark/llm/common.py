@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterable, Sequence
 
 import pyarrow as pa
@@ -11,30 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tidemark.cluster import ship
+from tidemark.cluster import checkpoint_folder, checkpointed, ship
 
 #: Rows that a Python step turns into Python objects at a time; bounds a worker's memory, not the result.
 ROWS_AT_ONCE = 256
 
+__all__ = ["checkpoint_folder", "checkpointed", "ddl", "filter_texts", "id_remainder", "map_texts", "ship", "table"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one where that is unset, as in tests."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's text, modulo; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
