@@ -215,10 +215,137 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return held.join(named, "fp").select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+# --- near copies by similarity ----------------------------------------------------------------------------------------
+
+SIMILAR_WORDS, MIN_SIMILARITY = 5, 0.8
+#: Parts that a text's shingles are dealt out to hold about so many; so many parts of a text are compared at most.
+PART_SHINGLES, PARTS = 3, 32
+#: Independent fingerprints of a text's five-word shingles, and the bits of them in which near copies may differ. At a
+#: similarity of 0.8 a bit differs with a chance of 0.15: 39 of 256 on average, and 72 lie over five deviations higher.
+WIDE, WIDE_BITS = 4, 72
+#: Ids that are sent to all tasks to pick texts out; more are joined.
+SENT_IDS = 2_000_000
+
+
+def shingle_hashes(text: str | None, size: int = SIMILAR_WORDS) -> np.ndarray:
+    """Sorted hashes of the different shingles of a whole text, lower-cased; a shorter text is one shingle."""
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(size)))) if len(words) >= size else [b" ".join(words)]
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, itertools.repeat(SEED)), np.uint64))
+
+
+def _mixed(h: np.ndarray, k: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = (h + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        return h ^ (h >> np.uint64(32))
+
+
+def part_levels(n: int) -> list[int]:
+    """Binary logarithms of how many parts n shingles are dealt to; two where a near copy with fewer shingles may have
+    half as many, so that near copies always share one."""
+    high, low = (max(0, int(np.log2(x / PART_SHINGLES))) if x > PART_SHINGLES else 0 for x in (n, MIN_SIMILARITY * n))
+    return sorted({high, low})
+
+
+def parts(h: np.ndarray) -> np.ndarray:
+    """One number for each of the first PARTS parts of the sorted shingle hashes: equal for texts whose part holds the
+    same shingles. Parts go by a hash's first bits, so an edit changes only the parts that its shingles fall into."""
+    out = []
+    for level in part_levels(len(h)):
+        own = (h >> np.uint64(64 - level)).astype(np.int64) if level else np.zeros(len(h), np.int64)
+        inside = own < PARTS
+        own, kept = own[inside], h[inside]
+        if len(own):
+            starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            with np.errstate(over="ignore"):
+                sums = np.add.reduceat(_mixed(kept, 97), starts)
+                out.append(_mixed(sums ^ (own[starts].astype(np.uint64) << np.uint64(8)), level))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """doc_id, tid (what the text is, but for case and white space), fp, wide (WIDE fingerprints) and parts of each row."""
+
+    def make():
+        def one(text):
+            h = shingle_hashes(text)
+            tid = xxhash.xxh64_intdigest(b" ".join((text or "").encode("utf-8", "replace").lower().split()), SEED)
+            wide = np.zeros(WIDE, np.uint64)
+            for k in range(WIDE if len(h) else 0):
+                bits = np.unpackbits(_mixed(h, k).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                wide[k] = np.packbits(2 * bits.sum(0, dtype=np.int64) > len(h), bitorder="little").view("<u8")[0]
+            return tid, fingerprint(text), wide.view(np.int64).tolist(), parts(h).view(np.int64).tolist()
+
+        def step(ids, texts):
+            tids, prints, wide, groups = zip(*map(one, texts)) if ids else ((), (), (), ())
+            return [ids, np.array(tids, np.uint64).view(np.int64), np.array(prints, np.uint64).view(np.int64), wide, groups]
+
+        return step
+
+    return map_texts(docs, ["doc_id", "text"], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tid long, fp long, wide array<long>, parts array<long>", make)
+
+
+def similar_links(docs: DataFrame, texts: DataFrame, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
+    """Pairs (a, b) of tids whose five-word shingles are at least min_similarity alike (Jaccard).
+
+    texts: tid, wide, parts of each different text. Texts with an equal part are compared with the least tid that has
+    it, so a part shared by many gives no more pairs than it has texts; the wide fingerprints discard pairs, and the
+    survivors' shingles are compared exactly, from their whole texts.
+    """
+    part = texts.select("tid", F.explode("parts").alias("part"))
+    least = part.groupBy("part").agg(F.min("tid").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("part", "b")
+    pairs = part.join(least, "part").where("tid <> b").select(F.col("tid").alias("a"), "b").distinct()
+    wide = texts.select("tid", "wide")
+    both = pairs.join(wide.select(F.col("tid").alias("a"), F.col("wide").alias("wa")), "a").join(wide.select(F.col("tid").alias("b"), F.col("wide").alias("wb")), "b")
+    apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    near = checkpointed(both.where(apart <= WIDE_BITS).select("a", "b"))
+    ids = checkpointed(near.select(F.col("a").alias("tid")).union(near.select(F.col("b").alias("tid"))).distinct())
+    if ids.count() <= SENT_IDS:
+        ids = F.broadcast(ids)
+
+    def make():
+        def step(tids, found):
+            return [tids, [shingle_hashes(t).view(np.int64).tolist() for t in found]]
+
+        return step
+
+    wanted = docs.join(ids, "tid", "left_semi").groupBy("tid").agg(F.min("text").alias("text"))
+    sets = map_texts(wanted, ["tid", "text"], "tid long, s array<long>", make)
+    sets = checkpointed(sets)
+    met = near.join(sets.select(F.col("tid").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("tid").alias("b"), F.col("s").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    return met.where(common >= min_similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
+
+
+def text_id(text: Column) -> Column:
+    """tid as a column: XXH64 of the lower-cased words with a blank between."""
+    words = F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x20\x09-\x0D]+", " "))
+    return F.xxhash64(words)
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id and head: the smallest doc_id of the row's group. Groups are the components over equal texts, fingerprints
+    within MAX_BITS, and five-word shingles that are MIN_SIMILARITY alike."""
+    held = checkpointed(sketches(docs.select("doc_id", "text")))
+    texts = checkpointed(held.groupBy("tid").agg(F.min("doc_id").alias("owner"), F.first("fp").alias("fp"), F.first("wide").alias("wide"), F.first("parts").alias("parts")))
+    by_print = texts.groupBy("fp").agg(F.min("tid").alias("b"))
+    same = texts.join(by_print, "fp").where("tid <> b").select(F.col("tid").alias("a"), "b")
+    linked = links(by_print.select("fp"))
+    named = lambda side: by_print.select(F.col("fp").alias(side), F.col("b").alias(f"tid_{side}"))
+    across = linked.join(named("a"), "a").join(named("b"), "b").select(F.col("tid_a").alias("a"), F.col("tid_b").alias("b"))
+    alike = similar_links(docs.select(text_id(F.col("text")).alias("tid"), "text"), texts.select("tid", "wide", "parts"))
+    member = components(same.unionByName(across).unionByName(alike)).select(F.col("node").alias("tid"), "root")
+    rooted = texts.join(member, "tid", "left").select("tid", "owner", F.coalesce("root", "tid").alias("root"))
+    heads = rooted.groupBy("root").agg(F.min("owner").alias("head"))
+    return held.select("doc_id", "tid").join(rooted.join(heads, "root").select("tid", "head"), "tid").select("doc_id", "head")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest id (of repeated ids, one row), with all its columns."""
+    """One document of each group, the one with the smallest id (of repeated ids, one row), with all its columns."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    group = near_duplicates(docs)
-    heads = group.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("kept_key__")).distinct()
-    kept = docs.withColumn("kept_key__", key).join(heads, "kept_key__", "left_semi")
+    kept_ids = groups(docs).where(F.col("doc_id").eqNullSafe(F.col("head"))).select(key.alias("kept_key__")).distinct()
+    kept = docs.withColumn("kept_key__", key).join(kept_ids, "kept_key__", "left_semi")
     return kept.dropDuplicates(["kept_key__"]).select(*docs.columns)
