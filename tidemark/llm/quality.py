@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import checkpointed, map_texts
 
-#: Labelled rows that the list is learned from, at most: those with the smallest hashes of their ids.
+#: Labelled rows that the list is learned from, about as many at most: those with the smallest hashes of their ids.
 LABELLED_ROWS = 20_000
 MIN_WORDS, REPEATED_PERCENT = 50, 50
 _SYMBOLS = b"#*$%&|<>"
@@ -173,10 +173,14 @@ def verdict(rules: list[Rule]) -> Column:
 
 def fit(measured: DataFrame, labels: DataFrame, most_rows: int = LABELLED_ROWS) -> list[Rule]:
     """Rules from statistics and (doc_id, quality) labels. Null labels and ids are skipped; of several labels of a
-    document the lowest holds. The driver gets most_rows rows of numbers at most. Fewer than two classes: no rules."""
+    document the lowest holds. Fewer than two classes: no rules. Of more than most_rows labelled documents those whose
+    ids' hashes lie in the lowest share are taken, so that about most_rows rows of numbers reach the driver."""
     marked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    joined = measured.join(marked, "doc_id").select("quality", *(F.expr(e).cast("double").alias(f) for f, e in FEATURES.items()), F.xxhash64("doc_id").alias("h"))
-    rows = joined.orderBy("h", *FEATURES, "quality").limit(most_rows).collect()
+    joined = measured.join(marked, "doc_id")
+    share = min(1.0, most_rows / max(joined.count(), 1))
+    upto = min(int(-(2**63) + 2**64 * share), 2**63 - 1)
+    rows = joined.where(F.xxhash64("doc_id") <= F.lit(upto)).select("quality", "doc_id", *(F.expr(e).cast("double").alias(f) for f, e in FEATURES.items())).collect()
+    rows.sort(key=lambda r: (str(r["doc_id"]), *(r[f] for f in FEATURES)))
     bad = np.array([r["quality"] < 1 for r in rows], bool)
     return learn({f: np.array([r[f] for r in rows], float) for f in FEATURES}, bad) if rows and bad.any() and not bad.all() else []
 
