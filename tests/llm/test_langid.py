@@ -25,3 +25,8 @@ def test_sizes_cover_the_whole_text():
     coders = langid.encoders({"aa": b"some words here " * 20, "bb": b"andere Worte " * 20})
     short, long = langid.sizes(b"some words here", coders), langid.sizes(b"some words here" + b" qzx" * 5000, coders)
     assert long[0] > short[0] and short[0] < short[1]
+
+
+def test_short_and_long_texts_are_learned_too(spark):
+    rows = [(1, "the cat", "aa"), (2, "die Katze", "bb"), (3, None, "cc"), (4, "12", "dd"), (5, "le chat noir " * 2000, "ee")]
+    assert set(langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))) == {"aa", "bb", "ee"}

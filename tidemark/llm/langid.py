@@ -8,11 +8,11 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import filter_texts, id_remainder, map_texts
+from tidemark.llm.common import checkpointed, filter_texts, id_remainder, map_texts
 
 #: Labelled texts that a language's dictionary is made of: the bound on the sample it is fitted on.
 TEXTS_PER_LANGUAGE = 96
-#: Lengths of texts that are taken for a dictionary.
+#: Lengths of texts that are taken for a dictionary first; then shorter ones, then as much of longer ones.
 TRAINING_CHARS = (200, 8_000)
 DICTIONARY_BYTES = 110_000
 #: Texts are encoded in blocks, so that the dictionary and not the text's own past decides.
@@ -33,15 +33,25 @@ def letters_only(text: str) -> bytes:
 def fit(labelled: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> dict[str, bytes]:
     """Dictionaries from (text, lang) rows: of each language, the distinct texts with the smallest hashes.
 
-    Rows whose text or lang is null are skipped. The driver gets per_language texts of bounded length a language.
+    Rows whose lang is null, or whose text is or has no letter, are skipped. The driver gets per_language texts of bounded length a language.
     """
     low, high = TRAINING_CHARS
-    fit_for = labelled.select("text", "lang").where(F.col("lang").isNotNull() & F.length("text").between(low, high))
-    hashed = fit_for.select("text", "lang", F.xxhash64("text").alias("h"))
-    ranked = hashed.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n"))
-    chosen = ranked.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= per_language).select("lang", "h", "r")
+    n = F.length("text")
+    fit_for = labelled.select("text", "lang").where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    kind = F.when(n > high, 2).when(n < low, 1).otherwise(0)
+    hashed = fit_for.select(F.substring("text", 1, high).alias("text"), "lang", kind.alias("kind"), F.xxhash64("text").alias("h"))
+    distinct = checkpointed(hashed.groupBy("lang", "kind", "h").agg(F.count(F.lit(1)).alias("n")))
+    counts = distinct.groupBy("lang", "kind").agg(F.count(F.lit(1)).alias("n")).orderBy("lang", "kind").collect()
+    low_hash, left = F.lit(False), {r["lang"]: per_language for r in counts}
+    for r in counts:  # of each language, kinds in order: hashes up to where about four times as many lie as are needed
+        if left[r["lang"]] > 0:
+            upto = min(int(-(2**63) + 2**64 * min(1.0, 4 * left[r["lang"]] / r["n"])), 2**63 - 1)
+            low_hash = low_hash | ((F.col("lang") == r["lang"]) & (F.col("kind") == r["kind"]) & (F.col("h") <= F.lit(upto)))
+            left[r["lang"]] -= r["n"]
+    candidates = distinct.where(low_hash)
+    chosen = candidates.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("kind", "h"))).where(F.col("r") <= per_language).select("lang", "h", "r")
     keys = {(r["lang"], r["h"]): r["r"] for r in chosen.collect()}
-    if not keys:  # only short or only long labelled texts: nothing to learn from
+    if not keys:
         return {}
     wanted = F.col("h").isin(sorted({h for _, h in keys}))
     rows = hashed.where(wanted).groupBy("lang", "h").agg(F.min("text").alias("text")).collect()
