@@ -28,7 +28,7 @@ HARD_GRID = 64
 #: Tokens over which one run of the dynamic programme chooses cuts; the last window moves on to the next run.
 BLOCK_TOKENS = 1 << 19
 #: Chunks of text whose ids a worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 
 #: Texts with such a character, or with what may be a special token, take the tokenizer's whole way.
 _NOT_LATIN = re.compile("[^\x00-\u024f]|\u0130")
