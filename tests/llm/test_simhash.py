@@ -129,3 +129,16 @@ def test_near_copies_are_grouped_and_others_left(spark):
         assert head[k + 2] == k + 2
         assert near or head[k + 1] == k + 1
     assert pairs > 50 and missed <= 1
+
+
+def test_short_near_copies_always_meet(spark):
+    """14-word texts (ten shingles) that differ in the first or the last word, and others of 0.8 exactly."""
+    rng, rows = random.Random(3), []
+    for k in range(150):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(14)]
+        other = [words[:13] + [f"x{k}"], [f"x{k}"] + words[1:], words[:12]][k % 3]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    texts = dict(rows)
+    head = {r["doc_id"]: r["head"] for r in simhash.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert all(alike(texts[2 * k], texts[2 * k + 1]) >= 0.8 for k in range(150))
+    assert [k for k in range(150) if head[2 * k + 1] != 2 * k] == []

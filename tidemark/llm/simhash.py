@@ -218,11 +218,11 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 # --- near copies by similarity ----------------------------------------------------------------------------------------
 
 SIMILAR_WORDS, MIN_SIMILARITY = 5, 0.8
-#: Parts that a text's shingles are dealt out to hold about so many; so many parts of a text are compared at most.
-PART_SHINGLES, PARTS = 3, 32
-#: Independent fingerprints of a text's five-word shingles, and the bits of them in which near copies may differ. At a
-#: similarity of 0.8 a bit differs with a chance of 0.15: 39 of 256 on average, and 72 lie over five deviations higher.
-WIDE, WIDE_BITS = 4, 72
+#: Cells that a text's shingles are counted in. Two texts' counts differ by no more in all than their shingles do.
+CELLS = 256
+#: One text in so many tells which shingles are common, from so many of its texts on; at most COMMON_SENT of them are
+#: sent to the tasks. They come last in the order of shingles, which changes how many candidates there are, not the links.
+SAMPLED, COMMON_FROM, COMMON_SENT = 16, 4, 500_000
 #: Ids that are sent to all tasks to pick texts out; more are joined.
 SENT_IDS = 2_000_000
 
@@ -236,72 +236,87 @@ def shingle_hashes(text: str | None, size: int = SIMILAR_WORDS) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, itertools.repeat(SEED)), np.uint64))
 
 
-def _mixed(h: np.ndarray, k: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        h = (h + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-        return h ^ (h >> np.uint64(32))
+def prefix(h: np.ndarray, common: np.ndarray, ranks: np.ndarray, min_similarity: float = MIN_SIMILARITY) -> np.ndarray:
+    """The first shingles in an order that holds for all texts (rank of commonness, then hash), so many that two texts
+    of min_similarity have one of them in common: such texts share min_similarity of either's shingles at least."""
+    if not len(h):
+        return h
+    rank = np.zeros(len(h), np.int64)
+    if len(common):
+        place = np.minimum(np.searchsorted(common, h), len(common) - 1)
+        rank = np.where(common[place] == h, ranks[place], 0)
+    return h[np.lexsort((h, rank))[: len(h) - int(np.ceil(min_similarity * len(h) - 1e-9)) + 1]]
 
 
-def part_levels(n: int) -> list[int]:
-    """Binary logarithms of how many parts n shingles are dealt to; two where a near copy with fewer shingles may have
-    half as many, so that near copies always share one."""
-    high, low = (max(0, int(np.log2(x / PART_SHINGLES))) if x > PART_SHINGLES else 0 for x in (n, MIN_SIMILARITY * n))
-    return sorted({high, low})
+def cells(h: np.ndarray) -> bytes:
+    return np.minimum(np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes()
 
 
-def parts(h: np.ndarray) -> np.ndarray:
-    """One number for each of the first PARTS parts of the sorted shingle hashes: equal for texts whose part holds the
-    same shingles. Parts go by a hash's first bits, so an edit changes only the parts that its shingles fall into."""
-    out = []
-    for level in part_levels(len(h)):
-        own = (h >> np.uint64(64 - level)).astype(np.int64) if level else np.zeros(len(h), np.int64)
-        inside = own < PARTS
-        own, kept = own[inside], h[inside]
-        if len(own):
-            starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            with np.errstate(over="ignore"):
-                sums = np.add.reduceat(_mixed(kept, 97), starts)
-                out.append(_mixed(sums ^ (own[starts].astype(np.uint64) << np.uint64(8)), level))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+def least_common(na: np.ndarray, nb: np.ndarray, min_similarity: float = MIN_SIMILARITY) -> np.ndarray:
+    """Shingles that two texts of min_similarity have in common at least."""
+    return np.ceil(np.maximum(min_similarity / (1 + min_similarity) * (na + nb), min_similarity * np.maximum(na, nb)) - 1e-9).astype(np.int64)
+
+
+def cells_near(na: np.ndarray, nb: np.ndarray, a: np.ndarray, b: np.ndarray, min_similarity: float = MIN_SIMILARITY) -> np.ndarray:
+    """Whether cell counts a and b (a row a pair) differ by no more than similar texts' shingles can."""
+    return np.abs(a.astype(np.int16) - b).sum(axis=1, dtype=np.int64) <= na + nb - 2 * least_common(na, nb, min_similarity)
+
+
+def _cell_rows(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, CELLS)
+
+
+def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles common in a sample of the texts, and their ranks from 1 on."""
+
+    def make():
+        def step(texts):
+            found = [shingle_hashes(t) for t in texts]
+            return [np.concatenate(found).view(np.int64)]
+
+        return step
+
+    sample = docs.where(F.crc32(F.coalesce("text", F.lit("")).cast("binary")) % SAMPLED == 0)
+    counted = checkpointed(map_texts(sample, ["text"], "s long", make).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON_FROM))
+    level = F.floor(F.log2("n") * 4)
+    total, least = 0, None
+    for b in counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("shingles"), F.min("n").alias("least")).orderBy(F.desc("level")).collect():
+        total += b["shingles"]
+        if total > COMMON_SENT:
+            break
+        least = b["least"]
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    rows = counted.where(F.col("n") >= least).toArrow()
+    found, n = rows["s"].to_numpy().view(np.uint64), rows["n"].to_numpy()
+    order = np.argsort(found)
+    return found[order], n[order]
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, tid (what the text is, but for case and white space), fp, wide (WIDE fingerprints) and parts of each row."""
+    """doc_id, mark, tid (what the text is, but for case and white space), fp, n (shingles), cells and prefix of each row."""
+    sent = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
 
     def make():
+        common, ranks = sent.value
+
         def one(text):
             h = shingle_hashes(text)
             tid = xxhash.xxh64_intdigest(b" ".join((text or "").encode("utf-8", "replace").lower().split()), SEED)
-            wide = np.zeros(WIDE, np.uint64)
-            for k in range(WIDE if len(h) else 0):
-                bits = np.unpackbits(_mixed(h, k).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                wide[k] = np.packbits(2 * bits.sum(0, dtype=np.int64) > len(h), bitorder="little").view("<u8")[0]
-            return tid, fingerprint(text), wide.view(np.int64).tolist(), parts(h).view(np.int64).tolist()
+            return tid, fingerprint(text), len(h), cells(h), prefix(h, common, ranks).view(np.int64).tolist()
 
-        def step(ids, texts):
-            tids, prints, wide, groups = zip(*map(one, texts)) if ids else ((), (), (), ())
-            return [ids, np.array(tids, np.uint64).view(np.int64), np.array(prints, np.uint64).view(np.int64), wide, groups]
+        def step(ids, marks, texts):
+            tids, prints, n, counts, firsts = zip(*map(one, texts))
+            return [ids, marks, np.array(tids, np.uint64).view(np.int64), np.array(prints, np.uint64).view(np.int64), n, counts, firsts]
 
         return step
 
-    return map_texts(docs, ["doc_id", "text"], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tid long, fp long, wide array<long>, parts array<long>", make)
+    return map_texts(docs, ["doc_id", "mark", "text"], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, mark long, tid long, fp long, n long, cells binary, prefix array<long>", make)
 
 
-def similar_links(docs: DataFrame, texts: DataFrame, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
-    """Pairs (a, b) of tids whose five-word shingles are at least min_similarity alike (Jaccard).
-
-    texts: tid, wide, parts of each different text. Texts with an equal part are compared with the least tid that has
-    it, so a part shared by many gives no more pairs than it has texts; the wide fingerprints discard pairs, and the
-    survivors' shingles are compared exactly, from their whole texts.
-    """
-    part = texts.select("tid", F.explode("parts").alias("part"))
-    least = part.groupBy("part").agg(F.min("tid").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("part", "b")
-    pairs = part.join(least, "part").where("tid <> b").select(F.col("tid").alias("a"), "b").distinct()
-    wide = texts.select("tid", "wide")
-    both = pairs.join(wide.select(F.col("tid").alias("a"), F.col("wide").alias("wa")), "a").join(wide.select(F.col("tid").alias("b"), F.col("wide").alias("wb")), "b")
-    apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = checkpointed(both.where(apart <= WIDE_BITS).select("a", "b"))
+def similar_of(docs: DataFrame, near: DataFrame, min_similarity: float) -> DataFrame:
+    """The pairs (a, b) of near whose whole texts' shingles are min_similarity alike. docs: tid, text."""
+    near = checkpointed(near)
     ids = checkpointed(near.select(F.col("a").alias("tid")).union(near.select(F.col("b").alias("tid"))).distinct())
     if ids.count() <= SENT_IDS:
         ids = F.broadcast(ids)
@@ -313,11 +328,41 @@ def similar_links(docs: DataFrame, texts: DataFrame, min_similarity: float = MIN
         return step
 
     wanted = docs.join(ids, "tid", "left_semi").groupBy("tid").agg(F.min("text").alias("text"))
-    sets = map_texts(wanted, ["tid", "text"], "tid long, s array<long>", make)
-    sets = checkpointed(sets)
+    sets = checkpointed(map_texts(wanted, ["tid", "text"], "tid long, s array<long>", make))
     met = near.join(sets.select(F.col("tid").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("tid").alias("b"), F.col("s").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    return met.where(common >= min_similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return checkpointed(met.where(common >= min_similarity * (F.size("x") + F.size("y") - common)).select("a", "b"))
+
+
+def similar_links(docs: DataFrame, texts: DataFrame, linked: DataFrame, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
+    """Pairs (a, b) of tids: linked, and others whose five-word shingles are at least min_similarity alike (Jaccard),
+    that connect all such pairs' components.
+
+    docs: tid, text; texts: tid, n, cells, prefix of each different text; linked: pairs known already. Texts meet in
+    buckets by the shingles of their prefixes, which similar texts always do. Each is compared with the least tid
+    of its bucket, so that many near copies become one component by as many pairs as texts. Counts of shingles in cells discard pairs that
+    cannot be similar, never others; the survivors' shingles are compared exactly, from their whole texts.
+    """
+    ship(docs.sparkSession)
+    bucketed = texts.select("tid", "n", F.posexplode("prefix").alias("pos", "key"))
+    shared = checkpointed(bucketed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("tid", "n", "pos")).alias("first")).where("m > 1"))
+    met = checkpointed(bucketed.join(shared, "key"))
+
+    most, bound = F.greatest("na", "nb"), F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    named = met.select(F.col("tid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("first.tid").alias("b"), F.col("first.n").alias("nb"), F.col("first.pos").alias("pb"))
+    may = bound >= F.greatest(most * min_similarity, (F.col("na") + F.col("nb")) * (min_similarity / (1 + min_similarity))) - 1e-9
+    pairs = named.where((F.col("a") != F.col("b")) & may).select("a", "b", "na", "nb").distinct()
+
+    def kept(frames):
+        for f in frames:
+            for at in range(0, len(f), 4096):
+                g = f.iloc[at : at + 4096]
+                yield g.loc[cells_near(g["na"].to_numpy(), g["nb"].to_numpy(), _cell_rows(g["ca"]), _cell_rows(g["cb"]), min_similarity), ["a", "b"]]
+
+    counts = texts.select("tid", "cells")
+    with_cells = pairs.join(counts.select(F.col("tid").alias("a"), F.col("cells").alias("ca")), "a").join(counts.select(F.col("tid").alias("b"), F.col("cells").alias("cb")), "b")
+    stars = linked.unionByName(similar_of(docs, with_cells.mapInPandas(kept, "a long, b long"), min_similarity))
+    return stars
 
 
 def text_id(text: Column) -> Column:
@@ -326,21 +371,29 @@ def text_id(text: Column) -> Column:
     return F.xxhash64(words)
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id and head: the smallest doc_id of the row's group. Groups are the components over equal texts, fingerprints
-    within MAX_BITS, and five-word shingles that are MIN_SIMILARITY alike."""
-    held = checkpointed(sketches(docs.select("doc_id", "text")))
-    texts = checkpointed(held.groupBy("tid").agg(F.min("doc_id").alias("owner"), F.first("fp").alias("fp"), F.first("wide").alias("wide"), F.first("parts").alias("parts")))
+def members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id and tid of each row; and of each different text: tid, root (equal for the texts of a group), and owner,
+    the row with the least id (null ids last): whether it is null, the id, and mark, a hash of the row's exact text."""
+    held = checkpointed(sketches(docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))))
+    owner = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("owner")
+    texts = checkpointed(held.groupBy("tid").agg(owner, *(F.first(c).alias(c) for c in ("fp", "n", "cells", "prefix"))))
     by_print = texts.groupBy("fp").agg(F.min("tid").alias("b"))
     same = texts.join(by_print, "fp").where("tid <> b").select(F.col("tid").alias("a"), "b")
     linked = links(by_print.select("fp"))
     named = lambda side: by_print.select(F.col("fp").alias(side), F.col("b").alias(f"tid_{side}"))
     across = linked.join(named("a"), "a").join(named("b"), "b").select(F.col("tid_a").alias("a"), F.col("tid_b").alias("b"))
-    alike = similar_links(docs.select(text_id(F.col("text")).alias("tid"), "text"), texts.select("tid", "wide", "parts"))
-    member = components(same.unionByName(across).unionByName(alike)).select(F.col("node").alias("tid"), "root")
-    rooted = texts.join(member, "tid", "left").select("tid", "owner", F.coalesce("root", "tid").alias("root"))
-    heads = rooted.groupBy("root").agg(F.min("owner").alias("head"))
-    return held.select("doc_id", "tid").join(rooted.join(heads, "root").select("tid", "head"), "tid").select("doc_id", "head")
+    known = checkpointed(same.unionByName(across))
+    alike = similar_links(docs.select(text_id(F.col("text")).alias("tid"), "text"), texts.select("tid", "n", "cells", "prefix"), known)
+    member = components(alike).select(F.col("node").alias("tid"), "root")
+    return held.select("doc_id", "tid"), texts.join(member, "tid", "left").select("tid", "owner", F.coalesce("root", "tid").alias("root"))
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id and head: the smallest doc_id of the row's group. Groups are the components over equal texts, fingerprints
+    within MAX_BITS, and five-word shingles that are MIN_SIMILARITY alike."""
+    held, rooted = members(docs)
+    heads = rooted.groupBy("root").agg(F.min("owner").alias("owner")).select("root", F.col("owner.doc_id").alias("head"))
+    return held.join(rooted.join(heads, "root").select("tid", "head"), "tid").select("doc_id", "head")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
