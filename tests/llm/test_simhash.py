@@ -142,3 +142,28 @@ def test_short_near_copies_always_meet(spark):
     head = {r["doc_id"]: r["head"] for r in simhash.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
     assert all(alike(texts[2 * k], texts[2 * k + 1]) >= 0.8 for k in range(150))
     assert [k for k in range(150) if head[2 * k + 1] != 2 * k] == []
+
+
+def test_near_copies_among_templates_meet(spark, monkeypatch):
+    """Texts that share 35 of 40 shingles each are 0.78 alike; twenty pairs among them share 36."""
+    monkeypatch.setattr(simhash, "BLOCK", 32)
+    template, texts = [f"t{k}" for k in range(39)], {}
+    for k in range(100):
+        texts[k] = " ".join([*template, *(f"o{k}_{i}" for i in range(5))])
+        if k < 20:
+            texts[1000 + k] = " ".join([*template, f"o{k}_0", *(f"p{k}_{i}" for i in range(4))])
+    assert alike(texts[3], texts[4]) < 0.8 <= alike(texts[7], texts[1007])
+    head = {r["doc_id"]: r["head"] for r in simhash.groups(spark.createDataFrame(sorted(texts.items()), "doc_id long, text string").repartition(3)).collect()}
+    assert [k for k in range(20) if head[k] != head[1000 + k]] == []
+    # by brute force: equal heads where links of either kind lead from text to text
+    ids, prints = sorted(texts), {k: simhash.fingerprint(t) for k, t in texts.items()}
+    want = {k: k for k in ids}
+    for _ in ids:
+        before = dict(want)
+        for a in ids:
+            for b in ids:
+                if want[a] < want[b] and ((prints[a] ^ prints[b]).bit_count() <= 2 or alike(texts[a], texts[b]) >= 0.8):
+                    want[b] = want[a]
+        if want == before:
+            break
+    assert head == want

@@ -223,8 +223,12 @@ CELLS = 256
 #: One text in so many tells which shingles are common, from so many of its texts on; at most COMMON_SENT of them are
 #: sent to the tasks. They come last in the order of shingles, which changes how many candidates there are, not the links.
 SAMPLED, COMMON_FROM, COMMON_SENT = 16, 4, 500_000
+#: Texts of one bucket that are compared in one go.
+BLOCK = 512
 #: Ids that are sent to all tasks to pick texts out; more are joined.
 SENT_IDS = 2_000_000
+#: Pairs that a task looks at together.
+PAIRS_AT_ONCE = 1 << 18
 
 
 def shingle_hashes(text: str | None, size: int = SIMILAR_WORDS) -> np.ndarray:
@@ -252,6 +256,11 @@ def cells(h: np.ndarray) -> bytes:
     return np.minimum(np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes()
 
 
+def may_be_similar(na: np.ndarray, nb: np.ndarray, pa: np.ndarray, pb: np.ndarray, min_similarity: float = MIN_SIMILARITY) -> np.ndarray:
+    """Whether texts of na and nb shingles whose first common one is pa-th and pb-th can be similar."""
+    return np.minimum(na - pa, nb - pb) >= least_common(na, nb, min_similarity)
+
+
 def least_common(na: np.ndarray, nb: np.ndarray, min_similarity: float = MIN_SIMILARITY) -> np.ndarray:
     """Shingles that two texts of min_similarity have in common at least."""
     return np.ceil(np.maximum(min_similarity / (1 + min_similarity) * (na + nb), min_similarity * np.maximum(na, nb)) - 1e-9).astype(np.int64)
@@ -339,8 +348,9 @@ def similar_links(docs: DataFrame, texts: DataFrame, linked: DataFrame, min_simi
     that connect all such pairs' components.
 
     docs: tid, text; texts: tid, n, cells, prefix of each different text; linked: pairs known already. Texts meet in
-    buckets by the shingles of their prefixes, which similar texts always do. Each is compared with the least tid
-    of its bucket, so that many near copies become one component by as many pairs as texts. Counts of shingles in cells discard pairs that
+    buckets by the shingles of their prefixes, which similar texts always do. First each is compared with the least tid
+    of its bucket, so that many near copies become one component by as many pairs as texts; then, in buckets that still
+    hold several components, all pairs between components, in blocks. Counts of shingles in cells discard pairs that
     cannot be similar, never others; the survivors' shingles are compared exactly, from their whole texts.
     """
     ship(docs.sparkSession)
@@ -362,7 +372,61 @@ def similar_links(docs: DataFrame, texts: DataFrame, linked: DataFrame, min_simi
     counts = texts.select("tid", "cells")
     with_cells = pairs.join(counts.select(F.col("tid").alias("a"), F.col("cells").alias("ca")), "a").join(counts.select(F.col("tid").alias("b"), F.col("cells").alias("cb")), "b")
     stars = linked.unionByName(similar_of(docs, with_cells.mapInPandas(kept, "a long, b long"), min_similarity))
-    return stars
+    root = components(stars).select(F.col("node").alias("tid"), "root")
+
+    rooted = checkpointed(met.join(root, "tid", "left").select("key", "m", "tid", "n", "pos", F.coalesce("root", "tid").alias("root")))
+    open_keys = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    members = rooted.join(open_keys, "key", "left_semi").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = members.select("key", "tid", "n", "pos", "root", "own", other).select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "tid", "n", "pos", "root").join(counts, "tid")
+
+    def compared(frame):
+        key, own = frame[["key", "lo", "hi"]].to_numpy(), frame["own"].to_numpy()
+        tid, n, pos, root = (frame[c].to_numpy() for c in ("tid", "n", "pos", "root"))
+        counted = _cell_rows(frame["cells"])
+        starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
+        lefts, rights, held = [], [], 0
+
+        def looked_at():
+            left, right = np.concatenate(lefts), np.concatenate(rights)
+            able = (root[left] != root[right]) & may_be_similar(n[left], n[right], pos[left], pos[right], min_similarity)
+            left, right = left[able], right[able]
+            near = [np.zeros(0, bool)]
+            for at in range(0, len(left), 4096):
+                x, y = left[at : at + 4096], right[at : at + 4096]
+                near.append(cells_near(n[x], n[y], counted[x], counted[y], min_similarity))
+            near = np.concatenate(near)
+            a, b = tid[left[near]], tid[right[near]]
+            return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+        for lo, hi in zip(starts, [*starts[1:], len(frame)]):
+            if key[lo, 1] == key[lo, 2]:
+                left, right = np.triu_indices(hi - lo, 1)
+            else:
+                at = own[lo:hi] == key[lo, 1]
+                left, right = (x.reshape(-1) for x in np.meshgrid(np.flatnonzero(at), np.flatnonzero(~at)))
+            lefts.append(left + lo), rights.append(right + lo)
+            held += len(left)
+            if held > PAIRS_AT_ONCE:
+                yield looked_at()
+                lefts, rights, held = [], [], 0
+        if lefts:
+            yield looked_at()
+
+    def whole_blocks(frames):
+        rest = None
+        for frame in (f for f in frames if len(f)):
+            rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            last = (rest["key"] == rest["key"].iloc[-1]) & (rest["lo"] == rest["lo"].iloc[-1]) & (rest["hi"] == rest["hi"].iloc[-1])
+            if len(done := rest[~last]):
+                yield from compared(done.reset_index(drop=True))
+            rest = rest[last].reset_index(drop=True)
+        if rest is not None and len(rest):
+            yield from compared(rest)
+
+    found = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInPandas(whole_blocks, "a long, b long").distinct()
+    return stars.unionByName(similar_of(docs, found, min_similarity))
 
 
 def text_id(text: Column) -> Column:
