@@ -461,8 +461,9 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one with the smallest id (of repeated ids, one row), with all its columns."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    kept_ids = groups(docs).where(F.col("doc_id").eqNullSafe(F.col("head"))).select(key.alias("kept_key__")).distinct()
-    kept = docs.withColumn("kept_key__", key).join(kept_ids, "kept_key__", "left_semi")
-    return kept.dropDuplicates(["kept_key__"]).select(*docs.columns)
+    """One row of each group, the one with the smallest id, with all its columns. Rows are told apart by id and exact
+    text, so rows of different groups that repeat an id, or have none, stay."""
+    kept = members(docs)[1].groupBy("root").agg(F.min("owner").alias("owner")).select(F.col("owner.doc_id").alias("kept_id__"), F.col("owner.mark").alias("kept_mark__"))
+    marked = docs.withColumn("mark__", F.xxhash64("text"))
+    found = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id__")) & (F.col("mark__") == F.col("kept_mark__")), "left_semi")
+    return found.dropDuplicates(["doc_id", "mark__"]).select(*docs.columns)
