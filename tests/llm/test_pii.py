@@ -55,3 +55,23 @@ def test_detect_and_mask_handle_odd_rows(spark, odd):
     one = spark.createDataFrame([(1, "to a@b.com or c@d.org", 21)], "doc_id int, text string, n_chars long")
     row = pii.mask(one).first()
     assert row["text"] == "to [EMAIL] or [EMAIL]" and row["n_chars"] == len(row["text"])
+
+
+def test_windows_hold_every_trained_span():
+    for before in (0, 7, 33, 150):
+        for left in range(60):
+            for right in range(1, 66 - left, 7):
+                text = "w " * (before // 2) + "a" * left + "(at)" + "b" * right + " and so on" * 20
+                a = before // 2 * 2
+                b = a + left + 4 + right
+                assert any((at < a or at == 0) and b < at + pii.WINDOW for at in pii.windows(text))
+
+
+def test_windows_around_triggers_give_what_all_windows_give(monkeypatch):
+    names = ["maximilian.alexander.hohenstein", "bartholomew.montgomery.fitzgerald"]
+    texts = ["see the notes and write to them soon " * k + f"{n} (at) {d} today and then go on with the rest of it" for k in range(4) for n in names for d in ("example.org", "mail.example-company.com")]
+    texts += ["call 555 010 9999 or 10.0.0.1 " * 6, "no trigger here " * 20, ""]
+    tagger = pii.trained()
+    around = pii.model_spans(texts, tagger)
+    monkeypatch.setattr(pii, "windows", lambda text: list(range(0, max(len(text), 1), pii.STRIDE)))
+    assert pii.model_spans(texts, tagger) == around

@@ -154,9 +154,9 @@ CLASSES = 98
 _TABLE = np.full(0x110000, 97, np.uint8)
 _TABLE[32:127] = np.arange(95)
 _TABLE[10] = 0
-WINDOW, STRIDE = 80, 40
-#: Text around a character that a span must contain which the model looks at.
-REACH = 28
+#: Windows start every STRIDE characters, so each span of up to WINDOW - STRIDE - 1 characters (the trained ones have at most
+#: about 68) lies within one, clear of its edges.
+WINDOW, STRIDE = 80, 10
 #: Posterior of each of a span's characters, on average, from which it is taken.
 MIN_POSTERIOR = 0.9
 #: Every span has one of these characters; windows without one are not decoded, as their spans would not be kept.
@@ -326,17 +326,14 @@ def trained(n: int = TRAINING_WINDOWS, epochs: int = 5) -> Tagger:
 
 
 def windows(text: str) -> list[int]:
-    """Starts of overlapping windows of WINDOW characters that cover every trigger with REACH characters around it."""
+    """Starts of those windows that hold a trigger, of all that start every STRIDE characters from the text's start on."""
     out: list[int] = []
-    upto = -1  # covered so far
+    upto = -1  # the last start
     for m in TRIGGER.finditer(text):
-        if m.end() + REACH <= upto or m.end() == upto == len(text):
-            continue
-        at = max(0, m.start() - REACH)
-        if out and at < out[-1] + STRIDE:
-            at = out[-1] + STRIDE
-        out.append(at)
-        upto = at + WINDOW
+        first = max(0, (m.end() - WINDOW + STRIDE - 1) // STRIDE * STRIDE)
+        for at in range(max(first, upto + STRIDE if out else 0), m.start() + 1, STRIDE):
+            out.append(at)
+            upto = at
     return out
 
 
