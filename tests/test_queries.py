@@ -43,3 +43,9 @@ def test_entry_works_without_the_llm_folder(spark, monkeypatch):
     monkeypatch.setattr(entry, "llm", None)
     assert set(entry.queries()) == set(queries.QUERIES) and set(entry.oracle_sql()) == set(queries.SQL)
     assert entry.entry(spark).count() > 0
+
+
+def test_grid_join_has_every_metric(spark):
+    kinds = spark.read.parquet(f"{SMALL}/events.parquet").select("event_type").distinct().count()
+    columns = queries.QUERIES["ext_grid_join"](spark, SMALL).columns
+    assert all(any(c.startswith(f"m{k}") for c in columns) for k in range(kinds)), columns
