@@ -2,72 +2,93 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The template's fixed parts.
 OPEN, AFTER_ROLE, CLOSE = "<|im_start|>", "\n", "<|im_end|>\n"
 
 
+def _clean(turns: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text, h1, h2 and nothing else. A null role or text is the empty one before it is hashed, so
+    that turns that are rendered alike are equal; two seeds make 128 bits."""
+    text = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    return text.select("*", F.xxhash64(F.lit(1), "role", "text").alias("h1"), F.xxhash64(F.lit(2), "role", "text").alias("h2"))
+
+
 def prefixes(turns: DataFrame) -> DataFrame:
     """conv_id, pos, p1, p2, is_last: rolling hashes of the first pos turns, one row for each turn.
 
-    A turn's hashes are of its role and text; each is hashed again with its position, and the running exclusive or of
-    those is the prefix's (two seeds, 128 bits). Only hashes are dealt out by conversation, no text.
+    Each turn's hashes are hashed again with its position, and the running exclusive or of those is the prefix's. Only
+    hashes are dealt out by conversation, no text. Rows without a conv_id are conversations of one turn each, so they
+    need no dealing out.
     """
-    own = turns.select("conv_id", "turn", F.xxhash64(F.lit(1), "role", F.lit("|"), "text").alias("h1"), F.xxhash64(F.lit(2), "role", F.lit("|"), "text").alias("h2"))
+    own = _clean(turns).select("conv_id", "turn", "h1", "h2")
     order = Window.partitionBy("conv_id").orderBy("turn", "h1", "h2")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = own.select("*", F.row_number().over(order).alias("pos"), F.lead(F.lit(1)).over(order).isNull().alias("is_last"))
-    return placed.select(
-        "conv_id", "pos", F.bit_xor(F.xxhash64("pos", "h1")).over(running).alias("p1"), F.bit_xor(F.xxhash64("pos", "h2")).over(running).alias("p2"), "is_last"
-    )
+    placed = own.where("conv_id is not null").select("*", F.row_number().over(order).alias("pos"), F.lead(F.lit(1)).over(order).isNull().alias("is_last"))
+    mixed = lambda h: F.xxhash64("pos", h)
+    many = placed.select("conv_id", "pos", F.bit_xor(mixed("h1")).over(running).alias("p1"), F.bit_xor(mixed("h2")).over(running).alias("p2"), "is_last")
+    alone = own.where("conv_id is null").withColumn("pos", F.lit(1))
+    return many.unionByName(alone.select("conv_id", "pos", mixed("h1").alias("p1"), mixed("h2").alias("p2"), F.lit(True).alias("is_last")))
 
 
 def maximal(turns: DataFrame) -> DataFrame:
-    """conv_id, n_turns, n_copies of the conversations that no longer one begins with.
+    """conv_id, n_turns, n_copies and the hashes p1, p2 of the conversations that no longer one begins with.
 
-    Of equal conversations the one with the smallest id stays and n_copies counts them.
+    Of equal conversations the one with the smallest id stays (a null id only where there is no other) and n_copies counts them.
     """
     rolled = prefixes(turns)
     whole = rolled.where("is_last").groupBy("pos", "p1", "p2").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_copies"))
     inner = rolled.where("not is_last").select("pos", "p1", "p2").distinct()
-    return whole.join(inner, ["pos", "p1", "p2"], "left_anti").select("conv_id", F.col("pos").cast("long").alias("n_turns"), "n_copies")
+    return whole.join(inner, ["pos", "p1", "p2"], "left_anti").select("conv_id", F.col("pos").cast("long").alias("n_turns"), "n_copies", "p1", "p2")
+
+
+def escaped(c: Column) -> Column:
+    """Text in which no mark of the template can be read: a backslash parts `<` from `|im_`, one more where some stand
+    there already, so that the text can be got back."""
+    return F.regexp_replace(c, r"<(\\*)\|im_", r"<\\$1|im_")
+
+
+def shown() -> Column:
+    return F.concat(F.lit(OPEN), escaped(F.col("role")), F.lit(AFTER_ROLE), escaped(F.col("text")), F.lit(CLOSE))
 
 
 def render(turns: DataFrame) -> DataFrame:
     """conv_id, n_turns, n_copies, rendered of each maximal conversation.
 
-    Turns stand in the order of their numbers (ties by hash); a null role or text is rendered as empty. Rows with a null
-    conv_id form one conversation. Repeated rows are turns of their own. An empty table gives no rows.
+    Turns stand in the order of their numbers (ties by hash, null numbers first); a null role or text is the empty one;
+    a row without a conv_id is a conversation of one turn, and equal ones collapse like any others. Repeated rows are
+    turns of their own. Marks of the template within roles and texts are escaped. An empty table gives no rows; other
+    columns are not looked at.
     """
-    kept = maximal(turns)
-    parts = turns.select(
-        "conv_id",
-        F.struct(
-            "turn", F.xxhash64(F.lit(1), "role", F.lit("|"), "text").alias("h1"), F.xxhash64(F.lit(2), "role", F.lit("|"), "text").alias("h2"),
-            F.concat(F.lit(OPEN), F.coalesce("role", F.lit("")), F.lit(AFTER_ROLE), F.coalesce("text", F.lit("")), F.lit(CLOSE)).alias("shown"),
-        ).alias("t"),
-    )
-    own = parts.join(kept.withColumnRenamed("conv_id", "kept_id"), F.col("conv_id").eqNullSafe(F.col("kept_id")))
-    return own.groupBy("conv_id").agg(
+    kept, clean = maximal(turns), _clean(turns)
+    parts = clean.where("conv_id is not null").select("conv_id", F.struct("turn", "h1", "h2", shown().alias("shown")).alias("t"))
+    own = parts.join(kept.select("conv_id", "n_turns", "n_copies"), "conv_id")
+    many = own.groupBy("conv_id").agg(
         F.first("n_turns").alias("n_turns"), F.first("n_copies").alias("n_copies"), F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["shown"]), "").alias("rendered")
     )
+    single = clean.where("conv_id is null").groupBy(F.xxhash64(F.lit(1), "h1").alias("p1"), F.xxhash64(F.lit(1), "h2").alias("p2")).agg(F.min(shown()).alias("rendered"))
+    return many.unionByName(kept.where("conv_id is null").join(single, ["p1", "p2"]).select("conv_id", "n_turns", "n_copies", "rendered"))
 
 
-ORACLE_SQL = """
-with pieces as (
+ORACLE_SQL = r"""
+with numbered as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
-         md5(coalesce(role, '') || '|' || coalesce(text, '')) as piece from conversations
+         case when conv_id is null then 'n' || row_number() over () else 'c' || conv_id end as k from conversations
+), pieces as (
+  select *, md5(role || '|' || text) || md5(text) as piece from numbered
 ), rolled as (
-  select conv_id, turn, string_agg(piece, '') over (partition by conv_id order by turn) as prefix,
-         lead(turn) over (partition by conv_id order by turn) is null as is_last, row_number() over (partition by conv_id order by turn) as pos from pieces
+  select k, conv_id, string_agg(piece, '') over (partition by k order by turn nulls first, piece rows unbounded preceding) as prefix,
+         row_number() over (partition by k order by turn nulls first, piece) as pos, count(*) over (partition by k) as all_turns from pieces
 ), whole as (
-  select prefix, min(conv_id) as conv_id, count(*) as n_copies, max(pos) as n_turns from rolled where is_last group by prefix
+  select prefix, min(conv_id) as conv_id, arg_min(k, coalesce(conv_id, 9223372036854775807)) as k, count(*) as n_copies, max(pos) as n_turns
+  from rolled where pos = all_turns group by prefix
 ), kept as (
-  select * from whole where prefix not in (select prefix from rolled where not is_last)
+  select * from whole where prefix not in (select prefix from rolled where pos < all_turns)
 )
-select k.conv_id, k.n_turns, k.n_copies,
-       string_agg('<|im_start|>' || p.role || chr(10) || p.text || '<|im_end|>' || chr(10), '' order by p.turn) as rendered
-from kept k join pieces p on p.conv_id = k.conv_id group by k.conv_id, k.n_turns, k.n_copies
+select w.conv_id, w.n_turns, w.n_copies,
+       string_agg('<|im_start|>' || regexp_replace(p.role, '<(\\*)\|im_', '<\\\1|im_', 'g') || chr(10)
+                  || regexp_replace(p.text, '<(\\*)\|im_', '<\\\1|im_', 'g') || '<|im_end|>' || chr(10), '' order by p.turn nulls first, p.piece) as rendered
+from kept w join pieces p on p.k = w.k group by w.k, w.conv_id, w.n_turns, w.n_copies
 """
