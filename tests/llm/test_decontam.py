@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 
@@ -37,6 +38,24 @@ def test_tiling_matches_brute_force():
         assert (found[0][1] if found else 0) == brute_tiles(item, doc, 3)
 
 
+def test_repetitive_texts_match_brute_force_and_long_ones_take_seconds():
+    rng = random.Random(5)
+    for _ in range(120):
+        piece = [rng.randint(0, 2) for _ in range(rng.randint(1, 4))]
+        item, doc = (piece * 9)[: rng.randint(3, 16)], (piece * 20)[: rng.randint(0, 34)]
+        for x in (item, doc):
+            for _ in range(rng.randint(0, 2)):
+                if x:
+                    x[rng.randrange(len(x))] = rng.randint(0, 3)
+        index = decontam.Index([("x", [str(t) for t in item])], 3)
+        found = index.compare([str(t) for t in doc])
+        assert (found[0][1] if found else 0) == brute_tiles(item, doc, 3)
+    for item, doc, covered in ((["a"] * 500, ["a"] * 200_000, 500), (["a", "b"] * 250, ["b", "a"] * 100_000, 500), (["a"] * 3_000, (["a"] * 40 + ["z"]) * 5_000, 3_000), (["a"] * 3_000, [x for n in range(5, 400) for x in ["a"] * (n % 77) + ["z"]], 3_000)):
+        began = time.process_time()
+        assert decontam.Index([("x", item), ("y", ["q"] * 9)], 5).compare(doc) == [("x", covered, len(item))]
+        assert time.process_time() - began < 8
+
+
 def test_reordered_passages_are_caught_and_clean_ones_left(spark):
     rng = random.Random(7)
     words = [f"w{i}" for i in range(40)]

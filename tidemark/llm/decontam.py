@@ -1,4 +1,7 @@
-"""Benchmark decontamination by greedy string tiling with running Karp-Rabin matches."""
+"""Benchmark decontamination by greedy string tiling with running Karp-Rabin matches.
+
+The items' seeds go to the tasks sorted, in blocks of a checked size, and each document's seeds are joined with them there.
+"""
 
 from __future__ import annotations
 
@@ -20,87 +23,148 @@ MIN_COVERAGE = 0.5
 BLOCK_BYTES = 8 << 20
 
 _TOKEN = re.compile(r"\w+")
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x9E3779B97F4A7C15
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall((text or "").lower())
 
 
-def rolling(codes: np.ndarray, length: int) -> np.ndarray:
-    """Karp-Rabin hashes, modulo 2**64, of each run of `length` codes."""
-    n = len(codes) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    values, out = (codes + 2).astype(np.uint64), np.zeros(n, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(length):
-            out = out * _BASE + values[k : k + n] * np.uint64(0xBF58476D1CE4E5B9)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    np.multiply.accumulate(np.full(max(n - 1, 0), base % 2**64, np.uint64), out=out[1:])
     return out
 
 
-def tile(item: np.ndarray, doc: np.ndarray, starts: dict[int, list[int]], min_match: int = MIN_MATCH) -> int:
-    """Tokens of item covered by greedy tiles: the longest common runs of unmarked tokens are marked first, again and
-    again until none of min_match tokens is left. starts: for each item position, where the document has its seed."""
-    free_item, free_doc, covered = np.ones(len(item), bool), np.ones(len(doc), bool), 0
-    pairs = [(i, j) for i, js in sorted(starts.items()) for j in js]
-    if not pairs:
-        return 0
-    a, b = (np.array(x) for x in zip(*pairs))
-    while len(a):
-        length = np.zeros(len(a), np.int64)
-        going = np.arange(len(a))
-        while len(going):
-            i, j = a[going] + length[going], b[going] + length[going]
-            ok = (i < len(item)) & (j < len(doc))
-            going, i, j = going[ok], i[ok], j[ok]
-            same = (item[i] == doc[j]) & free_item[i] & free_doc[j] & (item[i] >= 0)
-            going = going[same]
-            length[going] += 1
-        keep = length >= min_match
-        a, b, length = a[keep], b[keep], length[keep]
-        if not len(a):
-            break
-        longest = int(length.max())
-        for k in np.flatnonzero(length == longest):  # in order of the item, then of the document
-            i, j = int(a[k]), int(b[k])
-            if free_item[i : i + longest].all() and free_doc[j : j + longest].all():
-                free_item[i : i + longest] = False
-                free_doc[j : j + longest] = False
-                covered += longest
+class Rolling:
+    """Karp-Rabin hashes, modulo 2**64, of the runs of any length of one sequence of codes."""
+
+    def __init__(self, codes: np.ndarray):
+        with np.errstate(over="ignore"):
+            mixed = (codes + 2).astype(np.uint64) * _MIX
+            mixed ^= mixed >> np.uint64(29)
+            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * _powers(_BASE, len(codes)), dtype=np.uint64)])
+        self.back = _powers(pow(_BASE, -1, 2**64), len(codes))
+
+    def __call__(self, length: int) -> np.ndarray:
+        n = len(self.back) - length + 1
+        with np.errstate(over="ignore"):
+            return (self.sums[length:] - self.sums[:n]) * self.back[:n] if n > 0 else np.zeros(0, np.uint64)
+
+
+def rolling(codes: np.ndarray, length: int) -> np.ndarray:
+    """The hash of each run of `length` codes."""
+    return Rolling(codes)(length)
+
+
+def _open_runs(free: np.ndarray, length: int) -> np.ndarray:
+    """Starts of the runs of `length` that are free throughout."""
+    taken = np.concatenate([[0], np.cumsum(~free)])
+    return np.flatnonzero(taken[length:] == taken[:-length]) if length < len(taken) else np.zeros(0, np.int64)
+
+
+def tile(item: np.ndarray, doc: np.ndarray, min_match: int = MIN_MATCH) -> int:
+    """Tokens of item covered by greedy tiles: the longest common runs of unmarked tokens are marked first, in order of
+    the item, then of the document, again and again until none of min_match tokens is left.
+
+    The longest length is found by halving, with a Karp-Rabin comparison of all open runs at each step. After all of a
+    length are marked only shorter ones are left, so there are about as many rounds as the root of the item's length.
+    """
+    free_item, free_doc, covered, most = np.ones(len(item), bool), doc >= 0, 0, min(len(item), len(doc))
+    hashes = Rolling(item), Rolling(doc)
+
+    def common(length: int):
+        """Starts in the item and in the document whose runs' hashes lie in both, with those."""
+        i, j = _open_runs(free_item, length), _open_runs(free_doc, length)
+        hi, hj = hashes[0](length)[i], hashes[1](length)[j]
+        known = np.unique(hi)
+        if not len(known) or not len(j):
+            return i[:0], hi[:0], j[:0], hj[:0]
+        met = known[np.minimum(np.searchsorted(known, hj), len(known) - 1)] == hj
+        own = np.isin(hi, hj[met])
+        return i[own], hi[own], j[met], hj[met]
+
+    while most >= min_match and len(common(min_match)[0]):
+        low, high = min_match, most
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if len(common(middle)[0]) else (low, middle - 1)
+        i, hi, j, hj = common(low)
+        order = np.argsort(hj, kind="stable")
+        classes, first = np.unique(hj[order], return_index=True)
+        at = {int(h): k for k, h in enumerate(classes)}
+        nexts, ends = first.tolist(), [*first[1:].tolist(), len(order)]
+        j, upto = j[order].tolist(), -1
+        for a, h in zip(i.tolist(), hi.tolist()):
+            if a < upto:
+                continue
+            k = at[h]
+            while nexts[k] < ends[k]:  # what is not free now never will be
+                b = j[nexts[k]]
+                if not free_doc[b : b + low].all():
+                    nexts[k] += 1
+                    continue
+                if np.array_equal(item[a : a + low], doc[b : b + low]):
+                    free_item[a : a + low] = False
+                    free_doc[b : b + low] = False
+                    covered, upto = covered + low, a + low
+                break
+        most = low - 1
     return covered
 
 
 class Index:
-    """Seeds of a block of test items: hash of MIN_MATCH tokens -> (item, position)."""
+    """Seeds of a block of test items: the sorted hashes of their runs of MIN_MATCH tokens, each with the items that have it."""
 
     def __init__(self, items: list[tuple[object, list[str]]], min_match: int):
         self.min_match, self.vocabulary = min_match, {}
-        self.items: list[tuple[object, np.ndarray]] = []
-        self.seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for item_id, words in items:
-            codes = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], np.int64)
-            for at, h in enumerate(rolling(codes, min_match).tolist()):
-                self.seeds[h].append((len(self.items), at))
-            self.items.append((item_id, codes))
-        self.hashes = np.array(sorted(self.seeds), np.uint64)
-
-    def compare(self, words: list[str]) -> list[tuple[object, int, int]]:
-        """(item, tiled tokens, tokens) of each item that shares a seed with the document."""
-        get = self.vocabulary.get
+        self.items = [(item_id, np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], np.int64)) for item_id, words in items]
+        seeds = [rolling(codes, min_match) for _, codes in self.items]
+        owner = np.repeat(np.arange(len(seeds)), [len(x) for x in seeds])
+        self.hashes, place = np.unique(np.concatenate(seeds) if seeds else np.zeros(0, np.uint64), return_inverse=True)
+        pairs = np.unique(place * max(len(seeds), 1) + owner)
+        self.owners = pairs % max(len(seeds), 1)
+        self.first = np.searchsorted(pairs // max(len(seeds), 1), np.arange(len(self.hashes) + 1))
+        self.places = np.split(place, np.cumsum([len(x) for x in seeds])[:-1]) if seeds else []
+        self.marked = np.zeros((2, len(self.hashes)), bool)  # clean between calls
+
+    def compare(self, words: list[str], min_coverage: float = 0.0) -> list[tuple[object, int, int]]:
+        """(item, tiled tokens, tokens) of each item that shares a seed with the document and of whose tokens the shared
+        seeds cover min_coverage; no tile lies outside of them."""
+        get, size = self.vocabulary.get, self.min_match
         doc = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
         known = np.r_[0, np.cumsum(doc >= 0)]
-        at = np.flatnonzero(known[self.min_match :] - known[: -self.min_match] == self.min_match) if len(doc) >= self.min_match else []
+        at = np.flatnonzero(known[size:] - known[:-size] == size) if len(doc) >= size else []
         if not len(at) or not len(self.hashes):
             return []
-        found = rolling(doc, self.min_match)[at]
+        found = rolling(doc, size)[at]
         place = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
         hit = self.hashes[place] == found
-        starts: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-        for j, h in zip(at[hit].tolist(), found[hit].tolist()):
-            for item, i in self.seeds[h]:
-                starts[item][i].append(j)
-        return [(self.items[k][0], tile(self.items[k][1], doc, s, self.min_match), len(self.items[k][1])) for k, s in sorted(starts.items())]
+        at, place = at[hit], place[hit]
+        shared = np.unique(place)
+        owners = np.unique(np.concatenate([self.owners[self.first[p] : self.first[p + 1]] for p in shared.tolist()])) if len(shared) else []
+        out, (mine, theirs) = [], self.marked
+        theirs[shared] = True
+        for k in owners:
+            item_id, codes = self.items[k]
+            seeds = self.places[k]
+            if _spread(np.flatnonzero(theirs[seeds]), size, len(codes)).sum() >= min_coverage * len(codes):
+                mine[seeds] = True
+                inside = np.flatnonzero(_spread(at[mine[place]], size, len(doc)))
+                mine[seeds] = False
+                breaks = np.flatnonzero(np.diff(inside) > 1) + 1
+                out.append((item_id, tile(codes, np.insert(doc[inside], breaks, -1), size), len(codes)))
+        theirs[shared] = False
+        return out
+
+
+def _spread(starts: np.ndarray, length: int, n: int) -> np.ndarray:
+    """Which of n places lie in a run of `length` from one of the starts on."""
+    edges = np.zeros(n + 1, np.int64)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, starts + length, -1)
+    return np.cumsum(edges[:n]) > 0
 
 
 def by_length(items: list[tuple[object, str]], min_match: int) -> list[Index]:
@@ -144,7 +208,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
                 for doc_id, text in zip(ids, texts):
                     words = tokens(text)
                     for index in indexes:
-                        for item, tiled, n in index.compare(words):
+                        for item, tiled, n in index.compare(words, min_coverage):
                             if tiled >= min_coverage * n:
                                 for column, v in zip(out, (doc_id, item, tiled, n, tiled / n)):
                                     column.append(v)
@@ -172,7 +236,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
             def clean(text: str | None) -> bool:
                 words = tokens(text)
-                return not any(tiled >= MIN_COVERAGE * n for index in indexes for _, tiled, n in index.compare(words))
+                return not any(tiled >= MIN_COVERAGE * n for index in indexes for _, tiled, n in index.compare(words, MIN_COVERAGE))
 
             return lambda texts: list(map(clean, texts))
 
