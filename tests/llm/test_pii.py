@@ -1,4 +1,6 @@
 import hashlib
+import random
+import time
 
 import numpy as np
 
@@ -6,7 +8,7 @@ from tidemark.llm import pii
 
 
 def test_gradients_match_finite_differences():
-    tagger, windows = pii.Tagger(1), pii.labelled_windows(3, length=10, seed=2)
+    tagger, windows = pii.Tagger(1, np.float64), pii.labelled_windows(3, length=10, seed=2)
     x = np.stack([pii.encode(t) for t, _ in windows], 1)
     y = np.zeros_like(x)
     y[3], y[4], y[7] = 1, 2, 5
@@ -31,6 +33,42 @@ def test_base_spans():
     assert pii.base_spans("0000000000001.1.1.1")[0][2] == "ip"
 
 
+def plain(text):
+    """The base spans straight from the patterns."""
+    digits = lambda x: "".join(c for c in x if c in "0123456789")
+    good = {
+        "email": lambda x: True, "ip": lambda x: all(int(p) <= 255 for p in x.split(".")),
+        "card": lambda x: 12 <= len(digits(x)) <= 19 and pii.luhn(digits(x)), "phone": lambda x: 9 <= len(digits(x)) <= 15,
+    }
+    found = [(m.start(), k, m.end()) for k, p in enumerate((pii.EMAIL, pii.IP, pii.CARD, pii.PHONE)) for m in p.finditer(text) if good[pii.KINDS[k]](m.group())]
+    return [(a, b, pii.KINDS[k]) for a, k, b in sorted(found)]
+
+
+def test_base_spans_are_those_of_the_plain_patterns(docs):
+    for r in docs.collect():
+        assert pii.base_spans(r["text"] or "") == plain(r["text"] or "")
+    rng = random.Random(8)
+    for letters, n in (("a@.-", 20_000), ("1.2", 20_000), ("12 -", 5_000), ("+1 ().-", 20_000), ("aZ9@.+ -(é", 40_000), ("0123456789 .-+", 20_000)):
+        for _ in range(n // 10):
+            text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 28)))
+            assert pii.base_spans(text) == plain(text), text
+    for _ in range(300):
+        n = rng.choice((12, 16, 19))
+        card = "".join(str(rng.randint(0, 9)) for _ in range(n - 1))
+        card += next(x for x in "0123456789" if pii.luhn(card + x))
+        text = f"{rng.choice(('', '1.', 'x', '7 '))}{'-'.join(card) if rng.random() < 0.3 else card}{rng.choice(('', '.5', ' 1', 'é'))}"
+        assert pii.base_spans(text) == plain(text), text
+
+
+def test_megabytes_of_one_kind_take_seconds():
+    n = 1 << 20
+    for text in ("1" * n, "a" * n, "a" * n + "@b.c", "@" * n, "a@" * (n // 2), "1." * (n // 2), "1 " * (n // 2), "+1" * (n // 2), "+" + "1 " * (n // 2), "+1" + " " * n, "a@b." * (n // 4), "1.1.1.1" * (n // 7)):
+        began = time.process_time()
+        pii.base_spans(text)
+        assert time.process_time() - began < 8, text[:9]
+    assert pii.base_spans("a" * n + "@b.c") == [(0, n + 4, "email")]
+
+
 def test_model_finds_what_the_patterns_miss_and_leaves_clean_text():
     tagger = pii.trained()
     texts = ["mail bob.smith [at] mail3.example.com now", "call (555) 321-9876 at once", "in 2024 the 3rd of 12,000 items, v1.2.3", None, "plain words only", "y" * 3000 + " x@z3.example.org " + "y" * 3000]

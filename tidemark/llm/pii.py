@@ -22,8 +22,14 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Characters that an email can lie in; matches never leave such a run, so only runs with an at sign are searched.
-_EMAIL_RUN = re.compile(r"[A-Za-z0-9._%+-]*@[A-Za-z0-9._%+@-]*")
+#: The same languages, found in linear time. A name is sought leftwards from each at sign, as no name holds one; an address's
+#: first run of digits starts where no digit stands before; runs are never given back, as what follows them is no part of them.
+_NAME = "".join(map(chr, range(48, 58))) + "".join(chr(c + d) for c in (65, 97) for d in range(26)) + "._%+-"
+_HOST = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
+#: Characters of the longest card: 19 digits with a mark between each two.
+_CARD_MOST = 37
 
 
 def luhn(digits: str) -> bool:
@@ -35,7 +41,7 @@ def luhn(digits: str) -> bool:
 
 
 def _digits(s: str) -> str:
-    return "".join(c for c in s if "0" <= c <= "9")
+    return re.sub("[^0-9]+", "", s)
 
 
 def _octet(part: str) -> bool:
@@ -43,18 +49,27 @@ def _octet(part: str) -> bool:
     return len(part) <= 3 and int(part or 0) <= 255
 
 
+def _emails(text: str) -> list[tuple[int, int]]:
+    out, upto, at = [], 0, text.find("@")
+    while at >= 0:
+        if m := _HOST.match(text, at):
+            start = upto + len(text[upto:at].rstrip(_NAME))
+            if start < at:
+                out.append((start, m.end()))
+                upto = m.end()
+        upto, at = max(upto, at), text.find("@", at + 1)
+    return out
+
+
 def base_spans(text: str) -> list[Span]:
-    """(start, end, kind) by start, then kind as listed; leftmost non-overlapping of each kind, failing ones dropped."""
-    out: list[tuple[int, int, int]] = []
-    if "@" in text:
-        for run in _EMAIL_RUN.finditer(text):
-            out += ((run.start() + m.start(), 0, run.start() + m.end()) for m in EMAIL.finditer(run.group()))
+    """(start, end, kind) by start, then kind as listed; leftmost non-overlapping of each kind, failing ones dropped. Linear in the text."""
+    out = [(a, 0, b) for a, b in _emails(text)]
     if re.search("[0-9]", text):
-        for m in IP.finditer(text):
-            if all(_octet(x) for x in m.group().split(".")):
+        for m in _IP.finditer(text):
+            if all(map(_octet, m.group().split("."))):
                 out.append((m.start(), 1, m.end()))
-        for m in CARD.finditer(text):
-            if 12 <= len(d := _digits(m.group())) <= 19 and luhn(d):
+        for m in _CARD.finditer(text):
+            if m.end() - m.start() <= _CARD_MOST and 12 <= len(d := _digits(m.group())) <= 19 and luhn(d):
                 out.append((m.start(), 2, m.end()))
         if "+" in text:
             for m in PHONE.finditer(text):
@@ -183,8 +198,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Tagger:
     """BIO labels by two LSTMs over character classes and a linear-chain CRF; parameters are plain arrays."""
 
-    def __init__(self, seed: int = 3):
-        r = np.random.default_rng(seed)
+    def __init__(self, seed: int = 3, kind: type = np.float32):
+        self.kind, r = kind, np.random.default_rng(seed)
         g = lambda *s: r.normal(0, 1 / np.sqrt(s[0]), s)
         self.p = {}
         for d in "fb":
@@ -192,23 +207,23 @@ class Tagger:
             bias[HIDDEN : 2 * HIDDEN] = 1.0
             self.p |= {f"x{d}": r.normal(0, 0.3, (CLASSES, 4 * HIDDEN)), f"h{d}": g(HIDDEN, 4 * HIDDEN), f"c{d}": bias}
         self.p |= {"o": g(2 * HIDDEN, LABELS), "ob": np.zeros(LABELS), "t": np.zeros((LABELS, LABELS)), "s": np.zeros(LABELS)}
+        self.p = {k: v.astype(np.float64 if k in "ts" else kind) for k, v in self.p.items()}
 
     def _lstm(self, x: np.ndarray, d: str):
-        """States (T, B, H) of one direction; x (T, B)."""
+        """States (T, B, H) of one direction, with what the way back needs; x (T, B)."""
         n, b = x.shape
-        h, c, kept = np.zeros((b, HIDDEN)), np.zeros((b, HIDDEN)), []
-        out = np.zeros((n, b, HIDDEN))
+        gates = (self.p[f"x{d}"] + self.p[f"c{d}"])[x]
+        into, cells, tanh, out = self.p[f"h{d}"], *np.zeros((3, n + 1, b, HIDDEN), self.kind)
+        h = c = np.zeros((b, HIDDEN), self.kind)
         for t in range(n) if d == "f" else range(n - 1, -1, -1):
-            a = self.p[f"x{d}"][x[t]] + h @ self.p[f"h{d}"] + self.p[f"c{d}"]
-            i, f, o = (_sigmoid(a[:, k * HIDDEN : (k + 1) * HIDDEN]) for k in range(3))
-            g = np.tanh(a[:, 3 * HIDDEN :])
-            before = (h, c)
-            c = f * c + i * g
-            tc = np.tanh(c)
-            h = o * tc
-            out[t] = h
-            kept.append((t, i, f, o, g, tc, *before))
-        return out, kept
+            a = gates[t]
+            a += h @ into
+            a[:, : 3 * HIDDEN] = _sigmoid(a[:, : 3 * HIDDEN])
+            np.tanh(a[:, 3 * HIDDEN :], out=a[:, 3 * HIDDEN :])
+            c = a[:, HIDDEN : 2 * HIDDEN] * c + a[:, :HIDDEN] * a[:, 3 * HIDDEN :]
+            cells[t], tanh[t] = c, np.tanh(c)
+            h = out[t] = a[:, 2 * HIDDEN : 3 * HIDDEN] * tanh[t]
+        return out[:n], (gates, cells, tanh, out)
 
     def emissions(self, x: np.ndarray):
         hf, kf = self._lstm(x, "f")
@@ -220,53 +235,60 @@ class Tagger:
     def steps(self) -> np.ndarray:
         return self.p["t"] + _FOLLOWS
 
-    def _forward(self, e: np.ndarray) -> np.ndarray:
-        a, steps = np.zeros_like(e), self.steps
-        a[0] = e[0] + self.p["s"]
-        for t in range(1, len(e)):
-            m = a[t - 1][:, :, None] + steps
-            top = m.max(axis=1)
-            a[t] = e[t] + top + np.log(np.exp(m - top[:, None, :]).sum(axis=1))
-        return a
-
-    def _backward(self, e: np.ndarray) -> np.ndarray:
-        b, steps = np.zeros_like(e), self.steps
+    def _both_ways(self, e: np.ndarray):
+        """Forward and backward sums of the chain as shares of each step's total, the factors between, and log Z of each column."""
+        top = e.max(axis=2, keepdims=True)
+        own, moves = np.exp(e - top).astype(np.float64), np.exp(self.steps)
+        a, b, log_z = np.empty_like(own), np.ones_like(own), top.sum(axis=(0, 2), dtype=np.float64)
+        for t in range(len(e)):
+            a[t] = own[t] * (a[t - 1] @ moves if t else np.exp(self.p["s"]))
+            total = a[t].sum(axis=1, keepdims=True)
+            a[t] /= total
+            log_z += np.log(total[:, 0])
         for t in range(len(e) - 2, -1, -1):
-            m = steps + (e[t + 1] + b[t + 1])[:, None, :]
-            top = m.max(axis=2)
-            b[t] = top + np.log(np.exp(m - top[:, :, None]).sum(axis=2))
-        return b
+            b[t] = (own[t + 1] * b[t + 1]) @ moves.T
+            b[t] /= b[t].sum(axis=1, keepdims=True)
+        return a, b, own, log_z
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log likelihood of labels y (T, B) and its gradients."""
         e, h, kf, kb = self.emissions(x)
-        a, b = self._forward(e), self._backward(e)
+        a, b, own, log_z = self._both_ways(e)
         n, size = x.shape
-        top = a[-1].max(axis=1, keepdims=True)
-        z = top + np.log(np.exp(a[-1] - top).sum(axis=1, keepdims=True))
-        marginal = np.exp(a + b - z)
-        rows = np.arange(size)
-        gold = e[np.arange(n)[:, None], rows[None, :], y].sum(0) + self.p["s"][y[0]] + self.steps[y[:-1], y[1:]].sum(0)
-        loss = float((z[:, 0] - gold).mean())
-        de = marginal.copy()
-        de[np.arange(n)[:, None], rows[None, :], y] -= 1
+        marginal = a * b
+        marginal /= marginal.sum(axis=2, keepdims=True)
+        at = np.arange(n)[:, None], np.arange(size)[None, :], y
+        gold = e[at].sum(0) + self.p["s"][y[0]] + self.steps[y[:-1], y[1:]].sum(0)
+        loss = float((log_z - gold).mean())
+        de = marginal
+        de[at] -= 1
         de /= size
-        pair = np.exp(a[:-1][:, :, :, None] + self.steps + (e[1:] + b[1:])[:, :, None, :] - z[None, :, :, None]).sum(axis=(0, 1))
+        moves, after = np.exp(self.steps), own[1:] * b[1:]
+        total = ((a[:-1] @ moves) * after).sum(axis=2, keepdims=True)
+        pair = moves * ((a[:-1] / total).reshape(-1, LABELS).T @ after.reshape(-1, LABELS))
         np.subtract.at(pair, (y[:-1].ravel(), y[1:].ravel()), 1)
-        out = {"t": pair / size, "s": de[0].sum(0), "o": np.einsum("tbh,tbl->hl", h, de), "ob": de.sum(axis=(0, 1))}
-        dh = de @ self.p["o"].T
+        low = de.astype(self.kind)
+        out = {"t": pair / size, "s": de[0].sum(0), "o": h.reshape(-1, 2 * HIDDEN).T @ low.reshape(-1, LABELS), "ob": de.sum(axis=(0, 1))}
+        dh = low @ self.p["o"].T
+        flat = x.ravel()
+        order = np.argsort(flat, kind="stable")
+        classes, first = np.unique(flat[order], return_index=True)
         for d, kept, part in (("f", kf, dh[:, :, :HIDDEN]), ("b", kb, dh[:, :, HIDDEN:])):
-            gx, gh, gc = np.zeros_like(self.p[f"x{d}"]), np.zeros_like(self.p[f"h{d}"]), np.zeros_like(self.p[f"c{d}"])
-            nh, nc = np.zeros((size, HIDDEN)), np.zeros((size, HIDDEN))
-            for t, i, f, o, g, tc, h0, c0 in reversed(kept):
+            gates, cells, tanh, states = kept
+            step = 1 if d == "f" else -1
+            da, back = np.empty_like(gates), self.p[f"h{d}"].T
+            nh, nc = np.zeros((2, size, HIDDEN), self.kind)
+            for t in range(n - 1, -1, -1) if d == "f" else range(n):
+                i, f, o, g = (gates[t][:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
                 up = part[t] + nh
-                dc = nc + up * o * (1 - tc * tc)
-                da = np.concatenate([dc * g * i * (1 - i), dc * c0 * f * (1 - f), up * tc * o * (1 - o), dc * i * (1 - g * g)], axis=1)
-                np.add.at(gx, x[t], da)
-                gh += h0.T @ da
-                gc += da.sum(0)
-                nh, nc = da @ self.p[f"h{d}"].T, dc * f
-            out |= {f"x{d}": gx, f"h{d}": gh, f"c{d}": gc}
+                dc = nc + up * o * (1 - tanh[t] ** 2)
+                before = cells[t - step]  # the extra last row is zero, for either way's first step
+                da[t] = np.concatenate([dc * g * i * (1 - i), dc * before * f * (1 - f), up * tanh[t] * o * (1 - o), dc * i * (1 - g * g)], axis=1)
+                nh, nc = da[t] @ back, dc * f
+            prior = np.roll(states, 1, axis=0)[:n] if d == "f" else states[1:]
+            gx, each = np.zeros_like(self.p[f"x{d}"]), da.reshape(-1, 4 * HIDDEN)
+            gx[classes] = np.add.reduceat(each[order], first, axis=0)
+            out |= {f"x{d}": gx, f"h{d}": prior.reshape(-1, HIDDEN).T @ each, f"c{d}": each.sum(0)}
         return loss, out
 
     def train(self, windows: list[tuple[str, list[Span]]], epochs: int = 5, batch: int = 50, rate: float = 0.02, seed: int = 4) -> list[float]:
@@ -292,26 +314,26 @@ class Tagger:
                     g = g * min(1.0, 5.0 / (norm + 1e-12))
                     m[name] = 0.9 * m.get(name, 0) + 0.1 * g
                     v[name] = 0.99 * v.get(name, 0) + 0.01 * g * g
-                    self.p[name] = self.p[name] - now * (m[name] / (1 - 0.9**step)) / (np.sqrt(v[name] / (1 - 0.99**step)) + 1e-8)
+                    change = now * (m[name] / (1 - 0.9**step)) / (np.sqrt(v[name] / (1 - 0.99**step)) + 1e-8)
+                    self.p[name] = (self.p[name] - change).astype(self.p[name].dtype)
             losses.append(float(np.mean(total)))
         return losses
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best labels by Viterbi and each character's posterior of its label; x (T, B)."""
         e = self.emissions(x)[0]
-        a, b = self._forward(e), self._backward(e)
-        top = a[-1].max(axis=1, keepdims=True)
-        z = top + np.log(np.exp(a[-1] - top).sum(axis=1, keepdims=True))
-        best, back, steps = e[0] + self.p["s"], np.zeros(e.shape, np.int64), self.steps
+        a, b, _, _ = self._both_ways(e)
+        best, back, steps = e[0] + self.p["s"], np.zeros(e.shape, np.int64), self.steps.T.copy()
         for t in range(1, len(e)):
-            m = best[:, :, None] + steps
-            back[t] = m.argmax(axis=1)
-            best = e[t] + m.max(axis=1)
+            m = best[:, None, :] + steps
+            back[t] = m.argmax(axis=2)
+            best = e[t] + m.max(axis=2)
         rows, y = np.arange(e.shape[1]), np.zeros(e.shape[:2], np.int64)
         y[-1] = best.argmax(axis=1)
         for t in range(len(e) - 1, 0, -1):
             y[t - 1] = back[t][rows, y[t]]
-        return y, np.exp(a + b - z)[np.arange(len(e))[:, None], rows[None, :], y]
+        sure = a * b
+        return y, (sure / sure.sum(axis=2, keepdims=True))[np.arange(len(e))[:, None], rows[None, :], y]
 
 
 @functools.lru_cache(maxsize=2)
