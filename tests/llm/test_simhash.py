@@ -1,8 +1,6 @@
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
-
 from tidemark.llm import simhash
 
 
@@ -46,14 +44,26 @@ def test_links_and_components_match_brute_force(spark):
     linked(spark, near_prints(500, 3))
 
 
-def test_crowded_buckets_take_the_exact_way(spark):
+def test_crowded_buckets_are_parted_until_they_are_small(spark):
     rng = random.Random(5)
     ball = {rng.getrandbits(64)}
     while len(ball) < 400:
-        ball.add(rng.choice(sorted(ball)) ^ (1 << rng.randrange(12)))
+        ball.add(rng.choice(sorted(ball)) ^ (1 << rng.randrange(12)) ^ (rng.random() < 0.3) << rng.randrange(64))
     linked(spark, sorted(ball), bucket_most=16)
 
 
+def test_masks_within_masks_are_exact():
+    rng = random.Random(6)
+    for most in (1, 2):
+        for m in simhash.masks(most):
+            finer = simhash.masks(most, 2, m)
+            assert all(k & m == m for k in finer) and max(64 - k.bit_count() for k in finer) <= (64 - m.bit_count() + 1) * most // (most + 2) + 1
+            free = [b for b in range(64) if not m >> b & 1]
+            for _ in range(60):
+                x = sum(1 << b for b in rng.sample(free, most))
+                assert any(not x & k for k in finer)
+
+
 def test_pivots_discard_no_link():
     found = np.array(near_prints(300, 9), np.uint64)
     left, right = simhash.linked_pairs(found, simhash.pivot_table(found, simhash.pivots()))
@@ -72,8 +82,9 @@ def test_masks_are_exact():
 
 def test_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "a long, b long")
-    got = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
-    assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
+    for at_once in (simhash.EDGES_AT_ONCE, 40):
+        got = [(r["node"], r["root"]) for r in simhash.components(edges, at_once).collect()]
+        assert sorted(got) == sorted([*((i, 0) for i in range(301)), (1000, 1000), (1001, 1000)])
 
 
 def test_near_duplicates(docs, odd):
@@ -96,18 +107,10 @@ def test_near_duplicates(docs, odd):
 
 
 def alike(a, b):
-    x, y = (set(simhash.shingle_hashes(t).tolist()) for t in (a, b))
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for w in (a.lower().split(), b.lower().split()))
     return len(x & y) / max(1, len(x | y))
 
 
-def test_text_ids_agree(spark, odd, docs):
-    for frame in (odd, docs):
-        ids = frame.select("text", simhash.text_id(F.col("text")).alias("tid")).collect()
-        for r in ids:
-            words = b" ".join((r["text"] or "").encode().lower().split())
-            assert r["tid"] == np.array([simhash.xxhash.xxh64_intdigest(words, 42)], np.uint64).view(np.int64)[0]
-
-
 def test_near_copies_are_grouped_and_others_left(spark):
     rng, rows, pairs = random.Random(11), [], 0
     passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(60))
@@ -128,7 +131,7 @@ def test_near_copies_are_grouped_and_others_left(spark):
         missed += near and head[k] != head[k + 1]
         assert head[k + 2] == k + 2
         assert near or head[k + 1] == k + 1
-    assert pairs > 50 and missed <= 1
+    assert pairs > 50 and missed == 0
 
 
 def test_short_near_copies_always_meet(spark):

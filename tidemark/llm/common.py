@@ -15,7 +15,10 @@ from tidemark.cluster import checkpoint_folder, checkpointed, ship
 #: Rows that a Python step turns into Python objects at a time; bounds a worker's memory, not the result.
 ROWS_AT_ONCE = 256
 
-__all__ = ["checkpoint_folder", "checkpointed", "ddl", "filter_texts", "id_remainder", "map_texts", "ship", "table"]
+#: A key that more than one row in so many has is sent to all tasks: fewer keys than this, whatever the table's size.
+HOT_SHARE = 1_000
+
+__all__ = ["checkpoint_folder", "checkpointed", "ddl", "filter_texts", "fresh", "id_remainder", "map_texts", "ship", "table", "uneven_join"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +57,26 @@ def map_texts(df: DataFrame, columns: Sequence[str], schema: str, make: Callable
     return df.select(*columns).mapInArrow(run, struct)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def uneven_join(big: DataFrame, small: DataFrame, key: str, n: str) -> DataFrame:
+    """big joined with small by key. small holds each key of big once, with n, the number of big's rows that have it.
+
+    Rows of the keys that more than one row in HOT_SHARE has stay where they are and meet small's part for these keys,
+    of fewer than HOT_SHARE rows, in their own tasks; the others are dealt out by key. big and small are read twice.
+    """
+    total = small.agg(F.sum(n)).first()[0] or 0
+    often, seldom = small.where(F.col(n) * HOT_SHARE > total).drop(n), small.where(F.col(n) * HOT_SHARE <= total).drop(n)
+    here = big.join(F.broadcast(often), key)
+    return here.unionByName(big.join(F.broadcast(often.select(key)), key, "left_anti").join(seldom, key))
+
+
 def ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 

@@ -6,28 +6,38 @@ import itertools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.cluster import ship
-from tidemark.llm.common import checkpointed, map_texts
+from tidemark.llm.common import checkpointed, fresh, map_texts, uneven_join
 
 SHINGLE_WORDS = 3
 SEED = 42
 MAX_BITS = 2
 #: Reference fingerprints of a pivot table.
 PIVOTS = 24
-#: A bucket with more fingerprints than this takes the exact way by one-bit neighbours instead of pairs.
+#: Fingerprints of a bucket whose pairs are looked at together; a larger bucket is parted by finer bands.
 BUCKET_MOST = 256
+#: Edges that one task joins at once.
+EDGES_AT_ONCE = 1 << 20
 
 
 # --- fingerprints -------------------------------------------------------------------------------------------------
 
 
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "replace").lower().split()
+
+
 def fingerprint(text: str | None, words_in_shingle: int = SHINGLE_WORDS) -> int:
     """The 64-bit SimHash of a whole text; 0 without words."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
+    return fingerprint_of(words_of(text), words_in_shingle)
+
+
+def fingerprint_of(words: list[bytes], words_in_shingle: int = SHINGLE_WORDS) -> int:
     if not words:
         return 0
     if len(words) < words_in_shingle:
@@ -85,34 +95,49 @@ def linked_pairs(found: np.ndarray, table: np.ndarray, max_bits: int = MAX_BITS)
     return left[near], right[near]
 
 
-def masks(max_bits: int = MAX_BITS, kept: int = 3) -> list[int]:
-    """Bit masks such that two fingerprints within max_bits agree under at least one of them (pigeonhole: max_bits bits
-    touch at most max_bits of max_bits + kept bands)."""
-    n = max_bits + kept
-    edges = [64 * i // n for i in range(n + 1)]
-    bands = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in itertools.pairwise(edges)]
-    return [sum(c) for c in itertools.combinations(bands, kept)]
+def _parted(bits: list[int], n: int) -> list[int]:
+    """Masks of n bands that the bits, by number, fall into."""
+    edges = [len(bits) * i // n for i in range(n + 1)]
+    return [sum(1 << b for b in bits[lo:hi]) for lo, hi in itertools.pairwise(edges)]
+
+
+def masks(max_bits: int = MAX_BITS, kept: int = 3, within: int = 0) -> list[int]:
+    """Bit masks such that two fingerprints within max_bits that agree under `within` agree under at least one of them:
+    the other bits fall into max_bits + kept bands, of which max_bits bits touch max_bits at most (pigeonhole)."""
+    bands = _parted([b for b in range(64) if not within >> b & 1], max_bits + kept)
+    return [within | sum(c) for c in itertools.combinations(bands, kept)]
 
 
 def _signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 
 
+def _union(size: int, left: list[int], right: list[int]) -> tuple[list[int], list[int]]:
+    """The smallest member of each member's set after the unions, and the indices of the pairs that joined two sets."""
+    parent, used = list(range(size)), []
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for k, (i, j) in enumerate(zip(left, right)):
+        if (x := root(i)) != (y := root(j)):
+            parent[max(x, y)] = min(x, y)
+            used.append(k)
+    return [root(i) for i in range(size)], used
+
+
 def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_most: int = BUCKET_MOST) -> DataFrame:
     """Pairs (a, b) of different fingerprints within max_bits (1 or 2) that connect all such pairs' components.
 
-    distinct: one column fp without repeats. Buckets by agreeing bands bring candidates together; within a bucket the
-    pivot table discards pairs and survivors are verified; a bucket gives the edges of a spanning forest, so copies of
-    one text never become all pairs. Fingerprints in a bucket of over bucket_most members are linked exactly by their
-    one-bit neighbours: two within 2 bits share a neighbour, and at most 65 fingerprints share one.
+    distinct: one column fp without repeats. Buckets of fingerprints that agree under a mask bring candidates together;
+    within each the pivot table discards pairs and survivors are verified; a bucket gives the edges of a spanning
+    forest, so copies of one text never become all pairs. A bucket of over bucket_most members is dealt out again under
+    masks that take half of its free bits, until no bucket is too large: one with b free bits has 2**b members at most.
     """
-    fp = F.col("fp")
-    keys = F.array(*(F.struct(F.lit(i).alias("mask"), fp.bitwiseAND(F.lit(_signed(m))).alias("bits")) for i, m in enumerate(masks(max_bits))))
-    keyed = distinct.select("fp", F.explode(keys).alias("k")).select("fp", "k.mask", "k.bits")
-    counted = keyed.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = checkpointed(keyed.join(counted, ["mask", "bits"]))
-
-    references = pivots()
+    fp, references = F.col("fp"), pivots()
     ship(distinct.sparkSession)
 
     def forest(groups):
@@ -123,19 +148,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_most: int = BUCK
             table, a, b = pivot_table(found, references), [], []
             for lo, hi in zip(starts, [*starts[1:], len(found)]):
                 left, right = linked_pairs(found[lo:hi], table[lo:hi], max_bits)
-                parent = list(range(hi - lo))
-
-                def root(i):
-                    while parent[i] != i:
-                        parent[i] = parent[parent[i]]
-                        i = parent[i]
-                    return i
-
-                for i, j in zip(left.tolist(), right.tolist()):
-                    if (x := root(i)) != (y := root(j)):
-                        parent[max(x, y)] = min(x, y)
-                        a.append(found[lo + i]), b.append(found[lo + j])
-            yield pd.DataFrame({"a": np.array(a, np.uint64).view(np.int64), "b": np.array(b, np.uint64).view(np.int64)})
+                used = _union(hi - lo, left.tolist(), right.tolist())[1]
+                a.append(found[lo + left[used]]), b.append(found[lo + right[used]])
+            yield pd.DataFrame({k: np.concatenate([np.zeros(0, np.uint64), *x]).view(np.int64) for k, x in (("a", a), ("b", b))})
 
     def whole_groups(frames):
         """Whole buckets, some at a time: the rows come sorted, and a bucket has at most bucket_most of them."""
@@ -149,24 +164,46 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_most: int = BUCK
         if rest is not None and len(rest):
             yield rest
 
-    small = shared.where(F.col("n") <= bucket_most).select("fp", "mask", "bits")
-    paired = small.repartition("mask", "bits").sortWithinPartitions("mask", "bits", "fp").mapInPandas(lambda frames: forest(whole_groups(frames)), "a long, b long")
-
-    crowded = shared.where(F.col("n") > bucket_most).select("fp").distinct()
-    flips = F.array(fp, *(fp.bitwiseXOR(F.lit(_signed(1 << i))) for i in range(64)))
-    around = crowded.select("fp", F.explode(flips).alias("near")).groupBy("near").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    starred = around.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a <> b")
-    if max_bits == 1:
-        starred = starred.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 1)
-    return paired.unionByName(starred).distinct()
-
-
-def components(edges: DataFrame) -> DataFrame:
+    level = masks(max_bits)
+    keyed = distinct.select("fp", F.explode(F.array(*(F.lit(_signed(m)) for m in level))).alias("mask"))
+    out = None
+    while True:
+        keyed = keyed.select("fp", "mask", fp.bitwiseAND(F.col("mask")).alias("bits"))
+        counted = keyed.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        shared = checkpointed(keyed.join(counted, ["mask", "bits"]))
+        small = shared.where(F.col("n") <= bucket_most).select("fp", "mask", "bits")
+        paired = small.repartition("mask", "bits").sortWithinPartitions("mask", "bits", "fp").mapInPandas(lambda frames: forest(whole_groups(frames)), "a long, b long")
+        out = paired if out is None else out.unionByName(paired)
+        crowded = shared.where(F.col("n") > bucket_most)
+        if crowded.isEmpty():
+            return out.distinct()
+        finer = {m: masks(max_bits, 2, m) for m in level}
+        parts = F.create_map(*(x for m, own in finer.items() for x in (F.lit(_signed(m)), F.array(*(F.lit(_signed(k)) for k in own)))))
+        keyed = crowded.select("fp", F.explode(parts[F.col("mask")]).alias("mask")).distinct()
+        level = list(dict.fromkeys(k for own in finer.values() for k in own))
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """node and root of the nodes of each partition's edges, as far as those edges reach; every node with its partition's smallest."""
+
+    def run(frames):
+        if parts := [f for f in frames if len(f)]:
+            a, b = (np.concatenate([f[c].to_numpy() for f in parts]) for c in "ab")
+            nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+            roots = _union(len(nodes), place[: len(a)].tolist(), place[len(a) :].tolist())[0]
+            yield pd.DataFrame({"node": nodes, "root": nodes[roots]})
+
+    ship(edges.sparkSession)
+    return edges.mapInPandas(run, "node long, root long")
+
+
+def components(edges: DataFrame, at_once: int = EDGES_AT_ONCE) -> DataFrame:
     """node and root (the smallest node reachable) for each node of the edges (a, b).
 
-    Alternating large-star and small-star rounds: each links nodes to smaller neighbours until every component is a
-    star. Rounds are cut by checkpoints in the shared folder; nothing but a count and a digest of the edges reaches the
-    driver. Each round's hub rows are aggregated before they are dealt out.
+    Each task first replaces some at_once edges by the stars of their own components; if those are all, that is the
+    result. Of more, alternating large-star and small-star rounds link nodes to smaller neighbours until every component
+    is a star. Rounds are cut by checkpoints in the shared folder; nothing but a count and a digest of the edges reaches
+    the driver. Minima are summed up before they are dealt out; a hub's rows in a join are split by adaptive execution.
     """
 
     def both(e: DataFrame) -> DataFrame:
@@ -178,7 +215,12 @@ def components(edges: DataFrame) -> DataFrame:
     def digest(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
 
-    edges = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = checkpointed(edges.where("a <> b"))
+    parts = -(-edges.count() // at_once)
+    if parts <= 1:
+        return checkpointed(_stars(edges.coalesce(1)))
+    stars = _stars(edges.repartition(parts)).where("node <> root")
+    edges = checkpointed(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
     seen = digest(edges)
     while True:
         around = both(edges)
@@ -207,12 +249,12 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     empty table gives no rows; other columns of docs are not looked at. Texts are hashed whole.
     """
     held = checkpointed(fingerprints(docs.select("doc_id", "text")))
-    owners = checkpointed(held.groupBy("fp").agg(F.min("doc_id").alias("owner")))
+    owners = checkpointed(held.groupBy("fp").agg(F.min("doc_id").alias("owner"), F.count(F.lit(1)).alias("n")))
     member = components(links(owners.select("fp"), max_bits)).select(F.col("node").alias("fp"), "root")
-    rooted = owners.join(member, "fp", "left").select("fp", "owner", F.coalesce("root", "fp").alias("root"))
+    rooted = owners.join(member, "fp", "left").select("fp", "owner", "n", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("owner").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return held.join(named, "fp").select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+    named = checkpointed(rooted.join(least, "root").select("fp", "component_id", "n"))
+    return uneven_join(held, named, "fp", "n").select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 # --- near copies by similarity ----------------------------------------------------------------------------------------
@@ -229,15 +271,24 @@ BLOCK = 512
 SENT_IDS = 2_000_000
 #: Pairs that a task looks at together.
 PAIRS_AT_ONCE = 1 << 18
+#: Words of the bitmap by which keys of one text are left out before they are dealt out: 16 MB at most.
+FILTER_WORDS = 1 << 20
 
 
 def shingle_hashes(text: str | None, size: int = SIMILAR_WORDS) -> np.ndarray:
     """Sorted hashes of the different shingles of a whole text, lower-cased; a shorter text is one shingle."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
+    return shingles_of(words_of(text), size)
+
+
+def shingles_of(words: list[bytes], size: int = SIMILAR_WORDS) -> np.ndarray:
     if not words:
         return np.zeros(0, np.uint64)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(size)))) if len(words) >= size else [b" ".join(words)]
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, itertools.repeat(SEED)), np.uint64))
+    own = np.fromiter(map(xxhash.xxh64_intdigest, words, itertools.repeat(SEED)), np.uint64, len(words))
+    size, n = min(size, len(own)), max(len(own) - size + 1, 1)
+    out = np.full(n, size, np.uint64)
+    for k in range(size):  # a polynomial of the words' hashes
+        out = out * np.uint64(0x9E3779B97F4A7C15) + own[k : k + n]
+    return np.unique(out)
 
 
 def prefix(h: np.ndarray, common: np.ndarray, ranks: np.ndarray, min_similarity: float = MIN_SIMILARITY) -> np.ndarray:
@@ -249,7 +300,7 @@ def prefix(h: np.ndarray, common: np.ndarray, ranks: np.ndarray, min_similarity:
     if len(common):
         place = np.minimum(np.searchsorted(common, h), len(common) - 1)
         rank = np.where(common[place] == h, ranks[place], 0)
-    return h[np.lexsort((h, rank))[: len(h) - int(np.ceil(min_similarity * len(h) - 1e-9)) + 1]]
+    return h[np.argsort(rank, kind="stable")[: len(h) - int(np.ceil(min_similarity * len(h) - 1e-9)) + 1]]
 
 
 def cells(h: np.ndarray) -> bytes:
@@ -310,23 +361,25 @@ def sketches(docs: DataFrame) -> DataFrame:
         common, ranks = sent.value
 
         def one(text):
-            h = shingle_hashes(text)
-            tid = xxhash.xxh64_intdigest(b" ".join((text or "").encode("utf-8", "replace").lower().split()), SEED)
-            return tid, fingerprint(text), len(h), cells(h), prefix(h, common, ranks).view(np.int64).tolist()
+            words = words_of(text)
+            h = shingles_of(words)
+            return xxhash.xxh64_intdigest(b" ".join(words), SEED), fingerprint_of(words), len(h), cells(h), prefix(h, common, ranks)
 
         def step(ids, marks, texts):
             tids, prints, n, counts, firsts = zip(*map(one, texts))
-            return [ids, marks, np.array(tids, np.uint64).view(np.int64), np.array(prints, np.uint64).view(np.int64), n, counts, firsts]
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, firsts)]), pa.int32()), pa.array(np.concatenate(firsts).view(np.int64)))
+            return [ids, marks, np.array(tids, np.uint64).view(np.int64), np.array(prints, np.uint64).view(np.int64), n, counts, lists]
 
         return step
 
     return map_texts(docs, ["doc_id", "mark", "text"], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, mark long, tid long, fp long, n long, cells binary, prefix array<long>", make)
 
 
-def similar_of(docs: DataFrame, near: DataFrame, min_similarity: float) -> DataFrame:
-    """The pairs (a, b) of near whose whole texts' shingles are min_similarity alike. docs: tid, text."""
+def similar_of(docs: DataFrame, texts: DataFrame, near: DataFrame, min_similarity: float) -> DataFrame:
+    """The pairs (a, b) of near whose whole texts' shingles are min_similarity alike. docs: mark, text; texts: tid, mark."""
     near = checkpointed(near)
-    ids = checkpointed(near.select(F.col("a").alias("tid")).union(near.select(F.col("b").alias("tid"))).distinct())
+    tids = near.select(F.col("a").alias("tid")).union(near.select(F.col("b").alias("tid"))).distinct()
+    ids = checkpointed(tids.join(texts.select("tid", "mark"), "tid"))
     if ids.count() <= SENT_IDS:
         ids = F.broadcast(ids)
 
@@ -336,30 +389,67 @@ def similar_of(docs: DataFrame, near: DataFrame, min_similarity: float) -> DataF
 
         return step
 
-    wanted = docs.join(ids, "tid", "left_semi").groupBy("tid").agg(F.min("text").alias("text"))
+    wanted = docs.join(ids, "mark").groupBy("tid").agg(F.min("text").alias("text"))
     sets = checkpointed(map_texts(wanted, ["tid", "text"], "tid long, s array<long>", make))
     met = near.join(sets.select(F.col("tid").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("tid").alias("b"), F.col("s").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return checkpointed(met.where(common >= min_similarity * (F.size("x") + F.size("y") - common)).select("a", "b"))
 
 
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """Bits of the keys that occur, summed up by Spark: FILTER_WORDS words of 64 at most. A bit that is not set tells that a key is none of them."""
+    n = 1 << max(10, min(FILTER_WORDS, keys.count() // 4).bit_length())
+    word, bit = F.col("key").bitwiseAND(F.lit(n - 1)), F.shiftrightunsigned("key", 40).bitwiseAND(F.lit(63))
+    rows = keys.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.cast("int"))).alias("bits")).toArrow()
+    out = np.zeros(n, np.int64)
+    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def bucketed(texts: DataFrame) -> DataFrame:
+    """tid, n, pos, key: the texts' prefixes taken apart, without most of the keys that only one text has."""
+    counted = texts.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    shared = checkpointed(counted.select("key"))
+    sent = texts.sparkSession.sparkContext.broadcast(bitmap(shared))
+
+    def run(batches):
+        bits = sent.value
+        for batch in batches:
+            n, first = batch.num_rows, batch.column("prefix")
+            length, key = first.value_lengths().to_numpy(), first.flatten().to_numpy().view(np.uint64)
+            row = np.repeat(np.arange(n), length)
+            pos = np.arange(len(key)) - np.repeat(np.cumsum(length) - length, length)
+            at = np.flatnonzero(bits[key & np.uint64(len(bits) - 1)] >> (key >> np.uint64(40) & np.uint64(63)) & np.uint64(1))
+            tid, counts = batch.column("tid").take(pa.array(row[at])), batch.column("n").take(pa.array(row[at]))
+            yield pa.RecordBatch.from_arrays([tid, counts, pa.array(pos[at].astype(np.int32)), pa.array(key[at].view(np.int64))], names=["tid", "n", "pos", "key"])
+
+    met = texts.select("tid", "n", "prefix").mapInArrow(run, "tid long, n long, pos int, key long")
+    return met.join(shared, "key")
+
+
 def similar_links(docs: DataFrame, texts: DataFrame, linked: DataFrame, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
     """Pairs (a, b) of tids: linked, and others whose five-word shingles are at least min_similarity alike (Jaccard),
     that connect all such pairs' components.
 
-    docs: tid, text; texts: tid, n, cells, prefix of each different text; linked: pairs known already. Texts meet in
-    buckets by the shingles of their prefixes, which similar texts always do. First each is compared with the least tid
-    of its bucket, so that many near copies become one component by as many pairs as texts; then, in buckets that still
-    hold several components, all pairs between components, in blocks. Counts of shingles in cells discard pairs that
-    cannot be similar, never others; the survivors' shingles are compared exactly, from their whole texts.
+    docs: mark, text; texts: tid, mark, n, cells, prefix of each different text; linked: pairs known already. Texts meet
+    in buckets by the shingles of their prefixes, which similar texts always do; buckets of the same texts, as the
+    shingles of a passage that they share, are one, in which each text has its first position. First each is compared
+    with the least tid of its bucket, so that many near copies become one component by as many pairs as texts; then, in
+    buckets that still hold several components, all pairs between components, in blocks. Counts of shingles in cells
+    discard pairs that cannot be similar, never others; the survivors' shingles are compared exactly, from their whole
+    texts.
     """
     ship(docs.sparkSession)
-    bucketed = texts.select("tid", "n", F.posexplode("prefix").alias("pos", "key"))
-    shared = checkpointed(bucketed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("tid", "n", "pos")).alias("first")).where("m > 1"))
-    met = checkpointed(bucketed.join(shared, "key"))
+    met = checkpointed(bucketed(texts))
+    own = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "tid"))
+    by_key = met.groupBy("key").agg(F.count(F.lit(1)).alias("m"), own(1).alias("s1"), own(2).alias("s2"))
+    members = checkpointed(met.join(by_key, "key").groupBy("s1", "s2", "tid").agg(F.min("pos").alias("pos"), F.first("n").alias("n"), F.first("m").alias("m")))
+    heads = members.groupBy("s1", "s2").agg(F.min(F.struct("tid", "n", "pos")).alias("first"))
 
     most, bound = F.greatest("na", "nb"), F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    named = met.select(F.col("tid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("first.tid").alias("b"), F.col("first.n").alias("nb"), F.col("first.pos").alias("pb"))
+    named = members.join(heads, ["s1", "s2"]).select(
+        F.col("tid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("first.tid").alias("b"), F.col("first.n").alias("nb"), F.col("first.pos").alias("pb")
+    )
     may = bound >= F.greatest(most * min_similarity, (F.col("na") + F.col("nb")) * (min_similarity / (1 + min_similarity))) - 1e-9
     pairs = named.where((F.col("a") != F.col("b")) & may).select("a", "b", "na", "nb").distinct()
 
@@ -371,20 +461,21 @@ def similar_links(docs: DataFrame, texts: DataFrame, linked: DataFrame, min_simi
 
     counts = texts.select("tid", "cells")
     with_cells = pairs.join(counts.select(F.col("tid").alias("a"), F.col("cells").alias("ca")), "a").join(counts.select(F.col("tid").alias("b"), F.col("cells").alias("cb")), "b")
-    stars = linked.unionByName(similar_of(docs, with_cells.mapInPandas(kept, "a long, b long"), min_similarity))
+    stars = linked.unionByName(similar_of(docs, texts, with_cells.mapInPandas(kept, "a long, b long"), min_similarity))
     root = components(stars).select(F.col("node").alias("tid"), "root")
 
-    rooted = checkpointed(met.join(root, "tid", "left").select("key", "m", "tid", "n", "pos", F.coalesce("root", "tid").alias("root")))
-    open_keys = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+    rooted = checkpointed(members.join(root, "tid", "left").select("s1", "s2", "m", "tid", "n", "pos", F.coalesce("root", "tid").alias("root")))
+    several = rooted.groupBy("s1", "s2").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("s1", "s2")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    members = rooted.join(open_keys, "key", "left_semi").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
+    left = rooted.join(several, ["s1", "s2"], "left_semi").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = members.select("key", "tid", "n", "pos", "root", "own", other).select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "tid", "n", "pos", "root").join(counts, "tid")
+    dealt = left.select("s1", "s2", "tid", "n", "pos", "root", "own", other).select("s1", "s2", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "tid", "n", "pos", "root").join(counts, "tid")
 
     def compared(frame):
-        key, own = frame[["key", "lo", "hi"]].to_numpy(), frame["own"].to_numpy()
+        key, own = frame[["s1", "s2", "lo", "hi"]].to_numpy(), frame["own"].to_numpy()
         tid, n, pos, root = (frame[c].to_numpy() for c in ("tid", "n", "pos", "root"))
         counted = _cell_rows(frame["cells"])
+        coarse = counted.reshape(len(counted), 16, -1).sum(axis=2, dtype=np.int16)
         starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
         lefts, rights, held = [], [], 0
 
@@ -392,19 +483,21 @@ def similar_links(docs: DataFrame, texts: DataFrame, linked: DataFrame, min_simi
             left, right = np.concatenate(lefts), np.concatenate(rights)
             able = (root[left] != root[right]) & may_be_similar(n[left], n[right], pos[left], pos[right], min_similarity)
             left, right = left[able], right[able]
-            near = [np.zeros(0, bool)]
-            for at in range(0, len(left), 4096):
-                x, y = left[at : at + 4096], right[at : at + 4096]
-                near.append(cells_near(n[x], n[y], counted[x], counted[y], min_similarity))
-            near = np.concatenate(near)
-            a, b = tid[left[near]], tid[right[near]]
-            return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+            for cells_of, at_once in ((coarse, 1 << 15), (counted, 1 << 12)):  # sums of cells differ by no more than the cells
+                near = [np.zeros(0, bool)]
+                for at in range(0, len(left), at_once):
+                    x, y = left[at : at + at_once], right[at : at + at_once]
+                    near.append(cells_near(n[x], n[y], cells_of[x], cells_of[y], min_similarity))
+                near = np.concatenate(near)
+                left, right = left[near], right[near]
+            a, b = tid[left], tid[right]
+            return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
 
         for lo, hi in zip(starts, [*starts[1:], len(frame)]):
-            if key[lo, 1] == key[lo, 2]:
+            if key[lo, 2] == key[lo, 3]:
                 left, right = np.triu_indices(hi - lo, 1)
             else:
-                at = own[lo:hi] == key[lo, 1]
+                at = own[lo:hi] == key[lo, 2]
                 left, right = (x.reshape(-1) for x in np.meshgrid(np.flatnonzero(at), np.flatnonzero(~at)))
             lefts.append(left + lo), rights.append(right + lo)
             held += len(left)
@@ -415,55 +508,57 @@ def similar_links(docs: DataFrame, texts: DataFrame, linked: DataFrame, min_simi
             yield looked_at()
 
     def whole_blocks(frames):
-        rest = None
+        names, rest = ["s1", "s2", "lo", "hi"], None
         for frame in (f for f in frames if len(f)):
             rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            last = (rest["key"] == rest["key"].iloc[-1]) & (rest["lo"] == rest["lo"].iloc[-1]) & (rest["hi"] == rest["hi"].iloc[-1])
+            last = (rest[names] == rest[names].iloc[-1]).all(axis=1)
             if len(done := rest[~last]):
                 yield from compared(done.reset_index(drop=True))
             rest = rest[last].reset_index(drop=True)
         if rest is not None and len(rest):
             yield from compared(rest)
 
-    found = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInPandas(whole_blocks, "a long, b long").distinct()
-    return stars.unionByName(similar_of(docs, found, min_similarity))
-
-
-def text_id(text: Column) -> Column:
-    """tid as a column: XXH64 of the lower-cased words with a blank between."""
-    words = F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x20\x09-\x0D]+", " "))
-    return F.xxhash64(words)
+    found = dealt.repartition("s1", "s2", "lo", "hi").sortWithinPartitions("s1", "s2", "lo", "hi").mapInPandas(whole_blocks, "a long, b long").distinct()
+    return stars.unionByName(similar_of(docs, texts, found, min_similarity))
 
 
 def members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """doc_id and tid of each row; and of each different text: tid, root (equal for the texts of a group), and owner,
+    """doc_id and tid of each row; and of each different text: tid, root (equal for the texts of a group), n_rows, and owner,
     the row with the least id (null ids last): whether it is null, the id, and mark, a hash of the row's exact text."""
-    held = checkpointed(sketches(docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))))
+    marked = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    held = checkpointed(sketches(marked))
     owner = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("owner")
-    texts = checkpointed(held.groupBy("tid").agg(owner, *(F.first(c).alias(c) for c in ("fp", "n", "cells", "prefix"))))
+    grouped = held.groupBy("tid").agg(owner, F.count(F.lit(1)).alias("n_rows"), *(F.first(c).alias(c) for c in ("fp", "n", "cells", "prefix")))
+    texts = checkpointed(grouped.withColumn("mark", F.col("owner.mark")))
     by_print = texts.groupBy("fp").agg(F.min("tid").alias("b"))
     same = texts.join(by_print, "fp").where("tid <> b").select(F.col("tid").alias("a"), "b")
     linked = links(by_print.select("fp"))
     named = lambda side: by_print.select(F.col("fp").alias(side), F.col("b").alias(f"tid_{side}"))
     across = linked.join(named("a"), "a").join(named("b"), "b").select(F.col("tid_a").alias("a"), F.col("tid_b").alias("b"))
     known = checkpointed(same.unionByName(across))
-    alike = similar_links(docs.select(text_id(F.col("text")).alias("tid"), "text"), texts.select("tid", "n", "cells", "prefix"), known)
+    alike = similar_links(marked.select("mark", "text"), texts, known)
     member = components(alike).select(F.col("node").alias("tid"), "root")
-    return held.select("doc_id", "tid"), texts.join(member, "tid", "left").select("tid", "owner", F.coalesce("root", "tid").alias("root"))
+    return held.select("doc_id", "tid"), texts.join(member, "tid", "left").select("tid", "owner", "n_rows", F.coalesce("root", "tid").alias("root"))
 
 
 def groups(docs: DataFrame) -> DataFrame:
-    """doc_id and head: the smallest doc_id of the row's group. Groups are the components over equal texts, fingerprints
-    within MAX_BITS, and five-word shingles that are MIN_SIMILARITY alike."""
+    """doc_id and head, the smallest doc_id of the row's group, of each row. Groups are the components over equal texts,
+    fingerprints within MAX_BITS, and five-word shingles that are MIN_SIMILARITY alike. Null, empty and blank texts are
+    equal texts; a null id is a head only where a group has no other; no rows give no rows."""
     held, rooted = members(docs)
     heads = rooted.groupBy("root").agg(F.min("owner").alias("owner")).select("root", F.col("owner.doc_id").alias("head"))
-    return held.join(rooted.join(heads, "root").select("tid", "head"), "tid").select("doc_id", "head")
+    return uneven_join(held, checkpointed(rooted.join(heads, "root").select("tid", "head", "n_rows")), "tid", "n_rows").select("doc_id", "head")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each group, the one with the smallest id, with all its columns. Rows are told apart by id and exact
-    text, so rows of different groups that repeat an id, or have none, stay."""
-    kept = members(docs)[1].groupBy("root").agg(F.min("owner").alias("owner")).select(F.col("owner.doc_id").alias("kept_id__"), F.col("owner.mark").alias("kept_mark__"))
-    marked = docs.withColumn("mark__", F.xxhash64("text"))
-    found = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id__")) & (F.col("mark__") == F.col("kept_mark__")), "left_semi")
-    return found.dropDuplicates(["doc_id", "mark__"]).select(*docs.columns)
+    """One row of each group, the one with the smallest id (a null id last), with all its columns whatever their names.
+
+    Rows are told apart by id and exact text, so rows of different groups that repeat an id, or have none, stay; of
+    wholly equal ones one stays. Null, empty and blank texts form one group. No rows give no rows.
+    """
+    k1, k2 = fresh(docs, "key_1"), fresh(docs, "key_2")
+    told = lambda seed, i, mark: F.xxhash64(F.lit(seed), i.isNull(), i, mark)
+    first = members(docs)[1].groupBy("root").agg(F.min("owner").alias("owner"))
+    kept = first.select(*(told(k, F.col("owner.doc_id"), F.col("owner.mark")).alias(c) for k, c in ((1, k1), (2, k2))))
+    keyed = docs.withColumns({c: told(k, F.col("doc_id"), F.xxhash64("text")) for k, c in ((1, k1), (2, k2))})
+    return keyed.dropDuplicates([k1, k2]).join(kept, [k1, k2], "left_semi").select(*docs.columns)
