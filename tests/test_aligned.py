@@ -135,12 +135,13 @@ def test_aligned_bars(spark):
 
 
 def test_element_quantile(spark):
-    df = spark.createDataFrame([([1.0, 2.0, 3.0, 4.0],), ([5.0],)], "a array<double>")
-    assert [tuple(r) for r in df.select(bars.element_quantile(F.col("a"), 0.5), bars.element_quantile(F.col("a"), 0.75)).collect()] == [(3.0, 4.0), (5.0, 5.0)]
+    rows = [("a", x) for x in (4.0, 1.0, 3.0, 2.0)] + [("b", 5.0)] + [("c", x) for x in (2.0, 1.0, 2.0, 2.0, 9.0, None)]
+    out = bars.element_quantiles(spark.createDataFrame(rows, "k string, v double"), "k", "v", {"m": 0.5, "q": 0.75, "top": 1.0})
+    assert sorted(map(tuple, out.collect())) == [("a", 3.0, 4.0, 4.0), ("b", 5.0, 5.0, 5.0), ("c", 2.0, 2.0, 9.0)]
 
 
 def test_bars_count_every_trade(spark):
-    from tidemark.queries import trades
+    from tidemark.queries.base import trades
 
     t = trades(spark, "/root/testdata/sf0.001")
     for seconds in (1, 60, 86400):

@@ -60,7 +60,7 @@ class HistoricalData:
         return window
 
     def get_binance_file(self, path: str, has_header: bool = False) -> DataFrame:
-        return self._keep(binance_trades(csv_lines(self.tables.spark, path, BINANCE, "sniffed" if has_header else "none")).orderBy("row_no").drop("row_no"))
+        return self._keep(binance_trades(csv_lines(self.tables.spark, path, BINANCE, "sniffed" if has_header else "none")).orderBy("row_no").drop("row_no", "price_text", "quantity_text", "quote_quantity_text"))
 
     def spot_trades(self, source: str, mode: str = "native", start_date=None, end_date=None, n_latest_rows=None, n_random_rows=None, fields=None, filters=None, strict=False, include_datetime_col=True) -> DataFrame:
         dataset = f"{source}_spot_trades"

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.filters import apply_fields, apply_filters
@@ -23,10 +24,14 @@ def bucket(time: Column, seconds: int) -> Column:
     return F.timestamp_seconds(seconds * F.floor(F.unix_seconds(time.cast("timestamp")) / seconds))
 
 
-def element_quantile(sorted_values: Column, level: float) -> Column:
-    """The exact quantile that picks an element: the one at floor(level * n); no interpolation."""
-    n = F.size(sorted_values)
-    return F.get(sorted_values, F.least(F.floor(F.lit(level) * n), n - 1).cast("int"))
+def element_quantiles(rows: DataFrame, key: str, value: str, levels: Mapping[str, float]) -> DataFrame:
+    """By key, the exact quantiles that pick an element: the one at floor(level * n) of the sorted values, the last at
+    most; no interpolation. Equal values are counted before they are dealt out, and positions are their counts' sums."""
+    counted = rows.where(F.col(value).isNotNull()).groupBy(key, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(W.partitionBy(key).orderBy("v").rowsBetween(W.unboundedPreceding, 0))
+    placed = counted.withColumns({"upto": upto, "n": F.sum("c").over(W.partitionBy(key))})
+    at = lambda level: F.least(F.floor(F.lit(level) * F.col("n")), F.col("n") - 1)
+    return placed.groupBy(key).agg(*(F.min(F.when(F.col("upto") > at(level), F.col("v"))).alias(name) for name, level in levels.items()))
 
 
 def windowed_bars(bars: DataFrame, window: Window) -> DataFrame:
@@ -41,7 +46,7 @@ def windowed_bars(bars: DataFrame, window: Window) -> DataFrame:
 def native_bars(trades: DataFrame, window: Window, seconds: int = 1, quantity: str = "quantity", maker: Column | None = None, id_column: str = "trade_id", fields: Sequence[str] | None = None, filters: Sequence[Mapping[str, Any]] | None = None) -> DataFrame:
     """BAR_COLUMNS of each bucket. One shuffle, by bucket; sums are exact decimals, so their order does not matter.
 
-    The median and the quartiles need a bucket's prices together; a bucket is a stretch of time, never a whole table.
+    The median and the quartiles come from counts of the bucket's different prices, so no task holds a bucket's trades.
     """
     if seconds <= 0:
         raise ValueError(f"kline_size must be > 0, got {seconds}")
@@ -53,13 +58,15 @@ def native_bars(trades: DataFrame, window: Window, seconds: int = 1, quantity: s
     tenths = lambda c: F.round(F.sum(c.cast("decimal(38,9)")), 1).cast("double")  # noqa: E731  rounded while exact
     grouped = rows.groupBy(F.col("bucket").alias("datetime")).agg(
         F.min_by("p", "id").alias("open"), F.max("p").alias("high"), F.min("p").alias("low"), F.max_by("p", "id").alias("close"),
-        F.round(F.avg("p"), 5).alias("mean"), F.round(F.stddev_pop("p"), 6).alias("std"), F.array_sort(F.collect_list("p")).alias("sorted__"),
+        F.round(F.try_divide(F.sum(F.col("p").cast("decimal(28,10)")), F.count(F.lit(1))), 5).cast("double").alias("mean"), F.round(F.stddev_pop("p"), 6).alias("std"),
         F.round(exact(F.col("q")), 9).alias("volume"), F.avg("m").alias("maker_ratio"), F.count(F.lit(1)).alias("no_of_trades"),
         F.min_by(value, "id").alias("open_liquidity"), F.max(value).alias("high_liquidity"), F.min(value).alias("low_liquidity"), F.max_by(value, "id").alias("close_liquidity"),
         tenths(value).alias("liquidity_sum"), exact(F.col("m") * F.col("q")).alias("maker_volume"), tenths(F.col("m") * value).alias("maker_liquidity"),
     )
-    s = F.col("sorted__")
-    bars = grouped.withColumns({"median": element_quantile(s, 0.5), "iqr": element_quantile(s, 0.75) - element_quantile(s, 0.25)}).select(*BAR_COLUMNS)
+    if set(fields or BAR_COLUMNS) & {"median", "iqr"} or any(f.get("field") in ("median", "iqr") for f in filters or ()):
+        grouped = grouped.join(element_quantiles(rows, "bucket", "p", {"median": 0.5, "q1__": 0.25, "q3__": 0.75}).withColumnRenamed("bucket", "datetime"), "datetime")
+        grouped = grouped.withColumn("iqr", F.col("q3__") - F.col("q1__"))
+    bars = grouped.select(*(c for c in BAR_COLUMNS if c in grouped.columns))
     return apply_fields(apply_filters(windowed_bars(bars, window), filters), fields)
 
 

@@ -65,6 +65,12 @@ def next_revision(states: DataFrame, keys: Sequence[str]) -> DataFrame:
     return states.groupBy(*keys).agg((F.coalesce(F.max("revision"), F.lit(0)) + 1).alias("next_revision"))
 
 
+def non_numeric_offsets(events: DataFrame, keys: Sequence[str] = STREAM) -> DataFrame:
+    """By key, how many offsets are no whole numbers, and the least of them; pages by numeric offset need none."""
+    odd = F.col("source_offset").try_cast("decimal(38,0)").isNull()
+    return events.groupBy(*keys).agg(F.count_if(odd).alias("non_numeric_count"), F.min(F.when(odd, F.col("source_offset"))).alias("sample_offset"))
+
+
 def without_quarantined(events: DataFrame, quarantined: DataFrame) -> DataFrame:
     """Events of streams that are not in quarantine."""
     open_ = latest(quarantined, STREAM).where("status = 'quarantined'").select(*STREAM)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import UTC, date, datetime, timedelta
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -58,6 +59,20 @@ def apply_filters(df: DataFrame, filters: Sequence[Mapping[str, Any]] | None) ->
     return df
 
 
+def in_tuples(df: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows whose columns' tuple is one of wanted's: a semi join, of which Spark sends the smaller side if it is small."""
+    return df.join(wanted.select(*columns).distinct(), list(columns), "left_semi")
+
+
+def on_days(df: DataFrame, time_column: str, days: Sequence[date]) -> DataFrame:
+    """Rows of some UTC days, as ranges of the column itself, so that they reach the scan."""
+    own = F.lit(False)
+    for d in sorted(set(days)):
+        start = datetime(d.year, d.month, d.day, tzinfo=UTC)
+        own = own | ((F.col(time_column) >= F.lit(start)) & (F.col(time_column) < F.lit(start + timedelta(days=1))))
+    return df.where(own)
+
+
 def unique(columns: Sequence[str]) -> list[str]:
     return list(dict.fromkeys(columns))
 

@@ -39,6 +39,11 @@ def neighbours(df: DataFrame, order: str, keys: Sequence[str], columns: Sequence
     return df.withColumns({f"previous_{c}": F.lag(c).over(w) for c in columns})
 
 
+def numbered_rows(df: DataFrame, order: str, keys: Sequence[str], name: str = "row_no") -> DataFrame:
+    """Numbers from 1 within the keys, as messages about rows give them."""
+    return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(order)))
+
+
 def exchange_checks(df: DataFrame, exchange: str, keys: Sequence[str] = ("partition_id",), row_order: str = "row_no") -> tuple[DataFrame, dict[str, Column]]:
     """Trades with their neighbours in source order, and an exchange's checks.
 

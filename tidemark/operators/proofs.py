@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.identity import line_digest, sorted_collect
 from tidemark.operators.eventlog import STREAM, latest
+from tidemark.operators.splits import numbered
 
 
 def _numeric(ordering: str) -> bool:
@@ -22,14 +24,14 @@ def _offset_order(ordering: str) -> list[Column]:
     if not _numeric(ordering):
         return [F.col("source_offset"), *own]
     n = F.col("source_offset").try_cast("decimal(38,0)")
-    return [F.when(n.isNotNull(), n).otherwise(F.raise_error(F.concat(F.lit("Numeric offset ordering requires integer offsets, got "), F.col("source_offset")))), *own]
+    return [F.when(n.isNotNull(), n).otherwise(F.raise_error(F.concat(F.lit("an offset of a numeric stream is no whole number: "), F.col("source_offset")))), *own]
 
 
 def source_proof(events: DataFrame, ordering: str) -> DataFrame:
     """For each partition: row_count, first and last offset, and digests of its offsets and its identities in order.
 
     A digest is one SHA-256 over a partition's ordered lines, so each partition's identities (not its payloads) meet in
-    one task; two_level_digest has no such bound.
+    one task; two_level_digest needs no more than a block's lines in one.
     """
     ordered = sorted_collect(_offset_order(ordering), F.struct("source_offset", "event_id", "payload_sha256"))
     out = events.groupBy(*STREAM).agg(F.count(F.lit(1)).alias("row_count"), ordered.alias("m"))
@@ -70,9 +72,12 @@ def proof_result(source: DataFrame, canonical: DataFrame) -> DataFrame:
 def two_level_digest(events: DataFrame, ordering: str, block: int = 65_536) -> DataFrame:
     """Another digest, not equal to the source proof's: of blocks of consecutive lines, and then of the blocks' digests.
 
-    No task holds more than a block's lines and a partition's block digests. Positions are dealt out by a sorted window.
+    No task holds more than a block's lines and a partition's block digests: rows are numbered over all partitions by a
+    range shuffle, and a partition's first number is taken off.
     """
-    ordered = events.select(*STREAM, "source_offset", "event_id", "payload_sha256", (F.row_number().over(W.partitionBy(*STREAM).orderBy(*_offset_order(ordering))) - 1).alias("at"))
+    placed = numbered(events.select(*STREAM, "source_offset", "event_id", "payload_sha256"), [*STREAM, *_offset_order(ordering)], "n")
+    first = placed.groupBy(*STREAM).agg(F.min("n").alias("first"))
+    ordered = placed.join(first, list(STREAM)).withColumn("at", F.col("n") - F.col("first"))
     line = F.concat_ws("|", "source_offset", "event_id", "payload_sha256")
     blocks = ordered.groupBy(*STREAM, F.floor(F.col("at") / block).alias("b")).agg(line_digest(sorted_collect([F.col("at")], line)).alias("d"), F.count(F.lit(1)).alias("n"))
     return blocks.groupBy(*STREAM).agg(F.sum("n").alias("row_count"), line_digest(sorted_collect([F.col("b")], F.col("d"))).alias("block_digest"))
@@ -87,6 +92,26 @@ def range_proof(proofs: DataFrame, keys: Sequence[str] = ("source_id", "stream_i
     )
 
 
+def rows_fingerprint(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """By key, SHA-256 of the rows as one JSON list: objects with sorted keys, in the order given. For sets that are
+    small by nature, as the rows of one fetch."""
+    shown = F.to_json(F.struct(*(F.col(c) for c in sorted(columns))), {"ignoreNullFields": "false"})
+    listed = sorted_collect([F.col(c) for c in order], shown)
+    return rows.groupBy(*keys).agg(F.sha2(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")), 256).alias("fingerprint"))
+
+
+def records_fingerprint(records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """By key, SHA-256 over metric_id|payload_sha256 lines in the order of the ids."""
+    return records.groupBy(*keys).agg(line_digest(sorted_collect([F.col("metric_id")], F.concat_ws("|", "metric_id", "payload_sha256"))).alias("fingerprint"))
+
+
+def side_counts(**tables: DataFrame) -> DataFrame:
+    """One row with each table's number of rows; the tables are counted in one job, a row each is summed up."""
+    counts = [t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, t in tables.items()]
+    both = reduce(DataFrame.unionByName, counts)
+    return both.agg(*(F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in tables))
+
+
 # --- state machine --------------------------------------------------------------------------------------------------
 
 TERMINAL = ("proved_complete", "empty_proved")
@@ -130,9 +155,14 @@ def unproved_partitions(log: DataFrame, states: DataFrame) -> DataFrame:
     return log.select(*STREAM).distinct().join(terminal_partitions(states), list(STREAM), "left_anti")
 
 
+def known_partitions(*tables: DataFrame) -> DataFrame:
+    """The partitions that any of the tables names, each once."""
+    return reduce(DataFrame.union, (t.select(*STREAM) for t in tables)).distinct()
+
+
 def ambiguous_partitions(log: DataFrame, manifests: DataFrame, proofs: DataFrame) -> DataFrame:
     """The same over all partitions that the log, manifests or proofs know, counted by stream."""
-    every = log.select(*STREAM).union(manifests.select(*STREAM)).union(proofs.select(*STREAM)).distinct()
+    every = known_partitions(log, manifests, proofs)
     return every.join(terminal_partitions(proofs), list(STREAM), "left_anti").groupBy("source_id", "stream_id").agg(F.count(F.lit(1)).alias("ambiguous_count"), F.min("partition_id").alias("first_partition"))
 
 

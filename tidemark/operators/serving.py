@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import UTC, datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.eventlog import latest
+from tidemark.operators.filters import on_days
 from tidemark.operators.proofs import TERMINAL
 from tidemark.plans.windows import LatestRows, Month, RandomRows, TimeRange, Window, instant
 
@@ -39,10 +40,14 @@ def metric_warnings(metrics: DataFrame, sources: Sequence[str], required: Sequen
     return joined.select("source_id", "last_day", kind.alias("warning"), F.when(F.col("last_day").isNotNull(), lacking).alias("lacking")).where(F.col("warning").isNotNull())
 
 
+def last_publications(metrics: DataFrame) -> DataFrame:
+    """By source, the latest publication that the provenance JSON names; null where none can be read."""
+    return metrics.groupBy("source_id").agg(F.max(F.try_to_timestamp(F.get_json_object("provenance_json", "$.last_updated_utc"))).alias("published"))
+
+
 def publish_warnings(metrics: DataFrame, today: str, stale_days: int) -> DataFrame:
     """By source, when its last publication (in the provenance JSON) is not known or too long ago."""
-    at = F.max(F.try_to_timestamp(F.get_json_object("provenance_json", "$.last_updated_utc"))).alias("published")
-    out = metrics.groupBy("source_id").agg(at)
+    out = last_publications(metrics)
     kind = F.when(F.col("published").isNull(), "publish_missing").when(F.datediff(F.lit(today).cast("date"), F.to_date("published")) > stale_days, "publish_stale")
     return out.select("source_id", "published", kind.alias("warning")).where(F.col("warning").isNotNull())
 
@@ -63,7 +68,7 @@ def mempool_boundary(proof_states: DataFrame, mempool: DataFrame) -> datetime |
     first = done.agg(F.min("partition_id")).first()[0]
     if first is None:
         return None
-    top = mempool.where(F.to_date("snapshot_at") == F.lit(first).cast("date")).agg(F.min(F.unix_micros("snapshot_at"))).first()[0]
+    top = on_days(mempool, "snapshot_at", [date.fromisoformat(first)]).agg(F.min(F.unix_micros("snapshot_at"))).first()[0]
     return None if top is None else datetime.fromtimestamp(top / 1e6, UTC)
 
 

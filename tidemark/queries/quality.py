@@ -1,0 +1,419 @@
+"""Integrity suites, serving checks, planning and functions over the driver's tables; faults are planted by expressions."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.functions import bitcoin, identity, precision, text
+from tidemark.operators import aligned, eventlog, filters, integrity, native, proofs, serving, splits
+from tidemark.plans.windows import AllRows, LatestRows, RandomRows, TimeRange
+from tidemark.queries.base import query, table, trades
+from tidemark.queries.payloads import log_of, native_of, native_sql, uuid5_sql
+from tidemark.sources import exchange_csv, feeds
+
+
+def every(n: int, k: int, c: str, other: str) -> Column:
+    """The column c, but `other` where the row's number k is a multiple of n: a planted fault."""
+    return F.expr(f"case when {k} % {n} = 0 then {other} else {c} end")
+
+
+# --- integrity suites -------------------------------------------------------------------------------------------------
+
+
+def _sided_report(dataset: str, exchange: str, order: str) -> None:
+    made = native_sql(dataset)
+    sql = f"""with t as ({made}), f as (select trade_id, case when trade_id % 97 = 0 then 0 else price end as price, case when trade_id % 89 = 0 then 0 else size end as size, case when trade_id % 83 = 0 then 'hold' else side end as side, timestamp, cast(datetime as date) as day from t),
+n as (select *, lag(trade_id) over w as p from f window w as (partition by day order by trade_id))
+select count(*) as rows, count(*) filter (p is not null and not trade_id {order} p) as id_sequence, 0::bigint as id_not_negative, count(*) filter (not price > 0) as price_positive, count(*) filter (not size {'>=' if exchange == 'bybit' else '>'} 0) as size_positive,
+  count(*) filter (not timestamp > 0) as timestamp_positive, count(*) filter (side not in ('buy', 'sell')) as side from n"""
+
+    @query(f"dq_02_{exchange}", sql)
+    def _(spark, d):
+        t = native_of(spark, d, dataset).withColumns({"partition_id": F.to_date("datetime"), "price": every(97, "trade_id", "price", "0"), "size": every(89, "trade_id", "size", "0"), "side": every(83, "trade_id", "side", "'hold'")})
+        return integrity.report(*integrity.exchange_checks(t, exchange, row_order="trade_id"))
+
+
+_sided_report("okx_spot_trades", "okx", ">")
+_sided_report("bybit_spot_trades", "bybit", ">")
+
+
+@query("dq_03_headers", f"""with h as ({native_sql('bitcoin_block_headers')}), n as (select *, case when height % 50 = 0 then 'zz' else block_hash end as hash, lag(height) over w as ph, lag(case when height % 50 = 0 then 'zz' else block_hash end) over w as pb from h window w as (order by height))
+select count(*) as rows, count(*) filter (ph is not null and height <> ph + 1) as height_sequence, count(*) filter (ph is not null and prev_hash <> pb) as linked, count(*) filter (not regexp_full_match(hash, '[0-9a-f]{{64}}')) as hash,
+  count(*) filter (not difficulty > 0) as difficulty_positive, count(*) filter (not timestamp > 0) as timestamp_positive from n""")
+def _(spark, d):
+    h = native_of(spark, d, "bitcoin_block_headers").withColumns({"block_hash": every(50, "height", "block_hash", "'zz'"), "timestamp_ms": F.col("timestamp")})
+    return integrity.report(*integrity.header_checks(h))
+
+
+@query("dq_04_transactions", f"""with t as (select *, case when block_height % 40 = 0 and transaction_index = 1 then 'same' else txid end as tx, case when block_height % 30 = 0 then 0 else coinbase end as cb from ({native_sql('bitcoin_block_transactions')})),
+n as (select *, lag(transaction_index) over (partition by block_height order by transaction_index) as p, count(*) over (partition by block_height, tx) as c from t)
+select count(*) as rows, count(*) filter (transaction_index <> coalesce(p + 1, 0)) as index_sequence, count(*) filter (c <> 1) as unique_txid, count(*) filter ((cb = 1) <> (transaction_index = 0)) as coinbase_first, 0::bigint as values_json from n""")
+def _(spark, d):
+    t = native_of(spark, d, "bitcoin_block_transactions")
+    t = t.withColumns({"txid": F.expr("case when block_height % 40 = 0 and transaction_index = 1 then 'same' else txid end"), "coinbase": every(30, "block_height", "coinbase", "cast(0 as tinyint)")})
+    return integrity.report(*integrity.transaction_checks(t))
+
+
+@query("dq_05_mempool", f"""with m as (select *, case when first_seen_timestamp % 20 = 0 then 0 else vsize end as v, case when first_seen_timestamp % 30 = 0 then 'same' else txid end as tx from ({native_sql('bitcoin_mempool_state')})), n as (select *, count(*) over (partition by snapshot_at_unix_ms, tx) as c from m)
+select count(*) as rows, count(*) filter (c <> 1) as unique_txid, count(*) filter (not fee_rate_sat_vb >= 0) as fee_rate, count(*) filter (not v > 0) as vsize, count(*) filter (not first_seen_timestamp >= 0) as first_seen from n""")
+def _(spark, d):
+    m = native_of(spark, d, "bitcoin_mempool_state").withColumns({"vsize": every(20, "first_seen_timestamp", "vsize", "0"), "txid": every(30, "first_seen_timestamp", "txid", "'same'")})
+    return integrity.report(*integrity.mempool_checks(m))
+
+
+@query("dq_06_fees", f"select count(*) as rows, count(*) filter (block_height % 25 = 0 and fee_total_btc > 0) as fee_not_negative, 0::bigint as height from ({native_sql('bitcoin_block_fee_totals')})")
+def _(spark, d):
+    return integrity.report(*integrity.fee_checks(native_of(spark, d, "bitcoin_block_fee_totals").withColumn("fee_total_btc", every(25, "block_height", "fee_total_btc", "-fee_total_btc"))))
+
+
+@query("dq_07_subsidy", "select count(*) as rows, count(*) filter (o_orderkey % 35 = 0) as halving, count(*) filter (o_orderkey % 45 = 0) as subsidy, 0::bigint as btc from orders")
+def _(spark, d):
+    s = native_of(spark, d, "bitcoin_block_subsidy_schedule").withColumn("block_height", F.col("block_height") * 100)
+    return integrity.report(*integrity.subsidy_checks(s.withColumns({"halving_interval": every(35, "block_height div 100", "halving_interval", "halving_interval + 1"), "subsidy_sats": every(45, "block_height div 100", "subsidy_sats", "subsidy_sats + 1")})))
+
+
+@query("dq_08_hashrate", "select count(*) as rows, count(*) filter (o_orderkey % 15 = 0) as interval, count(*) filter (o_orderkey % 15 = 0 or o_orderkey % 22 = 0) as formula from orders")
+def _(spark, d):
+    h = native_of(spark, d, "bitcoin_network_hashrate_estimate")
+    right = bitcoin.hashrate(F.col("difficulty"), F.col("observed_interval_seconds"))
+    h = h.withColumn("hashrate_hs", right).withColumns({"hashrate_hs": every(22, "block_height", "hashrate_hs", "hashrate_hs * 1.1"), "observed_interval_seconds": every(15, "block_height", "observed_interval_seconds", "-observed_interval_seconds")})
+    return integrity.report(*integrity.hashrate_checks(h))
+
+
+@query("dq_09_supply", """with s as (select o_orderkey as h, lag(o_orderkey) over (order by o_orderkey) as p from orders)
+select count(*) as rows, count(*) filter (h % 31 = 0) as formula, 0::bigint as btc, count(*) filter (p is not null and h % 31 = 0) as monotonic from s""")
+def _(spark, d):
+    s = native_of(spark, d, "bitcoin_circulating_supply")
+    sats = bitcoin.supply_sats(F.col("block_height"))
+    s = s.withColumns({"circulating_supply_sats": sats, "circulating_supply_btc": sats / bitcoin.SATS_PER_BTC})
+    return integrity.report(*integrity.supply_checks(s.withColumn("circulating_supply_sats", every(31, "block_height", "circulating_supply_sats", "0"))))
+
+
+@query("dq_10_etf", f"""with m as ({native_sql('etf_daily_metrics')}), g as (select source_id, list_sort(list(distinct metric_name)) as names, count(distinct cast(observed_at_utc as date)) as days,
+  count(*) filter (metric_name = 'm1' and metric_value_float is not null and metric_value_float <> floor(metric_value_float)) as not_whole from m group by 1)
+select source_id, array_to_string(list_sort(list_filter(['m0', 'm1', 'm9'], lambda x: not list_contains(names, x))), ',') as missing, array_to_string(list_filter(names, lambda x: not list_contains(['m0', 'm1', 'm2'], x)), ',') as unknown, days > 1 as several_days, 0::bigint as not_midnight, not_whole from g""")
+def _(spark, d):
+    out = integrity.etf_checks(native_of(spark, d, "etf_daily_metrics"), ["m0", "m1", "m9"], ["m0", "m1", "m2"], ["m1"])
+    return out.withColumns({"missing": F.array_join("missing", ","), "unknown": F.array_join("unknown", ",")})
+
+
+_PUBLISHED = "case when event_type = 'view' then null when event_type = 'click' then '2023-12-01T00:00:00' else strftime(ts, '%Y-%m-%dT%H:%M:%S') end"
+
+
+@query("dq_12_publish_warnings", f"""with g as (select event_type as source_id, max(cast({_PUBLISHED} as timestamp)) as published from events group by 1)
+select *, case when published is null then 'publish_missing' else 'publish_stale' end as warning from g where published is null or date '2024-02-02' - cast(published as date) > 5""")
+def _(spark, d):
+    at = F.when(F.col("event_type") == "view", None).when(F.col("event_type") == "click", "2023-12-01T00:00:00").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    m = table(spark, d, "events").select(F.col("event_type").alias("source_id"), F.to_json(F.struct(at.alias("last_updated_utc"))).alias("provenance_json"))
+    return serving.publish_warnings(m, "2024-02-02", 5)
+
+
+@query("agg_32_last_publications", f"select event_type as source_id, max(cast({_PUBLISHED} as timestamp)) as published from events group by 1")
+def _(spark, d):
+    at = F.when(F.col("event_type") == "view", None).when(F.col("event_type") == "click", "2023-12-01T00:00:00").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    m = table(spark, d, "events").select(F.col("event_type").alias("source_id"), F.to_json(F.struct(at.alias("last_updated_utc"))).alias("provenance_json"))
+    return serving.last_publications(m)
+
+
+@query("dq_14_window_warnings", "select * from (values ('latest', 'WINDOW_LATEST_ROWS_MUTABLE'), ('random', 'WINDOW_RANDOM_SAMPLE')) t(w, code)")
+def _(spark, d):
+    kinds = {"latest": LatestRows(3), "random": RandomRows(3), "all": AllRows(), "range": TimeRange("2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z")}
+    return spark.createDataFrame([(k, w["code"]) for k, window in kinds.items() for w in serving.window_warnings(window)], "w string, code string")
+
+
+@query("dq_15_schema_contract", "select * from (values ('n_name: string instead of bigint'), ('n_extra: missing instead of string'), ('n_comment: not in the contract')) t(difference)")
+def _(spark, d):
+    n = table(spark, d, "nation")
+    n = n.select("n_nationkey", "n_name", F.lit("x").alias("n_comment"))
+    wanted = {"n_nationkey": dict(n.dtypes)["n_nationkey"], "n_name": "bigint", "n_extra": "string"}
+    return spark.createDataFrame([(x,) for x in integrity.schema_differences(n, wanted)], "difference string")
+
+
+@query("dq_16_normalised_blocks", """select l_orderkey as block_height, row_number() over (partition by l_orderkey order by l_linenumber, case when l_linenumber > 1 then cast(cast(l_extendedprice as decimal(18, 2)) as varchar) end, cast(cast(l_discount as decimal(18, 2)) as varchar)) - 1 as transaction_index, sha256(l_orderkey || '|' || l_linenumber) as txid, l_linenumber = 1 as coinbase,
+  '{"input_value_btc_sum":"' || cast(case when l_linenumber = 1 then 0 else cast(l_extendedprice as decimal(18, 2)) end as decimal(38, 8)) || '","output_value_btc_sum":"' || cast(cast(l_discount as decimal(18, 2)) + 1 as decimal(38, 8)) || '"}' as "values",
+  '[{"n":0,"value":"' || cast(cast(l_discount as decimal(18, 2)) as varchar) || '"},{"n":1,"value":"1"}]' as outputs from lineitem""")
+def _(spark, d):
+    t = F.struct(
+        F.col("l_linenumber").alias("n"), F.sha2(F.concat_ws("|", "l_orderkey", "l_linenumber"), 256).alias("txid"),
+        F.array(F.struct(F.when(F.col("l_linenumber") == 1, "00").alias("coinbase"), F.when(F.col("l_linenumber") > 1, F.struct(F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("value"))).alias("prevout"))).alias("vin"),
+        F.array(F.struct(F.lit(0).alias("n"), F.col("l_discount").cast("decimal(18,2)").cast("string").alias("value")), F.struct(F.lit(1).alias("n"), F.lit("1").alias("value"))).alias("vout"),
+    )
+    raw = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("height")).agg(F.to_json(F.struct(F.lit("b").alias("hash"), F.lit(1).alias("time"), F.array_sort(F.collect_list(t)).alias("tx"))).alias("block"))
+    return feeds.transactions_of(raw).select("block_height", "transaction_index", "txid", "coinbase", "values", "outputs")
+
+
+@query("agg_37_fee_totals", f"""select block_height, cast(sum(case when coinbase = 1 then 0 else cast(json_extract_string("values", '$.input_value_btc_sum') as decimal(18, 2)) - cast(json_extract_string("values", '$.output_value_btc_sum') as decimal(18, 2)) end) as double) as fee_total_btc
+from ({native_sql('bitcoin_block_transactions')}) group by 1, block_timestamp""")
+def _(spark, d):
+    return bitcoin.fee_totals(native_of(spark, d, "bitcoin_block_transactions")).select("block_height", "fee_total_btc")
+
+
+@query("win_05_row_numbers", "select l_orderkey * 8 + l_linenumber as trade_id, row_number() over (partition by l_orderkey order by l_linenumber) as row_no from lineitem")
+def _(spark, d):
+    li = table(spark, d, "lineitem").withColumn("trade_id", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    return integrity.numbered_rows(li, "l_linenumber", ["l_orderkey"]).select("trade_id", "row_no")
+
+
+@query("win_06_previous_rows", "select o_orderkey as height, lag(o_orderkey) over (order by o_orderkey) as previous_height, lag(sha256(cast(o_orderkey as varchar))) over (order by o_orderkey) as previous_block_hash from orders")
+def _(spark, d):
+    df, _ = integrity.header_checks(native_of(spark, d, "bitcoin_block_headers").withColumn("timestamp_ms", F.col("timestamp")))
+    return df.select("height", "previous_height", "previous_block_hash")
+
+
+# --- joins, filters, sets ---------------------------------------------------------------------------------------------
+
+
+@query("flt_15_identity_tuples", "select event_type as stream_id, cast(event_id as varchar) as source_offset from events where user_id % 10 = 0")
+def _(spark, d):
+    log = log_of(spark, d, "binance_spot_trades").select("source_id", "partition_id", "source_offset", F.lit("x").alias("y"))
+    wanted = table(spark, d, "events").where("user_id % 10 = 0").select(F.lit("binance").alias("source_id"), F.date_format("ts", "yyyy-MM-dd").alias("partition_id"), F.col("event_id").cast("string").alias("source_offset"), F.col("event_type").alias("stream_id"))
+    kept = filters.in_tuples(log, wanted, ["source_id", "partition_id", "source_offset"])
+    return kept.join(wanted.select("source_offset", "stream_id"), "source_offset").select("stream_id", "source_offset")
+
+
+@query("join_04_semi", "select o_orderkey from orders where o_custkey in (select c_custkey from customer where c_nationkey in (1, 2, 3))")
+def _(spark, d):
+    c = table(spark, d, "customer").where("c_nationkey in (1, 2, 3)").select(F.col("c_custkey").alias("o_custkey"))
+    return filters.in_tuples(table(spark, d, "orders"), c, ["o_custkey"]).select("o_orderkey")
+
+
+@query("join_09_side_counts", "select (select count(*) from nation) as nations, (select count(*) from region) as regions, (select count(*) from customer) as customers, (select count(*) from orders) as orders, (select count(*) from events) as events")
+def _(spark, d):
+    return proofs.side_counts(**{f"{t}s": table(spark, d, t) for t in ("nation", "region", "customer")}, orders=table(spark, d, "orders"), events=table(spark, d, "events"))
+
+
+@query("flt_18_mempool_boundary", "select min(cast(date_trunc('hour', ts) as timestamp)) as boundary from events where cast(ts as date) = (select min(cast(ts as date)) from events where extract(day from ts) % 3 = 0)")
+def _(spark, d):
+    m = native_of(spark, d, "bitcoin_mempool_state")
+    days = m.select(F.date_format("snapshot_at", "yyyy-MM-dd").alias("partition_id"), F.dayofmonth("snapshot_at").alias("n")).distinct()
+    states = days.select("partition_id", F.when(F.col("n") % 3 == 0, "proved_complete").otherwise("quarantined").alias("state"), F.lit("2024-02-01").cast("timestamp").alias("recorded_at"))
+    return spark.createDataFrame([(serving.mempool_boundary(states, m),)], "boundary timestamp")
+
+
+@query("flt_19_days", "select event_id from events where cast(ts as date) in (date '2024-01-03', date '2024-01-20')")
+def _(spark, d):
+    return filters.on_days(table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", [date(2024, 1, 3), date(2024, 1, 20)]).select("event_id")
+
+
+@query("flt_09_clauses", "select * from (values (0, 'filters[0].field must be a non-empty string'), (1, 'filters[0].value must be provided'), (2, 'filters[0].value must be a non-empty list when op=in'), (3, 'filters[0].value must be a scalar when op=eq'), (4, 'ok')) t(k, said)")
+def _(spark, d):
+    said = []
+    for clause in ({"field": " ", "op": "eq", "value": 1}, {"field": "a", "op": "gt"}, {"field": "a", "op": "in", "value": []}, {"field": "a", "op": "eq", "value": [1]}, {"field": "a", "op": "not_in", "value": [1]}):
+        try:
+            filters.require_scalars([clause])
+            said.append("ok")
+        except ValueError as e:
+            said.append(str(e))
+    return spark.createDataFrame(list(enumerate(said)), "k int, said string")
+
+
+@query("set_02_union_all", "select o_orderkey as k, o_totalprice as v, cast(null as varchar) as note from orders union all select c_custkey, null, c_name from customer")
+def _(spark, d):
+    a = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
+    return aligned.union_all([a, table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("note"))]).select("k", "v", "note")
+
+
+@query("agg_29_latest_by_time", "select l_orderkey, arg_max(l_linenumber, (l_shipdate, l_linenumber)) as l_linenumber from lineitem group by 1")
+def _(spark, d):
+    return eventlog.latest(table(spark, d, "lineitem"), ["l_orderkey"], ["l_shipdate", "l_linenumber"]).select("l_orderkey", "l_linenumber")
+
+
+@query("agg_36_non_numeric_offsets", "select event_type as stream_id, count(*) filter (event_id % 7 = 0) as non_numeric_count, min(case when event_id % 7 = 0 then 'x' || event_id end) as sample_offset from events group by 1")
+def _(spark, d):
+    e = table(spark, d, "events").select(F.col("event_type").alias("stream_id"), F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("x"), "event_id")).otherwise(F.col("event_id").cast("string")).alias("source_offset"))
+    return eventlog.non_numeric_offsets(e, ["stream_id"])
+
+
+_ROW = """'{"a":' || o_orderkey || ',"b":"' || o_orderstatus || '"}'"""
+
+
+@query("agg_39_rows_fingerprint", f"select o_custkey, sha256('[' || string_agg({_ROW}, ',' order by o_orderkey) || ']') as fingerprint from orders group by 1")
+def _(spark, d):
+    o = table(spark, d, "orders").select("o_custkey", F.col("o_orderkey").alias("a"), F.col("o_orderstatus").alias("b"))
+    return proofs.rows_fingerprint(o, ["o_custkey"], ["b", "a"], ["a"])
+
+
+@query("agg_41_records_fingerprint", "select o_custkey, sha256(string_agg(o_orderkey || '|' || sha256(o_orderstatus) || chr(10), '' order by cast(o_orderkey as varchar))) as fingerprint from orders group by 1")
+def _(spark, d):
+    o = table(spark, d, "orders").select("o_custkey", F.col("o_orderkey").cast("string").alias("metric_id"), F.sha2("o_orderstatus", 256).alias("payload_sha256"))
+    return proofs.records_fingerprint(o, ["o_custkey"])
+
+
+@query("agg_41_latest_revision", "select o_custkey, cast(arg_max(o_orderkey, (o_orderdate, o_orderdate, cast(o_orderkey as varchar))) as varchar) as artifact_id from orders group by 1")
+def _(spark, d):
+    o = table(spark, d, "orders").select("o_custkey", F.col("o_orderdate").alias("fetched_at_utc"), F.col("o_orderdate").alias("persisted_at_utc"), F.col("o_orderkey").cast("string").alias("artifact_id"))
+    return eventlog.latest(o, ["o_custkey"], ["fetched_at_utc", "persisted_at_utc", "artifact_id"]).select("o_custkey", "artifact_id")
+
+
+# --- projections ------------------------------------------------------------------------------------------------------
+
+
+@query("prjc_03_whitelists", "select * from (values ('binance_spot_trades', 'rejected'), ('bitcoin_block_headers', 'rejected'), ('etf_daily_metrics', 'rejected')) t(dataset, outcome)")
+def _(spark, d):
+    out = []
+    for name in ("binance_spot_trades", "bitcoin_block_headers", "etf_daily_metrics"):
+        try:
+            native.query_native(native_of(spark, d, name), name, AllRows(), ["nothing"])
+            out.append((name, "accepted"))
+        except ValueError:
+            out.append((name, "rejected"))
+    return spark.createDataFrame(out, "dataset string, outcome string")
+
+
+@query("prjc_05_wire_times", "select event_id as trade_id, epoch_us(ts) // 1000 as wire_ms from events")
+def _(spark, d):
+    return trades(spark, d).select("trade_id", native.epoch_millis(F.unix_micros("datetime")).alias("wire_ms"))
+
+
+@query("prjc_09_without_datetime", f"select trade_id, timestamp, price, size, side, trd_match_id from ({native_sql('bybit_spot_trades')})")
+def _(spark, d):
+    return native.query_native(native_of(spark, d, "bybit_spot_trades"), "bybit_spot_trades", AllRows(), include_datetime=False)
+
+
+@query("prjc_11_schema", "select * from (values ('trade_id', 'bigint'), ('timestamp', 'bigint'), ('price', 'double'), ('size', 'double'), ('side', 'string'), ('datetime', 'timestamp')) t(name, dtype)")
+def _(spark, d):
+    return spark.createDataFrame(native.query_native(native_of(spark, d, "okx_spot_trades"), "okx_spot_trades", AllRows()).dtypes, "name string, dtype string")
+
+
+@query("top_10_stable_order", f"select trade_id, row_number() over (order by datetime, trade_id) - 1 as place from ({native_sql('okx_spot_trades')})")
+def _(spark, d):
+    return splits.numbered(native_of(spark, d, "okx_spot_trades").select("datetime", "trade_id"), ["datetime", "trade_id"], "place").select("trade_id", "place")
+
+
+# --- splits -----------------------------------------------------------------------------------------------------------
+
+
+def _parts(parts: list[DataFrame], key: str) -> DataFrame:
+    one = [p.agg(F.lit(k).alias("part"), F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys")) for k, p in enumerate(parts)]
+    return one[0].unionByName(one[1]).unionByName(one[2])
+
+
+@query("spl_02_random", "select part, case part when 0 then n * 6 // 10 when 1 then n * 3 // 10 else n - n * 6 // 10 - n * 3 // 10 end as rows, case part when 0 then n * 6 // 10 when 1 then n * 3 // 10 else n - n * 6 // 10 - n * 3 // 10 end as keys from (select count(*) as n from events), (values (0), (1), (2)) t(part)")
+def _(spark, d):
+    return _parts(splits.split_random(table(spark, d, "events").select("event_id"), [6, 3, 1], 7, ["event_id"]), "event_id")
+
+
+@query("spl_03_prepared", "with o as (select event_id, user_id, value, ts, row_number() over (order by event_id) - 1 as n, count(*) over () as t from events) select cast(sum(value) filter (n < t * 7 // 10) as decimal(18, 2)) as y_train, cast(sum(user_id) filter (n >= t * 7 // 10 and n < t * 7 // 10 + t * 2 // 10) as bigint) as x_val, count(*) filter (n >= t * 7 // 10 + t * 2 // 10) as rows_test, 0::bigint as missing from o")
+def _(spark, d):
+    e = table(spark, d, "events").select("event_id", "user_id", F.col("value").cast("decimal(18,2)").alias("value"), F.col("ts").alias("datetime"))
+    parts = splits.split_sequential(e, [7, 2, 1], ["event_id"])
+    p = splits.train_val_test([x.select("user_id", "value", "datetime") for x in parts], "value")
+    one = p["y_train"].agg(F.sum("value").cast("decimal(18,2)").alias("y_train")).crossJoin(p["x_val"].agg(F.sum("user_id").alias("x_val")))  # a row each
+    return one.crossJoin(p["x_test"].agg(F.count(F.lit(1)).alias("rows_test"))).crossJoin(splits.missing_times(e, parts).agg(F.count(F.lit(1)).alias("missing")))
+
+
+@query("spl_04_slice", "select 50::bigint as rows, 50::bigint as span")
+def _(spark, d):
+    s = splits.random_slice(table(spark, d, "events").select("event_id"), 50, ["event_id"], 0.1, 0.9, 3)
+    return s.agg(F.count(F.lit(1)).alias("rows"), (F.max("event_id") - F.min("event_id") + 1).alias("span"))
+
+
+# --- functions --------------------------------------------------------------------------------------------------------
+
+
+@query("fn_identifiers", "select * from (values (0, 'net_asset_value'), (1, 'net_asset_value_2'), (2, 'col_2024_x'), (3, 'column_4'), (4, 'shares')) t(k, name)")
+def _(spark, d):
+    return spark.createDataFrame(list(enumerate(text.identifiers(["Net Asset-Value", "NET asset value ", "2024 x", "%%", "shares"]))), "k int, name string")
+
+
+@query("fn_any_date", "select o_orderkey, cast(o_orderdate as date) as day from orders")
+def _(spark, d):
+    shown = F.expr("case o_orderkey % 4 when 0 then date_format(o_orderdate, 'MM/dd/yyyy') when 1 then date_format(o_orderdate, 'MMM d, yyyy') when 2 then date_format(o_orderdate, 'yyyyMMdd') else date_format(o_orderdate, 'yyyy-MM-dd') end")
+    return table(spark, d, "orders").select("o_orderkey", text.any_date(shown).alias("day"))
+
+
+@query("fn_half_up", "select event_id, (event_id * 5 + 5) // 10 + 1700000000000 as ms from events")
+def _(spark, d):
+    n = F.col("event_id") * 5
+    seconds = F.concat(F.lit(1700000000) + F.floor(n / 10000), F.lit("."), F.lpad((n % 10000).cast("string"), 4, "0"))
+    return table(spark, d, "events").select("event_id", text.half_up_millis(seconds).alias("ms"))
+
+
+@query("fn_cast_or_null", "select event_id, case when event_id % 4 = 0 then null else cast(value as double) end as v from events")
+def _(spark, d):
+    return table(spark, d, "events").select("event_id", text.missing_dot(F.when(F.col("event_id") % 4 == 0, " . ").otherwise(F.col("value").cast("string"))).alias("v"))
+
+
+@query("fn_value_codec", "select event_id, case event_id % 5 when 0 then 'null' when 1 then 'bool' when 2 then 'int' when 3 then 'float' else 'string' end as kind, case event_id % 5 when 1 then case when event_id % 2 = 0 then 'true' else 'false' end when 2 then cast(event_id as varchar) when 3 then cast(cast(value as decimal(18, 2)) as varchar) when 4 then 't' || event_id end as text from events")
+def _(spark, d):
+    n = native_of(spark, d, "etf_daily_metrics")
+    coded = aligned.encoded_value(F.col("metric_value_string"), F.col("metric_value_int"), F.col("metric_value_float"), F.col("metric_value_bool").cast("int"))
+    return n.select(F.col("metric_id").cast("long").alias("event_id"), coded["metric_value_kind"].alias("kind"), coded["metric_value_text"].alias("text"))
+
+
+@query("fn_vintages", "select 'GDP' as series_id, vintage, cast(o_orderdate as date) as day, cast(cast(v as varchar) as double) as value from (select o_orderkey, o_orderdate, unnest([date '2024-01-31', date '2024-02-29']) as vintage, unnest([cast(o_totalprice as decimal(18, 2)), null]) as v from orders)")
+def _(spark, d):
+    cells = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("GDP_20240131"), F.lit(".").alias("GDP_20240229"))
+    return feeds.vintages(table(spark, d, "orders").select(F.to_json(cells).alias("row"))).withColumnRenamed("date", "day")
+
+
+@query("fn_series_rows", "select sha256('fred_gdp|GDP|' || strftime(o_orderdate, '%Y-%m-%d') || '|2024-01-01|9999-12-31|' || cast(cast(o_totalprice as decimal(18, 2)) as varchar)) as metric_id, 'GDP' as metric_name, cast(o_totalprice as decimal(18, 2)) as v from orders")
+def _(spark, d):
+    o = F.struct(F.lit("2024-01-01").alias("realtime_start"), F.lit("9999-12-31").alias("realtime_end"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("value"))
+    bundles = table(spark, d, "orders").groupBy("o_custkey").agg(F.to_json(F.collect_list(o)).alias("observations")).select(F.lit("GDP").alias("series_id"), F.lit("USD").alias("unit"), F.lit("x").alias("last_updated"), "observations")
+    return feeds.series_observations(bundles).select("metric_id", "metric_name", F.col("metric_value_float").cast("decimal(18,2)").alias("v"))
+
+
+@query("fn_state_ids", f"select o_orderkey, {uuid5_sql(chr(39) + 'p|' + chr(39) + ' || o_custkey || ' + chr(39) + '|' + chr(39) + ' || o_orderkey')} as id from orders")
+def _(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", identity.state_id(identity.EVENT_NAMESPACE, F.lit("p"), F.col("o_custkey"), F.col("o_orderkey")).alias("id"))
+
+
+@query("fn_text_steps", """select n_nationkey, lower(trim(n_name)) as low, length(n_name) as chars, starts_with(n_name, 'A') as a, n_name[1:3] as head, split_part(n_name, ' ', 1) as word, n_name || '|' || n_regionkey as joined, regexp_matches(n_name, '^[A-M]') as early from nation""")
+def _(spark, d):
+    n = F.col("n_name")
+    return table(spark, d, "nation").select(
+        "n_nationkey", F.lower(F.trim(n)).alias("low"), F.char_length(n).cast("long").alias("chars"), n.startswith("A").alias("a"), F.substring(n, 1, 3).alias("head"), F.split(n, " ")[0].alias("word"),
+        F.concat_ws("|", n, F.col("n_regionkey").cast("string")).alias("joined"), n.rlike("^[A-M]").alias("early"),
+    )
+
+
+_SCALED = lambda c, scale: f"cast(cast({c} as decimal(38, {scale})) as varchar)"
+
+
+@query("fn_precision", f"""select event_id, '{{"note":"n","price":"' || {_SCALED('cast(value as decimal(18, 2))', 8)} || '","qty":"' || {_SCALED("json_extract_string(props, '$.k')", 8)} || '","trade_id":' || event_id || ',"x":true}}' as payload from events""")
+def _(spark, d):
+    raw = F.to_json(F.struct(F.lit(True).alias("x"), F.col("event_id").cast("string").alias("trade_id"), F.col("value").cast("decimal(18,2)").alias("price"), F.get_json_object("props", "$.k").cast("int").alias("qty"), F.lit("n").alias("note")))
+    return table(spark, d, "events").select("event_id", precision.without_floats(precision.canonical_payload(raw, "binance", "binance_spot_trades")).alias("payload"))
+
+
+# --- trade files ------------------------------------------------------------------------------------------------------
+
+_PRICE, _SIZE = "cast(cast(l_extendedprice as decimal(18, 8)) as varchar)", "cast(cast(l_quantity as decimal(18, 4)) as varchar)"
+_FILE_MS = "epoch_us(cast(l_shipdate as timestamp)) // 1000"
+_TID = "l_orderkey * 8 + l_linenumber"
+
+
+def _lines(spark, d, columns: dict[str, str]) -> DataFrame:
+    li = table(spark, d, "lineitem")
+    return li.select(*(F.expr(e).cast("string").alias(c) for c, e in columns.items()), F.expr(_TID).alias("row_no"))
+
+
+_SPARK = {"price": "cast(l_extendedprice as decimal(18, 8))", "size": "cast(l_quantity as decimal(18, 4))", "ms": "unix_millis(cast(l_shipdate as timestamp))"}
+
+
+def _payload_rows(typed: DataFrame, exchange: str) -> DataFrame:
+    return exchange_csv.payload_events(typed, exchange, F.date_format("datetime", "yyyy-MM-dd")).select("source_offset", "partition_id", F.sha2("payload_json", 256).alias("payload_sha256"))
+
+
+@query("src_10_binance_lines", f"""select cast({_TID} as varchar) as source_offset, strftime(l_shipdate, '%Y-%m-%d') as partition_id, sha256('{{"is_best_match":true,"is_buyer_maker":' || (l_returnflag = 'R') || ',"price":"' || {_PRICE} || '","qty":"' || {_SIZE} || '","quote_qty":"12345678901234.12345678","trade_id":' || ({_TID}) || '}}') as payload_sha256 from lineitem""")
+def _(spark, d):
+    lines = _lines(spark, d, {"trade_id": _TID, "price": f"concat(' ', {_SPARK['price']})", "quantity": _SPARK["size"], "quote_quantity": "'12345678901234.12345678'", "timestamp": f"{_SPARK['ms']} * 1000", "is_buyer_maker": "if(l_returnflag = 'R', 'True', 'false')", "is_best_match": "'TRUE'"})
+    return _payload_rows(exchange_csv.binance_trades(lines), "binance")
+
+
+@query("src_11_okx_lines", f"""select cast({_TID} as varchar) as source_offset, strftime(make_timestamp((1700000000000 + {_FILE_MS}) * 1000), '%Y-%m-%d') as partition_id, sha256('{{"instrument_name":"BTC-USDT","price":"' || {_PRICE} || '","side":"' || case when l_returnflag = 'R' then 'sell' else 'buy' end || '","size":"' || {_SIZE} || '","timestamp":' || (1700000000000 + {_FILE_MS}) || ',"trade_id":' || ({_TID}) || '}}') as payload_sha256 from lineitem""")
+def _(spark, d):
+    lines = _lines(spark, d, {"instrument_name": "'BTC-USDT'", "trade_id": _TID, "side": "if(l_returnflag = 'R', 'SELL', 'buy')", "price": _SPARK["price"], "size": _SPARK["size"], "created_time": f"1700000000000 + {_SPARK['ms']}"})
+    return _payload_rows(exchange_csv.okx_trades(lines), "okx")
+
+
+@query("src_12_bybit_lines", f"""select 'm-' || ({_TID}) as source_offset, strftime(l_shipdate, '%Y-%m-%d') as partition_id, sha256('{{"foreign_notional":"1.50","gross_value":"2e8","home_notional":"' || {_SIZE} || '","price":"' || {_PRICE} || '","quote_quantity":"1.50","side":"buy","size":"' || {_SIZE} || '","symbol":"BTCUSDT","tick_direction":"PlusTick","timestamp":' || ({_FILE_MS} + 1) || ',"trd_match_id":"m-' || ({_TID}) || '","trade_id":' || ({_TID}) || '}}') as payload_sha256 from lineitem""")
+def _(spark, d):
+    seconds = f"concat({_SPARK['ms']} div 1000, '.0005')"
+    lines = _lines(spark, d, {"timestamp": seconds, "symbol": "'BTCUSDT'", "side": "'Buy'", "size": _SPARK["size"], "price": _SPARK["price"], "tickDirection": "'PlusTick'", "trdMatchID": f"concat('m-', {_TID})", "grossValue": "'2e8'", "homeNotional": _SPARK["size"], "foreignNotional": "'1.50'"})
+    return _payload_rows(exchange_csv.bybit_trades(lines), "bybit")
+

@@ -70,9 +70,19 @@ def whole(c: str) -> Column:
     return _checked(t.try_cast("long"), t.rlike(r"^[0-9]+$") & t.try_cast("long").isNotNull(), c)
 
 
-def decimal(c: str) -> Column:
+def decimal_text(c: str) -> Column:
+    """The number as the file has it, digit for digit."""
     t = F.trim(F.col(c))
-    return _checked(t.try_cast("double"), t.rlike(r"^[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"), c)
+    return _checked(t, t.rlike(r"^[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"), c)
+
+
+def decimal(c: str) -> Column:
+    return decimal_text(c).try_cast("double")
+
+
+def texts(*columns: str) -> list[Column]:
+    """<name>_text of each number: payloads are made of these, never of doubles."""
+    return [decimal_text(c).alias(f"{c}_text") for c in columns]
 
 
 def flag(c: str) -> Column:
@@ -95,7 +105,7 @@ def binance_trades(lines: DataFrame, day: str | None = None) -> DataFrame:
     ms = millis("timestamp") if day is None else _in_day(millis("timestamp"), F.lit(day).cast("date"))
     return lines.select(
         whole("trade_id").alias("trade_id"), decimal("price").alias("price"), decimal("quantity").alias("quantity"), decimal("quote_quantity").alias("quote_quantity"), ms.alias("timestamp"),
-        flag("is_buyer_maker").cast("byte").alias("is_buyer_maker"), flag("is_best_match").cast("byte").alias("is_best_match"), F.timestamp_millis(ms).alias("datetime"), "row_no",
+        flag("is_buyer_maker").cast("byte").alias("is_buyer_maker"), flag("is_best_match").cast("byte").alias("is_best_match"), F.timestamp_millis(ms).alias("datetime"), "row_no", *texts("price", "quantity", "quote_quantity"),
     )
 
 
@@ -108,7 +118,7 @@ def okx_trades(lines: DataFrame, instrument: str = "BTC-USDT", day: str | None =
     price, size = decimal("price"), decimal("size")
     return lines.select(
         _checked(name, name == instrument, "instrument_name").alias("instrument_name"), whole("trade_id").alias("trade_id"), _checked(side, side.isin("buy", "sell"), "side").alias("side"),
-        price.alias("price"), size.alias("size"), (price * size).alias("quote_quantity"), ms.alias("timestamp"), F.timestamp_millis(ms).alias("datetime"), "row_no",
+        price.alias("price"), size.alias("size"), (price * size).alias("quote_quantity"), ms.alias("timestamp"), F.timestamp_millis(ms).alias("datetime"), "row_no", *texts("price", "size"),
     )
 
 
@@ -128,21 +138,30 @@ def bybit_trades(lines: DataFrame, symbol: str = "BTCUSDT", day: str | None = No
         _checked(name, name == symbol, "symbol").alias("symbol"), _checked(trade_id, trade_id.isNotNull(), "trdMatchID").alias("trade_id"), match.alias("trd_match_id"),
         _checked(side, side.isin("buy", "sell"), "side").alias("side"), price.alias("price"), size.alias("size"), (price * size).alias("quote_quantity"), ms.alias("timestamp"),
         F.timestamp_millis(ms).alias("datetime"), F.trim("tickDirection").alias("tick_direction"), decimal("grossValue").alias("gross_value"), decimal("homeNotional").alias("home_notional"),
-        decimal("foreignNotional").alias("foreign_notional"), "row_no",
+        decimal("foreignNotional").alias("foreign_notional"), "row_no", *texts("price", "size", "grossValue", "homeNotional", "foreignNotional"),
     )
 
 
+#: The payloads' fields, in their order, and where each comes from; numbers come as the file's text. Fixed values.
+_PAYLOADS = {
+    "binance": {"is_best_match": "is_best_match", "is_buyer_maker": "is_buyer_maker", "price": "price_text", "qty": "quantity_text", "quote_qty": "quote_quantity_text", "trade_id": "trade_id"},
+    "okx": {"instrument_name": "instrument_name", "price": "price_text", "side": "side", "size": "size_text", "timestamp": "timestamp", "trade_id": "trade_id"},
+    "bybit": {
+        "foreign_notional": "foreignNotional_text", "gross_value": "grossValue_text", "home_notional": "homeNotional_text", "price": "price_text", "quote_quantity": "foreignNotional_text", "side": "side",
+        "size": "size_text", "symbol": "symbol", "tick_direction": "tick_direction", "timestamp": "timestamp", "trd_match_id": "trd_match_id", "trade_id": "trade_id",
+    },
+}
+
+
 def payload_events(trades: DataFrame, exchange: str, partition: Column) -> DataFrame:
-    """Rows for the event log: identity columns, event time and the payload as canonical JSON (sorted keys)."""
-    fields = {
-        "binance": {"is_best_match": F.col("is_best_match").cast("boolean"), "is_buyer_maker": F.col("is_buyer_maker").cast("boolean"), "price": "price", "qty": "quantity", "quote_qty": "quote_quantity", "trade_id": "trade_id"},
-        "okx": {"instrument_name": "instrument_name", "price": "price", "side": "side", "size": "size", "timestamp": "timestamp", "trade_id": "trade_id"},
-        "bybit": {"price": "price", "side": "side", "size": "size", "symbol": "symbol", "timestamp": "timestamp", "trade_id": "trade_id", "trd_match_id": "trd_match_id"},
-    }[exchange]
-    exact = {"price", "qty", "quote_qty", "size"}
-    cell = lambda n, c: (F.col(c) if isinstance(c, str) else c).cast("decimal(38,12)").cast("string") if n in exact else (F.col(c) if isinstance(c, str) else c)
-    payload = F.to_json(F.struct(*(cell(n, c).alias(n) for n, c in sorted(fields.items()))))
+    """Rows for the event log: identity columns, event time and the payload as JSON, numbers as the file has them.
+
+    The offset is the trade's id; Bybit's is the match id, as its ids are no numbers.
+    """
+    cell = lambda n, c: (F.col(c).cast("boolean") if n.startswith("is_") else F.col(c)).alias(n)
+    payload = F.to_json(F.struct(*(cell(n, c) for n, c in _PAYLOADS[exchange].items())))
+    offset = F.col("trd_match_id") if exchange == "bybit" else F.col("trade_id").cast("string")
     return trades.select(
-        F.lit(exchange).alias("source_id"), F.lit(f"{exchange}_spot_trades").alias("stream_id"), partition.alias("partition_id"), F.col("trade_id").cast("string").alias("source_offset"),
+        F.lit(exchange).alias("source_id"), F.lit(f"{exchange}_spot_trades").alias("stream_id"), partition.alias("partition_id"), offset.alias("source_offset"),
         F.col("datetime").alias("source_event_time"), payload.alias("payload_json"),
     )
