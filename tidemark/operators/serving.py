@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import UTC, date, datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,6 +82,15 @@ def reject_before_boundary(window: Window, boundary: datetime | None) -> None:
         raise ValueError(f"mempool data start at {boundary.isoformat()}")
 
 
+def load_rights(path: str) -> dict:
+    """The rights matrix from a JSON file: sources with their datasets and states, each dataset named once."""
+    matrix = json.loads(Path(path).read_text())
+    names = [d for s in matrix.get("sources", []) for d in s.get("datasets", [])]
+    if not names or len(names) != len(set(names)):
+        raise ValueError("a rights matrix names each dataset once")
+    return matrix
+
+
 def rights_decision(matrix: dict, dataset: str, auth_token: str | None = None) -> dict:
     """Whether a dataset may be served: hosted ones after legal sign-off, others with the client's own key, some never."""
     row = next((s for s in matrix.get("sources", []) if dataset in s.get("datasets", [])), None)

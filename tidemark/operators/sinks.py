@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import UTC, datetime
 from pathlib import Path
 
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.cluster import checkpointed
 from tidemark.operators.eventlog import to_insert
 
 RETENTION_DAYS = 365
@@ -25,17 +26,46 @@ def append_native(df: DataFrame, path: str, time_column: str, order: Sequence[st
 
 
 def append_events(new: DataFrame, path: str) -> int:
-    """Append the events that the log does not hold; returns how many. Conflicts fail before anything is written."""
-    spark = new.sparkSession
+    """Append the events that the log does not hold; returns how many. Conflicts fail before anything is written.
+
+    Only the log's part that the batch can meet is read: its sources and streams (folders of the log, as many as the
+    catalogue has) and its span of partitions, which is compared with the files' statistics.
+    """
+    spark, batch = new.sparkSession, checkpointed(new)
     log = spark.read.schema(new.schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], new.schema)
-    fresh = to_insert(new, log).persist()
-    try:
-        n = fresh.count()
-        if n:
-            fresh.write.mode("append").partitionBy("source_id", "stream_id").parquet(path)
-        return n
-    finally:
-        fresh.unpersist()
+    fresh = checkpointed(to_insert(batch, part_of(log, batch)))
+    n = fresh.count()
+    if n:
+        fresh.sortWithinPartitions("source_id", "stream_id", "partition_id").write.mode("append").partitionBy("source_id", "stream_id").parquet(path)
+    return n
+
+
+def part_of(log: DataFrame, batch: DataFrame) -> DataFrame:
+    """The log's rows of the batch's streams, from its first to its last partition of each."""
+    spans = batch.groupBy("source_id", "stream_id").agg(F.min("partition_id").alias("low"), F.max("partition_id").alias("high")).collect()
+    own = F.lit(False)
+    for r in spans:
+        own = own | ((F.col("source_id") == r["source_id"]) & (F.col("stream_id") == r["stream_id"]) & F.col("partition_id").between(r["low"], r["high"]))
+    return log.where(own)
+
+
+WRITERS = ("writer", "assume_new_partition")
+
+
+def write_frame(events: DataFrame, path: str, mode: str = "writer") -> int:
+    """Write a frame of events: against the log event by event, or as partitions of which the log must have nothing yet."""
+    if mode not in WRITERS:
+        raise ValueError(f"unknown writer mode: {mode}")
+    if mode == "writer":
+        return append_events(events, path)
+    spark, batch = events.sparkSession, checkpointed(events)
+    keys = ["source_id", "stream_id", "partition_id"]
+    if exists(spark, path):
+        there = part_of(spark.read.schema(events.schema).parquet(path), batch).join(batch.select(*keys).distinct(), keys, "left_semi")
+        if not there.limit(1).isEmpty():
+            raise ValueError("the target partition is not empty")
+    batch.write.mode("append").partitionBy("source_id", "stream_id").parquet(path)
+    return batch.count()
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -56,14 +86,40 @@ def insert_new_partition(df: DataFrame, path: str, partition_column: str) -> Non
 
 def replace_partitions(df: DataFrame, path: str, partition_column: str) -> int:
     """Put these rows in place of the partitions that they have; counts them again."""
+    spark, df = df.sparkSession, checkpointed(df)
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_column).parquet(path)
-    spark = df.sparkSession
     written = spark.read.parquet(path).join(df.select(partition_column).distinct(), partition_column, "left_semi").count()
     if written != (n := df.count()):
         raise ValueError(f"{written} rows lie there instead of {n}")
     return n
 
 
+def reset_partition(spark: SparkSession, tables: Mapping[str, str], keys: Mapping[str, str], partition_column: str = "partition_id") -> dict[str, int]:
+    """Empty one partition of several tables (name to folder, partitioned by partition_column) before it is done again,
+    and see that nothing is left; returns how many rows went of each."""
+    gone = {}
+    for name, path in tables.items():
+        if not exists(spark, path):
+            gone[name] = 0
+            continue
+        every = spark.read.parquet(path)
+        whole = every.where(F.col(partition_column) == keys[partition_column])
+        left = checkpointed(without_partition(whole, {k: v for k, v in keys.items() if k in every.columns}))
+        gone[name] = whole.count() - left.count()
+        folder = f"{path}/{partition_column}={keys[partition_column]}"
+        if not left.isEmpty():
+            left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_column).parquet(path)
+        elif exists(spark, folder):
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        after = spark.read.schema(every.schema).parquet(path)
+        for k, v in keys.items():
+            after = after.where(F.col(k) == v) if k in after.columns else after
+        if not after.isEmpty():
+            raise ValueError(f"{name} still has rows of the partition")
+    return gone
+
+
 def without_partition(df: DataFrame, keys: dict[str, str]) -> DataFrame:
     """The rows of a projection without those of one partition."""
     match = F.lit(True)
@@ -99,9 +155,16 @@ def export(df: DataFrame, folder: str, form: str = "parquet", request: dict | No
         raise
 
 
-def envelope(df: DataFrame, mode: str, source: str, warnings: Sequence[dict] = ()) -> dict:
-    """The answer to a query: mode, source, row_count, schema, warnings, rows."""
-    rows = [r.asDict(recursive=True) for r in df.collect()]
+#: Rows that one answer may hold; larger results are exported.
+MOST_ROWS = 1_000_000
+
+
+def envelope(df: DataFrame, mode: str, source: str, warnings: Sequence[dict] = (), most: int = MOST_ROWS) -> dict:
+    """The answer to a query: mode, source, row_count, schema, warnings, rows. A result of over `most` rows is an error,
+    never cut; an export has no such limit."""
+    rows = [r.asDict(recursive=True) for r in df.limit(most + 1).collect()]
+    if len(rows) > most:
+        raise ValueError(f"the result has over {most} rows; export it")
     return {"mode": mode, "source": source, "row_count": len(rows), "schema": [{"name": n, "dtype": t} for n, t in df.dtypes], "warnings": list(warnings), "rows": rows}
 
 
@@ -117,6 +180,51 @@ def persist_artifact(root: str, source_id: str, content: bytes, content_type: st
     return manifest
 
 
+def append_manifest(path: str, event: str, details: dict, at: datetime) -> dict:
+    """One more line of a backfill's manifest: what happened to which partition, and when."""
+    record = {"event": event, "at_utc": at.astimezone(UTC).isoformat(), **details}
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "a") as f:
+        f.write(json.dumps(record, sort_keys=True) + "\n")
+    return record
+
+
+# --- metrics --------------------------------------------------------------------------------------------------------
+
+
+def persist_metrics(records: DataFrame, path: str) -> int:
+    """Append long metric rows (metric_id, source_id, observed_at_utc, ...) that are not there yet, partitioned by source
+    and month; returns how many. An id that comes with other values fails."""
+    spark = records.sparkSession
+    dated = records.withColumn("month", F.date_format("observed_at_utc", "yyyy-MM"))
+    digest = F.sha2(F.to_json(F.struct(*sorted(c for c in records.columns if c != "ingested_at_utc")), {"ignoreNullFields": "false"}), 256)
+    new = checkpointed(dated.withColumn("digest", digest))
+    span = new.agg(F.min("month"), F.max("month")).first()
+    known = spark.read.schema(new.schema).parquet(path).where(F.col("month").between(span[0], span[1])) if exists(spark, path) and span[0] else spark.createDataFrame([], new.schema)
+    both = new.select("metric_id", "digest").union(known.select("metric_id", "digest")).distinct()
+    clash = both.groupBy("metric_id").count().where("count > 1").select("metric_id").limit(1).collect()
+    if clash:
+        raise ValueError(f"metric {clash[0][0]} comes with other values")
+    fresh = checkpointed(new.dropDuplicates(["metric_id"]).join(known.select("metric_id"), "metric_id", "left_anti"))
+    n = fresh.count()
+    if n:
+        fresh.write.mode("append").partitionBy("source_id", "month").parquet(path)
+    return n
+
+
+def persist_bundles(bundles: DataFrame, path: str, fetched_at: datetime) -> int:
+    """Keep raw series bundles as they came, by series and content: the same content lies once."""
+    spark = bundles.sparkSession
+    rows = bundles.withColumns({"bundle_sha256": F.sha2(F.to_json(F.struct(*sorted(bundles.columns))), 256), "fetched_at_utc": F.lit(fetched_at)}).dropDuplicates(["series_id", "bundle_sha256"])
+    if exists(spark, path):
+        rows = rows.join(spark.read.schema(rows.schema).parquet(path).select("series_id", "bundle_sha256"), ["series_id", "bundle_sha256"], "left_anti")
+    rows = checkpointed(rows)
+    n = rows.count()
+    if n:
+        rows.write.mode("append").partitionBy("series_id").parquet(path)
+    return n
+
+
 # --- audit ----------------------------------------------------------------------------------------------------------
 
 
@@ -124,12 +232,27 @@ def _event_hash(record: dict) -> str:
     return hashlib.sha256(json.dumps({k: v for k, v in record.items() if k != "event_hash"}, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
+def _last_record(path: str) -> dict | None:
+    """The file's last line, read from its end."""
+    if not Path(path).exists() or not (size := Path(path).stat().st_size):
+        return None
+    with open(path, "rb") as f:
+        tail, at = b"", size
+        while at and tail.rstrip(b"\n").count(b"\n") == 0:
+            at = max(0, at - 4096)
+            f.seek(at)
+            tail = f.read(size - at)
+    return json.loads(tail.rstrip(b"\n").rpartition(b"\n")[2])
+
+
 def append_audit(path: str, kind: str, details: dict, at: datetime, retention_days: int = RETENTION_DAYS) -> dict:
-    """One more line of a hash-chained log; the chain so far is checked first."""
+    """One more line of a hash-chained log; the last line so far is checked first, check_audit checks all."""
     if retention_days < RETENTION_DAYS:
         raise ValueError(f"audit retention must be at least {RETENTION_DAYS} days")
-    chain = check_audit(path)
-    record = {"sequence": len(chain), "kind": kind, "at_utc": at.astimezone(UTC).isoformat(), "details": details, "previous_event_hash": chain[-1]["event_hash"] if chain else None}
+    last = _last_record(path)
+    if last and last["event_hash"] != _event_hash(last):
+        raise ValueError(f"audit chain is broken at record {last['sequence']}")
+    record = {"sequence": last["sequence"] + 1 if last else 0, "kind": kind, "at_utc": at.astimezone(UTC).isoformat(), "details": details, "previous_event_hash": last["event_hash"] if last else None}
     record["event_hash"] = _event_hash(record)
     with open(path, "a") as f:
         f.write(json.dumps(record, sort_keys=True) + "\n")
