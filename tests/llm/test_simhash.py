@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from tidemark.llm import simhash
 
 
@@ -172,11 +173,13 @@ def test_near_copies_among_templates_meet(spark, monkeypatch):
     assert head == want
 
 
-def test_rows_without_or_with_repeated_ids_stay(spark):
+@pytest.mark.parametrize("sent", [simhash.SENT_IDS, 1])
+def test_rows_without_or_with_repeated_ids_stay(spark, monkeypatch, sent):
+    monkeypatch.setattr(simhash, "SENT_IDS", sent)
     rng = random.Random(9)
     text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
     rows = [(None, text()) for _ in range(100)] + [(5, text()), (5, text()), (6, text())]
-    rows += [(7, rows[0][1]), (8, rows[102][1]), (5, rows[100][1])]
+    rows += [(7, rows[0][1]), (8, rows[102][1]), (5, rows[100][1]), (None, rows[3][1]), (None, rows[3][1])]
     got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert sorted(r["text"] for r in got) == sorted({t for _, t in rows})
     assert {(r["doc_id"], r["text"]) for r in got} >= {(7, rows[0][1]), (5, rows[100][1]), (5, rows[101][1]), (6, rows[102][1])}
