@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidemark.llm import quality
 
@@ -35,6 +36,19 @@ def test_learned_list_separates():
     assert quality.learn(x, np.zeros(3000, bool)) == []
 
 
+def test_the_emitted_conditional_says_what_the_rules_cover(spark, small):
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    measured = quality.with_statistics(docs.select("doc_id", "text"))
+    rules = [(quality.Condition("n_words", True, 90.5), quality.Condition("upper_share", False, 0.04)), (quality.Condition("digit_share", True, 0.01),), (quality.Condition("mean_word", False, 5.0), quality.Condition("distinct_share", True, 0.9))]
+    for own in (rules, rules[:1], [], quality.fit(measured, labels)):
+        rows = measured.select(*(F.expr(e).cast("double").alias(f) for f, e in quality.FEATURES.items()), quality.verdict(own).alias("kept")).collect()
+        x = {f: np.array([r[f] for r in rows], float) for f in quality.FEATURES}
+        said = np.zeros(len(rows), bool)
+        for rule in own:
+            said |= quality.covered(rule, x, len(rows))
+        assert [r["kept"] for r in rows] == (~said).tolist()
+
+
 def test_judge(spark, small, odd):
     docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
     out = quality.judge(docs, labels)

@@ -15,6 +15,10 @@ TEXTS_PER_LANGUAGE = 96
 #: Lengths of texts that are taken for a dictionary first; then shorter ones, then as much of longer ones.
 TRAINING_CHARS = (200, 8_000)
 DICTIONARY_BYTES = 110_000
+#: Languages that are told apart at most, those with the most texts: the other bound on the sample.
+LANGUAGES = 500
+#: Dictionaries are of one size, the smallest language's, but not under this: a language with less has all that it has.
+LEAST_BYTES = DICTIONARY_BYTES // 20
 #: Texts are encoded in blocks, so that the dictionary and not the text's own past decides.
 BLOCK_BYTES = 2_048
 LEVEL = 9
@@ -33,7 +37,8 @@ def letters_only(text: str) -> bytes:
 def fit(labelled: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> dict[str, bytes]:
     """Dictionaries from (text, lang) rows: of each language, the distinct texts with the smallest hashes.
 
-    Rows whose lang is null, or whose text is or has no letter, are skipped. The driver gets per_language texts of bounded length a language.
+    Rows whose lang is null, or whose text is or has no letter, are skipped. The driver gets per_language texts of bounded
+    length of each of LANGUAGES languages at most.
     """
     low, high = TRAINING_CHARS
     n = F.length("text")
@@ -41,7 +46,8 @@ def fit(labelled: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> dict[str
     kind = F.when(n > high, 2).when(n < low, 1).otherwise(0)
     hashed = fit_for.select(F.substring("text", 1, high).alias("text"), "lang", kind.alias("kind"), F.xxhash64("text").alias("h"))
     distinct = checkpointed(hashed.groupBy("lang", "kind", "h").agg(F.count(F.lit(1)).alias("n")))
-    counts = distinct.groupBy("lang", "kind").agg(F.count(F.lit(1)).alias("n")).orderBy("lang", "kind").collect()
+    largest = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("all")).orderBy(F.desc("all"), "lang").limit(LANGUAGES)
+    counts = distinct.join(F.broadcast(largest), "lang").groupBy("lang", "kind").agg(F.count(F.lit(1)).alias("n")).orderBy("lang", "kind").collect()
     low_hash, left = F.lit(False), {r["lang"]: per_language for r in counts}
     for r in counts:  # of each language, kinds in order: hashes up to where about four times as many lie as are needed
         if left[r["lang"]] > 0:
@@ -60,7 +66,7 @@ def fit(labelled: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> dict[str
         if (rank := keys.get((r["lang"], r["h"]))) is not None:
             texts.setdefault(r["lang"], []).append((rank, letters_only(r["text"])))
     least = min(sum(len(t) for _, t in own) for own in texts.values())
-    share = max(1, min(DICTIONARY_BYTES, least)) if least > DICTIONARY_BYTES // 20 else DICTIONARY_BYTES
+    share = min(DICTIONARY_BYTES, max(least, LEAST_BYTES))
     return {lang: b" ".join(t for _, t in sorted(own))[:share] for lang, own in sorted(texts.items())}
 
 
