@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.cluster import remove
 from tidemark.llm import decontam, langid, packing, pii, simhash
 from tidemark.llm.common import checkpoint_folder, table
 
@@ -48,9 +49,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet to the shared folder and read again by the next."""
+    """All stages over documents, each written as Parquet to the shared folder and read again by the next. What a stage
+    wrote is deleted when the next has written its own; the last one's stays, as the result is read from it."""
     docs, folder = table(spark, sf_dir, "documents"), f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, before)
+        before = f"{folder}/{name}"
     return docs

@@ -1,11 +1,16 @@
 """Each registered query that has SQL gives the SQL's rows on the smallest tables."""
 
 import math
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
 
-from tidemark import queries
+from tidemark import cluster, queries
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events pages".split()
@@ -37,12 +42,53 @@ def test_query(spark, duck, name):
     assert sorted(tuple(shown(r[c]) for c in order) for r in rows) == want
 
 
-def test_entry_works_without_the_llm_folder(spark, monkeypatch):
+def told(folder):
+    code = "import __spark_entry__ as e; print('NAMES', *e.queries()); print('SQL', *e.oracle_sql())"
+    return subprocess.run([sys.executable, "-B", "-c", code], cwd=folder, env=os.environ | {"PYTHONPATH": str(folder)}, capture_output=True, text=True)
+
+
+def test_entry_works_without_the_llm_folders(spark, tmp_path):
     import __spark_entry__ as entry
 
-    monkeypatch.setattr(entry, "llm", None)
-    assert set(entry.queries()) == set(queries.QUERIES) and set(entry.oracle_sql()) == set(queries.SQL)
     assert entry.entry(spark).count() > 0
+    home = Path(__file__).parent.parent
+    whole = tmp_path / "repo"
+    shutil.copytree(home, whole, ignore=shutil.ignore_patterns(".git", "__pycache__", "llm", "corpus_pipeline.py"))
+    for leftover in (False, True):
+        if leftover:  # an empty folder is no subpackage either
+            (whole / "tidemark/llm/__pycache__").mkdir(parents=True)
+        out = told(whole)
+        assert out.returncode == 0, out.stderr
+        lines = {x.split()[0]: set(x.split()[1:]) for x in out.stdout.splitlines() if x.startswith(("NAMES", "SQL"))}
+        assert lines == {"NAMES": set(queries.QUERIES), "SQL": set(queries.SQL)}
+    # a broken subpackage is not a missing one
+    (whole / "tidemark/llm/__init__.py").write_text("")
+    (whole / "tidemark/llm/queries.py").write_text("import no_such_package\n")
+    assert "no_such_package" in told(whole).stderr
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster():
+    class Context:
+        master = "yarn"
+
+        class _jsc:
+            @staticmethod
+            def sc():
+                return Context
+
+        @staticmethod
+        def getCheckpointDir():
+            return Context
+
+        @staticmethod
+        def isEmpty():
+            return True
+
+    class Session:
+        sparkContext, conf = Context, type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        cluster.checkpoint_folder(Session)
 
 
 def test_grid_join_has_every_metric(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -26,13 +27,23 @@ def ship(spark: SparkSession) -> None:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one where that is unset, as in tests."""
+    """The shared folder named by spark.checkpoint.dir; a temporary one where that is unset and all runs in one process, as
+    in tests. On a cluster it must be set: another folder would be one machine's."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {context.master} share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage in the shared folder."""
     checkpoint_folder(df.sparkSession)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.cluster import checkpointed
+from tidemark.cluster import checkpointed, remove
 from tidemark.operators.eventlog import to_insert
 
 RETENTION_DAYS = 365
@@ -110,8 +110,7 @@ def reset_partition(spark: SparkSession, tables: Mapping[str, str], keys: Mappin
         if not left.isEmpty():
             left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_column).parquet(path)
         elif exists(spark, folder):
-            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            remove(spark, folder)
         after = spark.read.schema(every.schema).parquet(path)
         for k, v in keys.items():
             after = after.where(F.col(k) == v) if k in after.columns else after
