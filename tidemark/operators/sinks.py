@@ -75,7 +75,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def insert_new_partition(df: DataFrame, path: str, partition_column: str) -> None:
-    """A staged bulk insert: the target partitions must be empty."""
+    """A staged bulk insert: the target partitions must be empty of rows."""
     spark = df.sparkSession
     if exists(spark, path):
         there = spark.read.parquet(path).join(df.select(partition_column).distinct(), partition_column, "left_semi")
@@ -231,27 +231,12 @@ def _event_hash(record: dict) -> str:
     return hashlib.sha256(json.dumps({k: v for k, v in record.items() if k != "event_hash"}, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
-def _last_record(path: str) -> dict | None:
-    """The file's last line, read from its end."""
-    if not Path(path).exists() or not (size := Path(path).stat().st_size):
-        return None
-    with open(path, "rb") as f:
-        tail, at = b"", size
-        while at and tail.rstrip(b"\n").count(b"\n") == 0:
-            at = max(0, at - 4096)
-            f.seek(at)
-            tail = f.read(size - at)
-    return json.loads(tail.rstrip(b"\n").rpartition(b"\n")[2])
-
-
 def append_audit(path: str, kind: str, details: dict, at: datetime, retention_days: int = RETENTION_DAYS) -> dict:
-    """One more line of a hash-chained log; the last line so far is checked first, check_audit checks all."""
+    """One more line of a hash-chained log; the whole chain so far is checked first, so that no append covers a change."""
     if retention_days < RETENTION_DAYS:
         raise ValueError(f"audit retention must be at least {RETENTION_DAYS} days")
-    last = _last_record(path)
-    if last and last["event_hash"] != _event_hash(last):
-        raise ValueError(f"audit chain is broken at record {last['sequence']}")
-    record = {"sequence": last["sequence"] + 1 if last else 0, "kind": kind, "at_utc": at.astimezone(UTC).isoformat(), "details": details, "previous_event_hash": last["event_hash"] if last else None}
+    chain = check_audit(path)
+    record = {"sequence": len(chain), "kind": kind, "at_utc": at.astimezone(UTC).isoformat(), "details": details, "previous_event_hash": chain[-1]["event_hash"] if chain else None}
     record["event_hash"] = _event_hash(record)
     with open(path, "a") as f:
         f.write(json.dumps(record, sort_keys=True) + "\n")

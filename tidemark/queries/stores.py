@@ -54,9 +54,9 @@ def _(spark, d):
     return out[0].unionByName(out[1])
 
 
-@query("snk_03_new_partition", _made("okx_spot_trades", "select partition_id, count(*) as n, true as refused from made group by 1"))
+@query("snk_03_new_partition", _made("binance_spot_trades", "select partition_id, count(*) as n, true as refused from made group by 1"))
 def _(spark, d):
-    path, rows = folder(spark), log_of(spark, d, "okx_spot_trades")
+    path, rows = folder(spark), log_of(spark, d, "binance_spot_trades").coalesce(1)
     sinks.insert_new_partition(rows, path, "partition_id")
     try:
         sinks.insert_new_partition(rows, path, "partition_id")
