@@ -395,14 +395,26 @@ def _lines(spark, d, columns: dict[str, str]) -> DataFrame:
 _SPARK = {"price": "cast(l_extendedprice as decimal(18, 8))", "size": "cast(l_quantity as decimal(18, 4))", "ms": "unix_millis(cast(l_shipdate as timestamp))"}
 
 
+def _binance_lines(spark, d) -> DataFrame:
+    return _lines(spark, d, {"trade_id": _TID, "price": f"concat(' ', {_SPARK['price']})", "quantity": _SPARK["size"], "quote_quantity": "'12345678901234.12345678'", "timestamp": f"{_SPARK['ms']} * 1000", "is_buyer_maker": "if(l_returnflag = 'R', 'True', 'false')", "is_best_match": "'TRUE'"})
+
+
 def _payload_rows(typed: DataFrame, exchange: str) -> DataFrame:
     return exchange_csv.payload_events(typed, exchange, F.date_format("datetime", "yyyy-MM-dd")).select("source_offset", "partition_id", F.sha2("payload_json", 256).alias("payload_sha256"))
 
 
 @query("src_10_binance_lines", f"""select cast({_TID} as varchar) as source_offset, strftime(l_shipdate, '%Y-%m-%d') as partition_id, sha256('{{"is_best_match":true,"is_buyer_maker":' || (l_returnflag = 'R') || ',"price":"' || {_PRICE} || '","qty":"' || {_SIZE} || '","quote_qty":"12345678901234.12345678","trade_id":' || ({_TID}) || '}}') as payload_sha256 from lineitem""")
 def _(spark, d):
-    lines = _lines(spark, d, {"trade_id": _TID, "price": f"concat(' ', {_SPARK['price']})", "quantity": _SPARK["size"], "quote_quantity": "'12345678901234.12345678'", "timestamp": f"{_SPARK['ms']} * 1000", "is_buyer_maker": "if(l_returnflag = 'R', 'True', 'false')", "is_best_match": "'TRUE'"})
-    return _payload_rows(exchange_csv.binance_trades(lines), "binance")
+    return _payload_rows(exchange_csv.binance_trades(_binance_lines(spark, d)), "binance")
+
+
+@query("ing_01_lines_to_buckets", "select strftime(l_shipdate, '%Y-%m-%d') as partition_id, count(distinct l_orderkey * 8 + l_linenumber) as events from lineitem group by 1")
+def _(spark, d):
+    """The whole way of a day's file: text lines, typed rows, payloads, envelopes, what is new in the log, buckets."""
+    rows = exchange_csv.payload_events(exchange_csv.binance_trades(_binance_lines(spark, d)), "binance", F.date_format("datetime", "yyyy-MM-dd"))
+    events = eventlog.envelope(rows).dropDuplicates(["event_id"])
+    fresh = eventlog.to_insert(events, spark.createDataFrame([], events.schema))
+    return aligned.bucketise(fresh).groupBy("partition_id").agg(F.sum("bucket_event_count").alias("events"))
 
 
 @query("src_11_okx_lines", f"""select cast({_TID} as varchar) as source_offset, strftime(make_timestamp((1700000000000 + {_FILE_MS}) * 1000), '%Y-%m-%d') as partition_id, sha256('{{"instrument_name":"BTC-USDT","price":"' || {_PRICE} || '","side":"' || case when l_returnflag = 'R' then 'sell' else 'buy' end || '","size":"' || {_SIZE} || '","timestamp":' || (1700000000000 + {_FILE_MS}) || ',"trade_id":' || ({_TID}) || '}}') as payload_sha256 from lineitem""")
