@@ -398,7 +398,7 @@ def similar_of(docs: DataFrame, texts: DataFrame, near: DataFrame, min_similarit
 
 def bitmap(keys: DataFrame) -> np.ndarray:
     """Bits of the keys that occur, summed up by Spark: FILTER_WORDS words of 64 at most. A bit that is not set tells that a key is none of them."""
-    n = 1 << max(10, min(FILTER_WORDS, keys.count() // 8).bit_length())
+    n = 1 << max(10, min(FILTER_WORDS, keys.count() // 4).bit_length())
     word, bit = F.col("key").bitwiseAND(F.lit(n - 1)), F.shiftrightunsigned("key", 40).bitwiseAND(F.lit(63))
     rows = keys.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.cast("int"))).alias("bits")).toArrow()
     out = np.zeros(n, np.int64)
@@ -558,15 +558,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     k1, k2 = fresh(docs, "key_1"), fresh(docs, "key_2")
     told = lambda i, mark: [F.xxhash64(F.lit(seed), i.isNull(), i, mark).alias(c) for seed, c in ((1, k1), (2, k2))]
-    held, texts = members(docs)
-    first = texts.groupBy("root").agg(F.min("owner").alias("owner"))
-    kept = first.select(*told(F.col("owner.doc_id"), F.col("owner.mark")), F.lit(True).alias("kept"))
-    found = held.groupBy(*told(F.col("doc_id"), F.col("mark"))).agg(F.count(F.lit(1)).alias("rows")).join(kept, [k1, k2], "left")
-    gone = checkpointed(found.where("kept is null or rows > 1"))
+    first = members(docs)[1].groupBy("root").agg(F.min("owner").alias("owner"))
+    kept = first.select(*told(F.col("owner.doc_id"), F.col("owner.mark")))
     keyed = docs.select("*", *told(F.col("doc_id"), F.xxhash64("text")))
-    if gone.count() > SENT_IDS:  # all rows are dealt out by their keys
-        return keyed.dropDuplicates([k1, k2]).join(kept, [k1, k2], "left_semi").select(*docs.columns)
-    # else the rows stay where they are, but for those that have wholly equal ones
-    alone = keyed.join(F.broadcast(gone.select(k1, k2)), [k1, k2], "left_anti").select(*docs.columns)
-    repeated = keyed.join(F.broadcast(gone.where("kept").select(k1, k2)), [k1, k2], "left_semi").dropDuplicates([k1, k2]).select(*docs.columns)
-    return alone.unionByName(repeated)
+    return keyed.dropDuplicates([k1, k2]).join(kept, [k1, k2], "left_semi").select(*docs.columns)
