@@ -82,7 +82,8 @@ def ddl(df: DataFrame) -> str:
 
 
 def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
-    """The rows, with all their columns whatever their names, for whose texts make()'s function says true."""
+    """The rows, with all their columns whatever their names, for whose texts make()'s function says true. It is asked of
+    null and empty texts too; repeated rows are asked for each; no rows give no rows."""
     at = docs.columns.index("text")
 
     def built():

@@ -226,7 +226,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that tile no test item, with all their columns. A row is judged by its own text, in one pass a
-    block and without a join: the documents stream through the tasks and the contaminated do not come out."""
+    block and without a join: the documents stream through the tasks and the contaminated do not come out. Null and empty
+    texts hold nothing and stay; repeated rows are judged each; an empty benchmark takes nothing out."""
     kept = docs
     for items in blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(items)

@@ -125,7 +125,11 @@ def identify_held_out(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents whose language is told, with all their columns; the rejected go. Learns as identify_held_out does."""
+    """The documents whose language is told, with all their columns; the rejected go. Learns as identify_held_out does.
+
+    Null, empty and letterless texts are rejected; repeated rows and rows without an id are judged each by their text; an
+    empty table, or one without labels, leaves no rows.
+    """
     dictionaries = fit(docs.where(id_remainder(F.col("doc_id"), 5) != 0))
 
     def make():

@@ -457,7 +457,11 @@ def masked(text: str, spans: Sequence[Span]) -> str:
 
 
 def mask(docs: DataFrame) -> DataFrame:
-    """The same rows and columns with personal data masked in text; n_chars, where there is one, is counted anew."""
+    """The same rows and columns with personal data masked in text; n_chars, where there is one, is counted anew.
+
+    Null texts stay null and empty ones empty; repeated rows stay; other columns are handed on whatever their names; an
+    empty table gives no rows.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(trained().p)
     columns = docs.columns
     at = columns.index("text")
