@@ -95,3 +95,14 @@ def test_grid_join_has_every_metric(spark):
     kinds = spark.read.parquet(f"{SMALL}/events.parquet").select("event_type").distinct().count()
     columns = queries.QUERIES["ext_grid_join"](spark, SMALL).columns
     assert all(any(c.startswith(f"m{k}") for c in columns) for k in range(kinds)), columns
+
+
+def test_subsidies_of_blocks_after_all_halvings(spark, tmp_path):
+    """Heights of a larger table: 63 halvings and more, where the SQL's power of two is no bigint."""
+    keys = [0, 2100, 2100 * 32, 2100 * 33, 2100 * 62, 2100 * 63, 2100 * 64, 9_000_001]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").selectExpr("o_orderkey", "timestamp_ntz'1995-01-02' as o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = queries.QUERIES["prj_10_bitcoin_block_subsidy_schedule"](spark, str(tmp_path)).collect()
+    assert {r["block_height"]: (r["halving_interval"], r["subsidy_sats"], r["subsidy_btc"]) for r in rows} == {k: (k // 2100, 5_000_000_000 >> k // 2100, (5_000_000_000 >> k // 2100) / 1e8) for k in keys}
+    assert queries.QUERIES["src_03_bitcoin_block_subsidy_schedule"](spark, str(tmp_path)).count() == len(keys)
+    assert sum(r["bucket_event_count"] for r in queries.QUERIES["prj_22_bitcoin_block_subsidy_schedule_buckets"](spark, str(tmp_path)).collect()) == len(keys)
+    assert queries.QUERIES["dq_07_subsidy"](spark, str(tmp_path)).first().asDict() == {"rows": len(keys), "halving": sum(k % 35 == 0 for k in keys), "subsidy": sum(k % 45 == 0 for k in keys), "btc": 0}
