@@ -106,3 +106,19 @@ def test_subsidies_of_blocks_after_all_halvings(spark, tmp_path):
     assert queries.QUERIES["src_03_bitcoin_block_subsidy_schedule"](spark, str(tmp_path)).count() == len(keys)
     assert sum(r["bucket_event_count"] for r in queries.QUERIES["prj_22_bitcoin_block_subsidy_schedule_buckets"](spark, str(tmp_path)).collect()) == len(keys)
     assert queries.QUERIES["dq_07_subsidy"](spark, str(tmp_path)).first().asDict() == {"rows": len(keys), "halving": sum(k % 35 == 0 for k in keys), "subsidy": sum(k % 45 == 0 for k in keys), "btc": 0}
+
+
+def test_first_lines_are_the_tables_first_of_equal_ones(spark, duck, tmp_path):
+    """Lines of several files, in several tasks, with repeated numbers: the first by file and place is kept."""
+    rows = [(k % 50, 1 + k * 7 % 3, 1000 - k) for k in range(600)]
+    for n in range(3):
+        spark.createDataFrame(rows[n * 200 : n * 200 + 200], "l_orderkey long, l_linenumber int, l_partkey long").coalesce(1).write.parquet(f"{tmp_path}/made{n}")
+        part = next((tmp_path / f"made{n}").glob("part-*"))
+        (tmp_path / "lineitem.parquet").mkdir(exist_ok=True)
+        part.rename(tmp_path / f"lineitem.parquet/{2 - n}.parquet")
+    first = {}
+    for k, line, own in [r for n in (2, 1, 0) for r in rows[n * 200 : n * 200 + 200]]:
+        if k not in first or line < first[k][0]:
+            first[k] = (line, own)
+    got = queries.QUERIES["win_09_keep_first"](spark, str(tmp_path)).collect()
+    assert {r["l_orderkey"]: (r["l_linenumber"], r["l_partkey"]) for r in got} == first
