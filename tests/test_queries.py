@@ -122,3 +122,17 @@ def test_first_lines_are_the_tables_first_of_equal_ones(spark, duck, tmp_path):
             first[k] = (line, own)
     got = queries.QUERIES["win_09_keep_first"](spark, str(tmp_path)).collect()
     assert {r["l_orderkey"]: (r["l_linenumber"], r["l_partkey"]) for r in got} == first
+
+
+def test_equal_lines_are_no_rise_of_ids(spark, tmp_path):
+    """Two lines of one number and day that are equal once their faults are planted: the SQL counts every id that does not rise."""
+    at = "timestamp_ntz'1995-01-02'"
+    made = [(12, 1, 10.0, 5.0), (12, 1, 20.0, 5.0), (13, 1, 1.0, 1.0), (13, 1, 2.0, 1.0), (14, 1, 1.0, 1.0)]  # 12 * 8 + 1 = 97
+    lines = spark.createDataFrame(made, "l_orderkey long, l_linenumber int, l_extendedprice double, l_quantity double")
+    lines.selectExpr("*", "0.1D as l_tax", "0.1D as l_discount", "'R' as l_returnflag", f"{at} as l_shipdate").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("dq_02_okx", "dq_02_bybit"):
+        con = duckdb.connect()
+        con.sql(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet/*.parquet'")
+        want = con.execute(queries.SQL[name]).fetchone()
+        assert tuple(queries.QUERIES[name](spark, str(tmp_path)).first()) == want
+        assert want[1] == 2
