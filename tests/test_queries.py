@@ -9,8 +9,10 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import cluster, queries
+from tidemark.operators import eventlog
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events pages".split()
@@ -136,3 +138,19 @@ def test_equal_lines_are_no_rise_of_ids(spark, tmp_path):
         want = con.execute(queries.SQL[name]).fetchone()
         assert tuple(queries.QUERIES[name](spark, str(tmp_path)).first()) == want
         assert want[1] == 2
+
+
+def test_ingest_keeps_one_of_lines_with_the_same_number(spark, duck, tmp_path):
+    """Repeated numbers with other prices, in many files: each plan of the batch must choose the same line."""
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").selectExpr("* except (l_shipdate, l_orderkey, l_linenumber)", "l_orderkey % 400 as l_orderkey", "1 as l_linenumber", "timestamp_ntz'1995-01-02' as l_shipdate")
+    lines.repartition(24).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = queries.QUERIES["ing_01_lines_to_buckets"](spark, str(tmp_path)).collect()
+    assert [(r["partition_id"], r["events"]) for r in got] == [("1995-01-02", 400)]
+    rows = [("a", "2"), ("a", "1"), ("b", "3"), ("b", "3"), ("c", "4")]
+    events = spark.createDataFrame(rows, "event_id string, payload_sha256 string").withColumn("ingested_at", F.expr("if(event_id = '', null, timestamp'2024-01-01')"))
+    one = eventlog.one_of_each(events)
+    assert sorted((r["event_id"], r["payload_sha256"]) for r in one.collect()) == [("a", "1"), ("b", "3"), ("c", "4")]
+    assert [r["event_id"] for r in eventlog.to_insert(one, events.where("event_id = 'b'")).where("event_id <> 'a'").collect()] == ["c"]
+    for log in ([], [("b", "9")], [("a", "1")]):
+        with pytest.raises(Exception, match="another payload"):
+            eventlog.to_insert(events, spark.createDataFrame([(*r, None) for r in log], events.schema)).collect()
