@@ -183,3 +183,29 @@ def test_rows_without_or_with_repeated_ids_stay(spark, monkeypatch, sent):
     got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert sorted(r["text"] for r in got) == sorted({t for _, t in rows})
     assert {(r["doc_id"], r["text"]) for r in got} >= {(7, rows[0][1]), (5, rows[100][1]), (5, rows[101][1]), (6, rows[102][1])}
+
+
+def test_a_block_gives_a_spanning_forest():
+    """Many alike texts in one block, with roots known for some: as many edges as they leave apart, and no link lost."""
+    rng = np.random.default_rng(4)
+    for shared in (38, 34, 0):
+        sets = [np.unique(np.r_[np.arange(shared), rng.integers(100, 2**62, 40 - shared)]) for _ in range(60)]
+        sets += [np.append(s[:-1], 2**62 + k) for k, s in enumerate(sets[:9])]
+        root = np.arange(len(sets))
+        root[20:24] = 20
+        left, right = np.triu_indices(len(sets), 1)
+        a, b = simhash.spanning(sets, root, left, right)
+        alike = [len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j])) for i, j in zip(left, right)]
+        known = [(20, k) for k in range(21, 24)]
+        found = simhash._union(len(sets), [*a.tolist(), *(x for x, _ in known)], [*b.tolist(), *(y for _, y in known)])[0]
+        want, used = simhash._union(len(sets), [*(x for x, _ in known), *left[alike].tolist()], [*(y for _, y in known), *right[alike].tolist()])
+        assert found == want
+        assert len(a) == len(used) - len(known) < len(sets) <= max(len(sets), sum(alike))
+    assert [len(x) for x in simhash.spanning([], np.zeros(0, int), np.zeros(0, int), np.zeros(0, int))] == [0, 0]
+
+
+def test_crowded_blocks_lose_no_link(spark, monkeypatch):
+    """The same as among templates, with every block joined in its task; blocks of a few texts and of few shingles."""
+    monkeypatch.setattr(simhash, "PAIRS_A_TEXT", 0)
+    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", 900)
+    test_near_copies_among_templates_meet(spark, monkeypatch)

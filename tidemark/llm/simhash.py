@@ -267,6 +267,10 @@ CELLS = 256
 SAMPLED, COMMON_FROM, COMMON_SENT = 16, 4, 500_000
 #: Texts of one bucket that are compared in one go.
 BLOCK = 512
+#: Candidate pairs of a block for each of its texts that are handed on as pairs; a block of more is joined in its task.
+PAIRS_A_TEXT = 16
+#: Shingles of a bucket's texts that one side of a comparison has, about as many; a bucket of long texts has more blocks.
+BLOCK_SHINGLES = 1 << 21
 #: Ids that are sent to all tasks to pick texts out; more are joined.
 SENT_IDS = 2_000_000
 #: Pairs that a task looks at together.
@@ -375,10 +379,8 @@ def sketches(docs: DataFrame) -> DataFrame:
     return map_texts(docs, ["doc_id", "mark", "text"], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, mark long, tid long, fp long, n long, cells binary, prefix array<long>", make)
 
 
-def similar_of(docs: DataFrame, texts: DataFrame, near: DataFrame, min_similarity: float) -> DataFrame:
-    """The pairs (a, b) of near whose whole texts' shingles are min_similarity alike. docs: mark, text; texts: tid, mark."""
-    near = checkpointed(near)
-    tids = near.select(F.col("a").alias("tid")).union(near.select(F.col("b").alias("tid"))).distinct()
+def shingles_by_tid(docs: DataFrame, texts: DataFrame, tids: DataFrame) -> DataFrame:
+    """tid and s, the sorted hashes of its whole text's shingles, of some texts. docs: mark, text; texts: tid, mark."""
     ids = checkpointed(tids.join(texts.select("tid", "mark"), "tid"))
     if ids.count() <= SENT_IDS:
         ids = F.broadcast(ids)
@@ -390,12 +392,57 @@ def similar_of(docs: DataFrame, texts: DataFrame, near: DataFrame, min_similarit
         return step
 
     wanted = docs.join(ids, "mark").groupBy("tid").agg(F.min("text").alias("text"))
-    sets = checkpointed(map_texts(wanted, ["tid", "text"], "tid long, s array<long>", make))
+    return map_texts(wanted, ["tid", "text"], "tid long, s array<long>", make)
+
+
+def similar_of(docs: DataFrame, texts: DataFrame, near: DataFrame, min_similarity: float) -> DataFrame:
+    """The pairs (a, b) of near whose whole texts' shingles are min_similarity alike. docs: mark, text; texts: tid, mark."""
+    near = checkpointed(near)
+    tids = near.select(F.col("a").alias("tid")).union(near.select(F.col("b").alias("tid"))).distinct()
+    sets = checkpointed(shingles_by_tid(docs, texts, tids))
     met = near.join(sets.select(F.col("tid").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("tid").alias("b"), F.col("s").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return checkpointed(met.where(common >= min_similarity * (F.size("x") + F.size("y") - common)).select("a", "b"))
 
 
+def spanning(sets: list[np.ndarray], root: np.ndarray, left: np.ndarray, right: np.ndarray, min_similarity: float = MIN_SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of places (left, right) those that join components: similar ones, by their whole sets, whose ends no roots
+    and no pairs before connect. There are fewer of them than sets, however many pairs there are."""
+    parent, out = {r: r for r in root.tolist()}, ([], [])
+
+    def top(r):
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    used = np.unique(np.concatenate([left, right]))
+    ids = np.unique(np.concatenate([np.zeros(0, np.int64), *(sets[k] for k in used)]), return_inverse=True)[1]
+    size = np.array([len(sets[k]) for k in used], np.int64)
+    end = np.cumsum(size)
+    place = {k: i for i, k in enumerate(used.tolist())}
+    mark = np.zeros(int(ids.max(initial=-1)) + 1, bool)
+    order = np.argsort(left, kind="stable")
+    left, right = left[order], right[order]
+    starts = np.flatnonzero(np.r_[True, left[1:] != left[:-1]][: len(left)])
+    for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(left)]):
+        k = int(left[lo])
+        i, own = place[k], top(int(root[k]))
+        others = [j for j in right[lo:hi].tolist() if top(int(root[j])) != own]
+        if not others:
+            continue
+        at = np.array([place[j] for j in others])
+        mark[ids[end[i] - size[i] : end[i]]] = True
+        common = np.add.reduceat(mark[np.concatenate([ids[end[j] - size[j] : end[j]] for j in at])], np.cumsum(size[at]) - size[at], dtype=np.int64)
+        mark[ids[end[i] - size[i] : end[i]]] = False
+        for j in np.flatnonzero(common >= min_similarity * (size[i] + size[at] - common)).tolist():
+            x, y = top(int(root[k])), top(int(root[others[j]]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out[0].append(k), out[1].append(others[j])
+    return np.array(out[0], np.int64), np.array(out[1], np.int64)
+
+
 def bitmap(keys: DataFrame) -> np.ndarray:
     """Bits of the keys that occur, summed up by Spark: FILTER_WORDS words of 64 at most. A bit that is not set tells that a key is none of them."""
     n = 1 << max(10, min(FILTER_WORDS, keys.count() // 4).bit_length())
@@ -437,7 +484,8 @@ def similar_links(docs: DataFrame, texts: DataFrame, linked: DataFrame, min_simi
     with the least tid of its bucket, so that many near copies become one component by as many pairs as texts; then, in
     buckets that still hold several components, all pairs between components, in blocks. Counts of shingles in cells
     discard pairs that cannot be similar, never others; the survivors' shingles are compared exactly, from their whole
-    texts.
+    texts. A block with more such pairs
+    than PAIRS_A_TEXT for each of its texts gives the edges of a spanning forest, found in its task, and never its pairs.
     """
     ship(docs.sparkSession)
     met = checkpointed(bucketed(texts))
@@ -465,15 +513,17 @@ def similar_links(docs: DataFrame, texts: DataFrame, linked: DataFrame, min_simi
     root = components(stars).select(F.col("node").alias("tid"), "root")
 
     rooted = checkpointed(members.join(root, "tid", "left").select("s1", "s2", "m", "tid", "n", "pos", F.coalesce("root", "tid").alias("root")))
-    several = rooted.groupBy("s1", "s2").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("s1", "s2")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    left = rooted.join(several, ["s1", "s2"], "left_semi").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
+    several = rooted.groupBy("s1", "s2").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum("n").alias("all")).where("low < high").select("s1", "s2", "all")
+    blocks = F.least(F.col("m"), F.ceil(F.greatest(F.col("m") / BLOCK, F.col("all") / BLOCK_SHINGLES))).cast("int")
+    left = rooted.join(several, ["s1", "s2"]).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = left.select("s1", "s2", "tid", "n", "pos", "root", "own", other).select("s1", "s2", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "tid", "n", "pos", "root").join(counts, "tid")
+    block = ["s1", "s2", "lo", "hi"]
 
-    def compared(frame):
-        key, own = frame[["s1", "s2", "lo", "hi"]].to_numpy(), frame["own"].to_numpy()
-        tid, n, pos, root = (frame[c].to_numpy() for c in ("tid", "n", "pos", "root"))
+    def candidates(frame):
+        """Places of pairs of a frame of whole blocks, some at a time, that can be similar and lie in different components."""
+        key, own = frame[block].to_numpy(), frame["own"].to_numpy()
+        n, pos, root = (frame[c].to_numpy() for c in ("n", "pos", "root"))
         counted = _cell_rows(frame["cells"])
         coarse = counted.reshape(len(counted), 16, -1).sum(axis=2, dtype=np.int16)
         starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
@@ -490,8 +540,7 @@ def similar_links(docs: DataFrame, texts: DataFrame, linked: DataFrame, min_simi
                     near.append(cells_near(n[x], n[y], cells_of[x], cells_of[y], min_similarity))
                 near = np.concatenate(near)
                 left, right = left[near], right[near]
-            a, b = tid[left], tid[right]
-            return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
+            return left, right
 
         for lo, hi in zip(starts, [*starts[1:], len(frame)]):
             if key[lo, 2] == key[lo, 3]:
@@ -508,18 +557,49 @@ def similar_links(docs: DataFrame, texts: DataFrame, linked: DataFrame, min_simi
             yield looked_at()
 
     def whole_blocks(frames):
-        names, rest = ["s1", "s2", "lo", "hi"], None
+        rest = None
         for frame in (f for f in frames if len(f)):
             rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            last = (rest[names] == rest[names].iloc[-1]).all(axis=1)
+            last = (rest[block] == rest[block].iloc[-1]).all(axis=1)
             if len(done := rest[~last]):
-                yield from compared(done.reset_index(drop=True))
+                yield done.reset_index(drop=True)
             rest = rest[last].reset_index(drop=True)
         if rest is not None and len(rest):
-            yield from compared(rest)
+            yield rest
 
-    found = dealt.repartition("s1", "s2", "lo", "hi").sortWithinPartitions("s1", "s2", "lo", "hi").mapInPandas(whole_blocks, "a long, b long").distinct()
-    return stars.unionByName(similar_of(docs, texts, found, min_similarity))
+    most = PAIRS_A_TEXT
+
+    def with_candidates(frames):
+        """Pairs (as tid and root) of blocks that have few for their texts, and of the other blocks the texts that have any."""
+        for frame in whole_blocks(frames):
+            key, tid, some, pairs = frame[block].to_numpy(), frame["tid"].to_numpy(), np.zeros(len(frame), bool), []
+            number = np.cumsum(np.r_[True, (key[1:] != key[:-1]).any(axis=1)]) - 1
+            members = np.bincount(number)
+            for left, right in candidates(frame):
+                many = (np.bincount(number[left], minlength=len(members)) > most * members)[number[left]]
+                some[left[many]] = some[right[many]] = True
+                pairs.append(np.stack([tid[left[~many]], tid[right[~many]]]))
+            yield frame[some].assign(paired=False)
+            two = np.unique(np.sort(np.concatenate([np.zeros((2, 0), np.int64), *pairs], axis=1), axis=0), axis=1)
+            yield pd.DataFrame({c: two[1] if c == "tid" else two[0] if c == "root" else True if c == "paired" else b"" if c == "cells" else 0 for c in columns}, index=range(two.shape[1]))
+
+    def forest(frames):
+        for frame in whole_blocks(frames):
+            tid, a, b = frame["tid"].to_numpy(), [], []
+            for left, right in candidates(frame):
+                x, y = spanning(list(frame["s"]), frame["root"].to_numpy(), left, right, min_similarity)
+                a.append(np.maximum(tid[x], tid[y])), b.append(np.minimum(tid[x], tid[y]))
+            if a:
+                yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    row = "s1 long, s2 long, lo int, hi int, own int, tid long, n long, pos int, root long, cells binary, paired boolean"
+    in_blocks = lambda rows: rows.repartition(*block).sortWithinPartitions(*block)
+    columns = [c.split()[0] for c in row.split(", ")]
+    looked = checkpointed(in_blocks(dealt).select(*columns[:-1]).mapInPandas(with_candidates, row))
+    pairs, some = looked.where("paired").select(F.col("tid").alias("a"), F.col("root").alias("b")).distinct(), looked.where("not paired")
+    sets = shingles_by_tid(docs, texts, some.select("tid").distinct())
+    found = in_blocks(some.join(sets, "tid")).mapInPandas(forest, "a long, b long").distinct()
+    return stars.unionByName(checkpointed(found)).unionByName(similar_of(docs, texts, pairs, min_similarity))
 
 
 def members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
