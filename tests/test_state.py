@@ -121,3 +121,15 @@ def test_fund_records(spark):
     for answer in ({"code": "1"}, {"code": "0", "data": {"details": []}}, {"code": "0", "data": None}):
         with pytest.raises(ValueError):
             etf.download_link(answer, "2024-01-01")
+
+
+def test_a_stored_envelope_has_no_limit(spark, tmp_path, monkeypatch):
+    from tidemark import queries
+
+    monkeypatch.setattr(sinks, "MOST_ROWS", 2)
+    monkeypatch.setattr(sinks.envelope, "__defaults__", ((), 2))
+    rows = spark.range(5).withColumnRenamed("id", "k")
+    out = sinks.stored_envelope(rows, "native", "s", f"{tmp_path}/rows")
+    assert (out["row_count"], out["schema"], "rows" in out) == (5, [{"name": "k", "dtype": "bigint"}], False)
+    assert sorted(r["k"] for r in spark.read.parquet(out["rows_path"]).collect()) == [0, 1, 2, 3, 4]
+    assert queries.QUERIES["snk_13_envelope"](spark, "/root/testdata/sf0.001").first()["row_count"] > 2

@@ -160,11 +160,22 @@ MOST_ROWS = 1_000_000
 
 def envelope(df: DataFrame, mode: str, source: str, warnings: Sequence[dict] = (), most: int = MOST_ROWS) -> dict:
     """The answer to a query: mode, source, row_count, schema, warnings, rows. A result of over `most` rows is an error,
-    never cut; an export has no such limit."""
+    never cut; an export and a stored envelope have no such limit."""
     rows = [r.asDict(recursive=True) for r in df.limit(most + 1).collect()]
     if len(rows) > most:
         raise ValueError(f"the result has over {most} rows; export it")
-    return {"mode": mode, "source": source, "row_count": len(rows), "schema": [{"name": n, "dtype": t} for n, t in df.dtypes], "warnings": list(warnings), "rows": rows}
+    return _head(df, mode, source, len(rows), warnings) | {"rows": rows}
+
+
+def stored_envelope(df: DataFrame, mode: str, source: str, path: str, warnings: Sequence[dict] = ()) -> dict:
+    """The answer to a query of any size: its rows are written by the tasks to a new folder, rows_path, as Parquet, and
+    none of them reaches the driver; row_count is what lies there."""
+    df.write.parquet(path)
+    return _head(df, mode, source, df.sparkSession.read.parquet(path).count(), warnings) | {"rows_path": path}
+
+
+def _head(df: DataFrame, mode: str, source: str, rows: int, warnings: Sequence[dict]) -> dict:
+    return {"mode": mode, "source": source, "row_count": rows, "schema": [{"name": n, "dtype": t} for n, t in df.dtypes], "warnings": list(warnings)}
 
 
 def persist_artifact(root: str, source_id: str, content: bytes, content_type: str, fetched_at: datetime) -> dict:

@@ -186,8 +186,9 @@ def _(spark, d):
 
 @query("snk_13_envelope", "select 'native' as mode, count(*) as row_count, 'trade_id bigint,price double' as schema, max(event_id) as last_id from events")
 def _(spark, d):
-    out = sinks.envelope(native_of(spark, d, "binance_spot_trades").select("trade_id", "price"), "native", "binance_spot_trades")
-    return spark.createDataFrame([(out["mode"], out["row_count"], ",".join(f"{c['name']} {c['dtype']}" for c in out["schema"]), max(r["trade_id"] for r in out["rows"]))], "mode string, row_count long, schema string, last_id long")
+    out = sinks.stored_envelope(native_of(spark, d, "binance_spot_trades").select("trade_id", "price"), "native", "binance_spot_trades", folder(spark))
+    last = spark.read.parquet(out["rows_path"]).agg(F.max("trade_id")).first()[0]
+    return spark.createDataFrame([(out["mode"], out["row_count"], ",".join(f"{c['name']} {c['dtype']}" for c in out["schema"]), last)], "mode string, row_count long, schema string, last_id long")
 
 
 @query("snk_14_reset", """select 'log' as name, count(*) filter (cast(ts as date) = date '2024-01-09') as gone, count(*) filter (cast(ts as date) <> date '2024-01-09') as remain from events
