@@ -114,3 +114,23 @@ def _walk(node, row):
     while node.below is not None:
         node = node.below if row[secrets.FEATURES[node.feature]] <= node.threshold else node.above
     return node.share
+
+
+def test_language_is_learned_from_all_texts(spark):
+    """Counts over every text, against plain Python; 4,000 texts, of which the last few hundred bring a word of their own."""
+    import re
+    from collections import Counter
+
+    texts = [f"common{'abcdefghij'[k % 10]} Words, {'zqzqword' if k > 3700 else 'other'} n{k} {'y' * 40 if k % 900 == 0 else ''}" for k in range(4_000)] + [None, ""]
+    pairs, words = Counter(), Counter()
+    for t in texts:
+        t = (t or "").lower()
+        pairs.update(re.findall("(?=([a-z][a-z]))", t)), words.update(re.findall("[a-z]{4,16}", t))
+    follows = Counter()
+    for p, n in pairs.items():
+        follows[p[0]] += n
+    got = secrets.language(spark.createDataFrame([(t,) for t in texts], "text string").repartition(7), most_words=5)
+    assert got.pairs == tuple(sorted(p for p, n in pairs.items() if n * 26 > follows[p[0]]))
+    assert got.words == tuple(sorted(sorted((w for w, n in words.items() if n > 2), key=lambda w: (-words[w], w))[:5]))
+    everything = secrets.language(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert set(everything.words) == {w for w, n in words.items() if n > 2}
