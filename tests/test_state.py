@@ -133,3 +133,14 @@ def test_a_stored_envelope_has_no_limit(spark, tmp_path, monkeypatch):
     assert (out["row_count"], out["schema"], "rows" in out) == (5, [{"name": "k", "dtype": "bigint"}], False)
     assert sorted(r["k"] for r in spark.read.parquet(out["rows_path"]).collect()) == [0, 1, 2, 3, 4]
     assert queries.QUERIES["snk_13_envelope"](spark, "/root/testdata/sf0.001").first()["row_count"] > 2
+
+
+def test_a_bundle_in_pages_is_one_and_lies_once(spark, tmp_path):
+    at = datetime(2024, 3, 1, tzinfo=UTC)
+    frame = lambda *rows: spark.createDataFrame(rows, "series_id string, page long, observations string")
+    pages = [("A", 0, "[1]"), ("A", 1, "[2]"), ("B", 0, "[1]")]
+    assert sinks.persist_bundles(frame(*pages), f"{tmp_path}/raw", at) == 2
+    assert sinks.persist_bundles(frame(*pages[::-1], pages[0]), f"{tmp_path}/raw", at) == 0
+    assert sinks.persist_bundles(frame(("A", 0, "[2]"), ("A", 1, "[1]")), f"{tmp_path}/raw", at) == 1
+    kept = spark.read.parquet(f"{tmp_path}/raw")
+    assert (kept.count(), kept.select("series_id", "bundle_sha256").distinct().count()) == (5, 3)

@@ -223,13 +223,25 @@ def persist_metrics(records: DataFrame, path: str) -> int:
 
 
 def persist_bundles(bundles: DataFrame, path: str, fetched_at: datetime) -> int:
-    """Keep raw series bundles as they came, by series and content: the same content lies once."""
+    """Keep raw series bundles as they came, by series and content: the same content lies once; returns how many are new.
+
+    A large bundle comes in pages, rows with a column page, all of one bundle for each series: none of its texts need hold
+    it whole, and its digest is that of its pages' digests in order.
+    """
     spark = bundles.sparkSession
-    rows = bundles.withColumns({"bundle_sha256": F.sha2(F.to_json(F.struct(*sorted(bundles.columns))), 256), "fetched_at_utc": F.lit(fetched_at)}).dropDuplicates(["series_id", "bundle_sha256"])
+    rows = bundles.withColumn("bundle_sha256", F.sha2(F.to_json(F.struct(*sorted(bundles.columns))), 256))
+    if "page" in bundles.columns:
+        digest = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("page", "bundle_sha256"))), lambda x: x["bundle_sha256"]), "|"), 256)
+        whole = rows.groupBy("series_id").agg(digest.alias("whole"))
+        rows = rows.dropDuplicates(["series_id", "page", "bundle_sha256"]).join(whole, "series_id").withColumn("bundle_sha256", F.col("whole")).drop("whole")
+    else:
+        rows = rows.dropDuplicates(["series_id", "bundle_sha256"])
+    rows = rows.withColumn("fetched_at_utc", F.lit(fetched_at))
     if exists(spark, path):
-        rows = rows.join(spark.read.schema(rows.schema).parquet(path).select("series_id", "bundle_sha256"), ["series_id", "bundle_sha256"], "left_anti")
+        known = spark.read.schema(rows.schema).parquet(path).select("series_id", "bundle_sha256").distinct()
+        rows = rows.join(known, ["series_id", "bundle_sha256"], "left_anti")
     rows = checkpointed(rows)
-    n = rows.count()
+    n = rows.select("series_id", "bundle_sha256").distinct().count()
     if n:
         rows.write.mode("append").partitionBy("series_id").parquet(path)
     return n

@@ -147,10 +147,14 @@ def _(spark, d):
     return spark.read.parquet(path).groupBy("metric_name").agg(F.count(F.lit(1)).alias("rows")).withColumn("again", F.lit(again).cast("long"))
 
 
+#: Order keys that a page of a series bundle spans.
+_PAGE = 50_000
+
+
 def _bundles(spark, d) -> DataFrame:
     o = F.struct(F.lit("2024-01-01").alias("realtime_start"), F.lit("9999-12-31").alias("realtime_end"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_orderkey").cast("string").alias("value"))
-    made = table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("series_id")).agg(F.to_json(F.array_sort(F.collect_list(o))).alias("observations"))
-    return made.select("series_id", F.lit("USD").alias("unit"), F.lit("2024-01-05").alias("last_updated"), "observations")
+    made = table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("series_id"), F.floor(F.col("o_orderkey") / _PAGE).cast("long").alias("page")).agg(F.to_json(F.array_sort(F.collect_list(o))).alias("observations"))
+    return made.select("series_id", "page", F.lit("USD").alias("unit"), F.lit("2024-01-05").alias("last_updated"), "observations")
 
 
 @query("snk_10_series", "select 'fred_' || lower(o_orderstatus) as source_id, count(*) as rows, 1::bigint as bundles, 0::bigint as again from orders group by 1")
@@ -160,7 +164,7 @@ def _(spark, d):
     sinks.persist_metrics(long, f"{path}/long")
     sinks.persist_bundles(bundles, f"{path}/raw", T0)
     again = sinks.persist_metrics(long, f"{path}/long") + sinks.persist_bundles(bundles, f"{path}/raw", T0)
-    kept = spark.read.parquet(f"{path}/raw").groupBy(F.concat(F.lit("fred_"), F.lower("series_id")).alias("source_id")).agg(F.count(F.lit(1)).alias("bundles"))
+    kept = spark.read.parquet(f"{path}/raw").groupBy(F.concat(F.lit("fred_"), F.lower("series_id")).alias("source_id")).agg(F.count_distinct("bundle_sha256").alias("bundles"))
     return spark.read.parquet(f"{path}/long").groupBy("source_id").agg(F.count(F.lit(1)).alias("rows")).join(kept, "source_id").withColumn("again", F.lit(again).cast("long"))
 
 
@@ -301,7 +305,7 @@ def _(spark, d):
 def _(spark, d):
     from datetime import date
 
-    c = table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("series_id")).agg(F.to_date(F.min("o_orderdate")).alias("low"), F.to_date(F.max("o_orderdate")).alias("high"))
+    c = table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("series_id"), F.floor(F.col("o_orderkey") / _PAGE).cast("long").alias("page")).agg(F.to_date(F.min("o_orderdate")).alias("low"), F.to_date(F.max("o_orderdate")).alias("high"))
     spans = [(r["series_id"], feeds.incremental_range(r["low"], r["low"], r["high"], date(1998, 1, 1))) for r in c.collect()]
     return spark.createDataFrame([(s, *x) for s, x in spans if x], "series_id string, start date, until date")
 
