@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from tidemark.llm import lm
 
@@ -79,6 +80,44 @@ def brute_tree(texts, least):
     return log10
 
 
+def whole(text):
+    """The same of a text as a whole: all before a byte is its context."""
+    line = b" " + b"".join(w + b" " for w in lm.words(text)) + lm.END_BYTE
+    return [(line[:i], line[i]) for i in range(1, len(line))]
+
+
+def sentences(rng, n):
+    """Texts in which a word's ending, and the word before, tell much of the next."""
+    after = {"the": ["cat", "dog", "end"], "cat": ["sat", "ran"], "dog": ["ate", "the"], "sat": ["by"], "ran": ["by", "the"], "ate": ["über"], "by": ["the"], "über": ["the"], "end": ["the", "ate"]}
+    for _ in range(n):
+        own = ["the"]
+        while rng.random() < 0.95:
+            own.append(rng.choice(after[own[-1]]))
+        yield "  ".join(own).title() + rng.choice(["", " \n", "\t"])
+
+
+@pytest.mark.parametrize("few", [0, 0.5])
+def test_contexts_reach_over_words_as_in_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(lm, "LEAST_COUNT", 8)
+    monkeypatch.setattr(lm, "MIN_DIVERGENCE", 20.0)
+    monkeypatch.setattr(lm, "CONTEXT_SHARE", 10**6)
+    monkeypatch.setattr(lm, "FEW", few)
+    texts = [*sentences(random.Random(7), 40), "", None]
+    monkeypatch.setitem(globals(), "streams", lambda ts: [whole(t) for t in ts])
+    log10 = brute_tree(texts, 8)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "ran by the cat sat", "the the zoo by"])], "doc_id long, text string").repartition(3)
+    out = {r["doc_id"]: r for r in lm.score(docs, docs.where(f"doc_id < {len(texts)}")).collect()}
+    for r in docs.collect():
+        assert math.isclose(out[r["doc_id"]]["score"], log10(whole(r["text"])), rel_tol=1e-5), r
+
+
+def test_a_word_depends_on_the_one_before(spark):
+    texts = [("alpha beta gamma delta " * 5,), ("delta gamma alpha beta",)] * 5
+    asked = spark.createDataFrame([(1, "alpha beta gamma delta " * 10), (2, "beta alpha delta gamma " * 10)], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in lm.score(asked, spark.createDataFrame(texts, "text string")).collect()}
+    assert math.isclose(out[1]["base_score"], out[2]["base_score"]) and out[1]["score"] > out[2]["score"] + 5
+
+
 def test_tree_matches_brute_force(spark, monkeypatch):
     monkeypatch.setattr(lm, "LEAST_COUNT", 3)
     monkeypatch.setattr(lm, "CONTEXT_SHARE", 10**6)

@@ -1,22 +1,24 @@
-"""Language-model scores: word unigrams, and a probabilistic suffix tree over the bytes of words.
+"""Language-model scores: word unigrams, and a probabilistic suffix tree over the bytes of texts.
 
-A text is its words, each ended by a blank, and then an end mark. The tree predicts each byte from the bytes before it in
-the word, the blank before the word included, so a word's probability does not depend on its neighbours: the tree is learned
-from counts of different words, and no text has to be read again for it.
+A text is a blank, its words, each ended by a blank, and then an end mark. The tree predicts each byte but the first blank from
+the longest kept context before it, which may reach over any number of words back to the text's start. It is learned from
+the whole training texts, which are read once a length.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, id_remainder, map_texts, ship
+from tidemark.llm.common import ROWS_AT_ONCE, checkpointed, id_remainder, map_texts, ship
 
 #: A context is counted on if it occurs so often: N ** (2 / 3) / CONTEXT_SHARE of N symbols. A length then has no more than
 #: CONTEXT_SHARE * N ** (1 / 3) contexts: what is learned grows with the corpus, but slowly enough to be sent to tasks.
@@ -27,16 +29,22 @@ LEAST_COUNT = 8
 MIN_DIVERGENCE = 12.0
 #: Bytes of the tree that a task may be sent; the check that the bound above holds.
 MOST_TREE_BYTES = 1 << 29
-#: Contexts of up to so many bytes are counted in one pass over the words, longer ones in a pass a length.
-SHORT = 3
 #: Words whose counts are sent to every task; the others are looked up by a join.
 SENT_WORDS = 60_000
-#: Distinct words, and symbols, that a task gathers before it hands on their counts.
-HELD_WORDS, HELD_SYMBOLS = 400_000, 1 << 22
+#: Distinct words that a task gathers before it hands on their counts, and symbols before it counts them.
+HELD_WORDS, HELD_SYMBOLS = 400_000, 1 << 20
 #: The end token among words; no word contains a blank. Its byte is none of UTF-8's.
 END_WORD, END_BYTE = b" ", b"\xff"
 
-_BASE, _LENGTH, _NEXT = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, np.uint64(0xD6E8FEB86659FD93)
+#: What stands between texts; none of UTF-8's bytes either.
+OUTSIDE = b"\xfe"
+#: Symbols that are looked at at once, and counts that a task holds at once (more contexts are counted in several passes).
+BLOCK, COUNTS_AT_ONCE = 1 << 16, 1 << 22
+#: Where no more than this share of all symbols stands after contexts that may be refined, only these places are read on.
+FEW = 1 / 200
+
+_BASE, _NEXT = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
+_SHOWN = np.frombuffer(bytes(range(256)).lower().translate(bytes(32 if 9 <= k <= 13 else k for k in range(256))), np.uint8)
 
 
 def words(text: str | None) -> list[bytes]:
@@ -89,90 +97,241 @@ def commonest(by_word: DataFrame, most: int) -> dict[bytes, int]:
 # --- symbols and contexts ---------------------------------------------------------------------------------------------
 
 
-class Symbols:
-    """The bytes of some words, each between blanks, and of each byte how many stand before it from its word's first blank on."""
+def shown(own: list[bytes]) -> bytes:
+    """A text's symbols: a blank, its words each ended by a blank, the end mark, and what stands outside of texts."""
+    return b" ".join([b"", *own, END_BYTE + OUTSIDE])
 
-    def __init__(self, data: np.ndarray, length: np.ndarray):
-        """data: the words' bytes one after the other; length: how many each has. END_WORD stands for the end."""
-        start, n = np.cumsum(length) - length, len(length)
-        ends = np.flatnonzero(length == 1)
-        ends = ends[data[start[ends]] == END_WORD[0]]
-        self.word = np.repeat(np.arange(n), length + 1)  # of the symbols from the second on
-        self.bytes = np.full(len(data) + n + 1, 32, np.uint8)
-        self.bytes[np.arange(1, len(data) + 1) + np.repeat(np.arange(n), length)] = data
-        first = start + np.arange(n)
-        self.bytes[first[ends] + 1] = END_BYTE[0]
-        self.before = np.arange(1, len(self.bytes)) - np.repeat(first, length + 1)
-        self.counts = np.ones(len(self.word), bool)
-        self.counts[first[ends] + 1] = False  # nothing follows the end mark
-        self.next = self.bytes[1:]
 
-    @classmethod
-    def of(cls, own: list[bytes]) -> Symbols:
-        return cls(np.frombuffer(b"".join(own), np.uint8), np.fromiter(map(len, own), np.int64, len(own)))
+def shown_word(word: bytes) -> bytes:
+    """The same of a word, or END_WORD, alone."""
+    return b" " + (END_BYTE if word == END_WORD else word + b" ") + OUTSIDE
 
-    def extended(self, hashes: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-        """Hashes of the contexts of `length` bytes at some symbols, from those of length - 1."""
-        return hashes + (self.bytes[at + 1 - length].astype(np.uint64) + np.uint64(1)) * np.uint64(pow(_BASE, length, 2**64))
 
+def text_symbols(batch: pa.RecordBatch):
+    """Symbols of the batch's texts, one after the other, and how often each text counts (None: once)."""
+    fixed = [pa.scalar(x, pa.large_binary()) for x in (b" ", b" " + END_BYTE + OUTSIDE, b"")]
+    for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+        text = batch.column(0).slice(at, ROWS_AT_ONCE).cast(pa.binary()).cast(pa.large_binary()).fill_null(fixed[2])
+        joined = pc.binary_join_element_wise(fixed[0], text, fixed[1], fixed[2])
+        bounds = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
+        data = _SHOWN[np.frombuffer(joined.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]]
+        first = np.ones(len(data), bool)
+        first[1:] = (data[1:] != 32) | (data[:-1] != 32)
+        yield data[first], None
+
+
+def word_symbols(batch: pa.RecordBatch):
+    """The same of counted words (key, n)."""
+    own = [shown_word(w) for w in batch.column(0).to_pylist()]
+    yield np.frombuffer(b"".join(own), np.uint8), np.repeat(batch.column(1).to_numpy(), [len(w) for w in own])
 
-def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    if not len(known):
-        return np.zeros(len(values), bool)
-    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
+def _blocks(found, before: int):
+    """Pieces of symbols with the `before` ones before each, where there are any, and where the piece itself begins."""
+    for data, n in found:
+        for at in range(0, len(data), BLOCK):
+            start = max(0, at - before)
+            yield data[start : at + BLOCK], None if n is None else n[start : at + BLOCK], at - start
 
-def context_counts(by_word: DataFrame, lengths: range, frontier: np.ndarray | None, least: int) -> list[tuple]:
-    """For each length (context, suffix, next, n) as arrays, sorted by context: of the contexts of so many bytes that occur
-    `least` times, and whose suffix is in the frontier (of one length only; None: any), how often each symbol follows.
-    Summed up by Spark over the counted words."""
-    sent = by_word.sparkSession.sparkContext.broadcast(frontier)
-    ship(by_word.sparkSession)
+
+def pair_counts(strings: DataFrame, symbols: Callable) -> np.ndarray:
+    """How often each symbol (column) follows each other (row)."""
+    ship(strings.sparkSession)
 
     def run(batches):
-        inside, held, size = sent.value, [], 0
-        empty = [np.zeros(0, t) for t in (np.int32, np.uint64, np.uint64, np.uint8, np.int64)]
+        n = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for data, times, _ in _blocks(symbols(batch), 1):
+                pair = data[:-1].astype(np.int64) << 8 | data[1:]
+                n += np.bincount(pair, None if times is None else times[1:], 1 << 16).astype(np.int64)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["pair", "n"])
+
+    rows = strings.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << 16, np.int64)
+    out[rows["pair"].to_numpy()] = rows["n"].to_numpy()
+    out = out.reshape(256, 256)
+    out[[END_BYTE[0], OUTSIDE[0]]] = 0  # nothing follows the end
+    out[:, OUTSIDE[0]] = 0
+    return out
+
+
+def _times(count: int, base: int) -> np.ndarray:
+    """The powers of base from 0 on."""
+    out = np.full(count, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+class _Contexts:
+    """Contexts of one length, found at all symbols at once: a context's hash comes from running sums."""
+
+    def __init__(self, context: np.ndarray, length: int):
+        self.length, self.places = length, _Places(context)
+        size = max(16, (32 * len(context)).bit_length())
+        self.shift, self.maybe = np.uint64(64 - size), np.zeros(1 << size, bool)
+        self.maybe[self._slot(context)] = True
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return ((hashes * _NEXT) >> self.shift).view(np.int64)
+
+    def found(self, strings, before: int):
+        """For each piece of symbols: it, how often each counts, running sums, the places of symbols after one of the contexts,
+        which context, and `hashes(at, length)` of the contexts at some places."""
+        up, down = _times(BLOCK + before, _BASE), _times(BLOCK + before, pow(_BASE, -1, 2**64))
+        for data, times, first in _blocks(strings, before):
+            m = len(data)
+            if m <= self.length:
+                continue
+            sums = np.zeros(m + 1, np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * down[:m], out=sums[1:])
+            start = max(self.length, first)
+            h = (sums[start:m] - sums[start - self.length : m - self.length]) * up[start:m]
+            at = np.flatnonzero(self.maybe[self._slot(h)])
+            place = self.places(h[at])
+            at += start
+            there = (place >= 0) & (data[at] != OUTSIDE[0])
+            if times is not None:
+                there &= times[at] > 0
+            at = at[there]
+            yield data, times, at, place[there], lambda at, length, sums=sums: (sums[at] - sums[at - length]) * up[at]
+
+
+def _counts(wanted: _Contexts, strings, n_contexts: int, following: np.ndarray) -> np.ndarray:
+    """How often each of `following` follows each context."""
+    size = n_contexts * len(following)
+    n, code = np.zeros(size, np.int64), np.full(256, -1, np.int64)
+    code[following] = np.arange(len(following))
+    held, weights, held_size = [], [], 0
+
+    def fold():
+        if held:
+            np.add(n, np.bincount(np.concatenate(held), np.concatenate(weights) if weights else None, size).astype(np.int64), out=n)
+        held.clear(), weights.clear()
+
+    for data, times, at, place, _ in wanted.found(strings, wanted.length):
+        held.append(place.astype(np.int64) * len(following) + code[data[at]])
+        if times is not None:
+            weights.append(times[at])
+        held_size += len(at)
+        if held_size > max(size, HELD_SYMBOLS):
+            fold()
+            held_size = 0
+    fold()
+    return n
+
+
+def context_counts(strings: DataFrame, symbols: Callable, length: int, context: np.ndarray, following: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """(place among the contexts, symbol, n): of the contexts that occur `least` times, how often each symbol follows.
+    Counted over all strings and summed up by Spark."""
+    spark, out = strings.sparkSession, []
+    ship(spark)
+    most = max(1, COUNTS_AT_ONCE // len(following))
+    for first in range(0, len(context), most):
+        part = context[first : first + most]
+        sent = spark.sparkContext.broadcast(_Contexts(part, length))
+
+        def run(batches, sent=sent, size=len(part), first=first):
+            n = _counts(sent.value, (x for b in batches for x in symbols(b)), size, following)
+            at = np.flatnonzero(n)
+            columns = (first + at // len(following)).astype(np.int32), following[at % len(following)].astype(np.int32), n[at]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["context", "next", "n"])
+
+        partial = strings.mapInArrow(run, "context int, next int, n long")
+        summed = partial.repartition("context").groupBy("context", "next").agg(F.sum("n").alias("n"))
+        whole = summed.groupBy("context").agg(F.sum("n").alias("all"), F.collect_list(F.struct("next", "n")).alias("f")).where(F.col("all") >= least)
+        rows = whole.select("context", F.inline("f")).toArrow()
+        out.append([rows[c].to_numpy().astype(np.int64) for c in ("context", "next", "n")])
+        sent.unpersist()
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _room(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many symbols of its own text stand before each place."""
+    outside = np.concatenate([[-1], np.flatnonzero(data >= OUTSIDE[0])])
+    return at - 1 - outside[np.searchsorted(outside, at) - 1]
+
+
+def places_after(strings: DataFrame, symbols: Callable, length: int, contexts: np.ndarray, reach: int) -> DataFrame:
+    """The stretches of the strings that end in a symbol after one of the contexts and begin `reach` symbols before one, those
+    that meet as one: part, skip (so many of its first symbols are there as contexts only) and n; written to the shared folder."""
+    sent = strings.sparkSession.sparkContext.broadcast(_Contexts(contexts, length))
+    ship(strings.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            for data, times, at, _, _ in sent.value.found(symbols(batch), reach):
+                if not len(at):
+                    continue
+                start = at - np.minimum(_room(data, at), reach)
+                new = np.concatenate([[True], start[1:] > at[:-1]])
+                first, last = start[new], np.concatenate([at[:-1][new[1:]], at[-1:]])
+                parts = [data[a : b + 1].tobytes() for a, b in zip(first.tolist(), last.tolist())]
+                n = np.ones(len(parts), np.int64) if times is None else times[last]
+                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary()), pa.array((at[new] - first).astype(np.int32)), pa.array(n)], names=["part", "skip", "n"])
+
+    return checkpointed(strings.mapInArrow(run, "part binary, skip int, n long"))
+
+
+def part_symbols(batch: pa.RecordBatch):
+    """Symbols of stretches (part, skip, n)."""
+    for at in range(0, batch.num_rows, 16 * ROWS_AT_ONCE):
+        parts, skip, n = batch.slice(at, 16 * ROWS_AT_ONCE).columns
+        parts = [p + OUTSIDE for p in parts.to_pylist()]
+        size = np.array([len(p) for p in parts])
+        inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        yield np.frombuffer(b"".join(parts), np.uint8), np.where(inside >= np.repeat(skip.to_numpy(), size), np.repeat(n.to_numpy(), size), 0)
+
+
+def longer_counts(parts: DataFrame, lengths: range, frontier: np.ndarray, least: int) -> list[tuple[np.ndarray, ...]]:
+    """For each length (context, suffix, first byte, next, n), sorted by context: of the contexts that occur `least` times and
+    end in one of the frontier, which are one byte shorter than the first length, how often each symbol follows."""
+    sent = parts.sparkSession.sparkContext.broadcast(_Contexts(frontier, lengths[0] - 1))
+    names, kinds = ["length", "context", "suffix", "first", "next", "n"], [np.int32, np.uint64, np.uint64, np.int32, np.int32, np.int64]
+
+    def run(batches):
+        held, size = [], 0
 
         def fold(parts):
-            length, context, suffix, following, n = (np.concatenate(x) for x in zip(empty, *parts))
-            pair = context * _NEXT + following + length.astype(np.uint64)
+            length, context, suffix, first, following, n = (np.concatenate(x) for x in zip([np.zeros(0, k) for k in kinds], *parts))
+            pair = context * _NEXT + following.astype(np.uint64) + (length.astype(np.uint64) << np.uint64(32))
             order = np.argsort(pair, kind="stable")
             pair = pair[order]
-            first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])[: len(order)])
-            at = order[first]
-            return [length[at], context[at], suffix[at], following[at], np.add.reduceat(n[order], first) if len(first) else n]
+            new = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])[: len(order)])
+            at = order[new]
+            return [length[at], context[at], suffix[at], first[at], following[at], np.add.reduceat(n[order], new) if len(new) else n]
 
-        for batch in batches:
-            key, ns = batch.column("key"), batch.column("n").to_numpy()
-            bounds = np.frombuffer(key.buffers()[1], np.int32)[key.offset : key.offset + len(key) + 1].astype(np.int64)
-            data = np.frombuffer(key.buffers()[2], np.uint8)[bounds[0] : bounds[-1]] if bounds[-1] > bounds[0] else np.zeros(0, np.uint8)
-            s = Symbols(data, np.diff(bounds))
+        for data, times, at, _, hashes in sent.value.found((x for b in batches for x in part_symbols(b)), lengths[-1]):
+            room, suffix = _room(data, at), hashes(at, lengths[0] - 1)
             for length in lengths:
-                at = np.flatnonzero(s.counts & (s.before >= length))
-                h = np.zeros(len(at), np.uint64)
-                for k in range(1, length):
-                    h = s.extended(h, at, k)
-                if inside is not None:
-                    near = _among(h, inside)
-                    at, h = at[near], h[near]
-                held.append((np.full(len(at), length, np.int32), s.extended(h, at, length) if length else h, h, s.next[at], ns[s.word[at]]))
-                size += len(at)
+                more = room >= length
+                at, room, suffix = at[more], room[more], suffix[more]
+                if not len(at):
+                    break
+                context = hashes(at, length)
+                held.append([np.full(len(at), length, np.int32), context, suffix, data[at - length].astype(np.int32), data[at].astype(np.int32), times[at]])
+                suffix, size = context, size + len(at)
             if size > HELD_SYMBOLS:
-                held, size = [fold(held)], 0
-        length, context, suffix, following, n = fold(held)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (length, context.view(np.int64), suffix.view(np.int64), following.astype(np.int32), n)], names=["length", "context", "suffix", "next", "n"])
-
-    partial = by_word.select("key", "n").mapInArrow(run, "length int, context long, suffix long, next int, n long")
-    summed = partial.repartition("length", "context").groupBy("length", "context", "suffix", "next").agg(F.sum("n").alias("n"))
-    whole = summed.groupBy("length", "context", "suffix").agg(F.sum("n").alias("all"), F.collect_list(F.struct("next", "n")).alias("f")).where((F.col("all") >= least) | (F.col("length") == 0))
-    rows = whole.select("length", "context", "suffix", F.inline("f")).toArrow()
-    length, context, suffix = rows["length"].to_numpy(), *(rows[c].to_numpy().view(np.uint64) for c in ("context", "suffix"))
-    out = []
-    for k in lengths:
-        at = np.flatnonzero(length == k)
-        at = at[np.lexsort((rows["next"].to_numpy()[at], context[at]))]
-        out.append((context[at], suffix[at], rows["next"].to_numpy()[at].astype(np.int64), rows["n"].to_numpy()[at]))
-    return out
+                held = [fold(held)]
+                size = len(held[0][0]) // 2
+        out = fold(held)
+        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in out], names=names)
+
+    partial = parts.mapInArrow(run, "length int, context long, suffix long, first int, next int, n long")
+    summed = partial.repartition("length", "context").groupBy("length", "context", "suffix", "first", "next").agg(F.sum("n").alias("n"))
+    whole = summed.groupBy("length", "context", "suffix", "first").agg(F.sum("n").alias("all"), F.collect_list(F.struct("next", "n")).alias("f")).where(F.col("all") >= least)
+    rows = whole.select("length", "context", "suffix", "first", F.inline("f")).toArrow()
+    length, context, suffix, first, following, n = (rows[c].to_numpy().astype(np.int64) for c in names)
+    context, suffix = context.view(np.uint64), suffix.view(np.uint64)
+    order = np.lexsort((following, context, length))
+    bounds = np.searchsorted(length[order], [*lengths, lengths[-1] + 1])
+    return [tuple(x[order[a:b]] for x in (context, suffix, first, following, n)) for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
 # --- the tree ---------------------------------------------------------------------------------------------------------
@@ -225,47 +384,44 @@ class Tree:
     def __init__(self):
         self.root = np.full(256, 1 / 256)
         self.kept = [1]
-        self.node_keys, self.points_to, self.log_rest, self.up = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], [np.zeros(1)], [np.zeros(1, np.int64)]
+        self.points_to, self.log_rest, self.up, self.child_keys = [np.zeros(1, np.int64)], [np.zeros(1)], [np.zeros(1, np.int64)], []
         self.pair_keys, self.pair_p = [np.zeros(0, np.uint64)], [np.zeros(0)]
-        self.n_nodes, self.level_at, self.suffix_of, self._pairs = 1, {0: (np.zeros(1, np.uint64), np.zeros(1, np.int64))}, {}, None
+        self.n_nodes, self.level_at, self._pairs = 1, {0: (np.zeros(1, np.uint64), np.zeros(1, np.int64))}, None
 
-    @staticmethod
-    def _key(context: np.ndarray, length: int) -> np.ndarray:
-        return context ^ np.uint64(length * _LENGTH % 2**64)
-
-    def add(self, length: int, context: np.ndarray, suffix: np.ndarray, following: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """One more length; returns the frontier, the sorted contexts that longer ones may refine."""
+    def add(self, length: int, context: np.ndarray, suffix: np.ndarray, first: np.ndarray, following: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """One more length, rows by context (a hash), with its suffix and first byte; returns the frontier, the sorted
+        contexts that longer ones may refine."""
         if length == 0:
             total = n.sum()
             prior = max(len(n), 1)
             p = np.bincount(following, n, 256)
             self.root = (p + prior * self.root) / (total + prior)
             return np.zeros(1, np.uint64)
-        nodes, first = np.unique(context, return_index=True)
+        nodes, at = np.unique(context, return_index=True)
         if not len(nodes):
             return nodes
-        each = np.diff(np.append(first, len(context)))
-        total, distinct = np.add.reduceat(n, first), each
+        each = np.diff(np.append(at, len(context)))
+        total, distinct = np.add.reduceat(n, at), each
         known, ids = self.level_at[length - 1]
-        parent = ids[np.searchsorted(known, suffix[first])]
+        parent = ids[np.searchsorted(known, suffix[at])]
         up = np.concatenate(self.points_to)[parent]
         row = np.repeat(np.arange(len(nodes)), each)
         base = self.probability(up[row], following)
         share = n / total[row]
-        far = np.add.reduceat(n * np.log(share / base), first)
+        far = np.add.reduceat(n * np.log(share / base), at)
         keep = far >= MIN_DIVERGENCE
         own = self.n_nodes + np.arange(len(nodes))
-        self.node_keys.append(self._key(nodes, length))
+        self.child_keys.append((parent * 256 + first[at]).astype(np.uint64))
         self.points_to.append(np.where(keep, own, up))
         self.log_rest.append(np.where(keep, np.log10(distinct / (total + distinct)), 0.0))
         self.up.append(up)
-        at = keep[row]
-        self.pair_keys.append((own[row] * 256 + following).astype(np.uint64)[at])
-        self.pair_p.append(((n + distinct[row] * base) / (total + distinct)[row])[at])
-        self.level_at[length], self.suffix_of[length], self.n_nodes = (nodes, own), suffix[first], self.n_nodes + len(nodes)
+        kept = keep[row]
+        self.pair_keys.append((own[row] * 256 + following).astype(np.uint64)[kept])
+        self.pair_p.append(((n + distinct[row] * base) / (total + distinct)[row])[kept])
+        self.level_at[length], self.n_nodes = (nodes, own), self.n_nodes + len(nodes)
         self._pairs = None
         self.kept.append(int(keep.sum()))
-        spread = -np.add.reduceat(n * np.log(share), first)
+        spread = -np.add.reduceat(n * np.log(share), at)
         return nodes[spread >= MIN_DIVERGENCE]
 
     def probability(self, node: np.ndarray, following: np.ndarray) -> np.ndarray:
@@ -292,24 +448,33 @@ class Tree:
     def finish(self) -> Tree:
         """Put the tree into the form in which it is sent and asked; nodes that lead to no kept one go."""
         points, up, rest = (np.concatenate(x) for x in (self.points_to, self.up, self.log_rest))
-        depth, used = max(self.level_at), {}
-        for length in range(depth, 0, -1):
-            nodes, ids = self.level_at[length]
-            used[length] = points[ids] == ids
-        # a look-up walks from length to length, so all suffixes of a kept context must be there
-        for length in range(depth, 1, -1):
-            below = self.level_at[length - 1][0]
-            used[length - 1][np.searchsorted(below, self.suffix_of[length][used[length]])] = True
-        self.depth = max([k for k, u in used.items() if u.any()], default=0)
-        keys, ids = [], []
-        for length in range(1, self.depth + 1):
-            nodes, own = self.level_at[length]
-            keys.append(self._key(nodes[used[length]], length)), ids.append(own[used[length]])
-        keys = np.concatenate([np.zeros(0, np.uint64), *keys])
-        self.places, self.place_to = _Places(keys), points[np.concatenate([np.zeros(0, np.int64), *ids])].astype(np.int32)
+        keys = np.concatenate([np.zeros(1, np.uint64), *self.child_keys])
+        used = points == np.arange(len(points))
+        for length in range(max(self.level_at), 0, -1):  # a look-up walks from length to length
+            own = self.level_at[length][1]
+            used[(keys[own[used[own]]] >> np.uint64(8)).astype(np.int64)] = True
+        self.depth = max([k for k, (_, own) in self.level_at.items() if used[own].any()], default=0)
+        # the first two steps back by one table, longer ones by node and byte
+        self.near = np.zeros(1 << 16, np.int32)
+        self.long_from = len(points)
+        for length in (1, 2):
+            if length <= self.depth:
+                own = self.level_at[length][1]
+                own = own[used[own]]
+                node, byte = (keys[own] >> np.uint64(8)).astype(np.int64), (keys[own] & np.uint64(255)).astype(np.int64)
+                if length == 1:
+                    self.near.reshape(256, 256)[:, byte] = own
+                    byte_of = dict(zip(own.tolist(), byte.tolist()))
+                else:
+                    self.near[byte << 8 | np.array([byte_of[k] for k in node.tolist()], np.int64)] = own
+                    self.long_from = int(self.level_at[2][1][0])
+        own = np.flatnonzero(used)
+        own = own[own >= (self.level_at[3][1][0] if self.depth > 2 else len(points))]
+        self.places, self.child = _Places(keys[own]), own.astype(np.int32)
+        self.points = points.astype(np.int32)
         self.pairs, self.pair_log = _Places(np.concatenate(self.pair_keys)), np.log10(np.concatenate(self.pair_p)).astype(np.float32)
         self.rest_log, self.above, self.root_log = rest.astype(np.float32), up.astype(np.int32), np.log10(self.root).astype(np.float32)
-        for name in ("node_keys", "points_to", "log_rest", "up", "pair_keys", "pair_p", "level_at", "suffix_of", "_pairs"):
+        for name in ("points_to", "log_rest", "up", "child_keys", "pair_keys", "pair_p", "level_at", "_pairs"):
             self.__dict__.pop(name, None)
         size = sum(x.nbytes for o in (self, self.places, self.pairs) for x in vars(o).values() if isinstance(x, np.ndarray))
         if size > MOST_TREE_BYTES:
@@ -317,57 +482,160 @@ class Tree:
         self.bytes = size
         return self
 
-    def log10(self, own: list[bytes]) -> np.ndarray:
-        """Of each word (or END_WORD): log10 of its probability, its ending blank included."""
-        if not own:
-            return np.zeros(0)
-        s = Symbols.of(own)
-        node, at, h = np.zeros(len(s.word), np.int32), np.arange(len(s.word)), np.zeros(len(s.word), np.uint64)
-        for length in range(1, self.depth + 1):
-            longer = s.before[at] >= length
-            at, h = at[longer], s.extended(h[longer], at[longer], length)
-            place = self.places(self._key(h, length))
-            there = place >= 0
-            at, h = at[there], h[there]
-            node[at] = self.place_to[place[there]]
+    def each(self, data: np.ndarray, start: int) -> np.ndarray:
+        """log10 of the probability of each symbol from start on; those before it are contexts only. Zero for a first blank
+        and for what stands outside of texts."""
+        before = max(self.depth, 2)
+        padded = np.concatenate([np.full(max(0, before - start), OUTSIDE[0], np.uint8), data[max(0, start - before) :]])
+        n = len(data) - start
+        back = lambda k: padded[before - k : before - k + n]
+        following = back(0).astype(np.int64)
+        node = self.near[back(2).astype(np.int64) << 8 | back(1)]
+        at = np.flatnonzero(node >= self.long_from)
+        for length in range(3, self.depth + 1):
             if not len(at):
                 break
-        out, left, following = np.zeros(len(s.word)), np.flatnonzero(s.counts), s.next.astype(np.int64)
+            place = self.places(node[at].astype(np.uint64) << np.uint64(8) | padded[at + (before - length)])
+            there = place >= 0
+            at = at[there]
+            node[at] = self.child[place[there]]
+        node = self.points[node]
+        out = np.zeros(n)
+        left = np.flatnonzero((back(0) != OUTSIDE[0]) & (back(1) != OUTSIDE[0]))
         while len(left):
-            at_root = node[left] == 0
-            out[left[at_root]] += self.root_log[following[left[at_root]]]
-            left = left[~at_root]
-            place = self.pairs((node[left].astype(np.int64) * 256 + following[left]).astype(np.uint64))
+            own = node[left]
+            at_root = own == 0
+            if at_root.any():
+                out[left[at_root]] += self.root_log[following[left[at_root]]]
+                left, own = left[~at_root], own[~at_root]
+            place = self.pairs((own.astype(np.int64) << 8 | following[left]).view(np.uint64))
             there = place >= 0
             out[left[there]] += self.pair_log[place[there]]
-            left = left[~there]
-            out[left] += self.rest_log[node[left]]
-            node[left] = self.above[node[left]]
-        return np.bincount(s.word, out, len(own))
+            left, own = left[~there], own[~there]
+            out[left] += self.rest_log[own]
+            node[left] = self.above[own]
+        return out
+
+    def of(self, strings: list[bytes]) -> np.ndarray:
+        """log10 of the probability of each string of symbols."""
+        if not strings:
+            return np.zeros(0)
+        data, ends = np.frombuffer(b"".join(strings), np.uint8), np.cumsum([len(x) for x in strings])
+        parts = [self.each(data[max(0, k - self.depth - 2) : k + BLOCK], min(k, self.depth + 2)) for k in range(0, len(data), BLOCK)]
+        return np.add.reduceat(np.concatenate(parts), np.concatenate([[0], ends[:-1]]))
+
+    def log10(self, own: list[bytes]) -> np.ndarray:
+        """Of each word (or END_WORD) that stands alone: log10 of its probability, its ending blank included."""
+        return self.of([shown_word(w) for w in own])
+
+
+class _Found:
+    """Contexts of one length as hashes, with their suffixes' hashes and their first two and last bytes."""
+
+    def __init__(self, context, suffix, first, second, last):
+        self.columns = context, suffix, first, second, last
+        self.context, self.suffix, self.first, self.second, self.last = self.columns
+
+    def at(self, places: np.ndarray) -> _Found:
+        return _Found(*(x[places] for x in self.columns))
+
+
+def _next_length(length: int, found: _Found, rows: tuple[np.ndarray, ...], frontier: np.ndarray, before: np.ndarray, may_start: np.ndarray, least: int) -> _Found:
+    """The contexts of `length` bytes that may occur `least` times and whose suffix is in the frontier.
+
+    found and rows are the contexts one shorter and what follows them, `before` is the frontier of their suffixes. A
+    context does not occur more often than it follows, as a string, from its part without its last byte. Where that part was not
+    counted (its suffix was not in `before`), all bytes are taken whose string with the next two may occur so often.
+    """
+    base = np.uint64(_BASE)
+    place, following, n = rows
+    often = (n >= least) & (following != END_BYTE[0])
+    c, y = found.at(place[often]), following[often]
+    added = (y.astype(np.uint64) + np.uint64(1)) * base
+    known = _Found(c.context * base + added, c.suffix * base + added, c.first, y if length == 2 else c.second, y)
+    known = known.at(_among(known.suffix, frontier))
+    open_ = found.at(_among(found.context, frontier))
+    without_last = (open_.context - (open_.last.astype(np.uint64) + np.uint64(1)) * base) * np.uint64(pow(_BASE, -1, 2**64))
+    s = open_.at(~_among(without_last, before))
+    which, byte = np.nonzero(may_start[:, s.first, s.second].T) if length > 2 else (np.zeros(0, np.int64),) * 2
+    s = s.at(which)
+    new = _Found(s.context + (byte.astype(np.uint64) + np.uint64(1)) * np.uint64(pow(_BASE, length, 2**64)), s.context, byte, s.first, s.last)
+    return _Found(*(np.concatenate(x) for x in zip(known.columns, new.columns)))
+
+
+def grow(strings: DataFrame, symbols: Callable, n_symbols: int) -> Tree:
+    """The tree of strings: length by length, as long as contexts are frequent and can still be refined."""
+    least = max(LEAST_COUNT, math.ceil(n_symbols ** (2 / 3) / CONTEXT_SHARE))
+    pairs, tree = pair_counts(strings, symbols), Tree()
+    following = np.flatnonzero(pairs.sum(axis=0))
+    none = np.zeros(len(following), np.uint64)
+    before = tree.add(0, none, none, none, following, pairs.sum(axis=0)[following])
+    bytes_ = np.flatnonzero(pairs.sum(axis=1) >= least)
+    found = _Found((bytes_.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE), np.zeros(len(bytes_), np.uint64), bytes_, bytes_, bytes_)
+    place, y = np.nonzero(pairs[bytes_])
+    rows = place, y, pairs[bytes_[place], y]
+    may_start = np.broadcast_to((pairs >= least)[:, :, None], (256, 256, 256))  # of which three bytes a context may begin
+    length = 1
+    while True:
+        order = np.lexsort((rows[1], found.context[rows[0]]))
+        place, y, n = (x[order] for x in rows)
+        c = found.at(place)
+        frontier = tree.add(length, c.context, c.suffix, c.first, y, n)
+        if length == 2:
+            counted = _among((np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(_BASE), before)
+            three = np.zeros((256, 256, 256), bool)
+            often = n >= least
+            three[c.first[often], c.second[often], y[often]] = True
+            may_start = may_start & (three | ~counted[None, :, None])
+        n_open = n[_among(c.context, frontier)].sum()
+        if length > 1 and n_open <= FEW * n_symbols:
+            return deepen(tree, strings, symbols, length, frontier, n_open, n_symbols, least).finish()
+        length += 1
+        found, before = _next_length(length, found, rows, frontier, before, may_start, least), frontier
+        if not len(found.context):
+            return tree.finish()
+        place, y, n = context_counts(strings, symbols, length, found.context, following, least)
+        there, place = np.unique(place, return_inverse=True)
+        found, rows = found.at(there), (place, y, n)
+
+
+def deepen(tree: Tree, strings: DataFrame, symbols: Callable, length: int, frontier: np.ndarray, n_open: int, n_symbols: int, least: int) -> Tree:
+    """Add the lengths above `length`, as long as there is a frontier: long contexts, as of repeated lines. n_open symbols
+    stand after the frontier. Several lengths are counted at once, the more the fewer places are lost from length to length."""
+    reach, lost = 0, 0.5
+    while len(frontier):
+        if length >= reach:
+            reach = 8 * length
+            parts = places_after(strings, symbols, length, frontier, reach)
+        steps = min(math.sqrt(n_symbols / 32 / (n_open * lost)), n_symbols / 8 / n_open)
+        lengths, before = range(length + 1, min(reach, length + max(1, int(steps))) + 1), n_open
+        for length, rows in zip(lengths, longer_counts(parts, lengths, frontier, least)):
+            near = _among(rows[1], frontier)
+            rows = tuple(x[near] for x in rows)
+            frontier = tree.add(length, *rows)
+            if not len(frontier):
+                return tree
+            n_open = rows[4][_among(rows[0], frontier)].sum()
+        lost = max(1e-3, (1 - n_open / before) / len(lengths))
+    return tree
 
 
 def learn(by_word: DataFrame) -> Tree:
-    """The tree of counted words: length by length, as long as contexts are frequent and can still be refined."""
+    """The tree of counted words that stand alone."""
+    return grow(by_word.select("key", "n"), word_symbols, symbols_of(by_word))
+
+
+def symbols_of(by_word: DataFrame) -> int:
+    """The number of symbols that the tree predicts in texts of these words."""
     size = F.when(F.col("key") == END_WORD, 1).otherwise(F.octet_length("key") + 1)
-    n = by_word.agg(F.coalesce(F.sum(F.col("n") * size), F.lit(0))).first()[0]
-    least = max(LEAST_COUNT, math.ceil(n ** (2 / 3) / CONTEXT_SHARE))
-    tree, lengths, frontier = Tree(), range(SHORT + 1), None
-    while True:
-        for length, found in zip(lengths, context_counts(by_word, lengths, frontier, least)):
-            if length > 1:  # of a pass over several lengths, what the one before does not open
-                near = _among(found[1], frontier)
-                found = tuple(x[near] for x in found)
-            frontier = tree.add(length, *found)
-            if length and not len(frontier):
-                return tree.finish()
-        lengths = range(length + 1, length + 2)
+    return by_word.agg(F.coalesce(F.sum(F.col("n") * size), F.lit(0))).first()[0]
 
 
 def score(docs: DataFrame, training: DataFrame, sent_words: int = SENT_WORDS) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of each row of docs.
 
     base_score sums log10((c + 1) / (N + V + 1)) over the words and the end token; score is the tree's log10 probability of
-    the text: of its words' bytes, the blank after each, and the end. Null and empty texts are an end token alone.
+    the text: of its words' bytes, the blank after each, and the end, each given all that the text has before it. Null and empty texts are an end token alone.
     Repeated rows are scored each; an empty training table leaves N = 0 and a uniform tree. Common words' counts go to
     every task, sent_words of them at most; a text's other words meet their counts in a join, keyed by word, and come back
     summed by row, so no vocabulary has to fit into a task. Texts are scored whole.
@@ -376,23 +644,24 @@ def score(docs: DataFrame, training: DataFrame, sent_words: int = SENT_WORDS) ->
     by_word = counts(training)
     total, distinct = by_word.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     common = commonest(by_word, sent_words)
-    tree = learn(by_word)
+    tree = grow(training.select("text"), text_symbols, symbols_of(by_word))
     known = list(common)
-    sent = spark.sparkContext.broadcast((tree, known, np.log10(np.array([common[w] + 1 for w in known], float)), np.array([common[w] > 0 for w in known]), tree.log10(known)))
+    sent = spark.sparkContext.broadcast((tree, known, np.log10(np.array([common[w] + 1 for w in known], float)), np.array([common[w] > 0 for w in known])))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def make():
-        tree, listed, logs, seen, whole_logs = sent.value
+        tree, listed, logs, seen = sent.value
         place_of = {w: k for k, w in enumerate(listed)}.get
         row = TaskContext.get().partitionId() << 40
 
         def step(ids, texts):
             nonlocal row
             n, k = len(ids), np.zeros((2, len(ids)), np.int64)  # tokens, and those of common words
-            base, whole = np.zeros(n), np.zeros(n)
+            base, strings = np.zeros(n), []
             rare_row, rare_word, rare_k = [], [], []
             for i, text in enumerate(texts):
                 own = words(text)
+                strings.append(shown(own))
                 own.append(END_WORD)
                 places = list(map(place_of, own))
                 if None in places:
@@ -402,11 +671,8 @@ def score(docs: DataFrame, training: DataFrame, sent_words: int = SENT_WORDS) ->
                     rare_row += [i] * len(rare)
                     places = [p for p in places if p is not None]
                 at = np.array(places, np.int64)
-                k[0, i], k[1, i], base[i], whole[i] = len(own), seen[at].sum(), logs[at].sum(), whole_logs[at].sum()
-            place = {w: j for j, w in enumerate(dict.fromkeys(rare_word))}
-            scored = tree.log10(list(place))
-            times, at = np.array(rare_k, np.int64), np.array([place[w] for w in rare_word], np.int64)
-            whole += np.bincount(np.array(rare_row, np.int64), times * scored[at], n)
+                k[0, i], k[1, i], base[i] = len(own), seen[at].sum(), logs[at].sum()
+            whole, times = tree.of(strings), np.array(rare_k, np.int64)
             rows = np.arange(row, row + n)
             row += n
             mark = [b"  " + r.to_bytes(8, "big") for r in rows.tolist()]  # a key that no word is, so that no row is without one
