@@ -468,15 +468,36 @@ class Tree:
                 else:
                     self.near[byte << 8 | np.array([byte_of[k] for k in node.tolist()], np.int64)] = own
                     self.long_from = int(self.level_at[2][1][0])
+        # tables over the bytes that occur in the tree, and one column for all others
         own = np.flatnonzero(used)
         own = own[own >= (self.level_at[3][1][0] if self.depth > 2 else len(points))]
-        self.places, self.child = _Places(keys[own]), own.astype(np.int32)
-        self.points = points.astype(np.int32)
-        self.pairs, self.pair_log = _Places(np.concatenate(self.pair_keys)), np.log10(np.concatenate(self.pair_p)).astype(np.float32)
-        self.rest_log, self.above, self.root_log = rest.astype(np.float32), up.astype(np.int32), np.log10(self.root).astype(np.float32)
+        pairs, p = np.concatenate(self.pair_keys), np.concatenate(self.pair_p)
+        bytes_ = np.unique(np.concatenate([keys[own], pairs]) & np.uint64(255)).astype(np.int64)
+        self.columns = len(bytes_) + 1
+        self.column = np.full(256, len(bytes_), np.int32)
+        self.column[bytes_] = np.arange(len(bytes_))
+        parent = (keys[own] >> np.uint64(8)).astype(np.int64)
+        parents = np.unique(parent)
+        self.parent = np.zeros(len(points), np.int32)  # row 0: no children
+        self.parent[parents] = 1 + np.arange(len(parents))
+        self.child = np.full((1 + len(parents)) * self.columns, -1, np.int32)
+        self.child[self.parent[parent] * np.int64(self.columns) + self.column[(keys[own] & np.uint64(255)).astype(np.int64)]] = own
+        kept = points == np.arange(len(points))
+        row = np.cumsum(kept) - 1
+        node, byte = (pairs >> np.uint64(8)).astype(np.int64), self.column[(pairs & np.uint64(255)).astype(np.int64)]
+        log_p = np.zeros((row[-1] + 1, self.columns), np.float32)
+        log_p[0, :-1] = np.log10(self.root[bytes_])
+        order = np.argsort(node, kind="stable")
+        node, byte, log = node[order], byte[order], np.log10(p[order])
+        for length in range(1, max(self.level_at) + 1):  # what does not follow a context has its suffix's share of the rest
+            own = self.level_at[length][1]
+            log_p[row[own[kept[own]]]] = log_p[row[up[own[kept[own]]]]] + rest[own[kept[own]], None]
+            a, b = np.searchsorted(node, [own[0], own[-1] + 1])
+            log_p[row[node[a:b]], byte[a:b]] = log[a:b]
+        self.log_p, self.points, self.root_log = log_p.reshape(-1), row[points].astype(np.int32), np.log10(self.root)
+        size = sum(x.nbytes for x in vars(self).values() if isinstance(x, np.ndarray))
         for name in ("points_to", "log_rest", "up", "child_keys", "pair_keys", "pair_p", "level_at", "_pairs"):
             self.__dict__.pop(name, None)
-        size = sum(x.nbytes for o in (self, self.places, self.pairs) for x in vars(o).values() if isinstance(x, np.ndarray))
         if size > MOST_TREE_BYTES:
             raise ValueError(f"the tree has {size} bytes, more than MOST_TREE_BYTES")
         self.bytes = size
@@ -489,31 +510,20 @@ class Tree:
         padded = np.concatenate([np.full(max(0, before - start), OUTSIDE[0], np.uint8), data[max(0, start - before) :]])
         n = len(data) - start
         back = lambda k: padded[before - k : before - k + n]
-        following = back(0).astype(np.int64)
         node = self.near[back(2).astype(np.int64) << 8 | back(1)]
         at = np.flatnonzero(node >= self.long_from)
         for length in range(3, self.depth + 1):
             if not len(at):
                 break
-            place = self.places(node[at].astype(np.uint64) << np.uint64(8) | padded[at + (before - length)])
-            there = place >= 0
+            child = self.child[self.parent[node[at]] * np.int64(self.columns) + self.column[padded[at + (before - length)]]]
+            there = child >= 0
             at = at[there]
-            node[at] = self.child[place[there]]
-        node = self.points[node]
-        out = np.zeros(n)
-        left = np.flatnonzero((back(0) != OUTSIDE[0]) & (back(1) != OUTSIDE[0]))
-        while len(left):
-            own = node[left]
-            at_root = own == 0
-            if at_root.any():
-                out[left[at_root]] += self.root_log[following[left[at_root]]]
-                left, own = left[~at_root], own[~at_root]
-            place = self.pairs((own.astype(np.int64) << 8 | following[left]).view(np.uint64))
-            there = place >= 0
-            out[left[there]] += self.pair_log[place[there]]
-            left, own = left[~there], own[~there]
-            out[left] += self.rest_log[own]
-            node[left] = self.above[own]
+            node[at] = child[there]
+        column = self.column[back(0)]
+        out = self.log_p[self.points[node] * np.int64(self.columns) + column].astype(float)
+        other = np.flatnonzero(column == self.columns - 1)
+        out[other] += self.root_log[back(0)[other]]
+        out[(back(0) == OUTSIDE[0]) | (back(1) == OUTSIDE[0])] = 0
         return out
 
     def of(self, strings: list[bytes]) -> np.ndarray:
