@@ -111,6 +111,17 @@ def test_contexts_reach_over_words_as_in_brute_force(spark, monkeypatch, few):
         assert math.isclose(out[r["doc_id"]]["score"], log10(whole(r["text"])), rel_tol=1e-5), r
 
 
+def test_learning_reads_the_texts_a_few_times_whatever_the_length_of_contexts(spark):
+    rng, start = random.Random(3), "a passage that many texts share, word by word, and that goes on for long "
+    texts = [(start * 2 + rng.choice(["one", "two", "six"]) + " end",) for _ in range(300)]
+    by_word = lm.counts(spark.createDataFrame(texts, "text string"))
+    group, tracker = "lm-jobs", spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, group)
+    tree = lm.grow(spark.createDataFrame(texts, "text string").repartition(3), lm.text_symbols, lm.symbols_of(by_word))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tree.depth > 5 and len(tracker.getJobIdsForGroup(group)) < 40
+
+
 def test_a_word_depends_on_the_one_before(spark):
     texts = [("alpha beta gamma delta " * 5,), ("delta gamma alpha beta",)] * 5
     asked = spark.createDataFrame([(1, "alpha beta gamma delta " * 10), (2, "beta alpha delta gamma " * 10)], "doc_id long, text string")

@@ -2,7 +2,7 @@
 
 A text is a blank, its words, each ended by a blank, and then an end mark. The tree predicts each byte but the first blank from
 the longest kept context before it, which may reach over any number of words back to the text's start. It is learned from
-the whole training texts, which are read once a length.
+the whole training texts, which are read twice for several lengths: frequent contexts are sought, then counted.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Callable
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +32,22 @@ MIN_DIVERGENCE = 12.0
 MOST_TREE_BYTES = 1 << 29
 #: Words whose counts are sent to every task; the others are looked up by a join.
 SENT_WORDS = 60_000
-#: Distinct words that a task gathers before it hands on their counts, and symbols before it counts them.
-HELD_WORDS, HELD_SYMBOLS = 400_000, 1 << 20
+#: Distinct words that a task gathers before it hands on their counts.
+HELD_WORDS = 400_000
 #: The end token among words; no word contains a blank. Its byte is none of UTF-8's.
 END_WORD, END_BYTE = b" ", b"\xff"
 
 #: What stands between texts; none of UTF-8's bytes either.
 OUTSIDE = b"\xfe"
-#: Symbols that are looked at at once, and counts that a task holds at once (more contexts are counted in several passes).
-BLOCK, COUNTS_AT_ONCE = 1 << 16, 1 << 22
+#: Symbols that are looked at at once, that are sorted at once where contexts are sought and where they are counted, and whose
+#: frequent contexts are sought together.
+BLOCK, SORTED_AT_ONCE, COUNTED_AT_ONCE, CHUNK = 1 << 16, 1 << 20, 1 << 22, 1 << 22
+#: Bytes of contexts that are taken at once, level by level, in the first two readings; later levels have four.
+FIRST_WIDTHS = [7, 4, 4]
+#: Contexts that two further readings count, about, and counts that a task holds at once.
+CONTEXTS_AT_ONCE, COUNTS_AT_ONCE = 1 << 18, 1 << 24
 #: Where no more than this share of all symbols stands after contexts that may be refined, only these places are read on.
-FEW = 1 / 200
+FEW = 1 / 50
 
 _BASE, _NEXT = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 _SHOWN = np.frombuffer(bytes(range(256)).lower().translate(bytes(32 if 9 <= k <= 13 else k for k in range(256))), np.uint8)
@@ -108,7 +114,7 @@ def shown_word(word: bytes) -> bytes:
 
 
 def text_symbols(batch: pa.RecordBatch):
-    """Symbols of the batch's texts, one after the other, and how often each text counts (None: once)."""
+    """Symbols of the batch's texts, one after the other, and which of them count (None: all)."""
     fixed = [pa.scalar(x, pa.large_binary()) for x in (b" ", b" " + END_BYTE + OUTSIDE, b"")]
     for at in range(0, batch.num_rows, ROWS_AT_ONCE):
         text = batch.column(0).slice(at, ROWS_AT_ONCE).cast(pa.binary()).cast(pa.large_binary()).fill_null(fixed[2])
@@ -121,39 +127,8 @@ def text_symbols(batch: pa.RecordBatch):
 
 
 def word_symbols(batch: pa.RecordBatch):
-    """The same of counted words (key, n)."""
-    own = [shown_word(w) for w in batch.column(0).to_pylist()]
-    yield np.frombuffer(b"".join(own), np.uint8), np.repeat(batch.column(1).to_numpy(), [len(w) for w in own])
-
-
-def _blocks(found, before: int):
-    """Pieces of symbols with the `before` ones before each, where there are any, and where the piece itself begins."""
-    for data, n in found:
-        for at in range(0, len(data), BLOCK):
-            start = max(0, at - before)
-            yield data[start : at + BLOCK], None if n is None else n[start : at + BLOCK], at - start
-
-
-def pair_counts(strings: DataFrame, symbols: Callable) -> np.ndarray:
-    """How often each symbol (column) follows each other (row)."""
-    ship(strings.sparkSession)
-
-    def run(batches):
-        n = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            for data, times, _ in _blocks(symbols(batch), 1):
-                pair = data[:-1].astype(np.int64) << 8 | data[1:]
-                n += np.bincount(pair, None if times is None else times[1:], 1 << 16).astype(np.int64)
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["pair", "n"])
-
-    rows = strings.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << 16, np.int64)
-    out[rows["pair"].to_numpy()] = rows["n"].to_numpy()
-    out = out.reshape(256, 256)
-    out[[END_BYTE[0], OUTSIDE[0]]] = 0  # nothing follows the end
-    out[:, OUTSIDE[0]] = 0
-    return out
+    """The same of words that stand alone."""
+    yield np.frombuffer(b"".join(map(shown_word, batch.column(0).to_pylist())), np.uint8), None
 
 
 def _times(count: int, base: int) -> np.ndarray:
@@ -164,86 +139,43 @@ def _times(count: int, base: int) -> np.ndarray:
 
 
 class _Contexts:
-    """Contexts of one length, found at all symbols at once: a context's hash comes from running sums."""
+    """Hashes of contexts of one length, or other keys, and where they stand among many values."""
 
-    def __init__(self, context: np.ndarray, length: int):
+    def __init__(self, context: np.ndarray, length: int = 0):
         self.length, self.places = length, _Places(context)
         size = max(16, (32 * len(context)).bit_length())
         self.shift, self.maybe = np.uint64(64 - size), np.zeros(1 << size, bool)
         self.maybe[self._slot(context)] = True
 
-    def _slot(self, hashes: np.ndarray) -> np.ndarray:
-        return ((hashes * _NEXT) >> self.shift).view(np.int64)
+    def _slot(self, values: np.ndarray) -> np.ndarray:
+        return ((values * _NEXT) >> self.shift).view(np.int64)
+
+    def lookup(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the values are contexts, and which ones."""
+        at = np.flatnonzero(self.maybe[self._slot(values)])
+        place = self.places(values[at])
+        there = place >= 0
+        return at[there], place[there]
 
     def found(self, strings, before: int):
-        """For each piece of symbols: it, how often each counts, running sums, the places of symbols after one of the contexts,
-        which context, and `hashes(at, length)` of the contexts at some places."""
+        """For each piece of symbols, with `before` ones before it where there are any: it, where it begins in its string, and the
+        places of symbols after one of the contexts, that count, and which context. A context's hash comes from running sums."""
         up, down = _times(BLOCK + before, _BASE), _times(BLOCK + before, pow(_BASE, -1, 2**64))
-        for data, times, first in _blocks(strings, before):
-            m = len(data)
-            if m <= self.length:
-                continue
-            sums = np.zeros(m + 1, np.uint64)
-            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * down[:m], out=sums[1:])
-            start = max(self.length, first)
-            h = (sums[start:m] - sums[start - self.length : m - self.length]) * up[start:m]
-            at = np.flatnonzero(self.maybe[self._slot(h)])
-            place = self.places(h[at])
-            at += start
-            there = (place >= 0) & (data[at] != OUTSIDE[0])
-            if times is not None:
-                there &= times[at] > 0
-            at = at[there]
-            yield data, times, at, place[there], lambda at, length, sums=sums: (sums[at] - sums[at - length]) * up[at]
-
-
-def _counts(wanted: _Contexts, strings, n_contexts: int, following: np.ndarray) -> np.ndarray:
-    """How often each of `following` follows each context."""
-    size = n_contexts * len(following)
-    n, code = np.zeros(size, np.int64), np.full(256, -1, np.int64)
-    code[following] = np.arange(len(following))
-    held, weights, held_size = [], [], 0
-
-    def fold():
-        if held:
-            np.add(n, np.bincount(np.concatenate(held), np.concatenate(weights) if weights else None, size).astype(np.int64), out=n)
-        held.clear(), weights.clear()
-
-    for data, times, at, place, _ in wanted.found(strings, wanted.length):
-        held.append(place.astype(np.int64) * len(following) + code[data[at]])
-        if times is not None:
-            weights.append(times[at])
-        held_size += len(at)
-        if held_size > max(size, HELD_SYMBOLS):
-            fold()
-            held_size = 0
-    fold()
-    return n
-
-
-def context_counts(strings: DataFrame, symbols: Callable, length: int, context: np.ndarray, following: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """(place among the contexts, symbol, n): of the contexts that occur `least` times, how often each symbol follows.
-    Counted over all strings and summed up by Spark."""
-    spark, out = strings.sparkSession, []
-    ship(spark)
-    most = max(1, COUNTS_AT_ONCE // len(following))
-    for first in range(0, len(context), most):
-        part = context[first : first + most]
-        sent = spark.sparkContext.broadcast(_Contexts(part, length))
-
-        def run(batches, sent=sent, size=len(part), first=first):
-            n = _counts(sent.value, (x for b in batches for x in symbols(b)), size, following)
-            at = np.flatnonzero(n)
-            columns = (first + at // len(following)).astype(np.int32), following[at % len(following)].astype(np.int32), n[at]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["context", "next", "n"])
-
-        partial = strings.mapInArrow(run, "context int, next int, n long")
-        summed = partial.repartition("context").groupBy("context", "next").agg(F.sum("n").alias("n"))
-        whole = summed.groupBy("context").agg(F.sum("n").alias("all"), F.collect_list(F.struct("next", "n")).alias("f")).where(F.col("all") >= least)
-        rows = whole.select("context", F.inline("f")).toArrow()
-        out.append([rows[c].to_numpy().astype(np.int64) for c in ("context", "next", "n")])
-        sent.unpersist()
-    return tuple(np.concatenate(x) for x in zip(*out))
+        for data, counted in strings:
+            for begin in range(0, len(data), BLOCK):
+                origin = max(0, begin - before)
+                piece = data[origin : begin + BLOCK]
+                m, start = len(piece), max(self.length, begin - origin)
+                if m <= start:
+                    continue
+                sums = np.zeros(m + 1, np.uint64)
+                np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * down[:m], out=sums[1:])
+                at, place = self.lookup((sums[start:m] - sums[start - self.length : m - self.length]) * up[start:m])
+                at += start
+                there = piece[at] != OUTSIDE[0]
+                if counted is not None:
+                    there &= counted[origin + at]
+                yield piece, origin, at[there], place[there]
 
 
 def _room(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -254,78 +186,330 @@ def _room(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def places_after(strings: DataFrame, symbols: Callable, length: int, contexts: np.ndarray, reach: int) -> DataFrame:
     """The stretches of the strings that end in a symbol after one of the contexts and begin `reach` symbols before one, those
-    that meet as one: part, skip (so many of its first symbols are there as contexts only) and n; written to the shared folder."""
+    that meet as one: part, and skip (so many of its first symbols are there as contexts only); written to the shared folder."""
     sent = strings.sparkSession.sparkContext.broadcast(_Contexts(contexts, length))
     ship(strings.sparkSession)
 
     def run(batches):
         for batch in batches:
-            for data, times, at, _, _ in sent.value.found(symbols(batch), reach):
+            for data, _, at, _ in sent.value.found(symbols(batch), reach):
                 if not len(at):
                     continue
                 start = at - np.minimum(_room(data, at), reach)
                 new = np.concatenate([[True], start[1:] > at[:-1]])
                 first, last = start[new], np.concatenate([at[:-1][new[1:]], at[-1:]])
                 parts = [data[a : b + 1].tobytes() for a, b in zip(first.tolist(), last.tolist())]
-                n = np.ones(len(parts), np.int64) if times is None else times[last]
-                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary()), pa.array((at[new] - first).astype(np.int32)), pa.array(n)], names=["part", "skip", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary()), pa.array((at[new] - first).astype(np.int32))], names=["part", "skip"])
 
-    return checkpointed(strings.mapInArrow(run, "part binary, skip int, n long"))
+    return checkpointed(strings.mapInArrow(run, "part binary, skip int"))
 
 
 def part_symbols(batch: pa.RecordBatch):
-    """Symbols of stretches (part, skip, n)."""
+    """Symbols of stretches (part, skip), and which of them count."""
     for at in range(0, batch.num_rows, 16 * ROWS_AT_ONCE):
-        parts, skip, n = batch.slice(at, 16 * ROWS_AT_ONCE).columns
+        parts, skip = batch.slice(at, 16 * ROWS_AT_ONCE).columns
         parts = [p + OUTSIDE for p in parts.to_pylist()]
         size = np.array([len(p) for p in parts])
         inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        yield np.frombuffer(b"".join(parts), np.uint8), np.where(inside >= np.repeat(skip.to_numpy(), size), np.repeat(n.to_numpy(), size), 0)
+        yield np.frombuffer(b"".join(parts), np.uint8), inside >= np.repeat(skip.to_numpy(), size)
+
+
+# --- counts of several lengths at once ----------------------------------------------------------------------------------
+#
+# Places in the strings are sorted by the bytes before them, the last byte first, so that all contexts that are each other's
+# suffixes lie together. The bytes are taken in levels of a few: a level's key is the node reached so far (a context of the
+# level's first length), the level's bytes and, where they are counted, the byte that follows.
+
+
+class _Chunk:
+    """Symbols of many strings, and the places in them that are counted."""
+
+    def __init__(self, pieces: list[tuple], longest: int, starts: _Contexts | None):
+        pad = np.full(longest + 8, OUTSIDE[0], np.uint8)
+        self.data, self.pad = np.concatenate([pad, *(d for d, _ in pieces)]), len(pad)
+        self.by8 = np.ndarray((len(self.data) - 7,), "<u8", self.data, 0, (1,))
+        self.by4 = np.ndarray((len(self.data) - 3,), "<u4", self.data, 0, (1,))
+        self.starts = starts
+        if starts is None:
+            self.size = len(self.data) - self.pad - 2 * int((self.data[self.pad :] == OUTSIDE[0]).sum())
+            return
+        counted = None
+        if pieces[0][1] is not None:
+            counted = np.concatenate([np.zeros(len(pad), bool), *(c for _, c in pieces)])
+        at = [(origin + at, place) for _, origin, at, place in starts.found([(self.data, counted)], starts.length)]
+        self.at, self.node = np.concatenate([a for a, _ in at]), np.concatenate([p for _, p in at])
+        self.size = len(self.at)
+
+    def first(self, most: int):
+        """Keys of the first level with the following byte, and their places; all places of the chunk by pieces."""
+        if self.starts is None:
+            for a in range(self.pad, len(self.data), most):
+                b = min(len(self.data), a + most)
+                v = self.by8[a - 7 : b - 7].astype(np.uint64)
+                yield v << np.uint64(8) | v >> np.uint64(56), range(a, b)
+        else:
+            for a in range(0, self.size, most):
+                at = self.at[a : a + most]
+                yield self.next(at, self.node[a : a + most], self.starts.length), at
+
+    def next(self, at: np.ndarray, node: np.ndarray, length: int) -> np.ndarray:
+        """Keys of a further level: node, four bytes, following byte."""
+        return (node.astype(np.uint64) << np.uint64(32) | self.by4[at - (length + 4)]) << np.uint64(8) | self.data[at]
+
+
+def _runs(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, sorted, and how often each occurs."""
+    if n is None:
+        keys = np.sort(keys)
+    else:
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
+    start = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    if n is None:
+        return keys[start], np.diff(np.append(start, len(keys))).astype(np.int32)
+    return keys[start], np.add.reduceat(n, start) if len(start) else n
+
+
+def _extended(start: np.ndarray, prefix: np.ndarray, length: int, j: int) -> np.ndarray:
+    """Hashes of contexts: of `length` bytes with the hash `start`, and j bytes before these."""
+    out = start.copy()
+    for k in range(1, j + 1):
+        byte = prefix >> np.uint64(8 * (j - k)) & np.uint64(255)
+        out += (byte + np.uint64(1)) * np.uint64(pow(_BASE, length + k, 2**64))
+    return out
+
+
+def _chunks(batches, symbols: Callable, longest: int, starts: _Contexts | None):
+    """A task's symbols in chunks of CHUNK and more; only a task that has fewer makes a smaller one."""
+    held, size, ready = [], 0, []
+    for batch in batches:
+        for piece in symbols(batch):
+            held.append(piece)
+            size += len(piece[0])
+            if size >= CHUNK:
+                if ready:
+                    yield _Chunk(ready, longest, starts)
+                ready, held, size = held, [], 0
+    if ready or held:
+        yield _Chunk(ready + held, longest, starts)
+
+
+def _mined(chunk: _Chunk, length: int, widths: list[int], hashes: np.ndarray, least: float):
+    """(length, hash of the level's first context, further bytes) of the contexts that occur `least` times in the chunk."""
+    keys, at, pieces = None, None, []
+    for k, width in enumerate(widths):
+        if k == 0:
+            found = [_runs(x >> np.uint64(8)) for x, _ in chunk.first(SORTED_AT_ONCE)]
+            unique, n = found[0] if len(found) == 1 else _runs(*(np.concatenate(x) for x in zip(*found))) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int32))
+        else:
+            unique, n = _runs(keys)
+        for j in range(width, 0, -1):
+            prefix = unique >> np.uint64(8 * (width - j))
+            start = np.flatnonzero(np.concatenate([np.ones(min(1, len(prefix)), bool), prefix[1:] != prefix[:-1]]))
+            often = np.add.reduceat(n, start) >= least if len(start) else np.zeros(0, bool)
+            prefix = prefix[start[often]]
+            inside = np.ones(len(prefix), bool)
+            for i in range(j):
+                inside &= (prefix >> np.uint64(8 * i) & np.uint64(255)) < OUTSIDE[0]
+            prefix = prefix[inside]
+            node = (prefix >> np.uint64(8 * j)).astype(np.int64)
+            own = prefix & np.uint64((1 << 8 * j) - 1)
+            yield length + j, hashes[node], own
+            if j == width:
+                full, full_hashes = prefix, _extended(hashes[node], own, length, j)
+        if not len(full) or k + 1 == len(widths):
+            return
+        wanted, pieces = _Contexts(full), []
+        for x, places in chunk.first(SORTED_AT_ONCE) if k == 0 else [(keys, at)]:
+            there, node = wanted.lookup(x >> np.uint64(8) if k == 0 else x)
+            pieces.append((there + places.start if isinstance(places, range) else places[there], node))
+        at = np.concatenate([a for a, _ in pieces])
+        length, hashes = length + width, full_hashes
+        keys = np.concatenate([chunk.next(a, node, length) for a, node in pieces]) >> np.uint64(8)
+
+
+def mine(strings: DataFrame, symbols: Callable, length: int, widths: list[int], frontier: np.ndarray, n_all: int, least: int) -> tuple[np.ndarray, ...]:
+    """(length, start, prefix, n): at least the contexts that occur `least` times and are longer than `length`, with a suffix in the
+    frontier (all, if length is 0), by levels: the hash of a level's first context, and the bytes before it. Of length 0: the
+    pairs of symbols and their n, of length -1: the number of chunks.
+
+    One that occurs so often has its share of this in one chunk at least. Three quarters are shared by the chunks' parts of
+    the n_all places, the rest equally, so that in small chunks not everything is often enough.
+    """
+    n_chunks = max(1, strings.rdd.getNumPartitions() + n_all // CHUNK)
+    rows = _mine(strings, symbols, length, widths, frontier, n_all, least, n_chunks)
+    chunks = int(rows[3][rows[0] < 0].sum())
+    if chunks > n_chunks:  # Spark ran more tasks than it had planned
+        rows = _mine(strings, symbols, length, widths, frontier, n_all, least, 2 * chunks)
+        if rows[3][rows[0] < 0].sum() > 2 * chunks:
+            raise RuntimeError("the strings come in ever more partitions")
+    return rows
 
 
-def longer_counts(parts: DataFrame, lengths: range, frontier: np.ndarray, least: int) -> list[tuple[np.ndarray, ...]]:
-    """For each length (context, suffix, first byte, next, n), sorted by context: of the contexts that occur `least` times and
-    end in one of the frontier, which are one byte shorter than the first length, how often each symbol follows."""
-    sent = parts.sparkSession.sparkContext.broadcast(_Contexts(frontier, lengths[0] - 1))
-    names, kinds = ["length", "context", "suffix", "first", "next", "n"], [np.int32, np.uint64, np.uint64, np.int32, np.int32, np.int64]
+def _mine(strings: DataFrame, symbols: Callable, length: int, widths: list[int], frontier: np.ndarray, n_all: int, least: int, n_chunks: int) -> tuple[np.ndarray, ...]:
+    ship(strings.sparkSession)
+    sent = strings.sparkSession.sparkContext.broadcast(_Contexts(frontier, length) if length else None)
 
     def run(batches):
-        held, size = [], 0
-
-        def fold(parts):
-            length, context, suffix, first, following, n = (np.concatenate(x) for x in zip([np.zeros(0, k) for k in kinds], *parts))
-            pair = context * _NEXT + following.astype(np.uint64) + (length.astype(np.uint64) << np.uint64(32))
-            order = np.argsort(pair, kind="stable")
-            pair = pair[order]
-            new = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])[: len(order)])
-            at = order[new]
-            return [length[at], context[at], suffix[at], first[at], following[at], np.add.reduceat(n[order], new) if len(new) else n]
-
-        for data, times, at, _, hashes in sent.value.found((x for b in batches for x in part_symbols(b)), lengths[-1]):
-            room, suffix = _room(data, at), hashes(at, lengths[0] - 1)
-            for length in lengths:
-                more = room >= length
-                at, room, suffix = at[more], room[more], suffix[more]
-                if not len(at):
+        names = ["length", "start", "prefix", "n"]
+        pairs, chunks = np.zeros(1 << 16, np.int64), 0
+        for chunk in _chunks(batches, symbols, length + sum(widths), sent.value):
+            chunks += 1
+            if not length:
+                for a in range(chunk.pad, len(chunk.data), SORTED_AT_ONCE):
+                    b = min(len(chunk.data), a + SORTED_AT_ONCE)
+                    pairs += np.bincount(chunk.data[a - 1 : b - 1].astype(np.uint16) << np.uint16(8) | chunk.data[a:b], minlength=1 << 16)
+            if chunk.size:
+                for size, start, prefix in _mined(chunk, length, widths, frontier, max(1, int(least * (0.75 * chunk.size / n_all + 0.25 / n_chunks)))):
+                    columns = np.full(len(start), size, np.int32), start.view(np.int64), prefix.view(np.int64), np.ones(len(start), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
+        at = np.flatnonzero(pairs)
+        columns = np.append(np.zeros(len(at), np.int32), np.int32(-1)), np.zeros(len(at) + 1, np.int64), np.append(at, 0), np.append(pairs[at], chunks)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
+
+    mined = strings.mapInArrow(run, "length int, start long, prefix long, n long")
+    rows = mined.groupBy("length", "start", "prefix").agg(F.sum("n").alias("n")).toArrow()
+    sent.unpersist()
+    return tuple(rows[c].to_numpy().view(kind) for c, kind in (("length", np.int32), ("start", np.uint64), ("prefix", np.uint64), ("n", np.int64)))
+
+
+class _Trie:
+    """Contexts to be counted, by levels; row numbers run over all of them, a length's are next to each other."""
+
+    def __init__(self, length: int, widths: list[int], frontier: np.ndarray, lengths: np.ndarray, start: np.ndarray, prefix: np.ndarray):
+        self.length, self.widths, self.keys, self.at, self.nodes = length, widths, [], [], []
+        self.row_from, self.context, self.suffix, self.first = [], [], [], []
+        hashes, rows = frontier, 0
+        for width in widths:
+            order = np.argsort(hashes)
+            for j in range(1, width + 1):
+                own = lengths == length + j
+                node = order[np.searchsorted(hashes[order], start[own])]
+                key = node.astype(np.uint64) << np.uint64(8 * j) | prefix[own]
+                by = np.argsort(key)
+                key, begin, bytes_ = key[by], start[own][by], prefix[own][by]
+                self.keys.append(key)
+                self.row_from.append(rows)
+                self.context.append(_extended(begin, bytes_, length, j))
+                self.suffix.append(_extended(begin, bytes_ >> np.uint64(8), length, j - 1))
+                self.first.append((bytes_ & np.uint64(255)).astype(np.int64))
+                rows += len(key)
+            self.nodes.append(_Contexts(key))
+            length, hashes = length + width, self.context[-1]
+        self.row_from.append(rows)
+        self.size = rows
+
+
+def _count_level(keys: np.ndarray, trie: _Trie, level: int, code: np.ndarray, n: np.ndarray, from_row: int) -> None:
+    """Add to n, whose rows begin at from_row, how often each symbol follows the contexts of a level."""
+    first, width = sum(trie.widths[:level]), trie.widths[level]
+    unique, times = _runs(keys)
+    follows = code[(unique & np.uint64(255)).astype(np.uint8)]
+    inside = follows >= 0
+    unique, times, follows = unique[inside] >> np.uint64(8), times[inside].astype(np.int64), follows[inside]
+    flat, n_codes = n.reshape(-1), n.shape[1]
+    for j in range(width, 0, -1):
+        row = trie.row_from[first + j - 1]
+        wanted = trie.keys[first + j - 1][max(0, from_row - row) : max(0, from_row + len(n) - row)]
+        row = max(0, row - from_row)
+        if not len(wanted) or not len(unique):
+            continue
+        prefix = unique >> np.uint64(8 * (width - j))
+        start = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]]))
+        runs = prefix[start]
+        place = np.minimum(np.searchsorted(wanted, runs), len(wanted) - 1)
+        known, size = wanted[place] == runs, np.diff(np.append(start, len(prefix)))
+        there = np.repeat(known, size)
+        np.add.at(flat, np.repeat((place[known] + row) * n_codes, size[known]) + follows[there], times[there])
+
+
+def count(strings: DataFrame, symbols: Callable, trie: _Trie, frontier: np.ndarray, following: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """(row of the trie, symbol, n), sorted: of the contexts that occur `least` times, how often each symbol follows. Counted over
+    all strings; tasks hand on their counts by blocks of rows, which are summed up apart. More rows than a task should hold
+    are counted in several readings."""
+    ship(strings.sparkSession)
+    n_codes = len(following)
+    code = np.full(256, -1, np.int64)
+    code[following] = np.arange(n_codes)
+    block = max(1, (1 << 16) // n_codes) * n_codes
+    length, widths = trie.length, trie.widths
+    sent = strings.sparkSession.sparkContext.broadcast((trie, _Contexts(frontier, length) if length else None))
+
+    def run(batches, from_row=0, to_row=0):
+        trie, starts = sent.value
+        n = np.zeros((to_row - from_row, n_codes), np.int64)
+        for chunk in _chunks(batches, symbols, length + sum(widths), starts):
+            pieces, size = [], length + widths[0]
+            for keys, places in chunk.first(COUNTED_AT_ONCE):
+                _count_level(keys, trie, 0, code, n, from_row)
+                there, node = trie.nodes[0].lookup(keys >> np.uint64(8))
+                pieces.append((there + places.start if isinstance(places, range) else places[there], node))
+            for level in range(1, len(widths)):
+                keys, further = None, []
+                if not pieces:
                     break
-                context = hashes(at, length)
-                held.append([np.full(len(at), length, np.int32), context, suffix, data[at - length].astype(np.int32), data[at].astype(np.int32), times[at]])
-                suffix, size = context, size + len(at)
-            if size > HELD_SYMBOLS:
-                held = [fold(held)]
-                size = len(held[0][0]) // 2
-        out = fold(held)
-        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in out], names=names)
-
-    partial = parts.mapInArrow(run, "length int, context long, suffix long, first int, next int, n long")
-    summed = partial.repartition("length", "context").groupBy("length", "context", "suffix", "first", "next").agg(F.sum("n").alias("n"))
-    whole = summed.groupBy("length", "context", "suffix", "first").agg(F.sum("n").alias("all"), F.collect_list(F.struct("next", "n")).alias("f")).where(F.col("all") >= least)
-    rows = whole.select("length", "context", "suffix", "first", F.inline("f")).toArrow()
-    length, context, suffix, first, following, n = (rows[c].to_numpy().astype(np.int64) for c in names)
-    context, suffix = context.view(np.uint64), suffix.view(np.uint64)
-    order = np.lexsort((following, context, length))
-    bounds = np.searchsorted(length[order], [*lengths, lengths[-1] + 1])
-    return [tuple(x[order[a:b]] for x in (context, suffix, first, following, n)) for a, b in zip(bounds[:-1], bounds[1:])]
+                at, node = (np.concatenate(x) for x in zip(*pieces))
+                for a in range(0, len(at), COUNTED_AT_ONCE):
+                    keys = chunk.next(at[a : a + COUNTED_AT_ONCE], node[a : a + COUNTED_AT_ONCE], size)
+                    _count_level(keys, trie, level, code, n, from_row)
+                    there, own = trie.nodes[level].lookup(keys >> np.uint64(8))
+                    further.append((at[a + there], own))
+                pieces, size = further, size + widths[level]
+        n = n.reshape(-1)
+        for k in range(0, len(n), block):
+            at = np.flatnonzero(n[k : k + block])
+            if len(at):  # bytes of the same worth together, so that the many zeros pack well
+                packed = np.diff(at, prepend=0).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), n[k + at].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([k // block], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)], names=["block", "at", "n"])
+
+    def total(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, at, n in zip(*(c.to_pylist() for c in batch.columns)):
+                own = held.setdefault(k, np.zeros(block, np.int64))
+                at = np.cumsum(np.frombuffer(at, np.uint8).reshape(2, -1).T.copy().view("<u2")[:, 0].astype(np.int64))
+                own[at] += np.frombuffer(n, np.uint8).reshape(8, -1).T.copy().view("<i8")[:, 0]
+        for k, own in held.items():
+            own = own.reshape(-1, n_codes)
+            own[own.sum(axis=1) < least] = 0
+            row, symbol = np.nonzero(own)
+            columns = row + k * (block // n_codes), following[symbol], own[row, symbol]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["row", "next", "n"])
+
+    out, most = [], max(1, COUNTS_AT_ONCE // n_codes)
+    for k in range(0, trie.size, most):
+        packed = strings.mapInArrow(partial(run, from_row=k, to_row=min(trie.size, k + most)), "block int, at binary, n binary")
+        rows = packed.repartition("block").mapInArrow(total, "row long, next long, n long").toArrow()
+        row, symbol, n = (rows[c].to_numpy() for c in ("row", "next", "n"))
+        order = np.lexsort((symbol, row))
+        out.append((row[order] + k, symbol[order], n[order]))
+    sent.unpersist()
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def longer(strings: DataFrame, symbols: Callable, length: int, widths: list[int], frontier: np.ndarray, n_all: int, least: int, following: np.ndarray | None = None):
+    """For each length (context, suffix, first byte, next, n), sorted by context, of the contexts that occur `least` times: those
+    longer than `length` with a suffix in the frontier. With length 0 the first of the lengths is 0, the pairs of symbols."""
+    lengths, start, prefix, n = mine(strings, symbols, length, widths, frontier, n_all, least)
+    if not length:
+        pairs = np.zeros(1 << 16, np.int64)
+        pairs[prefix[lengths == 0].astype(np.int64)] = n[lengths == 0]
+        pairs = pairs.reshape(256, 256)
+        pairs[[END_BYTE[0], OUTSIDE[0]]] = 0  # nothing follows the end
+        pairs[:, OUTSIDE[0]] = 0
+        following = np.flatnonzero(pairs.sum(axis=0))
+        none = np.zeros(len(following), np.uint64)
+        yield none, none, none, following, pairs.sum(axis=0)[following]
+    trie = _Trie(length, widths, frontier, lengths, start, prefix)
+    row, symbol, n = count(strings, symbols, trie, frontier, following, least) if trie.size else (np.zeros(0, np.int64),) * 3
+    bounds = np.searchsorted(row, trie.row_from)
+    for k in range(sum(widths)):
+        own = slice(bounds[k], bounds[k + 1])
+        at = row[own] - trie.row_from[k]
+        context = trie.context[k][at]
+        order = np.lexsort((symbol[own], context))
+        at = at[order]
+        yield context[order], trie.suffix[k][at], trie.first[k][at], symbol[own][order], n[own][order]
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -373,6 +557,23 @@ class _Places:
         return out
 
 
+class _Grown:
+    """An array that is added to."""
+
+    def __init__(self, *first):
+        self.held, self.n = np.array(first), len(first)
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.held):
+            self.held = np.concatenate([self.all, np.zeros(self.n + 2 * len(more), self.held.dtype)])
+        self.held[self.n : self.n + len(more)] = more
+        self.n += len(more)
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.held[: self.n]
+
+
 class Tree:
     """Contexts from the predicted symbol backwards, and what may follow each.
 
@@ -384,9 +585,9 @@ class Tree:
     def __init__(self):
         self.root = np.full(256, 1 / 256)
         self.kept = [1]
-        self.points_to, self.log_rest, self.up, self.child_keys = [np.zeros(1, np.int64)], [np.zeros(1)], [np.zeros(1, np.int64)], []
-        self.pair_keys, self.pair_p = [np.zeros(0, np.uint64)], [np.zeros(0)]
-        self.n_nodes, self.level_at, self._pairs = 1, {0: (np.zeros(1, np.uint64), np.zeros(1, np.int64))}, None
+        self.points_to, self.log_rest, self.up, self.child_keys = _Grown(0), _Grown(0.0), _Grown(0), _Grown(np.uint64(0))
+        self.pair_keys, self.pair_p = _Grown(np.uint64(0)), _Grown(1.0)  # by node and symbol; node 0 has its own array
+        self.n_nodes, self.level_at = 1, {0: (np.zeros(1, np.uint64), np.zeros(1, np.int64))}
 
     def add(self, length: int, context: np.ndarray, suffix: np.ndarray, first: np.ndarray, following: np.ndarray, n: np.ndarray) -> np.ndarray:
         """One more length, rows by context (a hash), with its suffix and first byte; returns the frontier, the sorted
@@ -404,34 +605,28 @@ class Tree:
         total, distinct = np.add.reduceat(n, at), each
         known, ids = self.level_at[length - 1]
         parent = ids[np.searchsorted(known, suffix[at])]
-        up = np.concatenate(self.points_to)[parent]
+        up = self.points_to.all[parent]
         row = np.repeat(np.arange(len(nodes)), each)
         base = self.probability(up[row], following)
         share = n / total[row]
         far = np.add.reduceat(n * np.log(share / base), at)
         keep = far >= MIN_DIVERGENCE
         own = self.n_nodes + np.arange(len(nodes))
-        self.child_keys.append((parent * 256 + first[at]).astype(np.uint64))
-        self.points_to.append(np.where(keep, own, up))
-        self.log_rest.append(np.where(keep, np.log10(distinct / (total + distinct)), 0.0))
-        self.up.append(up)
+        self.child_keys.add((parent * 256 + first[at]).astype(np.uint64))
+        self.points_to.add(np.where(keep, own, up))
+        self.log_rest.add(np.where(keep, np.log10(distinct / (total + distinct)), 0.0))
+        self.up.add(up)
         kept = keep[row]
-        self.pair_keys.append((own[row] * 256 + following).astype(np.uint64)[kept])
-        self.pair_p.append(((n + distinct[row] * base) / (total + distinct)[row])[kept])
+        self.pair_keys.add((own[row] * 256 + following).astype(np.uint64)[kept])
+        self.pair_p.add(((n + distinct[row] * base) / (total + distinct)[row])[kept])
         self.level_at[length], self.n_nodes = (nodes, own), self.n_nodes + len(nodes)
-        self._pairs = None
         self.kept.append(int(keep.sum()))
         spread = -np.add.reduceat(n * np.log(share), at)
         return nodes[spread >= MIN_DIVERGENCE]
 
     def probability(self, node: np.ndarray, following: np.ndarray) -> np.ndarray:
         """p(following | node) for kept nodes, by sorted search; used while the tree grows."""
-        if self._pairs is None:
-            keys, p = np.concatenate(self.pair_keys), np.concatenate(self.pair_p)
-            order = np.argsort(keys)
-            self._pairs = keys[order], p[order]
-        keys, p = self._pairs
-        rest, up = np.concatenate(self.log_rest), np.concatenate(self.up)
+        keys, p, rest, up = self.pair_keys.all, self.pair_p.all, self.log_rest.all, self.up.all
         out, node, left = np.zeros(len(node)), node.copy(), np.arange(len(node))
         while len(left):
             at_root = node[left] == 0
@@ -447,8 +642,7 @@ class Tree:
 
     def finish(self) -> Tree:
         """Put the tree into the form in which it is sent and asked; nodes that lead to no kept one go."""
-        points, up, rest = (np.concatenate(x) for x in (self.points_to, self.up, self.log_rest))
-        keys = np.concatenate([np.zeros(1, np.uint64), *self.child_keys])
+        points, up, rest, keys = self.points_to.all, self.up.all, self.log_rest.all, self.child_keys.all
         used = points == np.arange(len(points))
         for length in range(max(self.level_at), 0, -1):  # a look-up walks from length to length
             own = self.level_at[length][1]
@@ -471,7 +665,7 @@ class Tree:
         # tables over the bytes that occur in the tree, and one column for all others
         own = np.flatnonzero(used)
         own = own[own >= (self.level_at[3][1][0] if self.depth > 2 else len(points))]
-        pairs, p = np.concatenate(self.pair_keys), np.concatenate(self.pair_p)
+        pairs, p = self.pair_keys.all[1:], self.pair_p.all[1:]
         bytes_ = np.unique(np.concatenate([keys[own], pairs]) & np.uint64(255)).astype(np.int64)
         self.columns = len(bytes_) + 1
         self.column = np.full(256, len(bytes_), np.int32)
@@ -496,7 +690,7 @@ class Tree:
             log_p[row[node[a:b]], byte[a:b]] = log[a:b]
         self.log_p, self.points, self.root_log = log_p.reshape(-1), row[points].astype(np.int32), np.log10(self.root)
         size = sum(x.nbytes for x in vars(self).values() if isinstance(x, np.ndarray))
-        for name in ("points_to", "log_rest", "up", "child_keys", "pair_keys", "pair_p", "level_at", "_pairs"):
+        for name in ("points_to", "log_rest", "up", "child_keys", "pair_keys", "pair_p", "level_at"):
             self.__dict__.pop(name, None)
         if size > MOST_TREE_BYTES:
             raise ValueError(f"the tree has {size} bytes, more than MOST_TREE_BYTES")
@@ -539,100 +733,35 @@ class Tree:
         return self.of([shown_word(w) for w in own])
 
 
-class _Found:
-    """Contexts of one length as hashes, with their suffixes' hashes and their first two and last bytes."""
-
-    def __init__(self, context, suffix, first, second, last):
-        self.columns = context, suffix, first, second, last
-        self.context, self.suffix, self.first, self.second, self.last = self.columns
-
-    def at(self, places: np.ndarray) -> _Found:
-        return _Found(*(x[places] for x in self.columns))
-
-
-def _next_length(length: int, found: _Found, rows: tuple[np.ndarray, ...], frontier: np.ndarray, before: np.ndarray, may_start: np.ndarray, least: int) -> _Found:
-    """The contexts of `length` bytes that may occur `least` times and whose suffix is in the frontier.
-
-    found and rows are the contexts one shorter and what follows them, `before` is the frontier of their suffixes. A
-    context does not occur more often than it follows, as a string, from its part without its last byte. Where that part was not
-    counted (its suffix was not in `before`), all bytes are taken whose string with the next two may occur so often.
-    """
-    base = np.uint64(_BASE)
-    place, following, n = rows
-    often = (n >= least) & (following != END_BYTE[0])
-    c, y = found.at(place[often]), following[often]
-    added = (y.astype(np.uint64) + np.uint64(1)) * base
-    known = _Found(c.context * base + added, c.suffix * base + added, c.first, y if length == 2 else c.second, y)
-    known = known.at(_among(known.suffix, frontier))
-    open_ = found.at(_among(found.context, frontier))
-    without_last = (open_.context - (open_.last.astype(np.uint64) + np.uint64(1)) * base) * np.uint64(pow(_BASE, -1, 2**64))
-    s = open_.at(~_among(without_last, before))
-    which, byte = np.nonzero(may_start[:, s.first, s.second].T) if length > 2 else (np.zeros(0, np.int64),) * 2
-    s = s.at(which)
-    new = _Found(s.context + (byte.astype(np.uint64) + np.uint64(1)) * np.uint64(pow(_BASE, length, 2**64)), s.context, byte, s.first, s.last)
-    return _Found(*(np.concatenate(x) for x in zip(known.columns, new.columns)))
-
-
 def grow(strings: DataFrame, symbols: Callable, n_symbols: int) -> Tree:
-    """The tree of strings: length by length, as long as contexts are frequent and can still be refined."""
+    """The tree of strings: several lengths in two readings, as long as contexts are frequent and can still be refined. Where few
+    places stand after such contexts, these are written out with what is before them, and read on instead of the strings."""
     least = max(LEAST_COUNT, math.ceil(n_symbols ** (2 / 3) / CONTEXT_SHARE))
-    pairs, tree = pair_counts(strings, symbols), Tree()
-    following = np.flatnonzero(pairs.sum(axis=0))
-    none = np.zeros(len(following), np.uint64)
-    before = tree.add(0, none, none, none, following, pairs.sum(axis=0)[following])
-    bytes_ = np.flatnonzero(pairs.sum(axis=1) >= least)
-    found = _Found((bytes_.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE), np.zeros(len(bytes_), np.uint64), bytes_, bytes_, bytes_)
-    place, y = np.nonzero(pairs[bytes_])
-    rows = place, y, pairs[bytes_[place], y]
-    may_start = np.broadcast_to((pairs >= least)[:, :, None], (256, 256, 256))  # of which three bytes a context may begin
-    length = 1
+    tree, length, frontier, n_open, reach = Tree(), 0, np.zeros(1, np.uint64), n_symbols, 0
+    following, places, widths = None, (strings, symbols), FIRST_WIDTHS
     while True:
-        order = np.lexsort((rows[1], found.context[rows[0]]))
-        place, y, n = (x[order] for x in rows)
-        c = found.at(place)
-        frontier = tree.add(length, c.context, c.suffix, c.first, y, n)
-        if length == 2:
-            counted = _among((np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(_BASE), before)
-            three = np.zeros((256, 256, 256), bool)
-            often = n >= least
-            three[c.first[often], c.second[often], y[often]] = True
-            may_start = may_start & (three | ~counted[None, :, None])
-        n_open = n[_among(c.context, frontier)].sum()
-        if length > 1 and n_open <= FEW * n_symbols:
-            return deepen(tree, strings, symbols, length, frontier, n_open, n_symbols, least).finish()
-        length += 1
-        found, before = _next_length(length, found, rows, frontier, before, may_start, least), frontier
-        if not len(found.context):
-            return tree.finish()
-        place, y, n = context_counts(strings, symbols, length, found.context, following, least)
-        there, place = np.unique(place, return_inverse=True)
-        found, rows = found.at(there), (place, y, n)
-
-
-def deepen(tree: Tree, strings: DataFrame, symbols: Callable, length: int, frontier: np.ndarray, n_open: int, n_symbols: int, least: int) -> Tree:
-    """Add the lengths above `length`, as long as there is a frontier: long contexts, as of repeated lines. n_open symbols
-    stand after the frontier. Several lengths are counted at once, the more the fewer places are lost from length to length."""
-    reach, lost = 0, 0.5
-    while len(frontier):
-        if length >= reach:
-            reach = 8 * length
-            parts = places_after(strings, symbols, length, frontier, reach)
-        steps = min(math.sqrt(n_symbols / 32 / (n_open * lost)), n_symbols / 8 / n_open)
-        lengths, before = range(length + 1, min(reach, length + max(1, int(steps))) + 1), n_open
-        for length, rows in zip(lengths, longer_counts(parts, lengths, frontier, least)):
+        for rows in longer(*places, length, widths, frontier, n_open, least, following):
+            if following is None:
+                following = rows[3]
+                frontier = tree.add(0, *rows)
+                continue
             near = _among(rows[1], frontier)
-            rows = tuple(x[near] for x in rows)
+            rows, length = tuple(x[near] for x in rows), length + 1
             frontier = tree.add(length, *rows)
             if not len(frontier):
-                return tree
-            n_open = rows[4][_among(rows[0], frontier)].sum()
-        lost = max(1e-3, (1 - n_open / before) / len(lengths))
-    return tree
+                return tree.finish()
+            n_open = int(rows[4][_among(rows[0], frontier)].sum())
+        if n_open <= FEW * n_symbols and length + 4 > reach:
+            reach = 8 * length
+            places = places_after(strings, symbols, length, frontier, reach), part_symbols
+        levels = min(length, CONTEXTS_AT_ONCE * least // n_open) // 4
+        widths = [4] * max(1, min(levels, (reach - length) // 4) if places[0] is not strings else levels)
 
 
 def learn(by_word: DataFrame) -> Tree:
     """The tree of counted words that stand alone."""
-    return grow(by_word.select("key", "n"), word_symbols, symbols_of(by_word))
+    each = by_word.select(F.explode(F.array_repeat("key", F.col("n").cast("int"))).alias("key"))
+    return grow(each, word_symbols, symbols_of(by_word))
 
 
 def symbols_of(by_word: DataFrame) -> int:
