@@ -191,3 +191,41 @@ def test_odd_rows(odd, spark):
     assert len(out) == odd.count() and all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in out)
     assert all(math.isfinite(r["score"]) for r in lm.score(odd, odd.limit(0)).collect())
     assert lm.score_held_out(odd.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.25, 0.5, 0.75])
+def test_contexts_frequent_in_one_chunk_alone_are_not_counted(spark, monkeypatch, share):
+    """All contexts that are frequent in all are sought out, with their suffixes, and no others than by the bound."""
+    monkeypatch.setattr(lm, "TOLD_SHARE", share)
+    rng, least = random.Random(5), 60
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    common, own = [word(5) for _ in range(6)], [[word(5) for _ in range(6)] for _ in range(8)]
+    texts = [" ".join(rng.choice(common if rng.random() < 0.5 else own[k]) for _ in range(60)) for k in range(8) for _ in range(2)]
+    strings = spark.createDataFrame([(t,) for t in texts], "text string").repartitionByRange(8, "text").select("text")
+    times = Counter()
+    for t in texts:
+        line = b" " + b"".join(w + b" " for w in lm.words(t)) + lm.END_BYTE
+        for i in range(1, len(line)):
+            for n in range(1, min(i, 15) + 1):
+                times[line[i - n : i]] += 1
+    n_all = sum(len(t) + 2 for t in texts)
+    lengths, start, prefix, _ = lm.mine(strings, lm.text_symbols, 0, lm.FIRST_WIDTHS, np.zeros(1, np.uint64), n_all, least)
+    trie = lm._Trie(0, lm.FIRST_WIDTHS, np.zeros(1, np.uint64), lengths, start, prefix)
+    got = np.concatenate(trie.context)
+
+    def hashed(context):
+        return sum((b + 1) * pow(lm._BASE, k, 2**64) for k, b in enumerate(reversed(context), 1)) % 2**64
+
+    frequent, scarce = ({hashed(c) for c, n in times.items() if wanted(n)} for wanted in (lambda n: n >= least, lambda n: n < (1 - share) * least - 1))
+    assert len(set(got.tolist())) == len(got) and frequent <= set(got.tolist()) and not scarce & set(got.tolist())
+    assert set(np.concatenate(trie.suffix).tolist()) <= set(got.tolist()) | {0}
+
+
+def test_counts_are_handed_on_before_they_are_too_many(spark, monkeypatch):
+    texts = [(t,) for t in sentences(random.Random(9), 60)]
+    strings = spark.createDataFrame(texts, "text string").repartition(2)
+    monkeypatch.setattr(lm, "CHUNK", 512)
+    n = lm.symbols_of(lm.counts(strings))
+    once = [tuple(x.tolist() for x in rows) for rows in lm.longer(strings, lm.text_symbols, 0, lm.FIRST_WIDTHS, np.zeros(1, np.uint64), n, 8)]
+    monkeypatch.setattr(lm, "MOST_SEEN", 2000)
+    assert once == [tuple(x.tolist() for x in rows) for rows in lm.longer(strings, lm.text_symbols, 0, lm.FIRST_WIDTHS, np.zeros(1, np.uint64), n, 8)]

@@ -44,8 +44,13 @@ OUTSIDE = b"\xfe"
 BLOCK, SORTED_AT_ONCE, COUNTED_AT_ONCE, CHUNK = 1 << 16, 1 << 20, 1 << 22, 1 << 22
 #: Bytes of contexts that are taken at once, level by level, in the first two readings; later levels have four.
 FIRST_WIDTHS = [7, 4, 4]
-#: Contexts that two further readings count, about, and counts that a task holds at once.
-CONTEXTS_AT_ONCE, COUNTS_AT_ONCE = 1 << 18, 1 << 24
+#: Contexts that two further readings count, about, and counts that a task holds at once, of four bytes.
+CONTEXTS_AT_ONCE, COUNTS_AT_ONCE = 1 << 18, 1 << 25
+#: A chunk tells the contexts that have this share of what the chunk would have of a frequent one. The less, the fewer
+#: contexts are counted that turn out not to be frequent, and the more are told.
+TOLD_SHARE = 1 / 2
+#: Symbols after which a task hands on its counts, so that four bytes hold each.
+MOST_SEEN = 1 << 31
 #: Where no more than this share of all symbols stands after contexts that may be refined, only these places are read on.
 FEW = 1 / 50
 
@@ -295,7 +300,7 @@ def _chunks(batches, symbols: Callable, longest: int, starts: _Contexts | None):
 
 
 def _mined(chunk: _Chunk, length: int, widths: list[int], hashes: np.ndarray, least: float):
-    """(length, hash of the level's first context, further bytes) of the contexts that occur `least` times in the chunk."""
+    """(length, hash of the level's first context, further bytes, n) of the contexts that occur `least` times in the chunk."""
     keys, at, pieces = None, None, []
     for k, width in enumerate(widths):
         if k == 0:
@@ -306,15 +311,16 @@ def _mined(chunk: _Chunk, length: int, widths: list[int], hashes: np.ndarray, le
         for j in range(width, 0, -1):
             prefix = unique >> np.uint64(8 * (width - j))
             start = np.flatnonzero(np.concatenate([np.ones(min(1, len(prefix)), bool), prefix[1:] != prefix[:-1]]))
-            often = np.add.reduceat(n, start) >= least if len(start) else np.zeros(0, bool)
-            prefix = prefix[start[often]]
+            times = np.add.reduceat(n, start) if len(start) else n
+            often = times >= least
+            prefix, times = prefix[start[often]], times[often]
             inside = np.ones(len(prefix), bool)
             for i in range(j):
                 inside &= (prefix >> np.uint64(8 * i) & np.uint64(255)) < OUTSIDE[0]
             prefix = prefix[inside]
             node = (prefix >> np.uint64(8 * j)).astype(np.int64)
             own = prefix & np.uint64((1 << 8 * j) - 1)
-            yield length + j, hashes[node], own
+            yield length + j, hashes[node], own, times[inside]
             if j == width:
                 full, full_hashes = prefix, _extended(hashes[node], own, length, j)
         if not len(full) or k + 1 == len(widths):
@@ -333,8 +339,10 @@ def mine(strings: DataFrame, symbols: Callable, length: int, widths: list[int],
     frontier (all, if length is 0), by levels: the hash of a level's first context, and the bytes before it. Of length 0: the
     pairs of symbols and their n, of length -1: the number of chunks.
 
-    One that occurs so often has its share of this in one chunk at least. Three quarters are shared by the chunks' parts of
-    the n_all places, the rest equally, so that in small chunks not everything is often enough.
+    A chunk tells a context that occurs `told` times in it, and by how much more than told - 1. The chunks' told - 1 are
+    TOLD_SHARE of `least` in all, at most, so a context that has less than the rest of `least` above them cannot occur so
+    often. Three quarters are shared by the chunks' parts of the n_all places, the rest equally, so that in small chunks not
+    everything is often enough. A context's suffixes are told where it is, so none that is here lacks them.
     """
     n_chunks = max(1, strings.rdd.getNumPartitions() + n_all // CHUNK)
     rows = _mine(strings, symbols, length, widths, frontier, n_all, least, n_chunks)
@@ -360,15 +368,17 @@ def _mine(strings: DataFrame, symbols: Callable, length: int, widths: list[int],
                     b = min(len(chunk.data), a + SORTED_AT_ONCE)
                     pairs += np.bincount(chunk.data[a - 1 : b - 1].astype(np.uint16) << np.uint16(8) | chunk.data[a:b], minlength=1 << 16)
             if chunk.size:
-                for size, start, prefix in _mined(chunk, length, widths, frontier, max(1, int(least * (0.75 * chunk.size / n_all + 0.25 / n_chunks)))):
-                    columns = np.full(len(start), size, np.int32), start.view(np.int64), prefix.view(np.int64), np.ones(len(start), np.int64)
+                told = max(1, int(TOLD_SHARE * least * (0.75 * chunk.size / n_all + 0.25 / n_chunks)))
+                for size, start, prefix, times in _mined(chunk, length, widths, frontier, told):
+                    columns = np.full(len(start), size, np.int32), start.view(np.int64), prefix.view(np.int64), times.astype(np.int64) - (told - 1)
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
         at = np.flatnonzero(pairs)
         columns = np.append(np.zeros(len(at), np.int32), np.int32(-1)), np.zeros(len(at) + 1, np.int64), np.append(at, 0), np.append(pairs[at], chunks)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
 
     mined = strings.mapInArrow(run, "length int, start long, prefix long, n long")
-    rows = mined.groupBy("length", "start", "prefix").agg(F.sum("n").alias("n")).toArrow()
+    summed = mined.groupBy("length", "start", "prefix").agg(F.sum("n").alias("n"))
+    rows = summed.where((F.col("length") < 1) | (F.col("n") >= math.floor((1 - TOLD_SHARE) * least))).toArrow()
     sent.unpersist()
     return tuple(rows[c].to_numpy().view(kind) for c, kind in (("length", np.int32), ("start", np.uint64), ("prefix", np.uint64), ("n", np.int64)))
 
@@ -406,7 +416,7 @@ def _count_level(keys: np.ndarray, trie: _Trie, level: int, code: np.ndarray, n:
     unique, times = _runs(keys)
     follows = code[(unique & np.uint64(255)).astype(np.uint8)]
     inside = follows >= 0
-    unique, times, follows = unique[inside] >> np.uint64(8), times[inside].astype(np.int64), follows[inside]
+    unique, times, follows = unique[inside] >> np.uint64(8), times[inside], follows[inside]
     flat, n_codes = n.reshape(-1), n.shape[1]
     for j in range(width, 0, -1):
         row = trie.row_from[first + j - 1]
@@ -435,10 +445,22 @@ def count(strings: DataFrame, symbols: Callable, trie: _Trie, frontier: np.ndarr
     length, widths = trie.length, trie.widths
     sent = strings.sparkSession.sparkContext.broadcast((trie, _Contexts(frontier, length) if length else None))
 
+    def taken(n):
+        n = n.reshape(-1)
+        for k in range(0, len(n), block):
+            at = np.flatnonzero(n[k : k + block])
+            if len(at):  # bytes of the same worth together, so that the many zeros pack well
+                packed = np.diff(at, prepend=0).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), n[k + at].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([k // block], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)], names=["block", "at", "n"])
+
     def run(batches, from_row=0, to_row=0):
         trie, starts = sent.value
-        n = np.zeros((to_row - from_row, n_codes), np.int64)
+        n, seen = np.zeros((to_row - from_row, n_codes), np.int32), 0
         for chunk in _chunks(batches, symbols, length + sum(widths), starts):
+            if seen + len(chunk.data) >= MOST_SEEN:
+                yield from taken(n)
+                n[:], seen = 0, 0
+            seen += len(chunk.data)
             pieces, size = [], length + widths[0]
             for keys, places in chunk.first(COUNTED_AT_ONCE):
                 _count_level(keys, trie, 0, code, n, from_row)
@@ -455,12 +477,7 @@ def count(strings: DataFrame, symbols: Callable, trie: _Trie, frontier: np.ndarr
                     there, own = trie.nodes[level].lookup(keys >> np.uint64(8))
                     further.append((at[a + there], own))
                 pieces, size = further, size + widths[level]
-        n = n.reshape(-1)
-        for k in range(0, len(n), block):
-            at = np.flatnonzero(n[k : k + block])
-            if len(at):  # bytes of the same worth together, so that the many zeros pack well
-                packed = np.diff(at, prepend=0).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), n[k + at].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([k // block], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)], names=["block", "at", "n"])
+        yield from taken(n)
 
     def total(batches):
         held: dict[int, np.ndarray] = {}
