@@ -229,3 +229,30 @@ def test_counts_are_handed_on_before_they_are_too_many(spark, monkeypatch):
     once = [tuple(x.tolist() for x in rows) for rows in lm.longer(strings, lm.text_symbols, 0, lm.FIRST_WIDTHS, np.zeros(1, np.uint64), n, 8)]
     monkeypatch.setattr(lm, "MOST_SEEN", 2000)
     assert once == [tuple(x.tolist() for x in rows) for rows in lm.longer(strings, lm.text_symbols, 0, lm.FIRST_WIDTHS, np.zeros(1, np.uint64), n, 8)]
+
+
+def test_deep_contexts_of_a_batch_are_looked_up_together(spark, monkeypatch):
+    """Whatever the blocks are, scores are the same, and a deep tree takes no step a length for each block."""
+    rng, start = random.Random(6), "a passage that many texts share, word by word, and that goes on for long "
+    texts = [start * 3 + rng.choice(["one", "two", "six"]) + " end" for _ in range(300)]
+    strings = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    tree = lm.grow(strings, lm.text_symbols, lm.symbols_of(lm.counts(strings)))
+    asked = [lm.shown(lm.words(t)) for t in [*texts, "", "other words"]]
+    whole = tree.of(asked)
+    assert tree.depth > 2 * lm.NEAR_LENGTHS
+    lookups, size = [], tree.child.size
+
+    class Seen(np.ndarray):
+        def __getitem__(self, key):
+            lookups.extend([1] * (self.size == size))
+            return super().__getitem__(key)
+
+    monkeypatch.setattr(lm, "BLOCK", 1000)
+    tree.child = tree.child.view(Seen)
+    assert np.array_equal(tree.of(asked), whole)
+    blocks = -(-sum(map(len, asked)) // 1000)
+    assert len(lookups) <= blocks * lm.NEAR_LENGTHS + tree.depth
+    for near, at_once in ((3, 777), (5, 1 << 20), (10**6, 1 << 12)):
+        monkeypatch.setattr(lm, "NEAR_LENGTHS", near)
+        monkeypatch.setattr(lm, "SCORED_AT_ONCE", at_once)
+        assert np.allclose(tree.of(asked), whole, rtol=1e-12)

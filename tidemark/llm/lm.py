@@ -41,7 +41,9 @@ END_WORD, END_BYTE = b" ", b"\xff"
 OUTSIDE = b"\xfe"
 #: Symbols that are looked at at once, that are sorted at once where contexts are sought and where they are counted, and whose
 #: frequent contexts are sought together.
-BLOCK, SORTED_AT_ONCE, COUNTED_AT_ONCE, CHUNK = 1 << 16, 1 << 20, 1 << 22, 1 << 22
+BLOCK, SORTED_AT_ONCE, COUNTED_AT_ONCE, CHUNK = 1 << 16, 1 << 23, 1 << 22, 1 << 22
+#: Symbols that are scored at once, and the lengths of contexts that are looked up block by block.
+SCORED_AT_ONCE, NEAR_LENGTHS = 1 << 20, 16
 #: Bytes of contexts that are taken at once, level by level, in the first two readings; later levels have four.
 FIRST_WIDTHS = [7, 4, 4]
 #: Contexts that two further readings count, about, and counts that a task holds at once, of four bytes.
@@ -721,15 +723,25 @@ class Tree:
         padded = np.concatenate([np.full(max(0, before - start), OUTSIDE[0], np.uint8), data[max(0, start - before) :]])
         n = len(data) - start
         back = lambda k: padded[before - k : before - k + n]
-        node = self.near[back(2).astype(np.int64) << 8 | back(1)]
-        at = np.flatnonzero(node >= self.long_from)
-        for length in range(3, self.depth + 1):
-            if not len(at):
-                break
-            child = self.child[self.parent[node[at]] * np.int64(self.columns) + self.column[padded[at + (before - length)]]]
-            there = child >= 0
-            at = at[there]
-            node[at] = child[there]
+        node, far = np.zeros(n, np.int32), []
+
+        def longer(at, lengths):
+            own = node[at]
+            for length in lengths:
+                if not len(at):
+                    break
+                child = self.child[self.parent[own] * np.int64(self.columns) + self.column[padded[at + (before - length)]]]
+                there = np.flatnonzero(child >= 0)
+                at, own = at[there], child[there]
+                node[at] = own
+            return at
+
+        for a in range(0, n, BLOCK):  # the first lengths by blocks, the many later ones, with few places each, of all together
+            b = min(n, a + BLOCK)
+            node[a:b] = self.near[back(2)[a:b].astype(np.int64) << 8 | back(1)[a:b]]
+            far.append(longer(a + np.flatnonzero(node[a:b] >= self.long_from), range(3, min(NEAR_LENGTHS, self.depth) + 1)))
+        if far:
+            longer(np.concatenate(far), range(NEAR_LENGTHS + 1, self.depth + 1))
         column = self.column[back(0)]
         out = self.log_p[self.points[node] * np.int64(self.columns) + column].astype(float)
         other = np.flatnonzero(column == self.columns - 1)
@@ -742,7 +754,7 @@ class Tree:
         if not strings:
             return np.zeros(0)
         data, ends = np.frombuffer(b"".join(strings), np.uint8), np.cumsum([len(x) for x in strings])
-        parts = [self.each(data[max(0, k - self.depth - 2) : k + BLOCK], min(k, self.depth + 2)) for k in range(0, len(data), BLOCK)]
+        parts = [self.each(data[max(0, k - self.depth - 2) : k + SCORED_AT_ONCE], min(k, self.depth + 2)) for k in range(0, len(data), SCORED_AT_ONCE)]
         return np.add.reduceat(np.concatenate(parts), np.concatenate([[0], ends[:-1]]))
 
     def log10(self, own: list[bytes]) -> np.ndarray:
