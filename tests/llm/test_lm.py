@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import lm
@@ -256,3 +257,71 @@ def test_deep_contexts_of_a_batch_are_looked_up_together(spark, monkeypatch):
         monkeypatch.setattr(lm, "NEAR_LENGTHS", near)
         monkeypatch.setattr(lm, "SCORED_AT_ONCE", at_once)
         assert np.allclose(tree.of(asked), whole, rtol=1e-12)
+
+
+@pytest.mark.parametrize("few", [0, 0.5])
+def test_many_small_partitions_do_not_make_rare_contexts_told(spark, monkeypatch, few):
+    """A chunk's share of a frequent context must not come down to one: small partitions are read together."""
+    monkeypatch.setattr(lm, "FEW", few)
+    rng, start = random.Random(8), "a passage that many texts share, word by word, and that goes on for long "
+    strings = spark.createDataFrame([(start * 2 + rng.choice(["one", "two", "six"]) + " end",) for _ in range(240)], "text string")
+    n, mine, chunks = lm.symbols_of(lm.counts(strings)), lm._mine, []
+
+    def noted(*args):
+        rows = mine(*args)
+        chunks.append(int(rows[3][rows[0] < 0].sum()))
+        return rows
+
+    monkeypatch.setattr(lm, "_mine", noted)
+    trees = [lm.grow(strings.repartition(k), lm.text_symbols, n) for k in (1, 60)]
+    assert len(chunks) > 2 and set(chunks) == {1}
+    asked = [lm.shown(lm.words(r["text"])) for r in strings.limit(9).collect()]
+    assert np.array_equal(*(tree.of(asked) for tree in trees))
+
+
+@pytest.mark.parametrize("most", [1 << 20, 400, 0])
+def test_an_automaton_tells_the_longest_context_before_each_symbol(monkeypatch, most):
+    monkeypatch.setattr(lm, "STRETCH", 7)
+    rng = random.Random(2)
+    text = bytes(rng.choice(b"abc \xff\xfe") for _ in range(400))
+    known = {w[k:] for w in (bytes(rng.choice(b"abc ") for _ in range(rng.randint(1, 6))) for _ in range(40)) for k in range(len(w))}
+    hashed = lambda c: sum((b + 1) * pow(lm._BASE, k, 2**64) for k, b in enumerate(reversed(c), 1)) % 2**64
+    by_length = [[c for c in known if len(c) == k] for k in range(1, 7)]
+    levels = [(np.array([hashed(c) for c in own], np.uint64), np.array([hashed(c[1:]) for c in own], np.uint64), np.array([c[0] for c in own])) for own in by_length]
+    column = np.full(256, 4, np.int32)
+    column[list(b"abc ")] = range(4)
+    steps = lm._Steps(levels, column, 5, most)
+    assert steps.depth == {1 << 20: 6, 400: steps.depth, 0: 0}[most] and steps.size * 5 <= max(most, 5) and (most != 400 or 0 < steps.depth < 6)
+    state_of = {c: s for own, states in zip(by_length, steps.states) for c, s in zip(own, states.tolist())}
+    longest = {s: c for c, s in state_of.items()}
+    for start in (0, 3, 100):
+        for i, at in enumerate(steps(np.frombuffer(text, np.uint8), start).tolist(), start):
+            state, own = divmod(at, 5)
+            assert own == column[text[i]]
+            while state and state not in longest:
+                state = int(steps.suffix[state])
+            want = max((text[i - k : i] for k in range(min(i, steps.depth) + 1) if not k or text[i - k : i] in known), key=len)
+            assert longest.get(state, b"") == want
+
+
+def test_counts_and_scores_are_the_same_without_an_automaton(spark, monkeypatch):
+    texts = [(t,) for t in sentences(random.Random(11), 80)]
+    strings = spark.createDataFrame(texts, "text string").repartition(2)
+    n, asked = lm.symbols_of(lm.counts(strings)), [lm.shown(lm.words(t)) for (t,) in texts]
+    out = []
+    for most in (1 << 24, 0):
+        monkeypatch.setattr(lm, "MOST_STEPS", most)
+        rows = [tuple(x.tolist() for x in own) for own in lm.longer(strings, lm.text_symbols, 0, lm.FIRST_WIDTHS, np.zeros(1, np.uint64), n, 8)]
+        tree = lm.grow(strings, lm.text_symbols, n)
+        out.append((rows, tree.steps.depth > 0, tree.of(asked).tolist()))
+    assert out[0][0] == out[1][0] and out[0][1] and not out[1][1] and out[0][2] == out[1][2]
+
+
+def test_tokens_are_the_words_and_the_end():
+    texts = [None, "", " \n\t ", "word", " One  two\tTWO.", "über naïve\x1cñandú \x0b á"]
+    ((data, _),) = lm.text_symbols(pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"]))
+    start, size = lm._tokens(data)
+    wanted = [w for t in texts for w in [*lm.words(t), lm.END_WORD]]
+    assert lm._cut(data, start, size).to_pylist() == wanted
+    hashes = lm._token_hashes(data, start, size).tolist()
+    assert len(set(zip(wanted, hashes))) == len(set(wanted)) == len(set(hashes))

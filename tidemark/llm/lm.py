@@ -8,7 +8,6 @@ the whole training texts, which are read twice for several lengths: frequent con
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Callable
 from functools import partial
 
@@ -19,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROWS_AT_ONCE, checkpointed, id_remainder, map_texts, ship
+from tidemark.llm.common import ROWS_AT_ONCE, checkpointed, id_remainder, ship
 
 #: A context is counted on if it occurs so often: N ** (2 / 3) / CONTEXT_SHARE of N symbols. A length then has no more than
 #: CONTEXT_SHARE * N ** (1 / 3) contexts: what is learned grows with the corpus, but slowly enough to be sent to tasks.
@@ -32,8 +31,8 @@ MIN_DIVERGENCE = 12.0
 MOST_TREE_BYTES = 1 << 29
 #: Words whose counts are sent to every task; the others are looked up by a join.
 SENT_WORDS = 60_000
-#: Distinct words that a task gathers before it hands on their counts.
-HELD_WORDS = 400_000
+#: Symbols whose words a task gathers before it hands on their counts.
+HELD_SYMBOLS = 1 << 25
 #: The end token among words; no word contains a blank. Its byte is none of UTF-8's.
 END_WORD, END_BYTE = b" ", b"\xff"
 
@@ -42,8 +41,11 @@ OUTSIDE = b"\xfe"
 #: Symbols that are looked at at once, that are sorted at once where contexts are sought and where they are counted, and whose
 #: frequent contexts are sought together.
 BLOCK, SORTED_AT_ONCE, COUNTED_AT_ONCE, CHUNK = 1 << 16, 1 << 23, 1 << 22, 1 << 22
-#: Symbols that are scored at once, and the lengths of contexts that are looked up block by block.
+#: Symbols that are scored at once, and the lengths of contexts that are followed by an automaton.
 SCORED_AT_ONCE, NEAR_LENGTHS = 1 << 20, 16
+#: Symbols of a stretch that is followed beside others, and entries of an automaton's table, of four bytes, at most. Larger ones
+#: are not made: the contexts beyond are walked to, or counted by sorting.
+STRETCH, MOST_STEPS = 1 << 8, 1 << 24
 #: Bytes of contexts that are taken at once, level by level, in the first two readings; later levels have four.
 FIRST_WIDTHS = [7, 4, 4]
 #: Contexts that two further readings count, about, and counts that a task holds at once, of four bytes.
@@ -57,6 +59,8 @@ MOST_SEEN = 1 << 31
 FEW = 1 / 50
 
 _BASE, _NEXT = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
+#: Powers of the inverse of _BASE and of _BASE, as many as were needed so far.
+_POWERS = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 _SHOWN = np.frombuffer(bytes(range(256)).lower().translate(bytes(32 if 9 <= k <= 13 else k for k in range(256))), np.uint8)
 
 
@@ -70,27 +74,33 @@ def words(text: str | None) -> list[bytes]:
 def counts(training: DataFrame) -> DataFrame:
     """key (a word, or END_WORD) and n over all training texts; written to the shared folder."""
 
-    def make():
-        held: Counter = Counter()
+    ship(training.sparkSession)
 
-        def taken():
-            out = [list(held.keys()), list(held.values())]
-            held.clear()
-            return out
+    def taken(held):
+        data, hashes, n, start, size = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(hashes)
+        first = _firsts(hashes[order])
+        columns = [_cut(data, start[order[first]], size[order[first]]), pa.array(np.add.reduceat(n[order], first) if len(first) else n)]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "n"])
 
-        def step(texts):
-            for text in texts:
-                held.update(words(text))
-                held[END_WORD] += 1
-            return taken() if len(held) > HELD_WORDS else None
-
-        def end():
-            yield taken()
-
-        step.end = end
-        return step
-
-    return checkpointed(map_texts(training, ["text"], "key binary, n long", make).groupBy("key").agg(F.sum("n").alias("n")))
+    def run(batches):
+        held, seen = [], 0
+        for batch in batches:
+            for data, _ in text_symbols(batch):
+                start, size = _tokens(data)
+                hashes = _token_hashes(data, start, size)
+                order = np.argsort(hashes)
+                first = _firsts(hashes[order])
+                one = order[first]
+                held.append((data, hashes[one], np.diff(np.append(first, len(order))), start[one] + seen, size[one]))
+                seen += len(data)
+                if seen > HELD_SYMBOLS:
+                    yield taken(held)
+                    held, seen = [], 0
+        if held:
+            yield taken(held)
+
+    return checkpointed(training.select("text").mapInArrow(run, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n")))
 
 
 def commonest(by_word: DataFrame, most: int) -> dict[bytes, int]:
@@ -133,6 +143,37 @@ def text_symbols(batch: pa.RecordBatch):
         yield data[first], None
 
 
+def _tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the tokens of whole texts' symbols begin, and their sizes: after each blank a word, or END_WORD, which is that blank."""
+    blank = np.flatnonzero(data == 32)
+    start = blank + (data[blank + 1] != END_BYTE[0])
+    size = np.append(blank[1:], len(data)) - start
+    size[start == blank] = 1
+    return start, size
+
+
+def _token_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of each token, the same wherever it stands; from running sums."""
+    n = len(data)
+    if _POWERS[0].size < n:
+        _POWERS[:] = _times(2 * n, pow(_BASE, -1, 2**64)), _times(2 * n, _BASE)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWERS[0][:n], out=sums[1:])
+    return (sums[start + size] - sums[start]) * _POWERS[1][start]
+
+
+def _cut(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The stretches of the symbols as bytes."""
+    ends = np.cumsum(size)
+    bytes_ = data[np.arange(size.sum()) + np.repeat(start - (ends - size), size)]
+    return pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(bytes_)]).cast(pa.binary())
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where the runs of equal keys begin."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+
+
 def word_symbols(batch: pa.RecordBatch):
     """The same of words that stand alone."""
     yield np.frombuffer(b"".join(map(shown_word, batch.column(0).to_pylist())), np.uint8), None
@@ -185,6 +226,79 @@ class _Contexts:
                 yield piece, origin, at[there], place[there]
 
 
+class _Steps:
+    """An automaton that tells the longest known context before each symbol, by one step of a table a symbol.
+
+    levels: for each length from 1 on (hash, suffix's hash, first byte) of the contexts; all suffixes are there. Its states are
+    these and what is left of them without their last bytes, by length, then by hash. As no context is longer than `depth`,
+    so many symbols tell the state: stretches of the symbols are followed side by side.
+    """
+
+    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], column: np.ndarray, columns: int, most: int):
+        self.column, self.columns = column, columns
+        bytes_, hashes = [np.zeros((1, 0), np.uint8)], [np.zeros(1, np.uint64)]  # bytes from the last one back
+        for context, suffix, first in levels:
+            order, by = np.argsort(context), np.argsort(hashes[-1])
+            before = by[np.searchsorted(hashes[-1], suffix[order], sorter=by)]
+            bytes_.append(np.hstack([bytes_[-1][before], first[order, None].astype(np.uint8)]))
+            hashes.append(context[order])
+        self.depth = max(k for k in range(len(bytes_)) if len(bytes_[k]))
+        while True:
+            own, known = bytes_[: self.depth + 1], hashes[: self.depth + 1]
+            for k in range(self.depth, 1, -1):
+                less = np.vstack([own[k - 1], own[k][:, 1:]])
+                known[k - 1], at = np.unique(self._hashes(less), return_index=True)
+                own[k - 1] = less[at]
+            sizes = [len(x) for x in own]
+            if self.depth == 0 or sum(sizes) * columns <= most:
+                break
+            self.depth -= 1
+        self.level_from = np.append(0, np.cumsum(sizes))
+        self.size = int(self.level_from[-1])
+        place = [lambda h, k=k: self.level_from[k] + np.searchsorted(known[k], h) for k in range(self.depth + 1)]
+        self.suffix = np.zeros(self.size, np.int32)
+        table = np.zeros((self.size, columns), np.int32)
+        for k in range(self.depth + 1):
+            rows = slice(self.level_from[k], self.level_from[k + 1])
+            if k:
+                self.suffix[rows] = place[k - 1](self._hashes(own[k][:, :-1]))
+                table[rows] = table[self.suffix[rows]]
+            if k < self.depth:
+                table[place[k](self._hashes(own[k + 1][:, 1:])), column[own[k + 1][:, 0]]] = np.arange(self.level_from[k + 1], self.level_from[k + 2])
+        self.table = (table * columns).reshape(-1)
+        #: for each level's contexts, as they were given, their states
+        self.states = [place[k](context) for k, (context, _, _) in enumerate(levels[: self.depth], 1)]
+
+    @staticmethod
+    def _hashes(bytes_: np.ndarray) -> np.ndarray:
+        return ((bytes_.astype(np.uint64) + np.uint64(1)) * _times(bytes_.shape[1] + 1, _BASE)[1:]).sum(axis=1, dtype=np.uint64)
+
+    def __call__(self, data: np.ndarray, start: int = 0) -> np.ndarray:
+        """For each symbol from start on: the state before it, times columns, and its column. Those before start are contexts only."""
+        n, before = len(data) - start, self.depth
+        count = -(-n // STRETCH)
+        padded = np.full(before + count * STRETCH, OUTSIDE[0], np.uint8)
+        there = min(start, before)
+        padded[before - there : before + n] = data[start - there :]
+        side = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, before + STRETCH)[::STRETCH].T)
+        columns, out, state = self.column.astype(np.int64), np.empty((STRETCH, count), np.int32), np.zeros(count, np.int32)
+        for k, now in enumerate(side):
+            at = columns[now]
+            at += state
+            if k >= before:
+                out[k - before] = at
+            np.take(self.table, at, out=state, mode="clip")
+        return out.T.reshape(-1)[:n]
+
+    def gathered(self, n: np.ndarray) -> np.ndarray:
+        """What was counted at each longest context, summed up for all contexts."""
+        n = n.reshape(self.size, self.columns)
+        for k in range(self.depth, 0, -1):
+            rows = slice(self.level_from[k], self.level_from[k + 1])
+            np.add.at(n, self.suffix[rows], n[rows])
+        return n
+
+
 def _room(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """How many symbols of its own text stand before each place."""
     outside = np.concatenate([[-1], np.flatnonzero(data >= OUTSIDE[0])])
@@ -208,7 +322,14 @@ def places_after(strings: DataFrame, symbols: Callable, length: int, contexts: n
                 parts = [data[a : b + 1].tobytes() for a, b in zip(first.tolist(), last.tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary()), pa.array((at[new] - first).astype(np.int32))], names=["part", "skip"])
 
-    return checkpointed(strings.mapInArrow(run, "part binary, skip int"))
+    parts = checkpointed(strings.mapInArrow(run, "part binary, skip int"))
+    return full_tasks(parts, parts.agg(F.coalesce(F.sum(F.octet_length("part")), F.lit(0))).first()[0])
+
+
+def full_tasks(strings: DataFrame, n_symbols: int) -> DataFrame:
+    """The strings in no more partitions than have CHUNK symbols each. In many small ones a frequent context's share comes down
+    to one or two, so that all contexts would be told of each."""
+    return strings.coalesce(max(1, n_symbols // CHUNK))
 
 
 def part_symbols(batch: pa.RecordBatch):
@@ -435,6 +556,17 @@ def _count_level(keys: np.ndarray, trie: _Trie, level: int, code: np.ndarray, n:
         np.add.at(flat, np.repeat((place[known] + row) * n_codes, size[known]) + follows[there], times[there])
 
 
+def _steps_of(trie: _Trie, following: np.ndarray) -> tuple[_Steps, np.ndarray, np.ndarray] | None:
+    """An automaton of the trie's contexts, the states of its rows and the columns of the symbols; None if it would be too large."""
+    bytes_ = np.unique(np.concatenate([following, *trie.first]))
+    column = np.full(256, len(bytes_), np.int32)
+    column[bytes_] = np.arange(len(bytes_))
+    steps = _Steps(list(zip(trie.context, trie.suffix, trie.first)), column, len(bytes_) + 1, MOST_STEPS)
+    if any(len(x) for x in trie.context[steps.depth :]):
+        return None
+    return steps, np.concatenate(steps.states), column[following]
+
+
 def count(strings: DataFrame, symbols: Callable, trie: _Trie, frontier: np.ndarray, following: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
     """(row of the trie, symbol, n), sorted: of the contexts that occur `least` times, how often each symbol follows. Counted over
     all strings; tasks hand on their counts by blocks of rows, which are summed up apart. More rows than a task should hold
@@ -445,7 +577,8 @@ def count(strings: DataFrame, symbols: Callable, trie: _Trie, frontier: np.ndarr
     code[following] = np.arange(n_codes)
     block = max(1, (1 << 16) // n_codes) * n_codes
     length, widths = trie.length, trie.widths
-    sent = strings.sparkSession.sparkContext.broadcast((trie, _Contexts(frontier, length) if length else None))
+    steps = _steps_of(trie, following) if not length else None
+    sent = strings.sparkSession.sparkContext.broadcast(steps or (trie, _Contexts(frontier, length) if length else None))
 
     def taken(n):
         n = n.reshape(-1)
@@ -481,6 +614,22 @@ def count(strings: DataFrame, symbols: Callable, trie: _Trie, frontier: np.ndarr
                 pieces, size = further, size + widths[level]
         yield from taken(n)
 
+    def run_by_steps(batches):
+        steps, rows, codes = sent.value
+        n, seen = np.zeros(steps.size * steps.columns, np.int32), 0
+
+        def told():
+            return taken(np.ascontiguousarray(steps.gathered(n)[rows][:, codes]))
+
+        for chunk in _chunks(batches, symbols, 0, None):
+            if seen + len(chunk.data) >= MOST_SEEN:
+                yield from told()
+                n[:], seen = 0, 0
+            seen += len(chunk.data)
+            at = [steps(chunk.data[max(0, k - steps.depth) : k + SCORED_AT_ONCE], min(k, steps.depth)) for k in range(0, len(chunk.data), SCORED_AT_ONCE)]
+            np.add(n, np.bincount(np.concatenate(at), minlength=len(n)), out=n, casting="unsafe")
+        yield from told()
+
     def total(batches):
         held: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -495,9 +644,9 @@ def count(strings: DataFrame, symbols: Callable, trie: _Trie, frontier: np.ndarr
             columns = row + k * (block // n_codes), following[symbol], own[row, symbol]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["row", "next", "n"])
 
-    out, most = [], max(1, COUNTS_AT_ONCE // n_codes)
+    out, most = [], trie.size if steps else max(1, COUNTS_AT_ONCE // n_codes)
     for k in range(0, trie.size, most):
-        packed = strings.mapInArrow(partial(run, from_row=k, to_row=min(trie.size, k + most)), "block int, at binary, n binary")
+        packed = strings.mapInArrow(run_by_steps if steps else partial(run, from_row=k, to_row=min(trie.size, k + most)), "block int, at binary, n binary")
         rows = packed.repartition("block").mapInArrow(total, "row long, next long, n long").toArrow()
         row, symbol, n = (rows[c].to_numpy() for c in ("row", "next", "n"))
         order = np.lexsort((symbol, row))
@@ -606,7 +755,7 @@ class Tree:
         self.kept = [1]
         self.points_to, self.log_rest, self.up, self.child_keys = _Grown(0), _Grown(0.0), _Grown(0), _Grown(np.uint64(0))
         self.pair_keys, self.pair_p = _Grown(np.uint64(0)), _Grown(1.0)  # by node and symbol; node 0 has its own array
-        self.n_nodes, self.level_at = 1, {0: (np.zeros(1, np.uint64), np.zeros(1, np.int64))}
+        self.n_nodes, self.level_at, self.levels = 1, {0: (np.zeros(1, np.uint64), np.zeros(1, np.int64))}, []
 
     def add(self, length: int, context: np.ndarray, suffix: np.ndarray, first: np.ndarray, following: np.ndarray, n: np.ndarray) -> np.ndarray:
         """One more length, rows by context (a hash), with its suffix and first byte; returns the frontier, the sorted
@@ -639,6 +788,8 @@ class Tree:
         self.pair_keys.add((own[row] * 256 + following).astype(np.uint64)[kept])
         self.pair_p.add(((n + distinct[row] * base) / (total + distinct)[row])[kept])
         self.level_at[length], self.n_nodes = (nodes, own), self.n_nodes + len(nodes)
+        if length <= NEAR_LENGTHS:
+            self.levels.append((nodes, suffix[at], first[at]))
         self.kept.append(int(keep.sum()))
         spread = -np.add.reduceat(n * np.log(share), at)
         return nodes[spread >= MIN_DIVERGENCE]
@@ -667,23 +818,8 @@ class Tree:
             own = self.level_at[length][1]
             used[(keys[own[used[own]]] >> np.uint64(8)).astype(np.int64)] = True
         self.depth = max([k for k, (_, own) in self.level_at.items() if used[own].any()], default=0)
-        # the first two steps back by one table, longer ones by node and byte
-        self.near = np.zeros(1 << 16, np.int32)
-        self.long_from = len(points)
-        for length in (1, 2):
-            if length <= self.depth:
-                own = self.level_at[length][1]
-                own = own[used[own]]
-                node, byte = (keys[own] >> np.uint64(8)).astype(np.int64), (keys[own] & np.uint64(255)).astype(np.int64)
-                if length == 1:
-                    self.near.reshape(256, 256)[:, byte] = own
-                    byte_of = dict(zip(own.tolist(), byte.tolist()))
-                else:
-                    self.near[byte << 8 | np.array([byte_of[k] for k in node.tolist()], np.int64)] = own
-                    self.long_from = int(self.level_at[2][1][0])
         # tables over the bytes that occur in the tree, and one column for all others
-        own = np.flatnonzero(used)
-        own = own[own >= (self.level_at[3][1][0] if self.depth > 2 else len(points))]
+        own = np.flatnonzero(used)[1:]
         pairs, p = self.pair_keys.all[1:], self.pair_p.all[1:]
         bytes_ = np.unique(np.concatenate([keys[own], pairs]) & np.uint64(255)).astype(np.int64)
         self.columns = len(bytes_) + 1
@@ -708,9 +844,24 @@ class Tree:
             a, b = np.searchsorted(node, [own[0], own[-1] + 1])
             log_p[row[node[a:b]], byte[a:b]] = log[a:b]
         self.log_p, self.points, self.root_log = log_p.reshape(-1), row[points].astype(np.int32), np.log10(self.root)
-        size = sum(x.nbytes for x in vars(self).values() if isinstance(x, np.ndarray))
-        for name in ("points_to", "log_rest", "up", "child_keys", "pair_keys", "pair_p", "level_at"):
+        near, nodes = [], [np.zeros(1, np.int64)]
+        for length, level in enumerate(self.levels[: self.depth], 1):
+            there = used[self.level_at[length][1]]
+            near.append(tuple(x[there] for x in level))
+            nodes.append(self.level_at[length][1][there])
+        for name in ("points_to", "log_rest", "up", "child_keys", "pair_keys", "pair_p", "level_at", "levels"):
             self.__dict__.pop(name, None)
+        size = sum(x.nbytes for x in vars(self).values() if isinstance(x, np.ndarray))
+        self.steps = _Steps(near, self.column, self.columns, min(MOST_STEPS, max(0, MOST_TREE_BYTES - size) // 8))
+        # a state that is no node of the tree stands for its longest suffix that is one
+        self.node = np.full(self.steps.size, -1, np.int32)
+        for state, own in zip([np.zeros(1, np.int64), *self.steps.states], nodes):
+            self.node[state] = own
+        for k in range(1, self.steps.depth + 1):
+            rows = np.arange(self.steps.level_from[k], self.steps.level_from[k + 1])
+            rows = rows[self.node[rows] < 0]
+            self.node[rows] = self.node[self.steps.suffix[rows]]
+        size += self.node.nbytes + self.steps.table.nbytes + self.steps.suffix.nbytes
         if size > MOST_TREE_BYTES:
             raise ValueError(f"the tree has {size} bytes, more than MOST_TREE_BYTES")
         self.bytes = size
@@ -719,43 +870,35 @@ class Tree:
     def each(self, data: np.ndarray, start: int) -> np.ndarray:
         """log10 of the probability of each symbol from start on; those before it are contexts only. Zero for a first blank
         and for what stands outside of texts."""
-        before = max(self.depth, 2)
-        padded = np.concatenate([np.full(max(0, before - start), OUTSIDE[0], np.uint8), data[max(0, start - before) :]])
-        n = len(data) - start
-        back = lambda k: padded[before - k : before - k + n]
-        node, far = np.zeros(n, np.int32), []
-
-        def longer(at, lengths):
-            own = node[at]
-            for length in lengths:
-                if not len(at):
-                    break
-                child = self.child[self.parent[own] * np.int64(self.columns) + self.column[padded[at + (before - length)]]]
-                there = np.flatnonzero(child >= 0)
-                at, own = at[there], child[there]
-                node[at] = own
-            return at
-
-        for a in range(0, n, BLOCK):  # the first lengths by blocks, the many later ones, with few places each, of all together
-            b = min(n, a + BLOCK)
-            node[a:b] = self.near[back(2)[a:b].astype(np.int64) << 8 | back(1)[a:b]]
-            far.append(longer(a + np.flatnonzero(node[a:b] >= self.long_from), range(3, min(NEAR_LENGTHS, self.depth) + 1)))
-        if far:
-            longer(np.concatenate(far), range(NEAR_LENGTHS + 1, self.depth + 1))
-        column = self.column[back(0)]
+        step = self.steps(data, start)
+        state = step // np.int32(self.columns)
+        column = step - state * np.int32(self.columns)
+        node, at = self.node[state], np.flatnonzero(state >= self.steps.level_from[-2]) + start
+        for length in range(self.steps.depth + 1, self.depth + 1):  # the many later lengths, with few places each, of all together
+            at = at[at >= length]
+            if not len(at):
+                break
+            child = self.child[self.parent[node[at - start]] * np.int64(self.columns) + self.column[data[at - length]]]
+            there = np.flatnonzero(child >= 0)
+            at = at[there]
+            node[at - start] = child[there]
         out = self.log_p[self.points[node] * np.int64(self.columns) + column].astype(float)
+        own, last = data[start:], np.append(data[start - 1] if start else OUTSIDE[0], data[start:-1])
         other = np.flatnonzero(column == self.columns - 1)
-        out[other] += self.root_log[back(0)[other]]
-        out[(back(0) == OUTSIDE[0]) | (back(1) == OUTSIDE[0])] = 0
+        out[other] += self.root_log[own[other]]
+        out[(own == OUTSIDE[0]) | (last == OUTSIDE[0])] = 0
         return out
 
     def of(self, strings: list[bytes]) -> np.ndarray:
         """log10 of the probability of each string of symbols."""
         if not strings:
             return np.zeros(0)
-        data, ends = np.frombuffer(b"".join(strings), np.uint8), np.cumsum([len(x) for x in strings])
+        return self.of_symbols(np.frombuffer(b"".join(strings), np.uint8), np.cumsum([0, *(len(x) for x in strings[:-1])]))
+
+    def of_symbols(self, data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """The same of symbols one after the other, and where each string begins."""
         parts = [self.each(data[max(0, k - self.depth - 2) : k + SCORED_AT_ONCE], min(k, self.depth + 2)) for k in range(0, len(data), SCORED_AT_ONCE)]
-        return np.add.reduceat(np.concatenate(parts), np.concatenate([[0], ends[:-1]]))
+        return np.add.reduceat(np.concatenate(parts), begin)
 
     def log10(self, own: list[bytes]) -> np.ndarray:
         """Of each word (or END_WORD) that stands alone: log10 of its probability, its ending blank included."""
@@ -766,6 +909,7 @@ def grow(strings: DataFrame, symbols: Callable, n_symbols: int) -> Tree:
     """The tree of strings: several lengths in two readings, as long as contexts are frequent and can still be refined. Where few
     places stand after such contexts, these are written out with what is before them, and read on instead of the strings."""
     least = max(LEAST_COUNT, math.ceil(n_symbols ** (2 / 3) / CONTEXT_SHARE))
+    strings = full_tasks(strings, n_symbols)
     tree, length, frontier, n_open, reach = Tree(), 0, np.zeros(1, np.uint64), n_symbols, 0
     following, places, widths = None, (strings, symbols), FIRST_WIDTHS
     while True:
@@ -813,48 +957,49 @@ def score(docs: DataFrame, training: DataFrame, sent_words: int = SENT_WORDS) ->
     total, distinct = by_word.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     common = commonest(by_word, sent_words)
     tree = grow(training.select("text"), text_symbols, symbols_of(by_word))
-    known = list(common)
-    sent = spark.sparkContext.broadcast((tree, known, np.log10(np.array([common[w] + 1 for w in known], float)), np.array([common[w] > 0 for w in known])))
+    known = np.frombuffer(b"".join(common), np.uint8), np.array([len(w) for w in common], np.int64)
+    hashes = _token_hashes(known[0], np.cumsum(known[1]) - known[1], known[1])
+    n_known = np.array([*common.values()], float)
+    sent = spark.sparkContext.broadcast((tree, _Contexts(hashes), np.log10(n_known + 1), n_known > 0))
     kind = docs.schema["doc_id"].dataType.simpleString()
+    ship(spark)
 
-    def make():
+    def run(batches):
         tree, listed, logs, seen = sent.value
-        place_of = {w: k for k, w in enumerate(listed)}.get
-        row = TaskContext.get().partitionId() << 40
-
-        def step(ids, texts):
-            nonlocal row
-            n, k = len(ids), np.zeros((2, len(ids)), np.int64)  # tokens, and those of common words
-            base, strings = np.zeros(n), []
-            rare_row, rare_word, rare_k = [], [], []
-            for i, text in enumerate(texts):
-                own = words(text)
-                strings.append(shown(own))
-                own.append(END_WORD)
-                places = list(map(place_of, own))
-                if None in places:
-                    rare = Counter([w for w, p in zip(own, places) if p is None])
-                    rare_word += rare.keys()
-                    rare_k += rare.values()
-                    rare_row += [i] * len(rare)
-                    places = [p for p in places if p is not None]
-                at = np.array(places, np.int64)
-                k[0, i], k[1, i], base[i] = len(own), seen[at].sum(), logs[at].sum()
-            whole, times = tree.of(strings), np.array(rare_k, np.int64)
-            rows = np.arange(row, row + n)
-            row += n
-            mark = [b"  " + r.to_bytes(8, "big") for r in rows.tolist()]  # a key that no word is, so that no row is without one
-            rest = pa.nulls(len(rare_row))
-
-            def padded(column):
-                column = pa.array(column)
-                return pa.concat_arrays([column, rest.cast(column.type)])
-
-            return [np.concatenate([rows, rows[rare_row] if rare_row else rows[:0]]), mark + rare_word, padded(ids), np.concatenate([k[0], times]), padded(k[1]), padded(base), padded(whole)]
-
-        return step
-
-    flat = map_texts(docs, ["doc_id", "text"], f"row long, key binary, doc_id {kind}, k long, known long, base double, whole double", make)
+        row, names = TaskContext.get().partitionId() << 40, ["row", "key", "doc_id", "k", "known", "base", "whole"]
+        for batch in batches:
+            for begin, (data, _) in zip(range(0, batch.num_rows, ROWS_AT_ONCE), text_symbols(batch.select(["text"]))):
+                ids = batch.column("doc_id").slice(begin, ROWS_AT_ONCE)
+                n, ends = len(ids), np.flatnonzero(data == OUTSIDE[0]) + 1
+                if len(ends) != n:
+                    raise ValueError("a text is not UTF-8")
+                start, size = _tokens(data)
+                hashes = _token_hashes(data, start, size)
+                text = np.searchsorted(ends, start, "right")
+                at, place = listed.lookup(hashes)
+                rare = np.ones(len(start), bool)
+                rare[at] = False
+                rare = np.flatnonzero(rare)
+                mixed = hashes[rare] + text[rare].astype(np.uint64) * _NEXT  # the same word of the same text
+                order = np.argsort(mixed)
+                first = _firsts(mixed[order])
+                one = rare[order[first]]
+                rows = np.arange(row, row + n)
+                row += n
+                mark = [b"  " + r.to_bytes(8, "big") for r in rows.tolist()]  # a key that no word is, so that no row is without one
+                rest = pa.nulls(len(one))
+
+                def padded(column):
+                    return pa.concat_arrays([column, rest.cast(column.type)])  # noqa: B023
+
+                columns = [
+                    pa.array(np.concatenate([rows, rows[text[one]]])), pa.concat_arrays([pa.array(mark, pa.binary()), _cut(data, start[one], size[one])]), padded(ids),
+                    pa.array(np.concatenate([np.bincount(text, minlength=n), np.diff(np.append(first, len(order)))])), padded(pa.array(np.bincount(text[at], seen[place], n).astype(np.int64))),
+                    padded(pa.array(np.bincount(text[at], logs[place], n).astype(float))), padded(pa.array(tree.of_symbols(data, np.append(0, ends[:-1])))),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    flat = docs.select("doc_id", "text").mapInArrow(run, f"row long, key binary, doc_id {kind}, k long, known long, base double, whole double")
     met = flat.join(by_word, "key", "left")
     rare = F.col("whole").isNull()
     summed = met.groupBy("row").agg(
