@@ -41,6 +41,8 @@ OUTSIDE = b"\xfe"
 #: Symbols that are looked at at once, that are sorted at once where contexts are sought and where they are counted, and whose
 #: frequent contexts are sought together.
 BLOCK, SORTED_AT_ONCE, COUNTED_AT_ONCE, CHUNK = 1 << 16, 1 << 23, 1 << 22, 1 << 22
+#: Places whose contexts are looked up at once where they are sought.
+SOUGHT_AT_ONCE = 1 << 17
 #: Symbols that are scored at once, and the lengths of contexts that are followed by an automaton.
 SCORED_AT_ONCE, NEAR_LENGTHS = 1 << 20, 16
 #: Symbols of a stretch that is followed beside others, and entries of an automaton's table, of four bytes, at most. Larger ones
@@ -374,7 +376,11 @@ class _Chunk:
             for a in range(self.pad, len(self.data), most):
                 b = min(len(self.data), a + most)
                 v = self.by8[a - 7 : b - 7].astype(np.uint64)
-                yield v << np.uint64(8) | v >> np.uint64(56), range(a, b)
+                x = v << np.uint64(8)
+                v >>= np.uint64(56)
+                x |= v
+                del v
+                yield x, range(a, b)
         else:
             for a in range(0, self.size, most):
                 at = self.at[a : a + most]
@@ -449,12 +455,12 @@ def _mined(chunk: _Chunk, length: int, widths: list[int], hashes: np.ndarray, le
         if not len(full) or k + 1 == len(widths):
             return
         wanted, pieces = _Contexts(full), []
-        for x, places in chunk.first(SORTED_AT_ONCE) if k == 0 else [(keys, at)]:
+        for x, places in chunk.first(SOUGHT_AT_ONCE) if k == 0 else ((keys[a : a + SOUGHT_AT_ONCE], at[a : a + SOUGHT_AT_ONCE]) for a in range(0, len(at), SOUGHT_AT_ONCE)):
             there, node = wanted.lookup(x >> np.uint64(8) if k == 0 else x)
-            pieces.append((there + places.start if isinstance(places, range) else places[there], node))
-        at = np.concatenate([a for a, _ in pieces])
-        length, hashes = length + width, full_hashes
-        keys = np.concatenate([chunk.next(a, node, length) for a, node in pieces]) >> np.uint64(8)
+            own = there + places.start if isinstance(places, range) else places[there]
+            pieces.append((own, chunk.next(own, node, length + width) >> np.uint64(8)))
+        at, keys = (np.concatenate(x) for x in zip(*pieces))
+        length, hashes, pieces = length + width, full_hashes, []
 
 
 def mine(strings: DataFrame, symbols: Callable, length: int, widths: list[int], frontier: np.ndarray, n_all: int, least: int) -> tuple[np.ndarray, ...]:
